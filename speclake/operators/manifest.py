@@ -97,6 +97,6 @@ def harmonize(df: DataFrame, synonyms: DataFrame) -> DataFrame:
     named = joined.withColumn("hit", hit).drop("a", "a_name", "b", "b_name")
     return named.withColumns({
         "accepted_scientific_name": F.coalesce(F.nullif(F.col("hit.accepted_name"), F.lit("")), "accepted_scientific_name"),
-        "species": F.coalesce(S.canonical_taxon(F.nullif(F.col("hit.accepted_name"), F.lit(""))), S.canonical_taxon(F.col("species"))),
+        "species": F.coalesce(F.nullif(S.canonical_taxon(F.col("hit.accepted_name")), F.lit("")), S.canonical_taxon(F.col("species"))),
         "family": F.coalesce(F.nullif(F.col("hit.accepted_family"), F.lit("")), S.canonical_taxon(F.col("family"), "family")),
     }).drop("hit")
