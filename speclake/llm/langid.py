@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from speclake.llm.common import cut
+from speclake.llm.common import cut, sized
 
 #: Longest stretch of letters that is scored as one; longer ones are scored in parts of this length.
 STRETCH = 32
@@ -105,9 +105,16 @@ class Segmentations:
 
 
 def training_words(docs: DataFrame, per_language: int) -> DataFrame:
-    """(lang, word, n): words of the first ``per_language`` documents of each language by text hash."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), F.md5("text"))
-    sample = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text").withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
+    """(lang, word, n): words of the first ``per_language`` documents of each language by text hash.
+
+    Languages are counted first, so that only texts whose hash is among about the first four times as
+    many are sorted: what meets in a task is bounded at any size of corpus.
+    """
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    counts = sized(usable.groupBy("lang").agg((F.lit(4.0 * per_language) / F.count("*")).alias("share")))
+    chosen = usable.join(counts, "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    first = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 30)), F.md5("text"))
+    sample = chosen.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
