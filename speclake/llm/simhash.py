@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from speclake.llm.common import cut
+from speclake.llm.nearcopies import similar_links
 
 CHUNK = 1 << 15
 
@@ -188,10 +189,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, reach: int = 2, shard_row
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **options: int) -> DataFrame:
-    """One row of each near-duplicate group: that of its smallest doc_id; columns as given. Of rows that share that id the smallest by text hash stays."""
-    found = near_duplicates(docs, **options)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept"]), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.md5("text"))
-    return kept.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
+def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, reach: int = 2, shard_rows: int = 1 << 15, sample_rows: int = 4096) -> DataFrame:
+    """(key, root): the xxhash64 of each text and that of its group.
+
+    Texts are linked if their SimHash fingerprints over ``shingle`` words differ in ``reach`` bits at
+    most, found by vantage-point trees, or if they share ``similarity`` of their shingles. At that
+    similarity fingerprints differ in about ten bits, where triangle bounds prune nothing, so these links
+    come from minima of the shingles and are verified. Texts without words, null ones too, are one group.
+    """
+    keyed = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    rows = cut(fingerprints(keyed, shingle).withColumnRenamed("doc_id", "key").distinct())
+    distinct = cut(rows.groupBy("fp").agg(F.min("key").alias("least")))
+    same = rows.join(distinct, "fp").select(F.col("key").alias("a"), F.col("least").alias("b")).filter("a != b")
+    close = linked(distinct.select("fp"), reach, shard_rows, sample_rows)
+    one, two = (distinct.select(F.col("fp").alias(x), F.col("least").alias(f"key_{x}")) for x in "ab")
+    close = close.join(one, "a").join(two, "b").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    roots = components(same.unionAll(close).unionAll(similar_links(docs, shingle, similarity)))
+    return rows.join(roots.withColumnRenamed("fp", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("root"))
+
+
+def keep_one(docs: DataFrame, **options: float) -> DataFrame:
+    """One row of each near-duplicate group of ``near_groups``: that of the smallest doc_id, nulls last, then of the smallest text by hash; columns as given.
+
+    Only the rows' keys are grouped. Of rows with the same doc_id and text one stays; an empty table gives an empty result.
+    """
+    groups = cut(near_groups(docs, **options))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("key")).groupBy("key").agg(F.min(rank).alias("rank"))
+    first = cut(rows.join(groups, "key").groupBy("root").agg(F.min("rank").alias("rank")).select(F.col("rank.doc_id").alias("_id"), F.col("rank.key").alias("_key")))
+    kept = docs.join(first, (F.xxhash64(docs["text"]) == F.col("_key")) & docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    nth = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
+    return kept.withColumn("_nth", F.row_number().over(nth)).filter("_nth = 1").drop("_nth")

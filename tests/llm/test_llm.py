@@ -188,6 +188,34 @@ def test_simhash(spark, docs, odd):
     assert len(got) == len(ROWS) and {r.component_id for r in got if r.fp == 0} == {2}
     assert simhash.keep_one(odd).count() == 5 and simhash.keep_one(odd).columns == odd.columns
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
+    assert simhash.keep_one(odd.limit(0)).count() == 0
+
+
+def test_near_copies(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(4000)]
+    base = [[words[k] for k in rng.integers(0, 4000, 200)] for _ in range(12)]
+    texts = [" ".join(x) for x in base]
+    for b, n in ((0, 40), (1, 3), (2, 3), (3, 3)):
+        for _ in range(n):
+            w = list(base[b])
+            for at in rng.integers(0, 200, int(rng.integers(1, 12))):
+                w[at] = words[rng.integers(0, 4000)]
+            texts.append(" ".join(w))
+    rows = [(k, t, "x") for k, t in enumerate([*texts, texts[5], None, "", "one two"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n string")
+
+    def shingled(text):
+        w = (text or "").split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else {()}
+
+    sets = {k: shingled(t) for k, t, _ in rows}
+    label = {k: k for k in sets}
+    for _ in sets:
+        for a in sets:
+            label[a] = min(label[b] for b in sets if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    kept = {r.doc_id for r in simhash.keep_one(docs).collect()}
+    assert kept == set(label.values()), (kept ^ set(label.values()))
 
 
 def test_pages(spark):
