@@ -14,12 +14,12 @@ from speclake.llm.common import cut, sized
 
 BANDS, ROWS, SEED = 40, 8, 42
 CHUNK = 1024
-#: Buckets of at most so many texts are compared pair by pair, larger ones with one text of theirs at a time; for what a round leaves the first grows to the second.
+#: Buckets in which at most the square of so many pairs are to be compared are compared pair by pair, larger ones with some of their texts at a time; from round to round the first grows to the second.
 SMALL, LEFT = 8, 64
-#: Texts of a larger bucket that all its others are compared with at a time, from the fourth round on; one in the first.
-LEADERS = 32
+#: Texts of a larger bucket that the others are compared with in a round, at most: one in the first round, four times as many in each further one up to this number.
+LEADERS = 256
 SALTS = 16
-#: Orders of texts by hash, of which a bucket takes one to choose the text that all others are compared with.
+#: Orders of texts by hash, of which a bucket takes one to choose the texts that others are compared with.
 ORDERS = 4
 
 
@@ -69,49 +69,74 @@ def hashed(texts: DataFrame, words: int) -> DataFrame:
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Of ``pairs`` (a, b) those with a Jaccard index of at least ``similarity``. ``b`` may be in very many pairs, so its side is salted."""
+    """(a, b, near): of ``pairs`` (a, b) those with a Jaccard index ``near`` of at least ``similarity``. ``b`` may be in very many pairs, so its side is salted."""
     salt = F.pmod(F.xxhash64("a"), F.lit(SALTS))
     left = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("s")), "a").withColumn("salt", salt)
     wanted = pairs.select("b").distinct()
     right = sets.select(F.col("key").alias("b"), F.col("set").alias("t")).join(wanted, "b", "left_semi")
     right = right.withColumn("salt", F.explode(F.array([F.lit(k).cast("bigint") for k in range(SALTS)])))
-    both = F.size(F.array_intersect("s", "t"))
-    return left.join(right, ["b", "salt"]).filter(both >= F.lit(similarity) * (F.size("s") + F.size("t") - both)).select("a", "b")
+    both = left.join(right, ["b", "salt"]).select("a", "b", F.size(F.array_intersect("s", "t")).alias("both"), (F.size("s") + F.size("t")).alias("n"))
+    rest = F.col("n") - F.col("both")
+    return both.filter(F.col("both") >= F.lit(similarity) * rest).select("a", "b", (F.col("both") / rest).alias("near"))
 
 
 def similar_links(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """Links (a, b) between the xxhash64 of texts, different in bytes, that share ``similarity`` of their distinct word shingles.
 
     ``docs``: text. Texts that agree on all minima of one of 40 bands of eight are compared exactly: a
-    pair at 0.8 is met with a probability of 0.999. Buckets of up to eight texts, of 64 in later rounds,
-    are compared pair by pair. A larger bucket compares all its texts with one of them, chosen by hash, and goes on with those
-    that aren't similar to it, with up to 32 at a time, until none is left; texts that only meet by way of others still share
-    a group if any of their common buckets joins them. The number of links is linear in that of texts.
+    pair at 0.8 is met with a probability of 0.999. A bucket of up to eight texts is compared pair by
+    pair. In a larger one the texts linked so far by way of each other are the reached ones; a round
+    compares some of those (or, if there are none, some open texts) with all open texts, which are reached
+    if linked to them. A text leaves only after it was compared with every text that is still open,
+    so all similar texts of a bucket come into one group, though not each pair of them is a link.
+    Two texts are not compared if their similarities to the bucket's first leader differ too much: one
+    less the similarity obeys the triangle inequality. Texts that are similar to none of a large bucket
+    are compared with all of it that this doesn't exclude, over several rounds.
     Nulls and texts without words have no links; repeated rows count once; an empty table gives none.
     """
     texts = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
     rows = cut(banded(texts, words))
     shared = rows.groupBy("bucket").count().filter("count > 1").select("bucket")
-    members = cut(rows.join(shared, "bucket", "left_semi"))
+    # near: similarity to the bucket's first leader; what is less than ``far`` (not known) stands as ``far``.
+    far = 2 * similarity - 1
+    members = cut(rows.join(shared, "bucket", "left_semi").select("bucket", "key", "n", F.lit(False).alias("reached"), F.lit(far).alias("near")))
     met = members.select("key").distinct()
     sets = cut(hashed(texts.join(met, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), words))
     found, small_size, leaders = None, SMALL, 1
     while True:
-        first = F.min(F.struct(F.xxhash64("key", F.pmod("bucket", F.lit(ORDERS))).alias("h"), "key", "n")).alias("first")
-        parts = members.groupBy("bucket", F.pmod(F.xxhash64("key"), F.lit(leaders)).alias("part")).agg(F.count("*").alias("size"), first)
-        sizes = parts.groupBy("bucket").agg(F.sum("size").alias("size")).filter(F.col("size") > small_size).select("bucket")
-        large = sized(cut(parts.join(sizes, "bucket", "left_semi").select("bucket", F.col("first.key").alias("b"), F.col("first.n").alias("m"))))
+        asks = F.struct(F.xxhash64("key", F.pmod("bucket", F.lit(ORDERS))).alias("h"), "key", "n", "near")
+        parts = members.groupBy("bucket", F.pmod(F.xxhash64("key"), F.lit(leaders)).alias("part")).agg(
+            F.count("*").alias("size"), F.count_if(~F.col("reached")).alias("open"), F.min(F.when(F.col("reached"), asks)).alias("one"), F.min(F.when(~F.col("reached"), asks)).alias("other")
+        )
+        sizes = parts.groupBy("bucket").agg(F.sum("size").alias("size"), F.sum("open").alias("open")).filter(F.col("size") * F.col("open") > small_size**2)
+        seeds = F.col("size") == F.col("open")
+        large = parts.select("bucket", "one", "other").join(sizes, "bucket").select("bucket", seeds.alias("seed"), F.when(seeds, F.col("other")).otherwise(F.col("one")).alias("x"))
+        large = sized(cut(large.filter("x IS NOT NULL").select("bucket", "seed", F.col("x.key").alias("b"), F.col("x.n").alias("m"), F.col("x.near").alias("near_b"))))
         small = members.join(large, "bucket", "left_anti")
-        other = small.select("bucket", F.col("key").alias("b"), F.col("n").alias("m"))
-        starred = cut(members.join(large, "bucket").filter("key != b").select("bucket", F.col("key").alias("a"), "n", "b", "m"))
-        paired = small.withColumnRenamed("key", "a").join(other, "bucket").filter("a < b")
-        pairs = starred.select("a", "n", "b", "m").unionAll(paired.select("a", "n", "b", "m"))
-        pairs = cut(pairs.filter(F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m")).select("a", "b").distinct())
-        links = cut(similar(pairs, sets, similarity))
-        found = links if found is None else found.unionAll(links)
-        linked = starred.join(links, ["a", "b"], "left_semi").select("bucket", F.col("a").alias("key"))
-        done = linked.unionAll(large.select("bucket", F.col("b").alias("key"))).distinct()
-        members = cut(starred.select("bucket", F.col("a").alias("key"), "n").distinct().join(done, ["bucket", "key"], "left_anti"))
+        other = small.select("bucket", F.col("key").alias("b"), F.col("n").alias("m"), F.col("reached").alias("known"), F.col("near").alias("near_b"))
+        starred = members.filter("NOT reached").withColumnRenamed("key", "a").join(large, "bucket").filter("a != b")
+        paired = small.filter("NOT reached").withColumnRenamed("key", "a").join(other, "bucket").filter("a < b OR known")
+        likely = F.abs(F.col("near") - F.col("near_b")) <= F.lit(1 - similarity + 1e-9)
+        sized_alike = lambda least: F.least("n", "m") >= F.lit(least) * F.greatest("n", "m")
+        # The first leaders are compared down to ``far``, so that what isn't found is known to be less.
+        least = far if found is None else similarity
+        starred = cut(starred.filter(likely & sized_alike(least)).select("bucket", "seed", "a", "b"))
+        pairs = starred.select("a", "b").unionAll(paired.filter(likely & sized_alike(similarity)).select("a", "b"))
+        compared = cut(similar(cut(pairs.distinct()), sets, least))
+        links = compared.filter(F.col("near") >= similarity)
+        hits = cut(starred.join(compared, ["a", "b"]).withColumn("linked", F.col("near") >= similarity))
+        # Of several seeds one alone tells what is reached, so that the reached texts of a bucket are always one group.
+        root = hits.filter("linked AND seed").groupBy("bucket").agg(F.min("b").alias("root"))
+        reached = hits.filter("linked").join(root, "bucket", "left").filter("root IS NULL OR b = root").select("bucket", F.col("a").alias("key"), F.lit(True).alias("now")).distinct()
+        asked = large.select("bucket", F.col("b").alias("key"))
+        stay = members.join(large.select("bucket").distinct(), "bucket", "left_semi").join(asked, ["bucket", "key"], "left_anti").join(reached, ["bucket", "key"], "left")
+        stay = stay.withColumn("reached", F.col("reached") | F.col("now").isNotNull()).drop("now")
+        if found is None:
+            first = hits.select("bucket", F.col("a").alias("key"), F.col("near").alias("first"))
+            stay = stay.join(first, ["bucket", "key"], "left").withColumn("near", F.coalesce("first", "near")).drop("first")
+        found = links.select("a", "b") if found is None else found.unionAll(links.select("a", "b"))
+        unfinished = stay.filter("NOT reached").select("bucket").distinct()
+        members = cut(stay.join(unfinished, "bucket", "left_semi").select("bucket", "key", "n", "reached", "near"))
         small_size, leaders = min(2 * small_size, LEFT), min(4 * leaders, LEADERS)
         if members.isEmpty():
             return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

@@ -10,9 +10,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from conftest import DATA
-from speclake.llm import decontaminate, langid, langmodel, lines, media, mixing, pages, queries, secrets, simhash, tokencount
+from speclake.llm import decontaminate, langid, langmodel, lines, media, mixing, nearcopies, pages, queries, secrets, simhash, tokencount
 
 #: Nulls, empty and long texts, ties, repeated rows, and extra columns whose names clash with inner ones.
 ROWS = [
@@ -218,6 +219,43 @@ def test_near_copies(spark):
     assert kept == set(label.values()), (kept ^ set(label.values()))
 
 
+def test_near_copies_of_a_star(spark):
+    """Each copy is similar to the text alone, not to other copies; all are one group, so are the copies that only a chain joins."""
+    rng = np.random.default_rng(7)
+    base = [f"w{k}" for k in rng.integers(0, 10**6, 200)]
+    texts = [base]
+    for k in range(300):
+        w = list(base)
+        for at in rng.choice(np.arange(5, 195, 10), 4, replace=False) + rng.integers(0, 3, 4):
+            w[at] = f"x{k}"
+        texts.append(w)
+    # The chain goes on from a copy by other edits of its own.
+    chained = list(texts[-1])
+    for at in (1, 8, 197):
+        chained[at] = f"y{at}"
+    texts = [" ".join(x) for x in (*texts, chained)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(196)} for t in texts]
+    near = lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    at = {r.key: r.doc_id for r in docs.select("doc_id", F.xxhash64("text").alias("key")).collect()}
+    found = defaultdict(set)
+    for r in nearcopies.banded(docs.select(F.xxhash64("text").alias("key"), F.col("text").cast("binary")), 5).collect():
+        found[at[r.key]].add(r.bucket)
+
+    def groups(linked):
+        label, new = None, list(range(len(texts)))
+        while new != label:
+            label, new = new, [min(new[b] for b in range(len(texts)) if a == b or linked(a, b)) for a in range(len(texts))]
+        return label
+
+    # Only texts without a bucket in common with a similar one, one in a thousand or so, may be left out.
+    want = groups(lambda a, b: near(a, b) and found[a] & found[b])
+    assert not near(0, 301) and set(groups(near)) == {0} and want.count(0) >= len(texts) - 2
+    root = {at[r.fp]: at[r.root] for r in simhash.components(nearcopies.similar_links(docs)).collect()}
+    got = groups(lambda a, b: root.get(a, a) == root.get(b, b))
+    assert got == want
+
+
 def test_pages(spark):
     rows = spark.read.parquet(f"{DATA}/pages.parquet")
     got = {r.page_id: r.text for r in pages.extract_text(rows).collect()}
