@@ -105,16 +105,21 @@ class Segmentations:
 
 
 def training_words(docs: DataFrame, per_language: int) -> DataFrame:
-    """(lang, word, n): words of the first ``per_language`` documents of each language by text hash.
+    """(lang, word, n): words of the first ``per_language`` distinct texts of each language by text hash; texts without a letter don't count.
 
-    Languages are counted first, so that only texts whose hash is among about the first four times as
-    many are sorted: what meets in a task is bounded at any size of corpus.
+    Each language's distinct texts are counted first, so that only those whose hash is among about the
+    first four times as many are sorted: what meets in a task is bounded at any size of corpus and any
+    number of copies, and a language with a usable text always has a sample.
     """
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = sized(usable.groupBy("lang").agg((F.lit(4.0 * per_language) / F.count("*")).alias("share")))
-    chosen = usable.join(counts, "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
-    first = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 30)), F.md5("text"))
-    sample = chosen.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
+    rank, digest = F.pmod(F.xxhash64("text"), F.lit(1 << 30)), F.unhex(F.md5("text"))
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"[\p{L}\p{Nl}\p{No}]")).select("lang", "text")
+    keys = cut(usable.select("lang", rank.alias("rank"), digest.alias("digest")).distinct())
+    counts = sized(cut(keys.groupBy("lang").agg((F.lit(4.0 * per_language) / F.count("*")).alias("share"))))
+    chosen = keys.join(counts, "lang").filter(F.col("rank") < F.col("share") * (1 << 30))
+    first = Window.partitionBy("lang").orderBy("rank", "digest")
+    picked = sized(cut(chosen.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language).drop("share")))
+    sample = usable.withColumn("rank", rank).join(picked, ["lang", "rank"]).filter(digest == F.col("digest"))
+    sample = sample.groupBy("lang", "nth").agg(F.first("text").alias("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -130,7 +135,7 @@ def training_words(docs: DataFrame, per_language: int) -> DataFrame:
 def train(docs: DataFrame, pieces: list[str], per_language: int = 1000, rounds: int = 2, smooth: float = 0.01) -> tuple[list[str], np.ndarray]:
     """Languages and their piece probabilities, by expectation maximisation from a uniform start.
 
-    ``docs``: text, lang. The sample is bounded: at most ``per_language`` documents a language. Each
+    ``docs``: text, lang. The sample is bounded: at most ``per_language`` distinct texts a language. Each
     round sums expected piece counts in tasks and collects them: languages times pieces at most.
     """
     words = cut(training_words(docs, per_language))

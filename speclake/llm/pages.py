@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from speclake.llm.common import cut
+
 #: Tags that start and end a block of text.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul legend".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -170,20 +172,28 @@ class Field:
         return self
 
 
+def training_pages(pages: DataFrame, sample_rows: int) -> list[str]:
+    """The first ``sample_rows`` distinct html of ``pages`` by hash; copies of a page count once."""
+    # Only html of small hash, about four times the sample, takes part in the ordering, however many there are.
+    among, digest = F.pmod(F.xxhash64("html"), F.lit(1 << 30)), F.unhex(F.md5("html"))
+    usable = pages.filter(F.length("html") > 0).select("html")
+    keys = cut(usable.select(among.alias("among"), digest.alias("digest")).distinct())
+    share = 4.0 * sample_rows / max(1, keys.count())
+    first = F.broadcast(keys.filter(F.col("among") < share * (1 << 30)).orderBy("among", "digest").limit(sample_rows))
+    rows = usable.withColumn("among", among).join(first, "among").filter(digest == F.col("digest")).groupBy("among", "digest").agg(F.first("html").alias("html"))
+    return [r["html"] for r in sorted(rows.collect(), key=lambda r: (r["among"], bytes(r["digest"])))]
+
+
 def train_field(pages: DataFrame, sample_rows: int = 300) -> Field:
-    """A field trained on a bounded sample: the first ``sample_rows`` pages by hash of their html.
+    """A field trained on a bounded sample: the first ``sample_rows`` distinct pages by hash of their html.
 
     Labels are what semantic markup says of a block (``weak_label``); pages with unlabelled blocks are
     left out. Each page is taken twice, the second time without the features that gave its main text
     away, so that the other features learn to tell it. Without such pages the prior stands.
     """
-    # Only pages of small hash, about four times the sample, take part in the ordering, however many there are.
-    among = F.pmod(F.xxhash64("html"), F.lit(1 << 30))
-    share = 4.0 * sample_rows / max(1, pages.count())
-    rows = pages.filter((F.length("html") > 0) & (among < share * (1 << 30))).select("html").orderBy(among, F.md5("html")).limit(sample_rows).collect()
     labelled = []
-    for row in rows:
-        sequence = [f for _, f in leaf_blocks(row["html"])]
+    for page in training_pages(pages, sample_rows):
+        sequence = [f for _, f in leaf_blocks(page)]
         labels = [weak_label(f) for f in sequence]
         if sequence and None not in labels and 1 in labels:
             bare = [[x for x in f if x not in ("in:article", "in:main", "name:main")] for f in sequence]

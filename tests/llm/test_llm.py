@@ -192,6 +192,20 @@ def test_simhash(spark, docs, odd):
     assert simhash.keep_one(odd.limit(0)).count() == 0
 
 
+def test_training_samples_take_distinct_texts(spark):
+    """A much copied text neither hides other texts of its language nor the language, whatever its hash."""
+    rows = [("en", f"english text {k % 5}") for k in range(3000)] + [("de", f"deutscher wort{'abcdefgh'[k]}") for k in range(8)] + [("fr", "12 34"), ("fr", "mot")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = {(r.lang, r.word): r.n for r in langid.training_words(docs, 4).collect()}
+    assert got["en", "english"] == 4 and got["de", "deutscher"] == 4 and got["fr", "mot"] == 1
+    # 2,000 copies of each of three texts: of so many rows few hashes pass.
+    many = spark.range(6000).select(F.lit("en").alias("lang"), F.concat(F.lit("only "), (F.col("id") % 3).cast("string")).alias("text"))
+    assert {(r.lang, r.word): r.n for r in langid.training_words(many, 2).collect()} == {("en", "only"): 2}
+    pages_ = [(k, "u", "<html><body><article><p>Many copies of one page of text.</p></article></body></html>") for k in range(2000)]
+    pages_ += [(k, "u", f"<html><body><nav>Menu {k}</nav><article><p>A page of its own {k}.</p></article></body></html>") for k in range(2000, 2004)]
+    assert len(pages.training_pages(spark.createDataFrame(pages_, "page_id long, url string, html string"), 5)) == 5
+
+
 def test_near_copies(spark):
     rng = np.random.default_rng(5)
     words = [f"w{k}" for k in range(4000)]
