@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from speclake.functions.vectors import dot, unit
@@ -47,15 +48,32 @@ def gates(df: DataFrame, label: str, quantile: float, margin: float, vector: str
 def nearest(queries: DataFrame, index: DataFrame, k: int, identity: str = "vec_id", vector: str = "embedding", bound: int = 10_000, block: int = 4096) -> DataFrame:
     """The ``k`` rows of ``index`` with the largest inner product of unit vectors for each query: query_id, id, similarity, nth.
 
-    Queries, ``bound`` at most, are broadcast; each task multiplies blocks and keeps its own best
-    ``k``, and only these are shuffled. More queries are asked in several calls. Ties go to the smaller id.
+    Queries are asked in parts of ``bound`` at most, by id: a part is broadcast, each task multiplies
+    blocks and keeps its own best ``k``, and only these are shuffled. Only one part is in the driver at a
+    time; more than one part are each written to the checkpoint folder. Ties go to the smaller id.
     """
-    rows = queries.select(identity, vector).limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise ValueError(f"more than {bound} queries; ask in parts")
+    asked = queries.select(F.col(identity).cast("long").alias(identity), vector)
+    rows = asked.limit(bound + 1).collect()
+    if len(rows) <= bound:
+        return _nearest(rows, index, k, identity, vector, block)
+    from speclake.llm.common import cut  # only here, as this package works without that one
+
+    asked, found, last = cut(asked), [], None
+    while True:
+        # Queries of one id stay together, so that each is asked once; the bound holds for distinct ids.
+        rest = asked if last is None else asked.filter(F.col(identity) > last)
+        rows = rest.dropDuplicates([identity]).orderBy(identity).limit(bound).collect()
+        if not rows:
+            return reduce(DataFrame.unionAll, found)
+        last = rows[-1][0]
+        found.append(cut(_nearest(rows, index, k, identity, vector, block)))
+
+
+def _nearest(rows: list[Row], index: DataFrame, k: int, identity: str, vector: str, block: int) -> DataFrame:
+    """``nearest`` for so few queries (id, vector) that they fit in a broadcast."""
     ids = np.array([r[0] for r in rows], np.int64)
     q = np.array([r[1] for r in rows], float) if rows else np.zeros((0, 1))
-    shared = queries.sparkSession.sparkContext.broadcast((ids, q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)))
+    shared = index.sparkSession.sparkContext.broadcast((ids, q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q = shared.value

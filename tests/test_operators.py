@@ -61,3 +61,9 @@ def test_fusion_and_search(spark):
     index = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "vec_id long, embedding array<double>")
     got = vectors.nearest(index.filter("vec_id = 19"), index, 3).orderBy("nth").collect()
     assert [r["id"] for r in got] == [19, 18, 17]
+
+
+def test_search_takes_any_number_of_queries(spark):
+    index = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(23)], "vec_id long, embedding array<double>")
+    rows = lambda bound: sorted(vectors.nearest(index, index, 3, bound=bound).collect())
+    assert len(rows(23)) == 69 and rows(23) == rows(5) == rows(22)
