@@ -1,142 +1,127 @@
-"""Links between texts whose word shingles are similar, for radii at which a vantage-point tree has nothing to prune."""
+"""Groups of texts whose word shingles are similar, for radii at which a vantage-point tree has nothing to prune."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from speclake.llm import sketches
 from speclake.llm.common import cut, sized
 
-BANDS, ROWS, SEED = 40, 8, 42
-CHUNK = 1024
-#: Buckets in which at most the square of so many pairs are to be compared are compared pair by pair, larger ones with some of their texts at a time; from round to round the first grows to the second.
-SMALL, LEFT = 8, 64
-#: Texts of a larger bucket that the others are compared with in a round, at most: one in the first round, four times as many in each further one up to this number.
-LEADERS = 256
-SALTS = 16
-#: Orders of texts by hash, of which a bucket takes one to choose the texts that others are compared with.
-ORDERS = 4
-
-
-def shingles(text: bytes | None, words: int) -> np.ndarray:
-    """Distinct 64-bit hashes of the word shingles; a text of fewer words is one shingle, one without words has none."""
-    found = (text or b"").lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    joined, ends = b" ".join(found), np.cumsum([len(w) + 1 for w in found])
-    width = min(words, len(found))
-    starts = [0, *ends[: len(found) - width].tolist()]
-    return np.unique(np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)], np.uint64))
-
-
-def buckets(hashes: np.ndarray, multipliers: np.ndarray, offsets: np.ndarray) -> list[int]:
-    """One key per band of minima."""
-    least = np.full(len(multipliers), np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(hashes), CHUNK):
-        np.minimum(least, (hashes[k : k + CHUNK, None] * multipliers + offsets).min(axis=0), out=least)
-    return [xxhash.xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), k) - (1 << 63) for k in range(BANDS)]
-
-
-def banded(texts: DataFrame, words: int) -> DataFrame:
-    """(key, n, bucket): the buckets of each text of ``texts`` (key, text) and its number of distinct shingles."""
-    random = np.random.default_rng(SEED)
-    multipliers, offsets = (random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+#: Buckets of so many texts are compared pair by pair, larger ones with some of their texts at a time; from round to round both numbers grow.
+SMALL, LARGEST = 8, 64
+WORDS = sketches.PARITIES // 64
+
+
+def sketched(docs: DataFrame, words: int) -> DataFrame:
+    """(key, fp, found): fingerprint and bands of minima of each row of ``docs`` (key, text)."""
+    multipliers, offsets = sketches.permutations()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashed = [shingles(x, words) for x in batch.column(1).to_pylist()]
-            found = [buckets(h, multipliers, offsets) if len(h) else [] for h in hashed]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in hashed], pa.int32()), pa.array(found, pa.list_(pa.int64()))], ["key", "n", "found"])
+            fps, found = [], []
+            for text in batch.column(1).to_pylist():
+                h = sketches.hashes(text, words)
+                fps.append(sketches.simhash(h))
+                found.append(sketches.buckets(h, multipliers, offsets))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["key", "fp", "found"])
 
-    rows = texts.mapInArrow(run, "key long, n int, found array<bigint>").groupBy("key").agg(F.first("n").alias("n"), F.first("found").alias("found"))
-    return rows.select("key", "n", F.explode("found").alias("bucket"))
+    return docs.select("key", F.col("text").cast("binary")).mapInArrow(run, "key long, fp long, found array<bigint>")
 
 
-def hashed(texts: DataFrame, words: int) -> DataFrame:
-    """(key, set): 32-bit shingle hashes of each text."""
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(key, set, odd): distinct shingle hashes and their parities, once a text, of ``docs`` (key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingles(x, words).astype(np.uint32)).view(np.int32) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int32()))], ["key", "set"])
-
-    return texts.mapInArrow(run, "key long, set array<int>")
-
-
-def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, near): of ``pairs`` (a, b) those with a Jaccard index ``near`` of at least ``similarity``. ``b`` may be in very many pairs, so its side is salted."""
-    salt = F.pmod(F.xxhash64("a"), F.lit(SALTS))
-    left = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("s")), "a").withColumn("salt", salt)
-    wanted = pairs.select("b").distinct()
-    right = sets.select(F.col("key").alias("b"), F.col("set").alias("t")).join(wanted, "b", "left_semi")
-    right = right.withColumn("salt", F.explode(F.array([F.lit(k).cast("bigint") for k in range(SALTS)])))
-    both = left.join(right, ["b", "salt"]).select("a", "b", F.size(F.array_intersect("s", "t")).alias("both"), (F.size("s") + F.size("t")).alias("n"))
-    rest = F.col("n") - F.col("both")
-    return both.filter(F.col("both") >= F.lit(similarity) * rest).select("a", "b", (F.col("both") / rest).alias("near"))
-
-
-def similar_links(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Links (a, b) between the xxhash64 of texts, different in bytes, that share ``similarity`` of their distinct word shingles.
-
-    ``docs``: text. Texts that agree on all minima of one of 40 bands of eight are compared exactly: a
-    pair at 0.8 is met with a probability of 0.999. A bucket of up to eight texts is compared pair by
-    pair. In a larger one the texts linked so far by way of each other are the reached ones; a round
-    compares some of those (or, if there are none, some open texts) with all open texts, which are reached
-    if linked to them. A text leaves only after it was compared with every text that is still open,
-    so all similar texts of a bucket come into one group, though not each pair of them is a link.
-    Two texts are not compared if their similarities to the bucket's first leader differ too much: one
-    less the similarity obeys the triangle inequality. Texts that are similar to none of a large bucket
-    are compared with all of it that this doesn't exclude, over several rounds.
-    Nulls and texts without words have no links; repeated rows count once; an empty table gives none.
+            sets = [sketches.np.unique(sketches.hashes(x, words)) for x in batch.column(1).to_pylist()]
+            odd = [sketches.parities(h) for h in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.view("int64") for h in sets], pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))], ["key", "set", "odd"])
+
+    return docs.select("key", F.col("text").cast("binary")).mapInArrow(run, "key long, set array<bigint>, odd array<bigint>").dropDuplicates(["key"])
+
+
+def met(rows: DataFrame) -> DataFrame:
+    """(key): texts of ``rows`` (key, found) that share a bucket with another text."""
+    each = rows.select("key", F.explode("found").alias("bucket"))
+    shared = each.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a != b").select("bucket")
+    return each.join(shared, "bucket", "left_semi").select("key").distinct()
+
+
+def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(token, key, n, pos, odd): the rarest shingles of each text, of which two similar texts have one in common.
+
+    Shingles are ordered by the number of texts that hold them; those that one text alone holds come
+    first and count in ``pos``, but are left out.
+    """
+    tokens = sets.select("key", F.size("set").alias("n"), F.explode("set").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
+    ranked = tokens.join(shared, "token").groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("x"))
+    alone = F.col("n") - F.size("x")
+    take = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - F.lit(1e-9)) + 1 - alone
+    ranked = ranked.withColumn("alone", alone).withColumn("take", take.cast("int")).filter("take > 0")
+    rarest = ranked.select("key", "n", "alone", F.posexplode(F.slice("x", F.lit(1), F.col("take"))).alias("at", "x"))
+    return rarest.select(F.col("x.token").alias("token"), "key", "n", (F.col("at") + F.col("alone")).alias("pos")).join(sets.select("key", "odd"), "key")
+
+
+def likely(similarity: float) -> Column:
+    """Can the rows ``a`` and ``b`` of ``prefixes`` be similar? By size, by what is left after the shared shingle, and by parities; no similar pair is denied at its first shared shingle."""
+    n, m = F.col("a.n"), F.col("b.n")
+    size = F.least(n, m) >= F.lit(similarity) * F.greatest(n, m) - F.lit(1e-9)
+    share = F.least(n - F.col("a.pos"), m - F.col("b.pos")) >= F.lit(similarity / (1 + similarity)) * (n + m) - F.lit(1e-9)
+    apart = F.bit_count(F.col("a.odd")[0].bitwiseXOR(F.col("b.odd")[0]))
+    for k in range(1, WORDS):
+        apart = apart + F.bit_count(F.col("a.odd")[k].bitwiseXOR(F.col("b.odd")[k]))
+    return size & share & (apart <= F.lit((1 - similarity) / (1 + similarity)) * (n + m) + F.lit(1e-9))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of ``pairs`` (a, b, ...) those with a Jaccard index of at least ``similarity``; each pair carries its two sets, so no key is hot."""
+    few = sized(pairs)
+    one = few.join(sets.select(F.col("key").alias("a"), F.col("set").alias("s")), "a")
+    two = few.select("a", "b").join(sets.select(F.col("key").alias("b"), F.col("set").alias("t")), "b")
+    both = one.join(two, ["a", "b"]).withColumn("both", F.size(F.array_intersect("s", "t")))
+    return both.filter(F.col("both") >= F.lit(similarity) * (F.size("s") + F.size("t") - F.col("both")) - F.lit(1e-9)).select(*pairs.columns)
+
+
+def similar_links(docs: DataFrame, rows: DataFrame, known: DataFrame, components: Callable[[DataFrame], DataFrame], words: int = 5, similarity: float = 0.8) -> list[DataFrame]:
+    """Links (a, b) that join all similar texts into groups: of their groups in ``known`` (key, root), or of their keys where there is none.
+
+    ``docs``: key, text; ``rows``: their sketches (key, fp, found). Two texts are similar if they share
+    ``similarity`` of their distinct word shingles. Only texts that share a bucket of minima with another
+    one go further (a pair at 0.8 does with a probability of 0.9993); from there on no pair is lost:
+    candidates share one of their rarest shingles, pass bounds by size, position and parity, and are
+    compared exactly. Of the texts that share a shingle those of one group need no comparison. So, in rounds,
+    all are compared with the text to which the shingle is the most common (its likely centre), then,
+    where several groups are left, with 4, 16, ... further ones, or pair by pair where few are left.
+    ``components`` merges groups after each round.
+    Texts that pass the bounds, but are similar to none of a large bucket cost comparisons by their square.
+    Texts without words have no links; an empty table gives none.
     """
-    texts = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
-    rows = cut(banded(texts, words))
-    shared = rows.groupBy("bucket").count().filter("count > 1").select("bucket")
-    # near: similarity to the bucket's first leader; what is less than ``far`` (not known) stands as ``far``.
-    far = 2 * similarity - 1
-    members = cut(rows.join(shared, "bucket", "left_semi").select("bucket", "key", "n", F.lit(False).alias("reached"), F.lit(far).alias("near")))
-    met = members.select("key").distinct()
-    sets = cut(hashed(texts.join(met, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), words))
-    found, small_size, leaders = None, SMALL, 1
+    keys = sized(cut(met(rows)))
+    sets = cut(shingle_sets(docs.join(keys, "key", "left_semi"), words))
+    grouped = F.coalesce("root", "key").alias("comp")
+    members = cut(prefixes(sets, similarity).join(known, "key", "left").select("token", "key", "n", "pos", "odd", grouped))
+    found, small, leaders = [], SMALL, 1
     while True:
-        asks = F.struct(F.xxhash64("key", F.pmod("bucket", F.lit(ORDERS))).alias("h"), "key", "n", "near")
-        parts = members.groupBy("bucket", F.pmod(F.xxhash64("key"), F.lit(leaders)).alias("part")).agg(
-            F.count("*").alias("size"), F.count_if(~F.col("reached")).alias("open"), F.min(F.when(F.col("reached"), asks)).alias("one"), F.min(F.when(~F.col("reached"), asks)).alias("other")
-        )
-        sizes = parts.groupBy("bucket").agg(F.sum("size").alias("size"), F.sum("open").alias("open")).filter(F.col("size") * F.col("open") > small_size**2)
-        seeds = F.col("size") == F.col("open")
-        large = parts.select("bucket", "one", "other").join(sizes, "bucket").select("bucket", seeds.alias("seed"), F.when(seeds, F.col("other")).otherwise(F.col("one")).alias("x"))
-        large = sized(cut(large.filter("x IS NOT NULL").select("bucket", "seed", F.col("x.key").alias("b"), F.col("x.n").alias("m"), F.col("x.near").alias("near_b"))))
-        small = members.join(large, "bucket", "left_anti")
-        other = small.select("bucket", F.col("key").alias("b"), F.col("n").alias("m"), F.col("reached").alias("known"), F.col("near").alias("near_b"))
-        starred = members.filter("NOT reached").withColumnRenamed("key", "a").join(large, "bucket").filter("a != b")
-        paired = small.filter("NOT reached").withColumnRenamed("key", "a").join(other, "bucket").filter("a < b OR known")
-        likely = F.abs(F.col("near") - F.col("near_b")) <= F.lit(1 - similarity + 1e-9)
-        sized_alike = lambda least: F.least("n", "m") >= F.lit(least) * F.greatest("n", "m")
-        # The first leaders are compared down to ``far``, so that what isn't found is known to be less.
-        least = far if found is None else similarity
-        starred = cut(starred.filter(likely & sized_alike(least)).select("bucket", "seed", "a", "b"))
-        pairs = starred.select("a", "b").unionAll(paired.filter(likely & sized_alike(similarity)).select("a", "b"))
-        compared = cut(similar(cut(pairs.distinct()), sets, least))
-        links = compared.filter(F.col("near") >= similarity)
-        hits = cut(starred.join(compared, ["a", "b"]).withColumn("linked", F.col("near") >= similarity))
-        # Of several seeds one alone tells what is reached, so that the reached texts of a bucket are always one group.
-        root = hits.filter("linked AND seed").groupBy("bucket").agg(F.min("b").alias("root"))
-        reached = hits.filter("linked").join(root, "bucket", "left").filter("root IS NULL OR b = root").select("bucket", F.col("a").alias("key"), F.lit(True).alias("now")).distinct()
-        asked = large.select("bucket", F.col("b").alias("key"))
-        stay = members.join(large.select("bucket").distinct(), "bucket", "left_semi").join(asked, ["bucket", "key"], "left_anti").join(reached, ["bucket", "key"], "left")
-        stay = stay.withColumn("reached", F.col("reached") | F.col("now").isNotNull()).drop("now")
-        if found is None:
-            first = hits.select("bucket", F.col("a").alias("key"), F.col("near").alias("first"))
-            stay = stay.join(first, ["bucket", "key"], "left").withColumn("near", F.coalesce("first", "near")).drop("first")
-        found = links.select("a", "b") if found is None else found.unionAll(links.select("a", "b"))
-        unfinished = stay.filter("NOT reached").select("bucket").distinct()
-        members = cut(stay.join(unfinished, "bucket", "left_semi").select("bucket", "key", "n", "reached", "near"))
-        small_size, leaders = min(2 * small_size, LEFT), min(4 * leaders, LEADERS)
+        several = members.groupBy("token").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("token", "size")
+        members = cut(members.drop("size").join(several, "token"))
         if members.isEmpty():
-            return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+            return found
+        part = F.pmod(F.xxhash64("key"), F.lit(leaders))
+        centres = members.filter(F.col("size") > small).groupBy("token", part.alias("part")).agg(F.min(F.struct("pos", "key", "n", "odd", "comp")).alias("x")).select("token", "x.*")
+        asked = cut(centres.unionByName(members.filter(F.col("size") <= small).select(centres.columns)))
+        pairs = members.alias("a").join(asked.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.comp") != F.col("b.comp")) & likely(similarity))
+        first = F.col("a.key") < F.col("b.key")
+        a, b = F.struct(F.col("a.key").alias("k"), F.col("a.comp").alias("c")), F.struct(F.col("b.key").alias("k"), F.col("b.comp").alias("c"))
+        ordered = pairs.select(F.when(first, a).otherwise(b).alias("x"), F.when(first, b).otherwise(a).alias("y")).distinct()
+        pairs = cut(ordered.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.c").alias("p"), F.col("y.c").alias("q")))
+        links = verified(pairs, sets, similarity).select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct()
+        merged = cut(components(links).select(F.col("fp").alias("comp"), "root"))
+        found.append(merged.select(F.col("comp").alias("a"), F.col("root").alias("b")))
+        rest = members.join(asked.select("token", "key"), ["token", "key"], "left_anti")
+        members = rest.join(merged, "comp", "left").select("token", "key", "n", "pos", "odd", F.coalesce("root", "comp").alias("comp"))
+        small, leaders = min(2 * small, LARGEST), 4 * leaders

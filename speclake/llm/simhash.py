@@ -8,31 +8,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from speclake.llm import nearcopies, sketches
 from speclake.llm.common import cut
-from speclake.llm.nearcopies import similar_links
-
-CHUNK = 1 << 15
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
-    """Signed 64-bit SimHash of a text in UTF-8; bytes.lower() and bytes.split() know ASCII letters and white space only."""
-    words = (text or b"").lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    n, width = max(1, len(words) - shingle + 1), min(shingle, len(words))
-    starts = [0, *ends[: n - 1].tolist()]
-    stops = (ends[width - 1 :] - 1).tolist()
-    ones = np.zeros(64, np.int64)
-    for k in range(0, n, CHUNK):
-        h = np.array([xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts[k : k + CHUNK], stops[k : k + CHUNK], strict=True)], np.uint64)
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
+    """Signed 64-bit SimHash of a text in UTF-8."""
+    return sketches.simhash(sketches.hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -47,7 +32,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).astype(np.int16)
+    """Numbers of differing bits; of a signed number bitwise_count would take the absolute value."""
+    return np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int16)
 
 
 def vantage(points: np.ndarray) -> tuple[np.int64, int, np.ndarray]:
@@ -57,26 +43,35 @@ def vantage(points: np.ndarray) -> tuple[np.int64, int, np.ndarray]:
     return best, int(np.median(d)), d
 
 
-def grow(points: np.ndarray, depth: int) -> tuple | None:
+def grow(points: np.ndarray, depth: int, reach: int) -> tuple | None:
     """The top of a vantage-point tree: (vantage, radius, inside, outside), None for a shard."""
     if depth == 0 or len(points) < 4:
         return None
     p, radius, d = vantage(points)
-    if (d <= radius).all():
+    inside, outside = sides(d, radius, reach)
+    if inside.all() or outside.all():
         return None
-    return p, radius, grow(points[d <= radius], depth - 1), grow(points[d > radius], depth - 1)
+    return p, radius, grow(points[inside], depth - 1, reach), grow(points[outside], depth - 1, reach)
+
+
+def sides(d: np.ndarray, radius: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of distances to a vantage point, which are to go inside, which outside.
+
+    Two points on different sides are within ``reach`` only if the inner one is within ``reach`` of the
+    border, so it goes to both sides and the pair meets outside; outer points need no copy.
+    """
+    return d <= radius, d > radius - reach
 
 
-def route(tree: tuple | None, points: np.ndarray, at: np.ndarray, home: np.ndarray, reach: int, path: str = "r") -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """(shard, indices, home flags): each point's own shard and those that the triangle bound can't rule out within ``reach``."""
+def route(tree: tuple | None, points: np.ndarray, at: np.ndarray, reach: int, path: str = "r") -> Iterator[tuple[str, np.ndarray]]:
+    """(shard, indices): the shards of each point; all pairs within ``reach`` meet in one."""
     if tree is None or not len(at):
         if len(at):
-            yield path, at, home
+            yield path, at
         return
     p, radius, inside, outside = tree
-    d = distances(points[at], p)
-    for child, near, own, name in ((inside, d <= radius + reach, d <= radius, "i"), (outside, d > radius - reach, d > radius, "o")):
-        yield from route(child, points, at[near], home[near] & own[near], reach, path + name)
+    for child, there, name in zip((inside, outside), sides(distances(points[at], p), radius, reach), "io"):
+        yield from route(child, points, at[there], reach, path + name)
 
 
 class Links:
@@ -100,54 +95,50 @@ class Links:
                 self.root = jumped
 
 
-def search(points: np.ndarray, members: np.ndarray, queries: np.ndarray, reach: int, links: Links, leaf: int = 256) -> None:
-    """Joins each query with the members within ``reach``, by a vantage-point tree over the members that prunes by triangle bounds."""
-    while True:
-        if not len(queries) or not len(members):
+def search(points: np.ndarray, at: np.ndarray, reach: int, links: Links, leaf: int = 256) -> None:
+    """Joins all points within ``reach`` of each other, by a vantage-point tree that prunes by triangle bounds."""
+    if len(at) > leaf:
+        p, radius, d = vantage(points[at])
+        inside, outside = sides(d, radius, reach)
+        if not (inside.all() or outside.all()):
+            search(points, at[inside], reach, links, leaf)
+            search(points, at[outside], reach, links, leaf)
             return
-        if len(members) > leaf:
-            p, radius, d = vantage(points[members])
-            inside = d <= radius
-            if not inside.all():
-                break
-        for k in range(0, len(queries), 4096):
-            part = queries[k : k + 4096]
-            for m in range(0, len(members), 1024):
-                near = np.nonzero(distances(points[part][:, None], points[members[m : m + 1024]][None, :]) <= reach)
-                links.add(part[near[0]], members[m : m + 1024][near[1]])
-        return
-    e = distances(points[queries], p)
-    search(points, members[inside], queries[e <= radius + reach], reach, links, leaf)
-    search(points, members[~inside], queries[e > radius - reach], reach, links, leaf)
+    for k in range(0, len(at), 1024):
+        for m in range(0, k + 1, 1024):
+            one, two = at[k : k + 1024], at[m : m + 1024]
+            near = np.nonzero(distances(points[one][:, None], points[two][None, :]) <= reach)
+            links.add(one[near[0]], two[near[1]])
 
 
-def linked(fps: DataFrame, reach: int, shard_rows: int, sample_rows: int) -> DataFrame:
+def linked(fps: DataFrame, reach: int, shard_rows: int, sample_share: int) -> DataFrame:
     """Links (a, b), b < a, that join all distinct fingerprints ``fps`` (fp) within ``reach`` bits; linear in number.
 
-    The top of a vantage-point tree is grown over a bounded sample (``sample_rows`` by hash) and splits
-    the fingerprints into shards of about ``shard_rows``; each goes to its own shard and, as a query,
-    to every shard whose boundary is within reach. A shard hands on, for each point, the smallest
-    fingerprint of its set, never the pairs.
+    The top of a vantage-point tree is grown over a sample by hash, one of ``sample_share`` fingerprints
+    and at least 4096, which comes to the driver (8 bytes each), so it splits the fingerprints into shards of
+    about ``shard_rows`` however many there are. A shard hands on, for each point, the smallest fingerprint of
+    its set, never the pairs.
     """
     n = fps.count()
-    sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).collect()], np.int64)
-    tree = grow(sample, max(0, math.ceil(math.log2(max(1, n / shard_rows)))))
+    by_hash = F.xxhash64("fp")
+    sampled = fps.filter(F.pmod(by_hash, F.lit(sample_share)) == 0) if n > 4096 * sample_share else fps.orderBy(by_hash, "fp").limit(4096)
+    sample = np.sort(np.array([r[0] for r in sampled.collect()], np.int64))
+    tree = grow(sample, max(0, math.ceil(math.log2(max(1, n / shard_rows)))), reach)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(0).to_numpy(zero_copy_only=False)
-            for shard, at, home in route(tree, x, np.arange(len(x)), np.ones(len(x), bool), reach):
-                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(at)), pa.array(x[at]), pa.array(home)], ["shard", "fp", "home"])
+            for shard, at in route(tree, x, np.arange(len(x)), reach):
+                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(at)), pa.array(x[at])], ["shard", "fp"])
 
     def join(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values("fp")
-        x, home = shard["fp"].to_numpy(), shard["home"].to_numpy()
+        x = np.sort(shard["fp"].to_numpy())
         links = Links(len(x))
-        search(x, np.nonzero(home)[0], np.arange(len(x)), reach, links)
+        search(x, np.arange(len(x)), reach, links)
         moved = links.root != np.arange(len(x))
         return pd.DataFrame({"a": x[moved], "b": x[links.root[moved]]})
 
-    return fps.mapInArrow(deal, "shard string, fp long, home boolean").groupBy("shard").applyInPandas(join, "a long, b long").distinct()
+    return fps.mapInArrow(deal, "shard string, fp long").groupBy("shard").applyInPandas(join, "a long, b long").distinct()
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -171,7 +162,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return links.select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, reach: int = 2, shard_rows: int = 1 << 15, sample_rows: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, reach: int = 2, shard_rows: int = 1 << 15, sample_share: int = 1 << 12) -> DataFrame:
     """Groups documents whose SimHash fingerprints are linked by steps of at most ``reach`` bits.
 
     ``docs``: doc_id, text. Returns doc_id, fp (long), component_id (the smallest doc_id reachable, the
@@ -182,41 +173,48 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, reach: int = 2, shard_row
     """
     rows = cut(fingerprints(docs, shingle))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(linked(distinct.select("fp"), reach, shard_rows, sample_rows))
+    roots = components(linked(distinct.select("fp"), reach, shard_rows, sample_share))
     rooted = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, reach: int = 2, shard_rows: int = 1 << 15, sample_rows: int = 4096) -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, reach: int = 2, shard_rows: int = 1 << 15, sample_share: int = 1 << 12) -> DataFrame:
     """(key, root): the xxhash64 of each text and that of its group.
 
     Texts are linked if their SimHash fingerprints over ``shingle`` words differ in ``reach`` bits at
     most, found by vantage-point trees, or if they share ``similarity`` of their shingles. At that
     similarity fingerprints differ in about ten bits, where triangle bounds prune nothing, so these links
-    come from minima of the shingles and are verified. Texts without words, null ones too, are one group.
+    come from minima and rare shingles and are verified. Texts without words, null ones too, are one group.
     """
-    keyed = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    rows = cut(fingerprints(keyed, shingle).withColumnRenamed("doc_id", "key").distinct())
-    distinct = cut(rows.groupBy("fp").agg(F.min("key").alias("least")))
-    same = rows.join(distinct, "fp").select(F.col("key").alias("a"), F.col("least").alias("b")).filter("a != b")
-    close = linked(distinct.select("fp"), reach, shard_rows, sample_rows)
+    keyed = docs.select(F.xxhash64("text").alias("key"), "text")
+    rows = cut(nearcopies.sketched(keyed, shingle))
+    keys = cut(rows.select("key", "fp").distinct())
+    distinct = cut(keys.groupBy("fp").agg(F.min("key").alias("least")))
+    same = keys.join(distinct, "fp").select(F.col("key").alias("a"), F.col("least").alias("b")).filter("a != b")
+    close = linked(distinct.select("fp"), reach, shard_rows, sample_share)
     one, two = (distinct.select(F.col("fp").alias(x), F.col("least").alias(f"key_{x}")) for x in "ab")
     close = close.join(one, "a").join(two, "b").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-    roots = components(same.unionAll(close).unionAll(similar_links(docs, shingle, similarity)))
-    return rows.join(roots.withColumnRenamed("fp", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("root"))
+    roots = cut(components(same.unionAll(close)))
+    links = roots.select(F.col("fp").alias("a"), F.col("root").alias("b"))
+    for more in nearcopies.similar_links(keyed, rows, roots.withColumnRenamed("fp", "key"), components, shingle, similarity):
+        links = links.unionAll(more)
+    roots = components(links).withColumnRenamed("fp", "key")
+    return keys.select("key").join(roots, "key", "left").select("key", F.coalesce("root", "key").alias("root"))
 
 
 def keep_one(docs: DataFrame, **options: float) -> DataFrame:
-    """One row of each near-duplicate group of ``near_groups``: that of the smallest doc_id, nulls last, then of the smallest text by hash; columns as given.
+    """One row of each near-duplicate group of ``near_groups``: that of the smallest doc_id, nulls last, then of the smallest text by hash; columns as given, whatever their names.
 
     Only the rows' keys are grouped. Of rows with the same doc_id and text one stays; an empty table gives an empty result.
     """
     groups = cut(near_groups(docs, **options))
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("key")).groupBy("key").agg(F.min(rank).alias("rank"))
-    first = cut(rows.join(groups, "key").groupBy("root").agg(F.min("rank").alias("rank")).select(F.col("rank.doc_id").alias("_id"), F.col("rank.key").alias("_key")))
-    kept = docs.join(first, (F.xxhash64(docs["text"]) == F.col("_key")) & docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    nth = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    return kept.withColumn("_nth", F.row_number().over(nth)).filter("_nth = 1").drop("_nth")
+    id_, key = F.col("doc_id"), F.xxhash64("text")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    rows = docs.select(id_.alias("id"), key.alias("key")).groupBy("key").agg(F.min(rank).alias("rank"))
+    first = cut(rows.join(groups, "key").groupBy("root").agg(F.min("rank").alias("rank")).select("rank.id", "rank.key"))
+    whole = docs.select(F.struct("*").alias("row"), id_.alias("id"), key.alias("key"))
+    kept = whole.join(first.select(F.col("id").alias("first_id"), F.col("key").alias("first_key")), (F.col("key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")), "left_semi")
+    nth = Window.partitionBy("id", "key").orderBy(F.lit(0))
+    return kept.withColumn("nth", F.row_number().over(nth)).filter("nth = 1").select("row.*")
