@@ -87,8 +87,8 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.filter(F.col("both") >= F.lit(similarity) * (F.size("s") + F.size("t") - F.col("both")) - F.lit(1e-9)).select(*pairs.columns)
 
 
-def similar_links(docs: DataFrame, rows: DataFrame, known: DataFrame, components: Callable[[DataFrame], DataFrame], words: int = 5, similarity: float = 0.8) -> list[DataFrame]:
-    """Links (a, b) that join all similar texts into groups: of their groups in ``known`` (key, root), or of their keys where there is none.
+def similar_links(docs: DataFrame, rows: DataFrame, known: DataFrame, starred: Callable[[DataFrame], DataFrame], words: int = 5, similarity: float = 0.8) -> list[DataFrame]:
+    """Links (a, b), b < a, that with those of ``known`` join all similar texts into groups.
 
     ``docs``: key, text; ``rows``: their sketches (key, fp, found). Two texts are similar if they share
     ``similarity`` of their distinct word shingles. Only texts that share a bucket of minima with another
@@ -96,19 +96,24 @@ def similar_links(docs: DataFrame, rows: DataFrame, known: DataFrame, components
     candidates share one of their rarest shingles, pass bounds by size, position and parity, and are
     compared exactly. Of the texts that share a shingle those of one group need no comparison. So, in rounds,
     all are compared with the text to which the shingle is the most common (its likely centre), then,
-    where several groups are left, with 4, 16, ... further ones, or pair by pair where few are left.
-    ``components`` merges groups after each round.
+    where several groups are left, with 16, 256, ... further ones, or pair by pair where few are left.
+    ``starred`` merges groups after each round, at least those that meet in a common one.
     Texts that pass the bounds, but are similar to none of a large bucket cost comparisons by their square.
     Texts without words have no links; an empty table gives none.
     """
+
+    def merged(links: DataFrame) -> DataFrame:
+        return cut(starred(links).groupBy(F.col("a").alias("comp")).agg(F.min("b").alias("root")))
+
     keys = sized(cut(met(rows)))
     sets = cut(shingle_sets(docs.join(keys, "key", "left_semi"), words))
-    grouped = F.coalesce("root", "key").alias("comp")
-    members = cut(prefixes(sets, similarity).join(known, "key", "left").select("token", "key", "n", "pos", "odd", grouped))
+    members = prefixes(sets, similarity).join(merged(known).withColumnRenamed("comp", "key"), "key", "left")
+    members = members.select("token", "key", "n", "pos", "odd", F.coalesce("root", "key").alias("comp"))
     found, small, leaders = [], SMALL, 1
     while True:
+        members = cut(members)
         several = members.groupBy("token").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("token", "size")
-        members = cut(members.drop("size").join(several, "token"))
+        members = cut(members.join(several, "token"))
         if members.isEmpty():
             return found
         part = F.pmod(F.xxhash64("key"), F.lit(leaders))
@@ -119,9 +124,10 @@ def similar_links(docs: DataFrame, rows: DataFrame, known: DataFrame, components
         a, b = F.struct(F.col("a.key").alias("k"), F.col("a.comp").alias("c")), F.struct(F.col("b.key").alias("k"), F.col("b.comp").alias("c"))
         ordered = pairs.select(F.when(first, a).otherwise(b).alias("x"), F.when(first, b).otherwise(a).alias("y")).distinct()
         pairs = cut(ordered.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.c").alias("p"), F.col("y.c").alias("q")))
-        links = verified(pairs, sets, similarity).select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct()
-        merged = cut(components(links).select(F.col("fp").alias("comp"), "root"))
-        found.append(merged.select(F.col("comp").alias("a"), F.col("root").alias("b")))
-        rest = members.join(asked.select("token", "key"), ["token", "key"], "left_anti")
-        members = rest.join(merged, "comp", "left").select("token", "key", "n", "pos", "odd", F.coalesce("root", "comp").alias("comp"))
-        small, leaders = min(2 * small, LARGEST), 4 * leaders
+        rest = members.join(asked.select("token", "key"), ["token", "key"], "left_anti").select("token", "key", "n", "pos", "odd", "comp")
+        members, small, leaders = rest, LARGEST, 16 * leaders
+        if pairs.isEmpty():
+            continue
+        links = cut(verified(pairs, sets, similarity).select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct())
+        found.append(links)
+        members = rest.join(merged(links), "comp", "left").select("token", "key", "n", "pos", "odd", F.coalesce("root", "comp").alias("comp"))

@@ -141,24 +141,29 @@ def linked(fps: DataFrame, reach: int, shard_rows: int, sample_share: int) -> Da
     return fps.mapInArrow(deal, "shard string, fp long").groupBy("shard").applyInPandas(join, "a long, b long").distinct()
 
 
+def starred(links: DataFrame) -> DataFrame:
+    """One large-star and one small-star step over ``links`` (a, b), b < a: the same components, each node closer to its smallest one."""
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
+    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return small.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(fp, root): each point of ``links`` (a, b) and the smallest point that it reaches, other than itself.
 
-    Alternates the large-star and small-star steps until the links stay the same; every round is
-    written to the checkpoint folder, and nothing but a count and a checksum comes to the driver.
+    Repeats ``starred`` until the links stay the same; every round is written to the checkpoint folder,
+    and nothing but a count and a checksum comes to the driver. The join of a star's links with its
+    centre's least one is an inner join, whose hot keys adaptive execution splits.
     """
     links, seen = cut(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), None
     for _ in range(rounds):
         state = links.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
         if state == seen or not state[0]:
             break
-        seen = state
-        both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        links = cut(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct())
+        seen, links = state, cut(starred(links))
     return links.select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
 
@@ -195,10 +200,9 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, reac
     same = keys.join(distinct, "fp").select(F.col("key").alias("a"), F.col("least").alias("b")).filter("a != b")
     close = linked(distinct.select("fp"), reach, shard_rows, sample_share)
     one, two = (distinct.select(F.col("fp").alias(x), F.col("least").alias(f"key_{x}")) for x in "ab")
-    close = close.join(one, "a").join(two, "b").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-    roots = cut(components(same.unionAll(close)))
-    links = roots.select(F.col("fp").alias("a"), F.col("root").alias("b"))
-    for more in nearcopies.similar_links(keyed, rows, roots.withColumnRenamed("fp", "key"), components, shingle, similarity):
+    close = close.join(one, "a").join(two, "b").select(F.greatest("key_a", "key_b").alias("a"), F.least("key_a", "key_b").alias("b"))
+    links = cut(same.unionAll(close))
+    for more in nearcopies.similar_links(keyed, rows, links, starred, shingle, similarity):
         links = links.unionAll(more)
     roots = components(links).withColumnRenamed("fp", "key")
     return keys.select("key").join(roots, "key", "left").select("key", F.coalesce("root", "key").alias("root"))
