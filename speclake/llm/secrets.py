@@ -11,7 +11,7 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 #: Weak parts, which mean nothing alone.
-IDENTIFIER = r"""(?i:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}"""
+IDENTIFIER = r"""(?<![A-Za-z0-9])(?i:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}"""
 SECRET = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{20,}={0,2}(?![A-Za-z0-9+/=_-])"
 ENDPOINT = r"""https?://[^\s"'<>]+"""
 BREAK = r"\n[\x20\t]*\n"
@@ -61,23 +61,30 @@ def find_parts(docs: DataFrame) -> DataFrame:
 
 
 def link_weak(parts: DataFrame, reach: int) -> DataFrame:
-    """The weak parts that complementary ones stand by: same text, same section between blank lines, starts at most ``reach`` apart.
+    """The weak parts that complementary ones stand by: same text, same section between blank lines, starts at most ``reach`` apart, no character in both.
 
-    An identifier needs a secret, a secret an identifier, an endpoint both. The interval join bins
-    starts by ``reach`` and keeps of each bin and role the first and last start: enough to tell for
-    the own bin and its two neighbours whether a partner is in reach, whatever a bin holds.
+    An identifier needs a secret, a secret an identifier, an endpoint one of each that belong together. The
+    interval join bins starts by ``reach`` and looks into the own bin and its two neighbours; matches of
+    a kind don't overlap, so a bin holds at most about ``reach`` / 8 parts of each, however long the text.
     """
     order = Window.partitionBy("row").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scoped = parts.filter("rank is not null").withColumn("scope", F.sum((F.col("role") == "break").cast("int")).over(order)).filter("role != 'break'")
-    scoped = scoped.withColumn("bin", F.floor(F.col("start") / reach))
-    near = scoped.groupBy("row", "scope", "bin", F.col("role").alias("other")).agg(F.min("start").alias("first"), F.max("start").alias("last"))
-    weak = scoped.filter(~F.col("base")).withColumn("bin", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
-    close = (F.abs(F.col("first") - F.col("start")) <= reach) | (F.abs(F.col("last") - F.col("start")) <= reach)
-    met = weak.join(near, ["row", "scope", "bin"]).filter((F.col("role") != F.col("other")) & close)
-    met = met.groupBy("row", "doc_id", "rank", "kind", "role", "start", "end").agg(F.collect_set("other").alias("others"))
-    has = lambda x: F.array_contains("others", x)
-    enough = F.when(F.col("role") == "identifier", has("secret")).when(F.col("role") == "secret", has("identifier")).otherwise(has("secret") & has("identifier"))
-    return met.filter(enough).select("row", "doc_id", "rank", "kind", "start", "end")
+    scoped = cut(scoped.withColumn("bin", F.floor(F.col("start") / reach)))
+    span = ["rank", "kind", "base", "start", "end"]
+
+    def beside(asked: DataFrame, others: DataFrame) -> DataFrame:
+        """Each row of ``asked`` with each of ``others`` in reach of it, as a struct ``other``."""
+        around = asked.withColumn("bin", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
+        both = around.join(others.select("row", "scope", "bin", F.struct("role", *span).alias("other")), ["row", "scope", "bin"])
+        apart = (F.col("other.start") >= F.col("end")) | (F.col("other.end") <= F.col("start"))
+        return both.filter((F.abs(F.col("other.start") - F.col("start")) <= reach) & apart)
+
+    linked = cut(beside(scoped.filter("role = 'identifier'"), scoped.filter("role = 'secret'")))
+    ends = linked.select("row", "doc_id", "scope", "role", *span).unionByName(linked.select("row", "doc_id", "scope", "other.*"))
+    ends = ends.distinct().withColumn("bin", F.floor(F.col("start") / reach))
+    met = beside(scoped.filter("role = 'endpoint'"), ends).groupBy("row", "doc_id", *span).agg(F.collect_set("other.role").alias("roles")).filter(F.size("roles") == 2)
+    found = ends.select("row", "doc_id", *span).unionByName(met.select("row", "doc_id", *span))
+    return found.filter(~F.col("base")).select("row", "doc_id", "rank", "kind", "start", "end")
 
 
 def scan_secrets(docs: DataFrame, reach: int = 200) -> DataFrame:
@@ -85,7 +92,7 @@ def scan_secrets(docs: DataFrame, reach: int = 200) -> DataFrame:
 
     Base spans of a kind are its leftmost non-overlapping matches of the required length: ``assign``,
     ``access`` and ``hex``. To them come the weak parts of ``link_weak``: identifiers, bare secrets and
-    endpoints. Null texts are empty; repeated rows stay; an empty table gives an empty result.
+    endpoints; a span is never its own complement. Null texts are empty; repeated rows stay; an empty table gives an empty result.
     """
     parts = cut(find_parts(docs))
     columns = ["row", "doc_id", "start", "rank", "kind", "end"]
