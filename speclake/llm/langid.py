@@ -6,6 +6,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 
 from speclake.llm.common import cut, sized
 
-#: Longest stretch of letters that is scored as one; longer ones are scored in parts of this length.
-STRETCH = 32
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Words of more characters are scored by logarithms, as their probabilities may be too small for a double.
+LONG = 32
+#: Runs of letters and numerals other than digits; the numerals are taken out below.
+RUNS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
 TOKENIZERS = "/opt/tokenizers"
 
@@ -31,24 +33,23 @@ def vocabulary(tokenizers: str = TOKENIZERS, name: str = "piece_bpe_32k.model")
 
 
 def stretches(text: str) -> Counter:
-    """How often each lower-cased run of letters occurs in a text."""
-    found = Counter(LETTERS.findall(text.lower()))
-    for long in [w for w in found if len(w) > STRETCH]:
-        n = found.pop(long)
-        for k in range(0, len(long), STRETCH):
-            found[long[k : k + STRETCH]] += n
+    """How often each lower-cased run of letters occurs in a text, however long."""
+    found = Counter(RUNS.findall(text.lower()))
+    for mixed in [w for w in found if not w.isalpha()]:
+        n = found.pop(mixed)
+        for word in "".join(c if c.isalpha() else " " for c in mixed).split():
+            found[word] += n
     return found
 
 
 class Segmentations:
     """Forward and backward sums over all segmentations of words, for all languages at once.
 
-    ``logs``-free: a word is at most ``STRETCH`` + 1 characters, whose probabilities a double holds.
     Row 0 of ``p`` is zero (no piece), row 1 the floor for a character that is no piece.
     """
 
     def __init__(self, pieces: list[str], p: np.ndarray, floor: float = 1e-7):
-        self.index = {w: i + 2 for i, w in enumerate(pieces)}
+        self.index = dict.fromkeys((w[:k] for w in pieces for k in range(1, len(w))), 0) | {w: i + 2 for i, w in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=1)
         self.p = np.vstack([np.zeros((1, p.shape[1])), np.full((1, p.shape[1]), floor), p])
 
@@ -56,7 +57,15 @@ class Segmentations:
         """For words of one length: the piece that begins at a place and has a length, as [word, place, length - 1]."""
         n, get = len(words[0]), self.index.get
         wide = min(n, self.longest)
-        flat = [get(w[a : a + k], 0) if a + k <= n else 0 for w in words for a in range(n) for k in range(1, wide + 1)]
+        flat, at = [0] * (len(words) * n * wide), 0
+        for w in words:
+            for a in range(n):
+                for k in range(min(wide, n - a)):
+                    piece = get(w[a : a + k + 1])
+                    if piece is None:  # no piece begins like that
+                        break
+                    flat[at + k] = piece
+                at += wide
         grid = np.array(flat, np.int32).reshape(len(words), n, wide)
         grid[:, :, 0][grid[:, :, 0] == 0] = 1
         return grid
@@ -71,29 +80,47 @@ class Segmentations:
                 total[j] += total[j - k] * self.p[grid[:, j - k, k - 1]]
         return total
 
-    def by_length(self, words: list[str], block: int = 2000) -> Iterator[tuple[np.ndarray, list[str]]]:
-        words = sorted(words, key=len)
-        ends = [i for i in range(1, len(words)) if len(words[i]) != len(words[i - 1])]
-        for a, b in zip([0, *ends], [*ends, len(words)], strict=True):
-            for k in range(a, b, block):
-                at = np.arange(k, min(b, k + block))
-                yield at, words[at[0] : at[-1] + 1]
+    def logs(self, grid: np.ndarray, back: bool = False) -> np.ndarray:
+        """[place, language]: log of the summed probability of all segmentations of one word up to a place, or from it on."""
+        pieces, (n, wide) = np.log(np.maximum(self.p, 1e-300)), grid[0].shape
+        pieces[0] = -np.inf
+        total = np.zeros((n + 1, self.p.shape[1]))
+        for step in range(1, n + 1):
+            k = np.arange(1, min(step, wide) + 1)
+            far, ids = (n - step + k, grid[0, n - step, k - 1]) if back else (step - k, grid[0, step - k, k - 1])
+            x = total[far] + pieces[ids]
+            most = x.max(axis=0)
+            total[n - step if back else step] = most + np.log(np.exp(x - most).sum(axis=0))
+        return total
+
+    def by_length(self, words: list[str], block: int = 2000) -> Iterator[list[str]]:
+        """Words of one length at a time, those of more than ``LONG`` characters one by one."""
+        for n, same in groupby(sorted(words, key=len), len):
+            part = list(same)
+            size = 1 if n > LONG else block
+            yield from (part[k : k + size] for k in range(0, len(part), size))
 
     def log_scores(self, words: list[str]) -> tuple[list[str], np.ndarray]:
-        marked = [MARK + w for w in words]
-        out, names = [], []
-        for _, part in self.by_length(marked) if marked else ():
-            out.append(np.log(self.forward(self.lattice(part))[-1]))
+        out, names = [np.zeros((0, self.p.shape[1]))], []
+        for part in self.by_length([MARK + w for w in words]):
+            grid = self.lattice(part)
+            out.append(self.logs(grid)[-1:] if len(part[0]) > LONG else np.log(self.forward(grid)[-1]))
             names += [w[1:] for w in part]
-        return names, np.concatenate(out) if out else np.zeros((0, self.p.shape[1]))
+        return names, np.concatenate(out)
 
     def expected(self, words: list[str], counts: dict[str, np.ndarray]) -> np.ndarray:
         """Expected occurrences of each piece (rows of ``p``) over all segmentations of the words, each counted as often as the languages hold it."""
         total = np.zeros_like(self.p)
-        for _, part in self.by_length(words):
+        for part in self.by_length(words):
             grid = self.lattice(part)
-            ahead = self.forward(grid)
             m, n, wide = grid.shape
+            if n > LONG:
+                ahead, behind = self.logs(grid), self.logs(grid, back=True)
+                for k in range(1, wide + 1):
+                    ids = grid[0, : n - k + 1, k - 1]
+                    np.add.at(total, ids, counts[part[0]] * self.p[ids] * np.exp(ahead[: n - k + 1] + behind[k:] - ahead[n]))
+                continue
+            ahead = self.forward(grid)
             behind = np.zeros_like(ahead)
             behind[n] = np.array([counts[w] for w in part]) / ahead[n]
             for j in range(n - 1, -1, -1):
@@ -112,7 +139,7 @@ def training_words(docs: DataFrame, per_language: int) -> DataFrame:
     number of copies, and a language with a usable text always has a sample.
     """
     rank, digest = F.pmod(F.xxhash64("text"), F.lit(1 << 30)), F.unhex(F.md5("text"))
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"[\p{L}\p{Nl}\p{No}]")).select("lang", "text")
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text")
     keys = cut(usable.select("lang", rank.alias("rank"), digest.alias("digest")).distinct())
     counts = sized(cut(keys.groupBy("lang").agg((F.lit(4.0 * per_language) / F.count("*")).alias("share"))))
     chosen = keys.join(counts, "lang").filter(F.col("rank") < F.col("share") * (1 << 30))
