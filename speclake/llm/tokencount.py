@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -13,14 +14,52 @@ from pyspark.sql import functions as F
 from speclake.llm.langid import MARK, TOKENIZERS
 
 
-def piece_scores(tokenizers: str = TOKENIZERS, name: str = "piece_bpe_32k.model") -> dict[str, float]:
-    """Unigram log-probabilities of a public vocabulary's pieces by Zipf's law over their ranks; the vocabulary itself is not trained."""
+def pieces(tokenizers: str = TOKENIZERS, name: str = "piece_bpe_32k.model") -> list[str]:
+    """The pieces of a public vocabulary that may stand in a text."""
+    model = _model(f"{tokenizers}/{name}")
+    return [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+
+
+def _model(path: str):
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=f"{tokenizers}/{name}")
-    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
-    norm = math.log(sum(1 / (r + 2.7) for r in range(len(pieces))))
-    return {p: -math.log(r + 2.7) - norm for r, p in enumerate(pieces)}
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def piece_scores(docs: DataFrame, tokenizers: str = TOKENIZERS, name: str = "piece_bpe_32k.model", flush: int = 200_000) -> dict[str, float]:
+    """Unigram log-probabilities of a public vocabulary's pieces, by add-one counts over the pre-tokens of all texts as its own merges cut them.
+
+    Tasks cut each distinct pre-token of about ``flush`` once and hand on one count a piece, so as many rows as
+    there are pieces come to the driver. The vocabulary itself is not trained.
+    """
+    path = f"{tokenizers}/{name}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, words, found = _model(path), Counter(), Counter()
+
+        def note() -> None:
+            for cut_, n in zip(model.encode(list(words), out_type=int, num_threads=1), words.values(), strict=True):
+                for piece in cut_:
+                    found[piece] += n
+            words.clear()
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                words.update((text or "").split())
+                if len(words) > flush:
+                    note()
+        note()
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["piece", "n"])
+
+    model, known = _model(path), pieces(tokenizers, name)
+    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    counts = {model.id_to_piece(r["piece"]): r["n"] for r in counted}
+    total = sum(counts.get(p, 0) for p in known) + len(known)
+    return {p: math.log((counts.get(p, 0) + 1) / total) for p in known}
+
+
+#: Stands for what no piece ends like.
+END = object()
 
 
 class Trie:
@@ -33,8 +72,9 @@ class Trie:
     """
 
     def __init__(self, scores: dict[str, float], byte_cost: float = -20.0):
-        self.scores, self.byte_cost = scores, byte_cost
-        self.longest = max(map(len, scores), default=1)
+        # Ends of pieces that are none have no score, so that a walk back from a place goes on as long as a piece may begin.
+        self.scores = dict.fromkeys((p[k:] for p in scores for k in range(1, len(p)))) | scores
+        self.byte_cost = byte_cost
         self.clear()
 
     def clear(self) -> None:
@@ -46,18 +86,21 @@ class Trie:
         """(tokens, score) of a pre-token."""
         if word in self.counts:
             return self.counts[word]
-        node, path = 0, [(0.0, 0)]
+        node, path, scores = 0, [(0.0, 0)], self.scores
         for d, ch in enumerate(word, 1):
             nxt = self.child.get((node, ch))
             if nxt is None:
                 nxt = self.child[node, ch] = len(self.state)
-                n = len(ch.encode("utf-8", "surrogatepass"))
-                score, less = path[d - 1]
-                best = (score + n * self.byte_cost, less - n) if ch not in self.scores else (-math.inf, 0)
-                for a in range(max(0, d - self.longest), d):
-                    s = self.scores.get(word[a:d])
-                    if s is not None and path[a][0] + s >= best[0]:
-                        best = max(best, (path[a][0] + s, path[a][1] - 1))
+                best = (-math.inf, 0)
+                if scores.get(ch) is None:
+                    n = len(ch.encode("utf-8", "surrogatepass"))
+                    best = (path[-1][0] + n * self.byte_cost, path[-1][1] - n)
+                for a in range(d - 1, -1, -1):
+                    s = scores.get(word[a:d], END)
+                    if s is END:
+                        break
+                    if s is not None and (total := path[a][0] + s) >= best[0]:
+                        best = max(best, (total, path[a][1] - 1))
                 self.state.append(best)
             node = nxt
             path.append(self.state[node])
@@ -65,32 +108,36 @@ class Trie:
         return found
 
 
+#: Of the last scores used in a worker, by a key that the driver gives each.
 _TRIES: dict[str, Trie] = {}
 
 
-def count_tokens(docs: DataFrame, tokenizers: str = TOKENIZERS, name: str = "piece_bpe_32k.model", bound: int = 1_000_000) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizers: str = TOKENIZERS, name: str = "piece_bpe_32k.model", bound: int = 2_000_000, scores: dict[str, float] | None = None) -> DataFrame:
     """Tokens of every whole text: ``docs`` (doc_id, text) to (doc_id, n_chars, n_pretokens, n_tokens, score).
 
     Pre-tokens are runs of other than white space, each with a mark in front; a text's tokens are
-    those of the best unigram segmentation of each. The trie lives in a worker across batches and is
-    dropped at ``bound`` nodes; that changes no result. Null and empty texts have no tokens and score 0;
+    those of the best unigram segmentation of each, by ``scores`` or else ``piece_scores`` of the
+    texts. The trie lives in a worker across batches and is dropped when it holds over ``bound`` nodes, within a
+    text too; that changes no result. Null and empty texts have no tokens and score 0;
     repeated rows stay; an empty table gives an empty result.
     """
-    scores = docs.sparkSession.sparkContext.broadcast(piece_scores(tokenizers, name))
-    key = f"{tokenizers}/{name}"
+    shared, key = docs.sparkSession.sparkContext.broadcast(scores or piece_scores(docs, tokenizers, name)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _TRIES:
-            _TRIES[key] = Trie(scores.value)
+            _TRIES.clear()
+            _TRIES[key] = Trie(shared.value)
         trie = _TRIES[key]
         for batch in batches:
             out = []
             for text in batch.column(1).to_pylist():
-                words = Counter((text or "").split())
-                found = [(n, *trie.count(MARK + w)) for w, n in words.items()]
-                out.append((len(text or ""), words.total(), sum(n * k for n, k, _ in found), round(sum(n * s for n, _, s in found), 3)))
-                if len(trie.state) > bound:
-                    trie.clear()
+                words, n_tokens, score = Counter((text or "").split()), 0, 0.0
+                for w, n in words.items():
+                    k, s = trie.count(MARK + w)
+                    n_tokens, score = n_tokens + n * k, score + n * s
+                    if len(trie.state) > bound:
+                        trie.clear()
+                out.append((len(text or ""), words.total(), n_tokens, round(score, 3)))
             columns = [list(x) for x in zip(*out, strict=True)] if out else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.int64()) for x in columns[:3]], pa.array(columns[3], pa.float64())], ["doc_id", "n_chars", "n_pretokens", "n_tokens", "score"])
 
