@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,85 +19,217 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Content that is never text of a page.
 SILENT = frozenset("script style title head noscript template svg math iframe object textarea select option button canvas audio video".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S | re.I)
+#: Of these all is text up to their end tag.
+RAW = frozenset("script style textarea title".split())
+#: What a block tag ends that is left open, as no block but a div can stand in it.
+PHRASES = frozenset("select option button textarea".split())
+#: Ended by the next one of its kind.
+ITEMS = frozenset("li tr td th dt dd".split())
+HEAD_PARTS = frozenset("base link meta title script style noscript template head".split())
+OPEN = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+QUOTE = re.compile(r"=\s*(?=[\"'])")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 #: What class names, ids and roles of page furniture are made of.
 HINT = re.compile(r"^(nav\w*|menus?|breadcrumbs?|head|header|masthead|foot|footer|side|sidebar|aside|widgets?|ads?|adverts?|advert\w+|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alerts?|popup|modal|newsletter|subscribe|signup|login|forms?|search|share|sharing|social|related|recommend\w*|comments?|commentlist|reply|replies|discussion|disqus|copyright|legal|pagination|pager|toolbar|contentinfo|complementary|navigation)$")
 MAIN = re.compile(r"^(article|content|main|post|entry|story|body|text)$")
+#: Hints at what readers wrote, however much it is.
+COMMENTS = frozenset(f"hint:{x}" for x in ("comment", "comments", "commentlist", "reply", "replies", "discussion", "disqus"))
 FURNITURE = ("nav", "header", "footer", "aside", "form", "menu", "dialog")
 #: Weights that training starts from and is drawn to: of (feature, main text).
 PRIOR = {"hint": -8.0, "in:article": 1.5, "in:main": 1.0, "name:main": 1.0, "links:most": -1.5, "links:none": 0.2, "words:many": 1.0, "words:some": 0.5, "words:few": -0.3, "stop": 0.3, "mark": -1.0, "tag:p": 0.5, "tag:li": -0.3} | {f"in:{t}": -7.0 for t in FURNITURE}
 
 
+class Scanner:
+    """Pieces of a page in order: (text, '', ''), or ('', tag, attributes) with a slash before the name of an end tag. Time grows with the page's length only, whatever is left open or unbalanced."""
+
+    def __init__(self, page: str):
+        self.page, self.low = page, page.lower()
+        if len(self.low) != len(page):  # a few letters have longer lower cases
+            self.low = "".join(c if len(c.lower()) > 1 else c.lower() for c in page)
+        self.gone: set[str] = set()
+        self.last: dict[str, int] = {}
+        self.at = 0
+
+    def ends(self, tag: str) -> bool:
+        """Is there an end tag of this name in the rest of the page?"""
+        if tag not in self.last:
+            self.last[tag] = self.low.rfind(f"</{tag}")
+        return self.last[tag] >= self.at
+
+    def find(self, what: str, at: int) -> int:
+        """The first place of ``what`` from ``at`` on; once there is none, no later search looks again."""
+        if what in self.gone:
+            return -1
+        found = self.low.find(what, at)
+        if found < 0:
+            self.gone.add(what)
+        return found
+
+    def end_of_tag(self, at: int) -> int:
+        """The place of the > that ends a tag; one inside of a quoted value doesn't."""
+        while True:
+            end = self.find(">", at)
+            if end < 0:
+                return -1
+            m = QUOTE.search(self.page, at, end)
+            if m is None:
+                return end
+            shut = self.find(self.page[m.end()], m.end() + 1)
+            if shut < 0:
+                return end
+            at = shut + 1
+
+    def __iter__(self) -> Iterator[tuple[str, str, str]]:
+        page, at, n = self.page, 0, len(self.page)
+        while at < n:
+            start = page.find("<", at)
+            if start != at:
+                yield page[at : start if start >= 0 else n], "", ""
+                if start < 0:
+                    return
+            if page.startswith("<!--", start):
+                end = self.find("-->", start + 4)
+                at = n if end < 0 else end + 3
+                continue
+            m = OPEN.match(page, start + 1)
+            end = self.end_of_tag(m.end()) if m else self.find(">", start) if page[start + 1 : start + 2] in ("!", "?") else -1
+            if end < 0:
+                yield "<", "", ""
+                at = start + 1
+                continue
+            self.at = at = end + 1
+            if m:
+                tag = m[2].lower()
+                yield "", m[1] + tag, page[m.end() : end]
+                if tag in RAW and not m[1]:
+                    end = self.find(f"</{tag}", at)
+                    at = n if end < 0 else end
+
+
+class Element:
+    """An open element: what its blocks inherit from it and from those around it."""
+
+    __slots__ = ("article", "features", "number", "silent", "tag", "words")
+
+    def __init__(self, tag: str, around: Element | None, names: frozenset[str], number: int, words: int, wide: bool):
+        self.tag, self.number, self.words = tag, number, words
+        self.silent = tag in SILENT or around is not None and around.silent
+        self.article = tag in ("article", "main") or around is not None and around.article
+        own = {f"in:{tag}", *names} if tag not in ("html", "body") else set()
+        if tag == "header" and around is not None and around.article:
+            own.discard("in:header")  # of the article, not of the page
+        if self.article:
+            own -= {"hint:header", "hint:head"}
+        if wide:
+            own = {x for x in own if not x.startswith("hint:") and x.removeprefix("in:") not in FURNITURE}
+        before = around.features if around is not None else frozenset()
+        self.features = before if own <= before else before | own
+
+
 def leaf_blocks(page: str) -> list[tuple[str, list[str]]]:
     """(text, features) of each leaf block of a page, in order.
 
     A block is the text between two borders of block tags; inline tags and line breaks don't end it.
     Features: ancestor tags, the nearest block tag, parts of ancestors' class, id and role that hint
-    at page furniture or main text, share of linked words, number of words, how it ends.
+    at page furniture or main text, share of linked words, number of words, how it ends. Ancestors that
+    look like furniture, but hold a headline or an article and over half of the page's words don't count as it.
     """
-    stack: list[tuple[str, frozenset[str]]] = []
+    blocks, wide = _blocks(page, frozenset())
+    return _blocks(page, wide)[0] if wide else blocks
+
+
+def _blocks(page: str, wide: frozenset[int]) -> tuple[list[tuple[str, list[str]]], frozenset[int]]:
+    """The blocks, and the numbers of the elements that are to count as wide."""
+    stack: list[Element] = []
+    holders: list[Element] = []  # the open block elements
+    opened: Counter = Counter()
     blocks: list[tuple[str, list[str]]] = []
     pieces: list[str] = []
-    linked = 0
+    candidates: list[tuple[int, int]] = []
+    headed: list[int] = []  # words before each headline, article or main
+    linked = words = number = 0
 
     def close() -> None:
-        nonlocal pieces, linked
+        nonlocal pieces, linked, words
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            blocks.append((text, _features(text, linked, stack)))
+            tag = holders[-1].tag if holders else "none"
+            words += text.count(" ") + 1
+            blocks.append((text, _features(text, linked, stack[-1].features if stack else frozenset(), tag)))
         pieces, linked = [], 0
 
-    for m in TOKEN.finditer(page):
-        token, tag = m.group(), m.group(3)
-        if token[0] != "<" or token == "<":
-            if not any(t in SILENT for t, _ in stack):
-                pieces.append(token)
-                if any(t == "a" for t, _ in stack):
-                    linked += len(token.split())
-        elif tag:
-            tag = tag.lower()
-            if tag in BLOCKS:
-                close()
-            elif tag == "br":
-                pieces.append(" ")
-            if m.group(2):
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at is not None:
-                    del stack[at:]
-            elif tag not in VOID and not m.group(4).endswith("/"):
-                if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") or tag in BLOCKS and tag != "p":
-                    _imply(stack, tag)
-                stack.append((tag, _names(m.group(4))))
+    def pop() -> None:
+        top = stack.pop()
+        opened[top.tag] -= 1
+        if holders and holders[-1] is top:
+            holders.pop()
+        if top.tag in FURNITURE or any(x.startswith("hint:") for x in top.features) and not top.features & COMMENTS:
+            if any(x >= top.words for x in headed[-1:]):
+                candidates.append((top.number, words - top.words))
+
+    def pop_to(tag: str) -> None:
+        while opened[tag]:
+            found = stack[-1].tag == tag
+            pop()
+            if found:
+                return
+
+    scanner = Scanner(page)
+    for text, tag, attributes in scanner:
+        if not tag:
+            if stack and stack[-1].tag == "head" and not text.isspace():
+                pop()
+            if not (stack and stack[-1].silent):
+                pieces.append(text)
+                if opened["a"]:
+                    linked += len(text.split())
+            continue
+        name = tag.removeprefix("/")
+        if name in BLOCKS:
+            close()
+        elif name == "br":
+            pieces.append(" ")
+        if tag != name:
+            pop_to(name)
+            continue
+        if opened["head"] and name not in HEAD_PARTS:
+            pop_to("head")
+        if name in BLOCKS and name != "div":
+            while stack and stack[-1].silent and stack[-1].tag in PHRASES:
+                pop()
+            if holders and (holders[-1].tag == "p" or holders[-1].tag == name and name in ITEMS):
+                pop_to(holders[-1].tag)
+        elif name == "div" and holders and holders[-1].tag == "p" or name in PHRASES and opened[name]:
+            pop_to("p" if name == "div" else name)
+        number += 1
+        if name in ("h1", "article", "main"):
+            headed.append(words)
+        # What is never text and has no end tag any more would swallow the rest.
+        if name in VOID or attributes.endswith("/") or name in SILENT and name != "head" and not scanner.ends(name):
+            continue
+        stack.append(Element(name, stack[-1] if stack else None, _names(attributes), number, words, number in wide))
+        opened[name] += 1
+        if name in BLOCKS:
+            holders.append(stack[-1])
     close()
-    return blocks
-
-
-def _imply(stack: list, tag: str) -> None:
-    """Ends what an opening block tag ends without saying so: an open paragraph, or an item of the same list."""
-    for i in range(len(stack) - 1, -1, -1):
-        t = stack[i][0]
-        if t == "p" or t == tag and t in ("li", "tr", "td", "th", "dt", "dd", "option"):
-            del stack[i:]
-            return
-        if t in BLOCKS:
-            return
+    while stack:
+        pop()
+    return blocks, frozenset(k for k, n in candidates if 2 * n > words)
 
 
 def _names(attributes: str) -> frozenset[str]:
     if "=" not in attributes:
         return frozenset()
-    words = {w for found in NAMES.findall(attributes) for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(found)).lower()) if w}
-    return frozenset({f"hint:{w}" for w in words if HINT.match(w)} | {"name:main" for w in words if MAIN.match(w)})
+    parts = {w for found in NAMES.findall(attributes) for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(found)).lower()) if w}
+    return frozenset({f"hint:{w}" for w in parts if HINT.match(w)} | {"name:main" for w in parts if MAIN.match(w)})
 
 
-def _features(text: str, linked: int, stack: list[tuple[str, frozenset[str]]]) -> list[str]:
+def _features(text: str, linked: int, inherited: frozenset[str], tag: str) -> list[str]:
     n = text.count(" ") + 1
-    names = {x for t, own in stack if t not in ("html", "body") for x in own}
-    found = {f"in:{t}" for t, _ in stack if t not in ("html", "body")} | names
-    if any(x.startswith("hint:") for x in names):
+    found = set(inherited)
+    if any(x.startswith("hint:") for x in inherited):
         found.add("hint")
-    found.add("tag:" + next((t for t, _ in reversed(stack) if t in BLOCKS), "none"))
+    found.add(f"tag:{tag}")
     found.add("links:most" if 2 * linked > n else "links:some" if linked else "links:none")
     found.add("words:many" if n >= 25 else "words:some" if n >= 8 else "words:few")
     if text[-1] in ".!?…\"”":
@@ -172,11 +305,11 @@ class Field:
         return self
 
 
-def training_pages(pages: DataFrame, sample_rows: int) -> list[str]:
-    """The first ``sample_rows`` distinct html of ``pages`` by hash; copies of a page count once."""
+def training_pages(pages: DataFrame, sample_rows: int, page_chars: int = 200_000) -> list[str]:
+    """The first ``sample_rows`` distinct html of ``pages`` of at most ``page_chars`` by hash; copies of a page count once."""
     # Only html of small hash, about four times the sample, takes part in the ordering, however many there are.
     among, digest = F.pmod(F.xxhash64("html"), F.lit(1 << 30)), F.unhex(F.md5("html"))
-    usable = pages.filter(F.length("html") > 0).select("html")
+    usable = pages.filter(F.length("html").between(1, page_chars)).select("html")
     keys = cut(usable.select(among.alias("among"), digest.alias("digest")).distinct())
     share = 4.0 * sample_rows / max(1, keys.count())
     first = F.broadcast(keys.filter(F.col("among") < share * (1 << 30)).orderBy("among", "digest").limit(sample_rows))
@@ -185,7 +318,7 @@ def training_pages(pages: DataFrame, sample_rows: int) -> list[str]:
 
 
 def train_field(pages: DataFrame, sample_rows: int = 300) -> Field:
-    """A field trained on a bounded sample: the first ``sample_rows`` distinct pages by hash of their html.
+    """A field trained on a bounded sample: the first ``sample_rows`` distinct pages by hash of their html, those of over 200,000 characters left out.
 
     Labels are what semantic markup says of a block (``weak_label``); pages with unlabelled blocks are
     left out. Each page is taken twice, the second time without the features that gave its main text

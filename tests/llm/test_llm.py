@@ -4,6 +4,7 @@ import itertools
 import math
 import os
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -96,27 +97,47 @@ def test_language_id(spark, docs, odd):
         for cuts in itertools.product((0, 1), repeat=len(text) - 1):
             ends = [0, *[i + 1 for i, c in enumerate(cuts) if c], len(text)]
             parts = [text[a:b] for a, b in zip(ends, ends[1:])]
-            p = [model.p[model.index[x]] if x in model.index else np.full(2, 0.01) if len(x) == 1 else np.zeros(2) for x in parts]
+            p = [model.p[model.index[x]] if model.index.get(x) else np.full(2, 0.01) if len(x) == 1 else np.zeros(2) for x in parts]
             total += np.prod(p, axis=0)
         assert np.exp(model.log_scores([w])[1][0]) == pytest.approx(total)
+    # Words of over 32 characters have the same sums by logarithms, and none is cut.
+    for w in ("ab" * 16, "abc" * 14, "b" * 60):
+        scores = model.log_scores([w])[1][0]
+        text, total = langid.MARK + w, [np.ones(2)]
+        for j in range(1, len(text) + 1):
+            parts = [(j - k, text[j - k : j]) for k in range(1, min(j, 2) + 1)]
+            total.append(sum(total[a] * (model.p[model.index[x]] if model.index.get(x) else np.full(2, 0.01) if len(x) == 1 else 0) for a, x in parts))
+        assert scores == pytest.approx(np.log(total[-1]))
+        short = langid.LONG
+        try:
+            long = model.expected([text], {text: np.array([2.0, 3.0])})
+            langid.LONG = 10**6
+            assert long == pytest.approx(model.expected([text], {text: np.array([2.0, 3.0])}))
+        finally:
+            langid.LONG = short
+    assert langid.stretches("x²y ½ ① 12_a") == {"x": 1, "y": 1, "a": 1} and set(langid.stretches("q" * 100)) == {"q" * 100}
     got = queries.op3_language_id(spark, DATA).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
     assert (got.lang == got.lang_pred).mean() > 0.95 and got.score.between(0, 1).all()
     pieces = langid.vocabulary()
     names, p = langid.train(odd, pieces)
     assert names == ["de", "en"]
+    numerals = spark.createDataFrame([(1, "²½①"), (2, "12 %")], "doc_id long, text string")
+    assert {r.lang_pred for r in langid.identify(numerals, names, p, pieces).collect()} == {"und"}
     assert {(r.doc_id, r.lang_pred) for r in langid.identify(odd, names, p, pieces).collect()} >= {(2, "und"), (None, "und"), (4, "en")}
     assert langid.train(odd.limit(0), pieces)[0] == [] and langid.identify(odd, [], p, pieces).filter("lang_pred = 'und'").count() == len(ROWS)
 
 
 def test_secrets(spark, docs, odd):
     kinds = ((re.compile(secrets.ASSIGN), lambda m: len(m[2]) >= 12), (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18), (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 16))
-    extra = spark.createDataFrame([(9001, "user=alice at https://db.example.com/x token = 'abcd1234efgh5678'"), (9002, "user=alice at https://x.y"), (9003, "login: bob\n\ntoken=abcdefghijkl1"), (9004, "é" * 500 + " AKIA" + "A" * 16)], "doc_id long, text string")
+    extra = spark.createDataFrame([(9001, "user=alice at https://db.example.com/x token = 'abcd1234efgh5678'"), (9002, "user=alice at https://x.y"), (9003, "login: bob\n\ntoken=abcdefghijkl1"), (9004, "é" * 500 + " AKIA" + "A" * 16), (9005, "login: Abcdefghij1234567890"), (9006, "account: 0123456789abcdef"), (9007, "superuser: bob token=abcdefghijkl1"), (9008, "login: Abcdefghij1234567890 https://x.y/z")], "doc_id long, text string")
     both = docs.select("doc_id", "text").unionByName(extra)
     got = {r.doc_id: r.found for r in secrets.scan_secrets(both).collect()}
     for r in both.collect():
         base = sorted((m.start(), i, m.end()) for i, (p, ok) in enumerate(kinds) for m in p.finditer(r.text) if ok(m))
         assert [(x["start"], x["rank"], x["end"]) for x in got[r.doc_id] if x["base"]] == base
     assert [x["kind"] for x in got[9001]] == ["identifier", "endpoint", "assign"] and not got[9002] and [x["kind"] for x in got[9003]] == ["assign"]
+    # A span is not its own complement.
+    assert not got[9005] and [x["kind"] for x in got[9006]] == ["hex"] and [x["kind"] for x in got[9007]] == ["assign"] and not got[9008]
     assert secrets.scan_secrets(odd).count() == len(ROWS) and secrets.scan_secrets(odd.limit(0)).count() == 0
 
 
@@ -132,7 +153,7 @@ def test_token_counts(spark, docs, odd):
                 n = [1 if x in scores else len(x.encode()) for x in parts]
                 best.append((sum(scores.get(x, k * -5.0) for x, k in zip(parts, n)), -sum(n)))
         assert trie.count(text) == (-max(best)[1], max(best)[0])
-    got = tokencount.count_tokens(odd).collect()
+    got = tokencount.count_tokens(odd, bound=3).collect()
     assert len(got) == len(ROWS) and {(r.n_pretokens, r.n_tokens) for r in got if r.doc_id in (2, None)} == {(0, 0)}
 
 
@@ -295,6 +316,33 @@ def test_pages(spark):
     assert pages.extract_text(odd.limit(0)).count() == 0
 
 
+def test_pages_left_open_wrapped_or_nested(spark):
+    field = pages.train_field(spark.read.parquet(f"{DATA}/pages.parquet"))
+
+    def main(page):
+        found = pages.leaf_blocks(page)
+        return [t for (t, _), label in zip(found, field.decode([f for _, f in found])) if label]
+
+    body = "<h1>The Title of it</h1><p>Long text with many words, which goes on and on for a while until it ends at last, as it should, and more words follow in it.</p><p>Second paragraph of the text, also long enough to be told from page furniture by its words.</p>"
+    article, want = f"<article>{body}</article>", main(f"<body><article>{body}</article>")
+    assert len(want) == 3
+    for page in (
+        f"<html><head><title>T</title><meta charset=utf-8><body><nav>Menu one</nav>{article}",
+        f"<body><button>Menu{article}<button>x</button>",
+        f"<body><form id=aspnetForm><nav>Home</nav>{article}</form>",
+        f"<body><form id=aspnetForm><nav>Home</nav><div>{body}</div></form>",
+        f'<body><div class="content-sidebar-wrap">{article}</div><div class="sidebar">Links to see</div>',
+        "<body><header>Site</header>" + article.replace("<h1>The Title of it</h1>", "<header><h1>The Title of it</h1></header>"),
+        f"<body><svg><path d='x'>{article}",
+        f'<body><p title="a > b">{article}<a href="',
+    ):
+        assert [x for x in main(page) if x in want] == want, page
+    for piece in ("<div>x", '<a "', '<a href="', "<b>", "<button>", "<svg>x", "</b>", "<li>x", "<p><b>x", "<!--", '<div class="nav">x'):
+        began = time.process_time()
+        main(piece * (300_000 // len(piece)))
+        assert time.process_time() - began < 3, piece
+
+
 def test_media(spark, odd):
     for n in (0, 1, 575, 576, 577, 4000):
         data = os.urandom(n)
