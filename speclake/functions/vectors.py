@@ -15,5 +15,6 @@ def norm(v: Column) -> Column:
 
 
 def unit(v: Column) -> Column:
-    """Length 1; a norm below 1e-12 counts as that. ``v`` should be a plain column, as it is read for each element."""
-    return F.transform(v, lambda x: x.cast("double") / F.greatest(norm(v), F.lit(1e-12)))
+    """Length 1; a norm below 1e-12 counts as that. The norm is bound to a variable first, so it is computed once a vector."""
+    length = F.array(F.greatest(norm(v), F.lit(1e-12)))
+    return F.get(F.transform(length, lambda n: F.transform(v, lambda x: x.cast("double") / n)), 0)

@@ -6,15 +6,69 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
+from speclake.sources.shared import sized
 
 #: The manifest's columns.
 COLUMNS = (
-    "record_id source source_record_id source_image_id image_url local_path image_sha256 image_license photo_license copyright_holder attribution "
-    "publisher source_dataset source_url basis_of_record is_preserved_specimen kingdom phylum class order family subfamily tribe genus species subspecies "
-    "original_scientific_name accepted_scientific_name taxon_id identification_level label_quality identified_by identification_remarks country state_province "
-    "latitude longitude elevation_m event_date sex life_stage view_type parent_specimen_id view_count available_views dna_barcode dna_bin observation_id photo_id "
-    "observation_url observer specimen_group_id duplicate_group_id split_group source_split split eligible_supervised exclusion_reason"
-).split()
+    "record_id",
+    "source",
+    "source_record_id",
+    "source_image_id",
+    "image_url",
+    "local_path",
+    "image_sha256",
+    "image_license",
+    "photo_license",
+    "copyright_holder",
+    "attribution",
+    "publisher",
+    "source_dataset",
+    "source_url",
+    "basis_of_record",
+    "is_preserved_specimen",
+    "kingdom",
+    "phylum",
+    "class",
+    "order",
+    "family",
+    "subfamily",
+    "tribe",
+    "genus",
+    "species",
+    "subspecies",
+    "original_scientific_name",
+    "accepted_scientific_name",
+    "taxon_id",
+    "identification_level",
+    "label_quality",
+    "identified_by",
+    "identification_remarks",
+    "country",
+    "state_province",
+    "latitude",
+    "longitude",
+    "elevation_m",
+    "event_date",
+    "sex",
+    "life_stage",
+    "view_type",
+    "parent_specimen_id",
+    "view_count",
+    "available_views",
+    "dna_barcode",
+    "dna_bin",
+    "observation_id",
+    "photo_id",
+    "observation_url",
+    "observer",
+    "specimen_group_id",
+    "duplicate_group_id",
+    "split_group",
+    "source_split",
+    "split",
+    "eligible_supervised",
+    "exclusion_reason",
+)
 
 
 def _or(*columns: str):
@@ -68,12 +122,21 @@ def build_master(*parts: DataFrame, official_source: str = "", supervised_only:
 
 
 def deduplicate(df: DataFrame, key: str = "duplicate_key", keep_all: bool = False, best: str = "priority") -> DataFrame:
-    """The best row of each key with group size; with ``keep_all`` every row. A group's id is set where it has several rows."""
-    rows = Window.partitionBy(key)
-    sized = df.withColumn("group_size", F.count("*").over(rows))
-    if not keep_all:
-        sized = sized.withColumn("_nth", F.row_number().over(rows.orderBy(best))).filter("_nth = 1").drop("_nth")
-    return sized.withColumn("duplicate_group_id", F.when(F.col("group_size") > 1, S.stable_id(F.col(key), prefix="dup")).otherwise(""))
+    """The best row of each key with group size; with ``keep_all`` every row. A group's id is set where it has several rows.
+
+    Both ways sum up before the shuffle, so the rows of a hot key never meet in one task.
+    """
+    size = F.count("*").alias("group_size")
+    if keep_all:
+        marked = df.join(df.groupBy(F.col(key).alias("_key")).agg(size), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    else:
+        marked = df.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*df.columns), F.struct(best, *_sortable(df))).alias("_row"), size).select("_row.*", "group_size")
+    return marked.withColumn("duplicate_group_id", F.when(F.col("group_size") > 1, S.stable_id(F.col(key), prefix="dup")).otherwise(""))
+
+
+def _sortable(df: DataFrame) -> list[str]:
+    """The columns that tell equally good rows apart."""
+    return [c for c in ("record_id",) if c in df.columns]
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -81,22 +144,50 @@ def last_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_nth = 1").drop("_nth")
 
 
-def merge(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Both manifests by id, the newer row kept."""
+def merge(old: DataFrame, new: DataFrame, key: str, keep_ids: bool = False) -> DataFrame:
+    """Both manifests by id, the newer row kept. With ``keep_ids`` it is an error if the result lacks an id of the older one."""
     both = old.withColumn("_age", F.lit(1)).unionByName(new.withColumn("_age", F.lit(0)), allowMissingColumns=True)
-    return last_per_key(both, [key], [F.col("_age")]).drop("_age")
-
-
-def harmonize(df: DataFrame, synonyms: DataFrame) -> DataFrame:
-    """Names replaced by the accepted ones of a reviewed table (name, accepted_name, accepted_family): by original name, else by species."""
-    small = last_per_key(synonyms.withColumn("name", F.lower("name")), ["name"], [F.desc("accepted_name")])
-    by = lambda tag: F.broadcast(small.select(F.col("name").alias(f"{tag}_name"), F.struct("accepted_name", "accepted_family").alias(tag)))
-    original = F.coalesce(F.nullif(S.clean(F.col("original_scientific_name")), F.lit("")), S.clean(F.col("species")))
-    joined = df.join(by("a"), F.lower(original) == F.col("a_name"), "left").join(by("b"), F.lower(S.clean(df["species"])) == F.col("b_name"), "left")
-    hit = F.coalesce("a", "b")
-    named = joined.withColumn("hit", hit).drop("a", "a_name", "b", "b_name")
-    return named.withColumns({
-        "accepted_scientific_name": F.coalesce(F.nullif(F.col("hit.accepted_name"), F.lit("")), "accepted_scientific_name"),
-        "species": F.coalesce(F.nullif(S.canonical_taxon(F.col("hit.accepted_name")), F.lit("")), S.canonical_taxon(F.col("species"))),
-        "family": F.coalesce(F.nullif(F.col("hit.accepted_family"), F.lit("")), S.canonical_taxon(F.col("family"), "family")),
-    }).drop("hit")
+    merged = last_per_key(both, [key], [F.col("_age")]).drop("_age")
+    if keep_ids and not old.filter(F.col(key).isNull() | (F.col(key) == "")).isEmpty():
+        raise ValueError(f"rows without {key} would be lost")
+    return merged
+
+
+def synonyms(table: DataFrame) -> DataFrame:
+    """(name, accepted): a reviewed table by lower-cased name, which stands in one of three columns. Of a name's rows that which says most, then the last by text, counts."""
+    say = lambda *names: S.first_of(table, names)
+    name = F.lower(say("original_name", "raw_name", "synonym", "name"))
+    accepted = F.struct(say("accepted_name", "accepted_scientific_name").alias("name"), say("accepted_genus").alias("genus"), say("accepted_family").alias("family"), say("accepted_taxon_id").alias("taxon_id"))
+    return table.select(name.alias("name"), accepted.alias("accepted")).filter("name != ''").groupBy("name").agg(F.max("accepted").alias("accepted"))
+
+
+#: Reasons that outlive a change of names.
+LASTING = ("missing_image_location", "corrupt_image")
+
+
+def harmonize(df: DataFrame, reviewed: DataFrame) -> DataFrame:
+    """Names replaced by the accepted ones of a reviewed table (``synonyms``): by original name, else by species; then ranks, level and eligibility are set anew.
+
+    A species without a name is read from the original one, a new species brings its genus. Rows without
+    an image stay out. The table is broadcast if it is counted to be small, else both lookups shuffle.
+    """
+    known = sized(synonyms(reviewed))
+    rows = df.select(*[(S.clean(df[c]) if c in df.columns else F.lit("")).alias(c) for c in COLUMNS])
+    species = S.canonical_taxon(_or("species", "original_scientific_name"))
+    rows = rows.withColumns({"_original": F.lower(_or("original_scientific_name", "species")), "species": species})
+    for name, key in (("_a", F.col("_original")), ("_b", F.lower("species"))):
+        rows = rows.withColumn("_key", key).join(known.select(F.col("name").alias("_key"), F.col("accepted").alias(name)), "_key", "left").drop("_key")
+    hit = F.coalesce("_a", "_b")
+    said = lambda field, other: F.coalesce(F.nullif(hit[field], F.lit("")), other)
+    renamed = F.nullif(S.canonical_taxon(hit["name"]), F.lit(""))
+    genus = F.when(renamed.isNotNull(), said("genus", S.canonical_taxon(renamed, "genus"))).otherwise(S.canonical_taxon(F.col("genus"), "genus"))
+    rows = rows.withColumns({
+        "accepted_scientific_name": said("name", F.col("accepted_scientific_name")),
+        "species": F.coalesce(renamed, F.col("species")),
+        "genus": genus,
+        "family": said("family", S.canonical_taxon(F.col("family"), "family")),
+        "taxon_id": said("taxon_id", F.col("taxon_id")),
+        "identification_level": F.lit(""),
+        "eligible_supervised": F.when(F.col("exclusion_reason").isin(*LASTING), "false").otherwise(""),
+    })
+    return finalize(rows.drop("_original", "_a", "_b"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from speclake.functions import documents
 from speclake.functions import scalars as S
 
 #: The least probability at which a rank is accepted, broad ranks first.
@@ -16,6 +17,28 @@ def grade_in(value: Column, grades: list[str]) -> Column:
     return F.lower(F.replace(S.clean(value), F.lit("_"), F.lit(" "))).isin(*[g.lower().replace("_", " ") for g in grades]) if grades else F.lit(True)
 
 
+def selection_eligible(df: DataFrame, order: str, identity: str, splits: list[str], ranks: list[str], scope: DataFrame | None = None) -> DataFrame:
+    """The rows that a selection may take: of an order, with an id, in one of ``splits``, named at each of ``ranks``, of a family in ``scope`` (family) if that is given. Case doesn't matter."""
+    named = [S.clean(F.col(c)) != "" for c in (identity, *ranks)]
+    rows = df.filter((F.lower(S.clean(F.col("order"))) == order.lower()) & F.lower(S.clean(F.col("split"))).isin(*splits))
+    for holds in named:
+        rows = rows.filter(holds)
+    if scope is None:
+        return rows
+    families = scope.select(F.lower(S.clean(F.col("family"))).alias("_family")).distinct()
+    return rows.join(families, F.lower(S.clean(F.col("family"))) == F.col("_family"), "left_semi")
+
+
+def plan_eligible(df: DataFrame, bucket: str = "bucket", scope: DataFrame | None = None) -> DataFrame:
+    """The rows that a training plan may take: eligible, in a sampling bucket, with an image's place, of a family in ``scope`` (family) if that is given."""
+    placed = (S.clean(F.col("image_url")) != "") | (S.clean(F.col("local_path")) != "")
+    rows = df.filter(S.as_bool(F.col("eligible_supervised")) & (F.coalesce(bucket, F.lit("")) != "") & placed)
+    if scope is None:
+        return rows
+    families = scope.select(F.lower("family").alias("_family")).distinct()
+    return rows.join(families, F.lower("family") == F.col("_family"), "left_semi")
+
+
 def cache_status(plan: DataFrame, listing: DataFrame, results: DataFrame, identity: str = "record_id") -> DataFrame:
     """``plan`` with local_path, eligible_supervised and exclusion_reason after a download: licence, file, location and result decide in this order.
 
@@ -34,22 +57,32 @@ def cache_status(plan: DataFrame, listing: DataFrame, results: DataFrame, identi
     return joined.withColumns({"local_path": F.coalesce("_path", F.lit("")), "exclusion_reason": reason, "eligible_supervised": reason == ""}).drop("_path", "_error")
 
 
-def match_archive(selection: DataFrame, listing: DataFrame, member: str, path: str, depth: int = 4) -> DataFrame:
-    """``selection`` with ``path``, the first path that ends in its member's whole segments.
+def segments(path: Column) -> Column:
+    """A path's parts: backslashes are slashes, empty and '.' parts are left out."""
+    return F.filter(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), lambda p: (p != "") & (p != "."))
 
-    A path's suffixes of up to ``depth`` segments become keys, so this is an equi-join and no pair of equal base names is made.
+
+def match_archive(selection: DataFrame, listing: DataFrame, member: str, path: str) -> DataFrame:
+    """``selection`` with ``path``, the first path that ends in its member's whole segments, however many.
+
+    A path's ends become keys, but only those with as many segments as some member of its base name has; so this is an
+    equi-join, no pair of equal base names is made, and a path has at most as many keys as its name has lengths.
     """
-    parts = F.split(F.ltrim(F.col(path), F.lit("/")), "/")
-    ends = F.transform(F.sequence(F.lit(1), F.least(F.lit(depth), F.size(parts))), lambda n: F.array_join(F.slice(parts, -n, n), "/"))
-    keys = listing.select(F.explode(ends).alias("_end"), path).groupBy("_end").agg(F.min(path).alias(path))
-    return selection.join(keys, selection[member] == keys["_end"], "left").drop("_end")
+    wanted = selection.select(member, segments(F.col(member)).alias("_m")).filter(F.size("_m") > 0)
+    lengths = wanted.select(F.element_at("_m", -1).alias("_base"), F.size("_m").alias("_n")).distinct()
+    paths = listing.select(F.col(path).alias("_path"), segments(F.col(path)).alias("_p")).filter(F.size("_p") > 0).withColumn("_base", F.element_at("_p", -1))
+    ends = paths.join(lengths, "_base").filter(F.size("_p") >= F.col("_n")).select(F.array_join(F.slice("_p", -F.col("_n"), F.col("_n")), "/").alias("_end"), "_path")
+    keys = ends.groupBy("_end").agg(F.min("_path").alias(path))
+    return selection.join(keys, F.array_join(segments(selection[member]), "/") == keys["_end"], "left").drop("_end")
 
 
-def accepted_rank(probabilities: dict[str, Column]) -> Column:
-    """The deepest rank reached before the first that fails its threshold, else null."""
+def accepted_rank(probabilities: dict[str, Column], rejected: Column | None = None) -> Column:
+    """The deepest rank reached before the first that fails its threshold or is ``rejected`` (a rank's name, null for none), else null."""
     said, passed = F.lit(None).cast("string"), F.lit(True)
     for rank, least in ACCEPTED_FROM.items():
         passed = passed & (F.coalesce(probabilities[rank], F.lit(0.0)) >= least)
+        if rejected is not None:
+            passed = passed & ~F.coalesce(rejected == rank, F.lit(False))
         said = F.when(passed, rank).otherwise(said)
     return said
 
@@ -63,9 +96,11 @@ def tiles(width: Column, height: Column, grid: int) -> Column:
 
 
 def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row (n, digest) that the order of ``df`` doesn't change: 32 bits of each row's SHA-256, summed."""
-    bits = F.conv(F.substring(F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256), 1, 8), 16, 10).cast("long")
-    return df.agg(F.count("*").alias("n"), F.coalesce(F.sum(bits), F.lit(0)).cast("long").alias("digest"))
+    """One row (n, digest) that the order of ``df`` doesn't change: of each row's SHA-256 the eight 32-bit parts, xored, and their sums modulo 2**32, in hex."""
+    row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
+    parts = [F.conv(F.substring(row, 1 + 8 * k, 8), 16, 10).cast("long") for k in range(8)]
+    mixed = [F.coalesce(F.bit_xor(p), F.lit(0)) for p in parts] + [F.coalesce(F.sum(p), F.lit(0)) % (1 << 32) for p in parts]
+    return df.agg(F.count("*").alias("n"), F.concat(*[F.lower(F.lpad(F.hex(m.cast("long")), 8, "0")) for m in mixed]).alias("digest"))
 
 
 def topup(rows: DataFrame, base: DataFrame, family: str, identity: str, minimum: int, seed: int) -> DataFrame:
@@ -96,26 +131,13 @@ def running_grants(parts: DataFrame, name: str, wanted: str, budget: int) -> Dat
     return parts.withColumn("granted", F.greatest(F.lit(0), F.least(F.col(wanted), F.lit(budget) - before)))
 
 
-def pick(document: Column, names: list[str], depth: int = 6) -> tuple[dict[str, Column], Column]:
-    """Columns to add one after another, and the value: the first scalar with text, in document order, whose key ends in one of ``names``.
+def with_picked(df: DataFrame, document: str, names: list[str], target: str) -> DataFrame:
+    """``df`` with ``target``: the first scalar with text, in document order, whose key ends in one of ``names``, at any depth; '' if there is none."""
+    return df.withColumn("_nodes", documents.opened(document)).withColumn(target, documents.pick(F.col("_nodes"), *names)).drop("_nodes")
 
-    A key's name is what follows its last '/', '#' or ':', case aside. Objects and lists are opened level by level, ``depth`` at most; '' if there is none.
-    """
-    start = F.array(F.struct(F.array().cast("array<int>").alias("path"), F.lit("").alias("key"), document.alias("value")))
-    is_list = lambda v: F.ltrim(v).startswith("[")
-    opened = lambda v: F.when(F.ltrim(v).startswith("{"), F.map_entries(F.from_json(v, "map<string,string>"))).when(is_list(v), F.transform(F.from_json(v, "array<string>"), lambda x: F.struct(F.lit("").alias("key"), x.alias("value"))))
-    below = lambda s: F.transform(F.coalesce(opened(s["value"]), F.array().cast("array<struct<key:string,value:string>>")), lambda c, i: F.struct(F.concat(s["path"], F.array(i)).alias("path"), c["key"].alias("key"), c["value"].alias("value")))
-    levels = {"_level0": start} | {f"_level{k}": F.flatten(F.transform(F.col(f"_level{k - 1}"), below)) for k in range(1, depth + 1)}
-    name = lambda k: F.lower(F.regexp_extract(k, "([^/#:]*)$", 1))
-    good = lambda s: name(s["key"]).isin(*[n.lower() for n in names]) & ~F.ltrim(s["value"]).rlike(r"^[\[{]") & (F.trim(s["value"]) != "")
-    hits = F.filter(F.concat(*[F.col(c) for c in list(levels)[1:]]), good)
-    return levels, F.coalesce(F.trim(F.array_min(F.transform(hits, lambda s: F.struct(s["path"].alias("path"), s["value"].alias("value"))))["value"]), F.lit(""))
-
-
-def with_picked(df: DataFrame, document: str, names: list[str], target: str, depth: int = 6) -> DataFrame:
-    """``df`` with ``target`` by ``pick``; no rows are multiplied and nothing is shuffled."""
-    levels, value = pick(F.col(document), names, depth)
-    out = df
-    for column, expression in levels.items():
-        out = out.withColumn(column, expression)
-    return out.withColumn(target, value).drop(*levels)
+
+def first_seen_values(df: DataFrame, keys: str, values: str) -> DataFrame:
+    """``df`` with the array ``values`` in order, each once without regard to case, blank ones gone; longer lists cost in proportion."""
+    each = df.select(keys, F.posexplode(values).alias("_at", "_x")).filter(F.trim("_x") != "")
+    once = each.groupBy(keys, F.lower("_x").alias("_low")).agg(F.min(F.struct("_at", "_x")).alias("_first"))
+    return once.groupBy(keys).agg(F.transform(F.array_sort(F.collect_list("_first")), lambda s: s["_x"]).alias(values))

@@ -35,11 +35,18 @@ def allocate(strata: DataFrame, total: str, taxon: str, available: str, cap: int
     return strata.groupBy("source").applyInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in strata.schema) + ", budget long")
 
 
-def lowest(df: DataFrame, strata: list[str], limit, seed: int, identity: str) -> DataFrame:
-    """The rows with the lowest seeded scores of each stratum: ``limit`` is a number or a column of the stratum's own."""
+def lowest(df: DataFrame, strata: list[str], limit: int | str, seed: int, identity: str, ceiling: int | None = None) -> DataFrame:
+    """The rows with the lowest seeded scores of each stratum: ``limit`` is a number or a column of the stratum's own.
+
+    A number filters before the shuffle: each task keeps so many rows of a stratum. Of a column the largest
+    value, ``ceiling`` (looked up where it isn't given), does that first.
+    """
     nth = F.row_number().over(Window.partitionBy(*strata).orderBy(S.score(F.col(identity).cast("string"), seed), identity))
-    limit = F.col(limit) if isinstance(limit, str) else F.lit(limit)
-    return df.withColumn("_nth", nth).filter(F.col("_nth") <= limit).drop("_nth")
+    if isinstance(limit, int):
+        return df.withColumn("_nth", nth).filter(F.col("_nth") <= limit).drop("_nth")
+    if ceiling is None:
+        ceiling = df.agg(F.coalesce(F.max(limit), F.lit(0)).cast("long")).first()[0]
+    return df.withColumn("_nth", nth).filter(F.col("_nth") <= ceiling).filter(F.col("_nth") <= F.col(limit)).drop("_nth")
 
 
 def plan(df: DataFrame, requested: dict[str, int], total: int, cap: int, seed: int, identity: str = "record_id", bucket: str = "bucket") -> DataFrame:
@@ -53,27 +60,54 @@ def plan(df: DataFrame, requested: dict[str, int], total: int, cap: int, seed: i
     shares = dict(zip(names, granted([there[s] for s in names], lambda _, i: max(requested[names[i]], 1), total), strict=True))
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]) if shares else F.create_map()
     budgets = allocate(strata.withColumn("share", share[F.col("source")].cast("long")), "share", bucket, "available", cap)
-    return lowest(eligible.join(budgets.select("source", bucket, "budget"), ["source", bucket]), ["source", bucket], "budget", seed, identity).drop("budget")
+    return lowest(eligible.join(budgets.select("source", bucket, "budget"), ["source", bucket]), ["source", bucket], "budget", seed, identity, min(cap, total)).drop("budget")
+
+
+def select_balanced(df: DataFrame, targets: dict[str, int], total: int, cap: int, seed: int, identity: str = "processid", split: str = "split") -> DataFrame:
+    """Eligible rows (see ``records.selection_eligible``) balanced over official splits and taxa, with their place in the archive.
+
+    Splits share ``total`` by ``targets``, the taxa of a split by square roots under ``cap``; of each taxon the
+    rows with the lowest seeded scores. A taxon is the species, else genus, else family. Two passes: one
+    counts, one selects. Adds bucket, archive_group and archive_member (needs chunk).
+    """
+    bucket = S.sampling_bucket(F.lit("A"), S.real_species(F.col("species")), F.col("genus"), F.col("family"))
+    rows = df.withColumns({"bucket": bucket, split: F.lower(F.trim(split))}).filter("bucket != ''")
+    chosen = plan(rows.withColumn("_source", F.col("source") if "source" in df.columns else F.lit("")).withColumn("source", F.col(split)), targets, total, cap, seed, identity)
+    restored = chosen.withColumn("source", F.col("_source")) if "source" in df.columns else chosen.drop("source")
+    return restored.select(*df.columns, "bucket").withColumns({"archive_group": S.archive_group(F.col(split)), "archive_member": S.archive_member(F.col(split), F.coalesce("chunk", F.lit("")), F.col(identity))})
 
 
 def pilot(df: DataFrame, taxon: str, least: int, per_source: int, per_taxon: int, seed: int, identity: str) -> DataFrame:
     """Of taxa with ``least`` rows at most ``per_source`` of each source, then ``per_taxon`` in all."""
-    common = df.withColumn("_n", F.count("*").over(Window.partitionBy(taxon))).filter(F.col("_n") >= least).drop("_n")
+    kinds = df.groupBy(taxon).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least).select(F.col(taxon).alias("_taxon"))
+    common = df.join(kinds, F.col(taxon) == F.col("_taxon"), "left_semi")
     return lowest(lowest(common, [taxon, "source"], per_source, seed, identity), [taxon], per_taxon, seed, identity)
 
 
-def assign_shards(df: DataFrame, group: str, shard_size: int) -> DataFrame:
-    """shard_id for each row: groups stay whole, sizes come near each other by dealing groups back and forth, large ones first.
+def group_order(df: DataFrame, group: str, parts: int = 256) -> DataFrame:
+    """(group, size, at): all groups numbered from 0, large ones first, of equal size by hash.
 
-    The rank of a group is its place among groups of its size plus how many are larger, so no window holds all groups.
+    A group's number is its place among groups of its size and hash range, plus how many come before that
+    range; so neither one task nor one window holds all groups of a size, and only counts a range are ordered.
     """
-    groups = df.groupBy(group).agg(F.count("*").alias("_size"))
-    rows, n = groups.agg(F.coalesce(F.sum("_size"), F.lit(0)), F.count("*")).first()
-    shards = max(1, min(n, max(1, -(-rows // shard_size))))
-    sizes = groups.groupBy("_size").agg(F.count("*").alias("_n"))
-    above = sizes.withColumn("_above", F.coalesce(F.sum("_n").over(Window.orderBy(F.desc("_size")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    nth = F.row_number().over(Window.partitionBy("_size").orderBy(F.sha2(F.col(group).cast("string"), 256)))
-    ranked = groups.withColumn("_nth", nth - 1).join(F.broadcast(above), "_size").withColumn("_at", F.col("_nth") + F.col("_above"))
-    lap, place = F.floor(F.col("_at") / shards), F.col("_at") % shards
-    dealt = ranked.select(group, F.when(lap % 2 == 0, place).otherwise(shards - 1 - place).cast("int").alias("shard_id"))
-    return df.join(dealt, group)
+    digest = F.sha2(F.col(group).cast("string"), 256)
+    part = F.floor(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") * parts / 65536).cast("int")
+    groups = df.groupBy(group).agg(F.count("*").alias("size")).withColumn("part", part).withColumn("digest", digest)
+    ranges = groups.groupBy("size", "part").agg(F.count("*").alias("n"))
+    # One row a size, whose counts by range are summed up in an array; the sizes themselves are few.
+    sizes = ranges.groupBy("size").agg(F.sum("n").alias("n"))
+    above = sizes.select("size", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("above"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = ranges.select("size", "part", before.alias("before")).join(above, "size").select("size", "part", (F.col("before") + F.col("above")).alias("first"))
+    nth = F.row_number().over(Window.partitionBy("size", "part").orderBy("digest")) - 1
+    return groups.withColumn("nth", nth).join(offsets, ["size", "part"]).select(group, "size", (F.col("nth") + F.col("first")).alias("at"))
+
+
+def assign_shards(df: DataFrame, group: str, shard_size: int) -> DataFrame:
+    """shard_id for each row: groups stay whole; large ones first, they are dealt to the shards back and forth, so sizes come near each other."""
+    ordered = group_order(df, group)
+    rows, n = ordered.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    shards = max(1, min(n, -(-rows // shard_size)))
+    lap, place = F.floor(F.col("at") / shards), F.col("at") % shards
+    dealt = ordered.select(F.col(group).alias("_group"), F.when(lap % 2 == 0, place).otherwise(shards - 1 - place).cast("int").alias("shard_id"))
+    return df.join(dealt, F.col(group) == F.col("_group")).drop("_group")

@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from speclake.functions import scalars as S
 from speclake.functions.vectors import dot, unit
+from speclake.sources.shared import cut, sized
 
 
 def mean_vectors(df: DataFrame, keys: list[str], vector: str = "embedding") -> DataFrame:
@@ -20,16 +22,77 @@ def mean_vectors(df: DataFrame, keys: list[str], vector: str = "embedding") -> D
     return whole.select(*keys, F.transform("_v", lambda s: s["x"]).alias("mean"))
 
 
-def fuse_views(df: DataFrame, specimen: str, vector: str = "embedding") -> DataFrame:
-    """One unit vector a specimen with its number of views."""
-    counts = df.groupBy(specimen).agg(F.count("*").alias("view_count"))
-    return mean_vectors(df, [specimen], vector).join(counts, specimen).select(specimen, "view_count", unit(F.col("mean")).alias("embedding"))
+#: Ranks that must not differ within a specimen.
+CHECKED_RANKS = ("family", "genus", "species")
+
+
+def fuse_views(df: DataFrame, specimen: str = "specimen_group_id", identity: str = "record_id", vector: str = "embedding") -> DataFrame:
+    """One unit vector a specimen: specimen, embedding, view_count, available_views and embedding_view_ids (sorted, comma-joined), split_group, split, ranks, eligible_supervised, exclusion_reason.
+
+    A blank specimen id is a specimen of its own, named by its record id. Of ``view_type``, ``split_group``, ``split``
+    and the ranks those count that ``df`` has. Ranks that differ become '' and make the specimen ineligible;
+    ``split_conflict`` tells that its split groups or splits differ (``assert_one_split`` refuses such).
+    """
+    have = set(df.columns)
+    own = lambda c, other="": S.clean(F.col(c)) if c in have else F.lit(other)
+    key = F.coalesce(F.nullif(own(specimen), F.lit("")), F.concat(F.lit("record:"), own(identity)))
+    rows = df.select(key.alias("_s"), own(identity).alias("_id"), F.coalesce(F.nullif(own("view_type", "habitus"), F.lit("")), F.lit("habitus")).alias("_view"), *[own(c).alias(c) for c in ("split_group", "split", *CHECKED_RANKS)], F.col(vector).alias("_v"))
+    said = lambda c: F.array_sort(F.collect_set(F.nullif(F.col(c), F.lit(""))))
+    about = rows.groupBy("_s").agg(
+        F.count("*").alias("view_count"),
+        F.array_join(F.array_sort(F.collect_set("_view")), ",").alias("available_views"),
+        F.array_join(F.array_sort(F.collect_list("_id")), ",").alias("embedding_view_ids"),
+        *[said(c).alias(c) for c in ("split_group", "split", *CHECKED_RANKS)],
+    )
+    one = lambda c: F.when(F.size(c) == 1, F.get(c, 0)).otherwise("")
+    # The last rank that differs gives the reason.
+    reason = F.coalesce(*[F.when(F.size(r) > 1, F.lit(f"conflicting_{r}_within_specimen")) for r in reversed(CHECKED_RANKS)], F.lit(""))
+    told = about.select(
+        "_s", "view_count", "available_views", "embedding_view_ids", ((F.size("split_group") > 1) | (F.size("split") > 1)).alias("split_conflict"), reason.alias("exclusion_reason"), (reason == "").alias("eligible_supervised"),
+        F.when(F.size("split_group") == 0, F.col("_s")).otherwise(one("split_group")).alias("split_group"), one("split").alias("split"), *[one(r).alias(r) for r in CHECKED_RANKS],
+    )
+    means = mean_vectors(rows, ["_s"], "_v").select("_s", unit(F.col("mean")).alias("embedding"))
+    return told.join(means, "_s").withColumnRenamed("_s", specimen)
+
+
+def assert_one_split(fused: DataFrame) -> DataFrame:
+    if not fused.filter("split_conflict").isEmpty():
+        raise ValueError("split groups or splits differ within a specimen")
+    return fused
+
+
+def key_problems(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """(side, problem, n): blank and repeated keys of either side, and keys that one side alone has."""
+    counts = lambda df, side: df.groupBy(key).agg(F.count("*").alias(side))
+    both = counts(a, "left").join(counts(b, "right"), key, "full")
+    blank = F.coalesce(F.trim(F.col(key).cast("string")), F.lit("")) == ""
+    problem = lambda side, other: F.when(F.col(side).isNull(), None).when(blank, "blank").when(F.col(side) > 1, "repeated").when(F.col(other).isNull(), "alone")
+    sides = both.select(F.explode(F.array(*[F.struct(F.lit(s).alias("side"), problem(s, o).alias("problem")) for s, o in (("left", "right"), ("right", "left"))])).alias("x"))
+    return sides.select("x.*").filter("problem IS NOT NULL").groupBy("side", "problem").agg(F.count("*").alias("n"))
 
 
 def fuse_encoders(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Equal-weight fusion of two encoders' vectors ``va`` and ``vb`` over the common keys, length 1."""
-    both = a.join(b, key).select(key, F.concat(unit(F.col("va")), unit(F.col("vb"))).alias("v"))
-    return both.select(key, F.transform("v", lambda x: x / F.sqrt(F.lit(2.0))).alias("v")).select(key, unit(F.col("v")).alias("embedding"))
+    """Equal-weight fusion of two encoders' vectors ``va`` and ``vb`` over the common keys, length 1. Blank or repeated keys are an error; keys of one side alone are left out (``key_problems`` counts them)."""
+    if not key_problems(a, b, key).filter("problem <> 'alone'").isEmpty():
+        raise ValueError(f"{key} must be complete and unique on both sides")
+    both = a.join(b, key).select(key, unit(F.col("va")).alias("a"), unit(F.col("vb")).alias("b"))
+    return both.select(key, unit(F.transform(F.concat("a", "b"), lambda x: x / F.sqrt(F.lit(2.0)))).alias("embedding"))
+
+
+def shard_state(df: DataFrame, shard: str, vector: str = "embedding") -> DataFrame:
+    """(shard, n, least_dim, most_dim, not_finite) of each shard."""
+    size = F.size(vector).cast("long")
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
+    return df.groupBy(shard).agg(F.count("*").alias("n"), F.min(size).alias("least_dim"), F.max(size).alias("most_dim"), F.count_if(bad).alias("not_finite"))
+
+
+def merge_shards(shards: list[DataFrame], vector: str = "embedding") -> DataFrame:
+    """The union of shards of vectors, all finite and of one dimension, else an error."""
+    whole = reduce(DataFrame.unionByName, shards)
+    state = shard_state(whole.withColumn("_all", F.lit(1)), "_all", vector).first()
+    if state and (state["least_dim"] != state["most_dim"] or state["not_finite"]):
+        raise ValueError(f"vectors of dimension {state['least_dim']} to {state['most_dim']}, {state['not_finite']} not finite")
+    return whole
 
 
 def centroids(df: DataFrame, label: str, vector: str = "embedding") -> DataFrame:
@@ -39,12 +102,44 @@ def centroids(df: DataFrame, label: str, vector: str = "embedding") -> DataFrame
 
 def gates(df: DataFrame, label: str, quantile: float, margin: float, vector: str = "embedding") -> DataFrame:
     """(label, centroid, threshold): the quantile of a class's similarities to its centroid less a margin, within -1 and 1."""
-    mid = F.broadcast(centroids(df, label, vector))  # a row a class
+    mid = sized(cut(centroids(df, label, vector)))
     sims = df.join(mid, label).select(label, dot(unit(F.col(vector)), F.col("centroid")).alias("sim"))
     limit = sims.groupBy(label).agg(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.percentile("sim", quantile) - margin)).alias("threshold"))
     return mid.join(limit, label)
 
 
+def guesses(df: DataFrame, mids: DataFrame, label: str, k: int, identity: str = "vec_id", vector: str = "embedding", bound: int = 4096) -> DataFrame:
+    """(identity, guess, similarity, nth): the ``k`` classes of ``mids`` (label, centroid) most similar to each row.
+
+    Centroids are broadcast in parts of ``bound``, so what a task holds stays bounded however many classes
+    there are; each part multiplies blocks of rows in Arrow batches and hands on its best ``k`` a row.
+    """
+    mids = cut(mids.select(F.col(label).cast("string").alias("label"), "centroid"))
+    parts = max(1, -(-mids.count() // bound))
+    found = [_guesses(df, mids.filter(F.pmod(F.xxhash64("label"), F.lit(parts)) == p).collect(), k, identity, vector) for p in range(parts)]
+    nth = F.row_number().over(Window.partitionBy(identity).orderBy(F.desc("similarity"), "guess"))
+    return reduce(DataFrame.unionAll, found).withColumn("nth", nth).filter(F.col("nth") <= k)
+
+
+def _guesses(df: DataFrame, mids: list[Row], k: int, identity: str, vector: str) -> DataFrame:
+    mids = sorted(mids)
+    names = np.array([r["label"] for r in mids], object)
+    shared = df.sparkSession.sparkContext.broadcast((names, np.array([r["centroid"] for r in mids], float)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, c = shared.value
+        for batch in batches:
+            for s in range(0, batch.num_rows if len(names) else 0, 2048):
+                part = batch.slice(s, 2048)
+                v = np.array(part.column(1).to_pylist(), float)
+                sims = np.round((v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)) @ c.T, 9)
+                best = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), best.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(names[best].ravel(), pa.string()), pa.array(np.take_along_axis(sims, best, 1).ravel())], [identity, "guess", "similarity"])
+
+    return df.select(F.col(identity).cast("long"), vector).mapInArrow(run, f"{identity} long, guess string, similarity double")
+
+
 def nearest(queries: DataFrame, index: DataFrame, k: int, identity: str = "vec_id", vector: str = "embedding", bound: int = 10_000, block: int = 4096) -> DataFrame:
     """The ``k`` rows of ``index`` with the largest inner product of unit vectors for each query: query_id, id, similarity, nth.
 
@@ -56,8 +151,6 @@ def nearest(queries: DataFrame, index: DataFrame, k: int, identity: str = "vec_i
     rows = asked.limit(bound + 1).collect()
     if len(rows) <= bound:
         return _nearest(rows, index, k, identity, vector, block)
-    from speclake.llm.common import cut  # only here, as this package works without that one
-
     asked, found, last = cut(asked), [], None
     while True:
         # Queries of one id stay together, so that each is asked once; the bound holds for distinct ids.

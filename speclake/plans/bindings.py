@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from speclake.plans import corpus_queries, record_queries, relational_queries, scalar_queries, stream_queries, vector_queries
+from speclake.plans import corpus_queries, ingest_queries, learning_queries, record_queries, relational_queries, scalar_queries, stream_queries, vector_queries
 
-MODULES = (scalar_queries, relational_queries, corpus_queries, vector_queries, record_queries, stream_queries)
+MODULES = (scalar_queries, relational_queries, corpus_queries, vector_queries, record_queries, stream_queries, ingest_queries, learning_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
-from speclake.operators import manifest, sampling
+from speclake.operators import manifest, records, sampling
 from speclake.plans.register import read, registry
 
 QUERIES, SQL, query = registry()
@@ -80,9 +80,13 @@ def a5_frozen_cohort(spark, d):
     return t.groupBy("split", "source").agg(F.count("*").alias("n"), F.count_distinct("duplicate_key").alias("groups"))
 
 
-@query(f"""WITH {BOUND} SELECT record_id FROM bound WHERE label_quality <> 'E' AND genus <> '' AND source <> ''""")
+@query(f"""WITH {BOUND} SELECT record_id FROM bound WHERE label_quality <> 'E' AND doc_id % 9 <> 0 AND doc_id % 10 <> 5 AND family IN (SELECT family FROM bound GROUP BY family ORDER BY count(*) DESC, family LIMIT 2)""")
 def f7_plan_eligible(spark, d):
-    return bound(spark, d).filter("label_quality <> 'E' AND genus <> '' AND source <> ''").select("record_id")
+    """Not eligible, without a bucket, without a place, out of scope: each rejects some rows."""
+    k = F.col("doc_id")
+    t = bound(spark, d).withColumns({"eligible_supervised": F.col("label_quality") != "E", "bucket": F.when(k % 9 == 0, "").otherwise(F.col("genus")), "image_url": F.when(k % 2 == 0, "https://x.org/1").otherwise(""), "local_path": F.when((k % 2 == 1) & (k % 10 != 5), "a.jpg").otherwise(" ")})
+    scope = t.groupBy("family").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "family").limit(2).select(F.upper("family").alias("family"))
+    return records.plan_eligible(t, scope=scope).select("record_id")
 
 
 @query()
@@ -94,15 +98,27 @@ def c15_plan_corpus(spark, d):
     return sampling.plan(t, {s: 1 + i % 3 for i, s in enumerate(sources)}, total, max(1, total // 20), 42).select("record_id", "source", "bucket")
 
 
-@query()
+SHARDED = f"""WITH {BOUND}, g AS (SELECT duplicate_key, count(*) AS n FROM bound GROUP BY duplicate_key), s AS (SELECT CAST(greatest(1, least(count(*), CAST(ceil(sum(n) / 100.0) AS BIGINT))) AS BIGINT) AS shards FROM g),
+  o AS (SELECT duplicate_key, n, row_number() OVER (ORDER BY n DESC, sha256(duplicate_key)) - 1 AS place FROM g),
+  z AS (SELECT duplicate_key, n, place, CASE WHEN (place // shards) % 2 = 0 THEN place % shards ELSE shards - 1 - place % shards END AS shard_id FROM o, s)"""
+
+
+@query(f"{SHARDED} SELECT record_id, CAST(shard_id AS INTEGER) AS shard_id FROM bound JOIN z ON bound.duplicate_key = z.duplicate_key")
 def c19_assign_shards(spark, d):
     return sampling.assign_shards(bound(spark, d), "duplicate_key", 100).select("record_id", "shard_id")
 
 
-@query(f"""WITH {BOUND}, g AS (SELECT count(*) AS n FROM bound GROUP BY duplicate_key) SELECT greatest(1, least(count(*), CAST(ceil(sum(n) / 100.0) AS BIGINT))) AS shards, CAST(sum(n) AS BIGINT) AS rows FROM g""")
-def a18_shard_count(spark, d):
+@query(f"{SHARDED} SELECT duplicate_key, n AS size, CAST(place AS BIGINT) AS place FROM z")
+def w9_group_order(spark, d):
+    return sampling.group_order(bound(spark, d), "duplicate_key").select("duplicate_key", "size", F.col("at").cast("long").alias("place"))
+
+
+@query(f"""{SHARDED} SELECT count(*) AS shards, CAST(sum(n) AS BIGINT) AS rows, CAST(min(n) AS BIGINT) AS least, CAST(max(n) AS BIGINT) AS most, 0 AS split_groups FROM (SELECT shard_id, sum(n) AS n FROM z GROUP BY shard_id)""")
+def a18_shard_balance(spark, d):
     t = sampling.assign_shards(bound(spark, d), "duplicate_key", 100)
-    return t.agg(F.count_distinct("shard_id").alias("shards"), F.count("*").alias("rows"))
+    split = t.groupBy("duplicate_key").agg(F.count_distinct("shard_id").alias("n")).agg(F.count_if(F.col("n") > 1).cast("int").alias("split_groups"))
+    sizes = t.groupBy("shard_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("shards"), F.sum("n").alias("rows"), F.min("n").alias("least"), F.max("n").alias("most"))
+    return sizes.join(F.broadcast(split))  # one row each
 
 
 @query(f"WITH {BOUND} SELECT record_id, count(*) AS n FROM bound GROUP BY record_id HAVING count(*) > 1 UNION ALL SELECT family, count(*) FROM bound WHERE family NOT IN ('en', 'fr') GROUP BY family")

@@ -31,7 +31,8 @@ def s5_envelope(spark, d):
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS value FROM events")
 def x1_recursive_pick(spark, d):
-    nested = F.concat(F.lit('{"a": [{"ods:K": " "}, {"b": {"dwc/x#k": '), F.get_json_object("props", "$.k"), F.lit('}}], "c": {"k": "later"}}'))
+    """Eight levels deep; a blank value comes before it, another one after it."""
+    nested = F.concat(F.lit('{"a": [{"ods:K": " "}, {"b": {"l4": {"l5": [{"l6": {"l7": {"dwc/x#k": '), F.get_json_object("props", "$.k"), F.lit('}}}]}}}], "c": {"k": "later"}}'))
     return records.with_picked(read(spark, d, "events").select("event_id", nested.alias("doc")), "doc", ["k"], "value").select("event_id", "value")
 
 
@@ -58,12 +59,16 @@ def c32_f10_cache_status(spark, d):
     return records.cache_status(plan, listing, results, "page_id").select("page_id", "eligible_supervised", "exclusion_reason", "local_path")
 
 
-@query(r"""WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS path FROM pages), s AS (SELECT page_id, regexp_extract(path, '([^/]+/[^/]+)$', 1) AS member, regexp_extract(path, '([^/]+)$', 1) AS base FROM p),
-  l AS (SELECT DISTINCT path, regexp_extract(path, '([^/]+)$', 1) AS base FROM p)
+@query(r"""WITH p AS (SELECT page_id, 'top/' || (page_id % 5) || '/a/b/' || regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^https?://', ''), '/+$', '') AS path FROM pages),
+  s AS (SELECT page_id, regexp_extract(path, CASE page_id % 3 WHEN 0 THEN '([^/]+)$' WHEN 1 THEN '([^/]+/[^/]+)$' ELSE '(b/.*)$' END, 1) AS member, regexp_extract(path, '([^/]+)/*$', 1) AS base FROM p WHERE path NOT LIKE '%//%'),
+  l AS (SELECT DISTINCT path, regexp_extract(path, '([^/]+)/*$', 1) AS base FROM p)
   SELECT s.page_id, min(l.path) AS path FROM s JOIN l ON s.base = l.base AND ends_with(l.path, '/' || s.member) GROUP BY s.page_id""")
 def c33_j9_archive_members(spark, d):
-    t = read(spark, d, "pages").select("page_id", F.regexp_replace("url", "[?#].*$", "").alias("path"))
-    selection = t.select("page_id", F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("member"))
+    """Members of one, two and more than four segments, written with backslashes and './'."""
+    t = read(spark, d, "pages").select("page_id", F.concat(F.lit("top/"), F.col("page_id") % 5, F.lit("/a/b/"), F.regexp_replace(F.regexp_replace(F.regexp_replace("url", "[?#].*$", ""), "^https?://", ""), "/+$", "")).alias("path"))
+    ends = [F.regexp_extract("path", p, 1) for p in ("([^/]+)$", "([^/]+/[^/]+)$", "(b/.*)$")]
+    member = F.when(F.col("page_id") % 3 == 0, ends[0]).when(F.col("page_id") % 3 == 1, F.replace(ends[1], F.lit("/"), F.lit("\\"))).otherwise(F.concat(F.lit("./"), ends[2]))
+    selection = t.filter("path NOT LIKE '%//%'").select("page_id", member.alias("member"))
     return records.match_archive(selection, t.select("path"), "member", "path").filter("path IS NOT NULL").select("page_id", "path")
 
 
@@ -98,14 +103,17 @@ def j14_listing_suffix(spark, d):
   r AS (SELECT label, guess, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, guess) AS k FROM s)
   SELECT label, guess, count(*) AS n FROM r WHERE k = 1 AND label <> guess GROUP BY label, guess ORDER BY n DESC, label, guess LIMIT 50""")
 def a12_confusions(spark, d):
-    t = read(spark, d, "embeddings").select("label", unit(F.col("embedding")).alias("u"))
-    mid = vectors.centroids(read(spark, d, "embeddings"), "label").agg(F.collect_list(F.struct(F.col("label").alias("guess"), "centroid")).alias("all"))
-    best = F.array_min(F.transform("all", lambda c: F.struct((-F.round(dot(F.col("u"), c["centroid"]), 9)).alias("s"), c["guess"].alias("g"))))["g"]
-    guessed = t.join(F.broadcast(mid)).select("label", best.alias("guess"))
-    return guessed.filter("label <> guess").groupBy("label", "guess").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label", "guess").limit(50)
+    t = read(spark, d, "embeddings")
+    best = vectors.guesses(t, vectors.centroids(t, "label"), "label", 1).select("vec_id", F.col("guess").cast(t.schema["label"].dataType).alias("guess"))
+    wrong = t.select("vec_id", "label").join(best, "vec_id").filter("label <> guess")
+    return wrong.groupBy("label", "guess").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label", "guess").limit(50)
 
 
-@query("SELECT count(*) AS n, CAST(sum(CAST(('0x' || substr(sha256(CAST(vec_id AS VARCHAR) || chr(31) || CAST(label AS VARCHAR)), 1, 8))::UBIGINT AS BIGINT)) AS BIGINT) AS digest FROM embeddings")
+PARTS = [f"('0x' || substr(h, {1 + 8 * k}, 8))::UBIGINT" for k in range(8)]
+DIGEST = " || ".join([f"printf('%08x', bit_xor({p})::BIGINT)" for p in PARTS] + [f"printf('%08x', (sum({p}) % 4294967296)::BIGINT)" for p in PARTS])
+
+
+@query(f"SELECT count(*) AS n, {DIGEST} AS digest FROM (SELECT sha256(CAST(vec_id AS VARCHAR) || chr(31) || CAST(label AS VARCHAR)) AS h FROM embeddings)")
 def a14_fingerprint(spark, d):
     return records.fingerprint(read(spark, d, "embeddings"), ["vec_id", "label"])
 
@@ -161,11 +169,11 @@ def v8_tiles(spark, d):
     return t.select("p_partkey", F.col("b.tile").alias("tile"), "b.x1", "b.y1", "b.x2", "b.y2")
 
 
-@query("""SELECT doc_id, CASE WHEN n_chars % 100 < 40 THEN NULL WHEN n_chars % 90 < 45 THEN 'family' WHEN n_chars % 80 < 52 THEN 'genus' ELSE 'species' END AS rank FROM documents""")
+@query("""SELECT doc_id, CASE WHEN n_chars % 100 < 40 OR doc_id % 11 = 1 THEN NULL WHEN n_chars % 90 < 45 OR doc_id % 11 = 2 THEN 'family' WHEN n_chars % 80 < 52 OR doc_id % 11 = 3 THEN 'genus' ELSE 'species' END AS rank FROM documents""")
 def c28_accepted_rank(spark, d):
     n = F.col("n_chars")
     said = {"family": (n % 100) / 100, "genus": (n % 90) / 90, "species": (n % 80) / 80}
-    return read(spark, d, "documents").select("doc_id", records.accepted_rank(said).alias("rank"))
+    return read(spark, d, "documents").select("doc_id", records.accepted_rank(said, F.get(F.array(F.lit("family"), F.lit("genus"), F.lit("species")), (F.col("doc_id") % 11).cast("int") - 1)).alias("rank"))
 
 
 @query("SELECT doc_id, source, lang FROM documents ORDER BY source, lang, doc_id")

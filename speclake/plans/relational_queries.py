@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from speclake.operators import manifest, sampling
+from speclake.operators import manifest, records, references, sampling
 from speclake.plans.register import read, registry
 
 QUERIES, SQL, query = registry()
@@ -45,12 +45,22 @@ def j5_occurrence_media(spark, d):
     return read(spark, d, "lineitem").join(read(spark, d, "part").filter("p_size > 20"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_name")
 
 
-@query("""SELECT p_partkey, CASE WHEN p_brand IN (SELECT max(p_brand) FROM part GROUP BY p_size % 5) THEN 'accepted one' ELSE split_part(p_type, ' ', 1) || CASE WHEN p_type LIKE '% %' THEN ' ' || split_part(p_type, ' ', 2) ELSE '' END END AS species FROM part""")
-def j6_synonyms(spark, d):
-    part = read(spark, d, "part")
-    table = part.groupBy(F.col("p_size") % 5).agg(F.max("p_brand").alias("name")).select("name", F.lit("accepted one").alias("accepted_name"), F.lit("").alias("accepted_family"))
-    rows = part.select("p_partkey", F.col("p_type").alias("species"), F.col("p_brand").alias("original_scientific_name"), F.lit("").alias("accepted_scientific_name"), F.lit("").alias("family"))
-    return manifest.harmonize(rows, table).select("p_partkey", "species")
+@query("""WITH r AS (SELECT CAST(p_partkey AS VARCHAR) AS record_id, CASE WHEN p_size % 3 = 0 THEN '' ELSE split_part(p_name, ' ', 1) || ' ' || p_size END AS species, CASE WHEN p_size % 2 = 0 THEN '' ELSE p_type END AS original, p_brand AS family, p_size % 7 = 0 AS corrupt FROM part),
+  n AS (SELECT *, lower(coalesce(nullif(original, ''), species)) AS k1, array_to_string(string_split(CASE WHEN species = '' THEN original ELSE species END, ' ')[1:2], ' ') AS s FROM r),
+  h AS (SELECT *, CASE WHEN k1 LIKE 'a%' OR lower(s) LIKE '% 7' THEN 1 ELSE 0 END AS hit FROM n WHERE k1 IS NOT NULL)
+  SELECT record_id, CASE WHEN hit = 1 THEN 'Cus dus' ELSE s END AS species, CASE WHEN hit = 1 THEN 'Cus' ELSE split_part(s, ' ', 1) END AS genus, CASE WHEN hit = 1 THEN 'Cusidae' ELSE family END AS family, CASE WHEN hit = 1 THEN 't1' ELSE 'own' END AS taxon_id,
+    CASE WHEN hit = 1 OR s <> '' THEN 'species' ELSE 'family' END AS identification_level, NOT corrupt AS eligible_supervised FROM h""")
+def c9_j6_harmonize(spark, d):
+    """Names that begin with A by original name, those that end in 7 by species; level and eligibility of the rows were others."""
+    part, k = read(spark, d, "part"), F.col("p_size")
+    species = F.when(k % 3 == 0, "").otherwise(F.concat(F.get(F.split("p_name", " "), 0), F.lit(" "), k))
+    rows = part.select(
+        F.col("p_partkey").cast("string").alias("record_id"), species.alias("species"), F.when(k % 2 == 0, "").otherwise(F.col("p_type")).alias("original_scientific_name"), F.col("p_brand").alias("family"), F.lit("own").alias("taxon_id"),
+        F.lit("family").alias("identification_level"), F.lit("true").alias("eligible_supervised"), F.when(k % 7 == 0, "corrupt_image").otherwise("").alias("exclusion_reason"), F.lit("CC BY 4.0").alias("image_license"), F.lit("wrong").alias("genus"))
+    rows = rows.withColumn("genus", F.lit(""))
+    named = rows.select(F.col("original_scientific_name").alias("x")).filter("lower(x) LIKE 'a%'").unionAll(rows.filter("original_scientific_name = '' AND lower(species) LIKE 'a%'").select("species")).unionAll(rows.select("species").filter("species LIKE '% 7'"))
+    reviewed = named.distinct().select(F.upper("x").alias("synonym"), F.lit("Cus dus (Author)").alias("accepted_name"), F.lit("Cusidae").alias("accepted_family"), F.lit("t1").alias("accepted_taxon_id"))
+    return manifest.harmonize(rows, reviewed).select("record_id", "species", "genus", "family", "taxon_id", "identification_level", "eligible_supervised")
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
@@ -66,13 +76,15 @@ def j10_overrides(spark, d):
     return t.select("doc_id", F.coalesce(F.when(F.col("toxic") == 1, "exclude").when(F.col("quality") == 1, "accept"), own).alias("decision"))
 
 
-@query("""SELECT n_name, r_name FROM nation, region WHERE n_regionkey = r_regionkey OR substr(n_name, 1, 1) = substr(r_name, 1, 1)""")
+@query("""WITH c AS (SELECT p_partkey, CASE WHEN p_size % 10 = 0 THEN [] ELSE [lower(p_brand)] END AS families, [lower(split_part(p_name, ' ', 1)), lower(split_part(p_name, ' ', 2))] AS genera FROM part),
+  a AS (SELECT n_nationkey, 'brand#1' || (1 + n_nationkey % 5) AS family, ['part', lower(n_name)] AS genera FROM nation)
+  SELECT n_nationkey, p_partkey, list_has_any(a.genera, c.genera) AS by_genus FROM a, c WHERE len(families) = 0 OR list_contains(families, family) OR list_has_any(a.genera, c.genera)""")
 def j13_catalog_match(spark, d):
-    """Two equi-joins instead of a theta join: by family, and by genus."""
-    nation, region = read(spark, d, "nation"), read(spark, d, "region")
-    family = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
-    genus = nation.join(region, F.substr("n_name", F.lit(1), F.lit(1)) == F.substr("r_name", F.lit(1), F.lit(1))).select("n_name", "r_name")
-    return family.unionByName(genus).distinct()
+    """Entries without families meet every question; the others by family or by any genus."""
+    part = read(spark, d, "part")
+    catalog = part.select("p_partkey", F.when(F.col("p_size") % 10 == 0, F.array().cast("array<string>")).otherwise(F.array("p_brand")).alias("families"), F.slice(F.split("p_name", " "), 1, 2).alias("genera"))
+    asked = read(spark, d, "nation").select("n_nationkey", F.concat(F.lit("BRAND#1"), 1 + F.col("n_nationkey") % 5).alias("family"), F.array(F.lit("Part"), "n_name").alias("genera"))
+    return references.matches(asked, catalog, "n_nationkey", "p_partkey").select("n_nationkey", "p_partkey", "by_genus")
 
 
 @query("SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, a.doc_id IS NULL AS missing FROM (SELECT doc_id FROM documents WHERE doc_id % 7 <> 0) a FULL JOIN labels b ON a.doc_id = b.doc_id WHERE a.doc_id IS NULL OR b.doc_id IS NULL")
@@ -124,11 +136,12 @@ def a10_weights(spark, d):
 
 
 @query("""WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM c GROUP BY doc_id, ch),
-  t AS (SELECT doc_id, n / sum(n) OVER (PARTITION BY doc_id) AS p FROM n) SELECT doc_id, round(-sum(p * log2(p)), 6) AS entropy FROM t GROUP BY doc_id""")
+  t AS (SELECT doc_id, ord(ch) AS v, n, n / sum(n) OVER (PARTITION BY doc_id) AS p FROM n) SELECT doc_id, round(-sum(p * log2(p)), 6) AS entropy, round(sqrt(greatest(0, sum(p * v * v) - sum(p * v) ** 2)), 4) AS deviation FROM t GROUP BY doc_id""")
 def a15_entropy(spark, d):
     """Entropy from counts: log2(total) - sum(n log2 n) / total, so no second pass over a text's rows."""
+    v = F.ascii("ch").cast("double")
     chars = read(spark, d, "documents").select("doc_id", F.explode(F.split("text", "")).alias("ch")).filter("ch <> ''").groupBy("doc_id", "ch").agg(F.count("*").alias("n"))
-    return chars.groupBy("doc_id").agg(F.round(F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n"), 6).alias("entropy"))
+    return chars.groupBy("doc_id").agg(F.round(F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n"), 6).alias("entropy"), F.round(F.sqrt(F.greatest(F.lit(0.0), F.sum(F.col("n") * v * v) / F.sum("n") - F.pow(F.sum(F.col("n") * v) / F.sum("n"), 2))), 4).alias("deviation"))
 
 
 @query("SELECT count(*) AS groups, CAST(sum(n - 1) AS BIGINT) AS removed FROM (SELECT count(*) AS n FROM documents GROUP BY text) WHERE n > 1")
@@ -179,9 +192,11 @@ def u3_missing(spark, d):
     return n.join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left_anti").select("n_name")
 
 
-@query("SELECT user_id, string_agg(DISTINCT lower(event_type), ',' ORDER BY lower(event_type)) AS kinds FROM events GROUP BY user_id")
+@query("""WITH w AS (SELECT doc_id, list_filter(string_split(text, ' '), lambda x: trim(x) <> '') AS w FROM documents), e AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w),
+  f AS (SELECT doc_id, lower(x), min(i) AS i, arg_min(x, i) AS x FROM e GROUP BY doc_id, lower(x)) SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS words FROM f GROUP BY doc_id""")
 def u5_unique_values(spark, d):
-    return read(spark, d, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set(F.lower("event_type"))), ",").alias("kinds"))
+    """The words of each text in order, each once without regard to case."""
+    return records.first_seen_values(read(spark, d, "documents").select("doc_id", F.split("text", " ").alias("w")), "doc_id", "w").select("doc_id", F.array_join("w", " ").alias("words"))
 
 
 @query("SELECT doc_id, CAST(4 * contains(lower(text), 'the') + 2.5 * contains(lower(text), 'tion') + 3 * contains(lower(text), lower(lang)) AS DOUBLE) AS score FROM documents".replace("contains(lower(text), 'the')", "CAST(contains(lower(text), 'the') AS INTEGER)").replace("contains(lower(text), 'tion')", "CAST(contains(lower(text), 'tion') AS INTEGER)").replace("contains(lower(text), lower(lang))", "CAST(contains(lower(text), lower(lang)) AS INTEGER)"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
+from speclake.operators import records
 from speclake.plans.register import read, registry
 
 QUERIES, SQL, query = registry()
@@ -64,7 +65,7 @@ def p10_canonical_url(spark, d):
     return read(spark, d, "pages").select("page_id", S.canonical_url(F.col("url")).alias("url"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'photo:' || CAST(doc_id AS VARCHAR) ELSE 'sha256:' || sha256(text) END AS key FROM documents")
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'inat-photo:' || CAST(doc_id AS VARCHAR) ELSE 'sha256:' || sha256(text) END AS key FROM documents")
 def p11_duplicate_key(spark, d):
     url = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("https://x.org/photos/"), "doc_id", F.lit("/medium.jpg"))).otherwise("")
     return read(spark, d, "documents").select("doc_id", S.duplicate_key([F.lit(""), url], F.sha2("text", 256), F.col("doc_id").cast("string")).alias("key"))
@@ -127,9 +128,10 @@ def p22_official_split(spark, d):
     return read(spark, d, "orders").select("o_orderkey", F.coalesce(S.official_split(given), S.split_of(F.col("o_custkey").cast("string"))).alias("split"))
 
 
-@query("SELECT doc_id, 'src-' || substr(source, 4) AS slug FROM documents")
+@query("SELECT page_id, coalesce(nullif(trim(regexp_replace(lower(u), '[^a-z0-9._-]+', '-', 'g'), '-'), ''), 'unknown') AS slug FROM (SELECT page_id, CASE WHEN page_id % 9 = 0 THEN '//' WHEN page_id % 9 = 1 THEN 'src_0.5' ELSE url END AS u FROM pages)")
 def p23_slug(spark, d):
-    return read(spark, d, "documents").select("doc_id", S.slug(F.concat(F.lit(" SRC /"), F.substr("source", F.lit(4)), F.lit("!"))).alias("slug"))
+    k = F.col("page_id") % 9
+    return read(spark, d, "pages").select("page_id", S.slug(F.when(k == 0, "//").when(k == 1, "src_0.5").otherwise(F.col("url"))).alias("slug"))
 
 
 @query("SELECT o_orderkey, CASE WHEN n % 1000000 = 0 THEN CAST(n // 1000000 AS VARCHAR) || 'm' WHEN n % 1000 = 0 THEN CAST(n // 1000 AS VARCHAR) || 'k' ELSE CAST(n AS VARCHAR) END AS tag FROM (SELECT o_orderkey, o_orderkey * 125 AS n FROM orders)")
@@ -171,31 +173,43 @@ def f4_license_allowed(spark, d):
     return read(spark, d, "part").filter(S.normalize_license(said).isin(*S.OPEN_LICENSES)).select("p_partkey")
 
 
-@query("SELECT p_partkey FROM part WHERE p_size BETWEEN 10 AND 40 AND p_name IS NOT NULL AND p_name <> '' AND p_brand IN (SELECT p_brand FROM part WHERE p_retailprice > 1000)")
+@query("""SELECT p_partkey FROM part WHERE p_size % 7 <> 0 AND p_size % 5 <> 0 AND p_size % 3 <> 2 AND p_size % 2 = 0
+  AND lower(p_brand) IN (SELECT lower(p_brand) FROM part WHERE p_retailprice > 0.97 * (SELECT max(p_retailprice) FROM part))""")
 def f6_selection_eligible(spark, d):
-    t = read(spark, d, "part")
-    scope = t.filter("p_retailprice > 1000").select("p_brand").distinct()
-    return t.filter("p_size BETWEEN 10 AND 40 AND p_name <> ''").join(scope, "p_brand", "left_semi").select("p_partkey")
-
-
-@query("""SELECT doc_id, CASE WHEN least(n_chars, 5000) < 300 THEN 'exclude' WHEN sd < 20 OR e < 2.5 THEN 'exclude' WHEN source IN ('src0', 'src1') THEN 'accept' WHEN doc_id % 5 = 0 THEN 'review'
-   WHEN doc_id % 5 = 1 THEN 'review' WHEN r < 0.35 THEN 'accept_crop' ELSE 'accept' END AS decision
-  FROM (SELECT doc_id, n_chars, source, CAST(n_chars % 50 AS DOUBLE) AS sd, (n_chars % 8) / 1.0 AS e, 0.5 * 0.5 * (1 + doc_id % 3) AS r FROM documents)""")
+    """Each condition rejects some rows: order, id, split, rank and family scope."""
+    t, k = read(spark, d, "part"), F.col("p_size")
+    rows = t.select(
+        "p_partkey", F.when(k % 7 == 0, "Other").otherwise("Diptera").alias("order"), F.when(k % 5 == 0, " ").otherwise(F.col("p_partkey").cast("string")).alias("id"),
+        F.get(F.array(F.lit("train"), F.lit("test"), F.lit("elsewhere")), (k % 3).cast("int")).alias("split"), F.upper("p_brand").alias("family"), F.when(k % 2 == 0, F.col("p_name")).otherwise("").alias("genus"))
+    top = F.broadcast(t.agg(F.max("p_retailprice").alias("top")))  # one row
+    scope = t.join(top, F.col("p_retailprice") > 0.97 * F.col("top")).select(F.col("p_brand").alias("family"))
+    return records.selection_eligible(rows, "Diptera", "id", ["train", "test"], ["family", "genus"], scope).select("p_partkey")
+
+
+@query("""SELECT doc_id, split_part(x, ' ', 1) AS decision, split_part(x, ' ', 2) AS reason, round(share, 6) AS share, round(side, 4) AS side FROM (
+  SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN least(w, 5000) * h / (5000.0 * h) END AS share, CASE WHEN doc_id % 5 <> 0 THEN least(w, 5000, h) END AS side,
+  CASE WHEN least(h, 5000) < 300 THEN 'exclude image_too_small' WHEN h % 50 < 20 OR h % 8 < 2.5 THEN 'exclude blank_or_near_uniform' WHEN source IN ('src0', 'src1') THEN 'accept trusted_source_technical_pass'
+    WHEN doc_id % 5 = 0 THEN 'review no_fly_detected' WHEN least(w, h) < 10 OR least(w, 5000) / 5000.0 < 0.01 THEN 'review specimen_too_small' WHEN least(w, 5000) / 5000.0 < 0.35 THEN 'accept_crop detected_fly_cropped'
+    ELSE 'accept detected_fly_large_enough' END AS x
+  FROM (SELECT doc_id, source, CAST(n_chars AS DOUBLE) AS h, 5000 * (CASE WHEN doc_id % 5 = 1 THEN 0.001 ELSE 0.25 * (1 + doc_id % 3) END) AS w FROM documents))""")
 def f9_quality_decision(spark, d):
+    """The box begins outside of the image, so it is cut to it."""
     n, w, h = F.col("n_chars"), F.lit(5000), F.col("n_chars")
     share = F.when(F.col("doc_id") % 5 == 1, F.lit(0.001)).otherwise(0.25 * (1 + F.col("doc_id") % 3))
     box = F.when(F.col("doc_id") % 5 != 0, F.struct(F.lit(-10.0).alias("x1"), F.lit(0.0).alias("y1"), (w * share).alias("x2"), (h * F.lit(1.0)).alias("y2")))
     limits = {"image_side": 300, "contrast": 20.0, "entropy": 2.5, "specimen_side": 10, "specimen_area": 0.01, "crop_below": 0.35}
     got = S.quality_decision(F.col("source").isin("src0", "src1"), w, h, (n % 50).cast("double"), (n % 8) / 1.0, box, limits)
-    return read(spark, d, "documents").select("doc_id", got["decision"].alias("decision"))
+    side, area = S.box_size(box, w, h)
+    return read(spark, d, "documents").select("doc_id", got["decision"].alias("decision"), got["reason"].alias("reason"), F.round(area, 6).alias("share"), F.round(side, 4).alias("side"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, greatest(0, CAST(floor(l_quantity - 0.1 * l_quantity) AS BIGINT)) AS x1, least(60, CAST(ceil(2 * l_quantity + 0.1 * l_quantity) AS BIGINT)) AS x2 FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, greatest(0, CAST(floor(l_quantity - 0.1 * l_quantity) AS BIGINT)) AS x1, least(60, CAST(ceil(2 * l_quantity + 0.1 * l_quantity) AS BIGINT)) AS x2,
+  greatest(0, CAST(floor(1 - 0.1 * (3 * l_quantity - 1)) AS BIGINT)) AS y1, least(90, CAST(ceil(3 * l_quantity + 0.1 * (3 * l_quantity - 1)) AS BIGINT)) AS y2 FROM lineitem""")
 def v9_padded_box(spark, d):
     q = F.col("l_quantity")
-    box = F.struct(q.alias("x1"), q.alias("y1"), (2 * q).alias("x2"), (2 * q).alias("y2"))
-    got = S.padded_box(box, F.lit(60), F.lit(60), 0.1)
-    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", got["x1"].alias("x1"), got["x2"].alias("x2"))
+    box = F.struct(q.alias("x1"), F.lit(1.0).alias("y1"), (2 * q).alias("x2"), (3 * q).alias("y2"))
+    got = S.padded_box(box, F.lit(60), F.lit(90), 0.1)
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *[got[c].alias(c) for c in ("x1", "x2", "y1", "y2")])
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from speclake.operators import sampling
 from speclake.plans.register import read, registry
-from speclake.sources import tables
+from speclake.sources import shared, tables
 from speclake.streaming import landing
 
 QUERIES, SQL, query = registry()
@@ -14,41 +14,43 @@ QUERIES, SQL, query = registry()
 
 @query("SELECT DISTINCT event_id, user_id FROM events")
 def st1_first_seen(spark, d):
-    return landing.first_seen(landing.landed(spark, f"{d}/events.parquet*").select("event_id", "user_id"), ["event_id"], tables.shared_folder(spark))
+    return landing.first_seen(landing.landed(spark, f"{d}/events.parquet*").select("event_id", "user_id"), ["event_id"], shared.shared_folder(spark))
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def st2_running_counts(spark, d):
-    return landing.running_counts(landing.landed(spark, f"{d}/events.parquet*"), ["event_type"], tables.shared_folder(spark))
+    return landing.running_counts(landing.landed(spark, f"{d}/events.parquet*"), ["event_type"], shared.shared_folder(spark))
 
 
 @query("SELECT doc_id, CASE WHEN n_chars >= 500 THEN 'accept' ELSE 'review' END AS decision FROM documents")
 def st3_decisions(spark, d):
     decide = lambda t: t.select("doc_id", F.when(F.col("n_chars") >= 500, "accept").otherwise("review").alias("decision"))
-    return landing.decided(landing.landed(spark, f"{d}/documents.parquet*"), decide, tables.shared_folder(spark))
+    return landing.decided(landing.landed(spark, f"{d}/documents.parquet*"), decide, shared.shared_folder(spark))
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def st4_first_within(spark, d):
     """The table lands as one batch, so no state is forgotten meanwhile."""
     rows = landing.landed(spark, f"{d}/events.parquet*").select("user_id", "event_type", "ts")
-    return landing.first_within(rows, ["user_id", "event_type"], "ts", "1 day", tables.shared_folder(spark)).select("user_id", "event_type")
+    return landing.first_within(rows, ["user_id", "event_type"], "ts", "1 day", shared.shared_folder(spark)).select("user_id", "event_type")
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, '' AS sex FROM customer")
 def s1_k1_manifest_file(spark, d):
-    out = f"{tables.shared_folder(spark)}/manifest.parquet"
-    tables.write_manifest(read(spark, d, "customer"), out, ["c_custkey", "c_name", "sex"])
-    return tables.read_table(spark, out)
+    """An older version is there first; the last whole write is read."""
+    out, rows = shared.shared_folder(spark), read(spark, d, "customer")
+    tables.write_manifest(rows.filter("c_custkey % 2 = 0"), out, ["c_custkey"])
+    return tables.write_manifest(rows, out, ["c_custkey", "c_name", "sex"])
 
 
 @query("SELECT decision, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM (SELECT n_chars, CASE WHEN n_chars >= 500 THEN 'accepted' ELSE 'quarantine' END AS decision FROM documents) GROUP BY decision")
 def k2_accepted_quarantine(spark, d):
     rows = read(spark, d, "documents").select("doc_id", "n_chars", F.when(F.col("n_chars") >= 500, "accepted").otherwise("quarantine").alias("decision"))
-    return tables.write_partitioned(rows, tables.shared_folder(spark), "decision").groupBy("decision").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+    return tables.write_partitioned(rows, shared.shared_folder(spark), "decision").groupBy("decision").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
-@query("SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS ids FROM orders")
+@query("SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS ids, count(DISTINCT o_custkey) AS groups, 0 AS split_groups FROM orders")
 def k3_shard_sink(spark, d):
     rows = sampling.assign_shards(read(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey", 1000)
-    return tables.write_partitioned(rows, tables.shared_folder(spark), "shard_id").agg(F.count("*").alias("rows"), F.count_distinct("o_orderkey").alias("ids"))
+    written = tables.write_partitioned(rows, shared.shared_folder(spark), "shard_id").groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("ids"), F.count_distinct("shard_id").alias("shards"))
+    return written.agg(F.sum("n").alias("rows"), F.sum("ids").alias("ids"), F.count("*").alias("groups"), F.count_if(F.col("shards") > 1).cast("int").alias("split_groups"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from speclake.functions.vectors import dot, norm, unit
-from speclake.operators import vectors
+from speclake.functions.vectors import dot, unit
+from speclake.operators import evaluation, vectors
 from speclake.plans.register import read, registry
 
 QUERIES, SQL, query = registry()
@@ -14,9 +14,12 @@ UNITS = "u AS (SELECT vec_id, label, list_transform(e, lambda x: x / greatest(sq
 MEANS = "m AS (SELECT label, i, avg(u[i]) AS x FROM (SELECT label, u, unnest(range(1, 65)) AS i FROM u) GROUP BY label, i), c AS (SELECT label, list(x / (SELECT greatest(sqrt(sum(x * x)), 1e-12) FROM m b WHERE b.label = m.label) ORDER BY i) AS c FROM m GROUP BY label)"
 
 
-@query("SELECT vec_id, round(sqrt(list_dot_product(e, e)), 6) AS length, len(e) AS dim FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)")
+@query("""SELECT shard, count(*) AS n, min(len(e)) AS least_dim, max(len(e)) AS most_dim, count(*) FILTER (len(list_filter(e, lambda x: NOT isfinite(x))) > 0) AS not_finite FROM (SELECT vec_id % 4 AS shard, embedding::DOUBLE[] AS e FROM embeddings) GROUP BY shard""")
 def s7_k5_v7_vector_store(spark, d):
-    return read(spark, d, "embeddings").select("vec_id", F.round(norm(F.col("embedding")), 6).alias("length"), F.size("embedding").cast("long").alias("dim"))
+    """Shards put together, checked, and what the check saw of each."""
+    t = read(spark, d, "embeddings")
+    merged = vectors.merge_shards([t.filter(f"vec_id % 4 = {k}").withColumn("shard", F.lit(k).cast("long")) for k in range(4)])
+    return vectors.shard_state(merged, "shard")
 
 
 @query(f"WITH {UNITS} SELECT vec_id, label, list_transform(u, lambda x: round(x, 6)) AS embedding FROM u")
@@ -25,11 +28,21 @@ def v1_k6_unit_vectors(spark, d):
     return t.select("vec_id", "label", F.transform("u", lambda x: F.round(x, 6)).alias("embedding"))
 
 
-@query("""WITH v AS (SELECT vec_id // 2 AS specimen, embedding::DOUBLE[] AS e FROM embeddings), m AS (SELECT specimen, i, avg(e[i]) AS x, count(*) AS n FROM (SELECT specimen, e, unnest(range(1, 65)) AS i FROM v) GROUP BY specimen, i)
-  SELECT specimen, max(n) AS view_count, list(round(x / (SELECT greatest(sqrt(sum(x * x)), 1e-12) FROM m b WHERE b.specimen = m.specimen), 6) ORDER BY i) AS embedding FROM m GROUP BY specimen""")
+@query("""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 6 < 2 THEN 'record:' || vec_id ELSE 'sp' || (vec_id // 2) END AS s, ['wing', 'head', ''][1 + vec_id % 3] AS view, CAST(label % 3 AS VARCHAR) AS family, CASE WHEN vec_id % 8 < 4 THEN CAST(label AS VARCHAR) ELSE '' END AS species, embedding::DOUBLE[] AS e FROM embeddings),
+  m AS (SELECT s, i, avg(e[i]) AS x FROM (SELECT s, e, unnest(range(1, 65)) AS i FROM v) GROUP BY s, i), n AS (SELECT s, greatest(sqrt(sum(x * x)), 1e-12) AS n FROM m GROUP BY s),
+  u AS (SELECT m.s, list(round(x / n, 6) ORDER BY i) AS embedding FROM m JOIN n ON m.s = n.s GROUP BY m.s),
+  a AS (SELECT s, count(*) AS view_count, string_agg(DISTINCT coalesce(nullif(view, ''), 'habitus'), ',' ORDER BY coalesce(nullif(view, ''), 'habitus')) AS available_views, string_agg(CAST(vec_id AS VARCHAR), ',' ORDER BY CAST(vec_id AS VARCHAR)) AS embedding_view_ids,
+    count(DISTINCT family) AS nf, min(family) AS family, count(DISTINCT nullif(species, '')) AS ns, coalesce(max(species), '') AS species FROM v GROUP BY s)
+  SELECT a.s AS specimen, view_count, available_views, embedding_view_ids, a.s AS split_group, CASE WHEN nf > 1 THEN '' ELSE family END AS family, CASE WHEN ns > 1 THEN '' ELSE species END AS species,
+    CASE WHEN ns > 1 THEN 'conflicting_species_within_specimen' WHEN nf > 1 THEN 'conflicting_family_within_specimen' ELSE '' END AS exclusion_reason, nf <= 1 AND ns <= 1 AS eligible_supervised, embedding FROM a JOIN u ON a.s = u.s""")
 def c22_a7_fuse_views(spark, d):
-    t = read(spark, d, "embeddings").withColumn("specimen", F.expr("vec_id div 2"))
-    return vectors.fuse_views(t, "specimen").withColumn("embedding", F.transform("embedding", lambda x: F.round(x, 6)))
+    """A third of the rows has no specimen id; families and species differ in some specimens."""
+    k = F.col("vec_id")
+    t = read(spark, d, "embeddings").select(
+        F.when(k % 6 < 2, " ").otherwise(F.concat(F.lit("sp"), F.floor(k / 2))).alias("specimen"), k.alias("record_id"), F.get(F.array(F.lit("wing"), F.lit("head"), F.lit("")), (k % 3).cast("int")).alias("view_type"),
+        (F.col("label") % 3).alias("family"), F.when(k % 8 < 4, F.col("label").cast("string")).otherwise("").alias("species"), "embedding")
+    fused = vectors.assert_one_split(vectors.fuse_views(t, "specimen"))
+    return fused.select("specimen", "view_count", "available_views", "embedding_view_ids", "split_group", "family", "species", "exclusion_reason", "eligible_supervised", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
 
 
 @query("""WITH h AS (SELECT vec_id, embedding[1:32]::DOUBLE[] AS a, embedding[33:64]::DOUBLE[] AS b FROM embeddings)
@@ -64,12 +77,14 @@ def c30_v5_search(spark, d):
 
 
 @query(f"""WITH {UNITS}, {MEANS}, s AS (SELECT vec_id, u.label, c.label AS guess, round(list_dot_product(u, c), 9) AS sim FROM u, c),
-  r AS (SELECT label, guess, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, guess) AS k FROM s)
-  SELECT label, count(*) AS n, CAST(sum(CAST(k = 1 AS INTEGER)) AS BIGINT) AS top1, CAST(sum(CAST(k <= 5 AS INTEGER)) AS BIGINT) AS top5 FROM r WHERE label = guess GROUP BY label""")
+  r AS (SELECT vec_id, label, guess, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, CAST(guess AS VARCHAR)) AS k FROM s),
+  h AS (SELECT CAST(label AS VARCHAR) AS label, 'src' || (vec_id % 3) AS source, CASE WHEN vec_id % 5 = 0 THEN 'test' ELSE 'val' END AS split, k FROM r WHERE label = guess)
+  SELECT CASE WHEN g = 7 THEN 'all' WHEN g = 3 THEN 'label' WHEN g = 5 THEN 'source' ELSE 'split' END AS dimension, coalesce(label, source, split, '') AS value, n, top1, top5 FROM (
+    SELECT grouping(label, source, split) AS g, label, source, split, count(*) AS n, count(*) FILTER (k = 1) AS top1, count(*) FILTER (k <= 5) AS top5 FROM h GROUP BY GROUPING SETS ((), (label), (source), (split)))""")
 def a11_w5_accuracy(spark, d):
-    """Top-1 and top-5 hits by nearest centroid: a row meets as many centroids as there are classes."""
-    t = read(spark, d, "embeddings").select("vec_id", "label", unit(F.col("embedding")).alias("u"))
-    mid = vectors.centroids(read(spark, d, "embeddings"), "label").agg(F.collect_list(F.struct(F.col("label").alias("guess"), "centroid")).alias("all"))
-    ranked = t.join(F.broadcast(mid)).select("label", F.array_sort(F.transform("all", lambda c: F.struct((-F.round(dot(F.col("u"), c["centroid"]), 9)).alias("s"), c["guess"].alias("g")))).alias("r"))
-    k = F.array_position(F.transform("r", lambda x: x["g"]), F.col("label"))
-    return ranked.groupBy("label").agg(F.count("*").alias("n"), F.count_if(k == 1).alias("top1"), F.count_if(k <= 5).alias("top5"))
+    """Top-1 and top-5 hits by nearest centroid: overall, by class, source and split."""
+    t = read(spark, d, "embeddings")
+    ranked = vectors.guesses(t, vectors.centroids(t, "label"), "label", 5)
+    k = F.col("vec_id")
+    truth = t.select("vec_id", F.col("label").cast("string").alias("label"), F.concat(F.lit("src"), k % 3).alias("source"), F.when(k % 5 == 0, "test").otherwise("val").alias("split"))
+    return evaluation.accuracy(truth, ranked, "vec_id", "label", ["label", "source", "split"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,32 +39,43 @@ def unwrap(document: Column, names: tuple[str, ...] = ENVELOPES) -> Column:
     return F.when(F.ltrim(held).startswith("["), F.from_json(held, "array<string>")).otherwise(F.array(held))
 
 
+def read_scope(spark: SparkSession, path: str) -> DataFrame:
+    """(family) of a JSON list of names, or of an object's ``families``; names that differ in case only are an error."""
+    text = spark.read.text(path, wholetext=True).select(F.coalesce(F.get_json_object("value", "$.families"), F.col("value")).alias("value"))
+    names = text.select(F.explode(F.from_json("value", "array<string>")).alias("family")).select(F.trim("family").alias("family")).filter("family != ''")
+    if not names.groupBy(F.lower("family").alias("low")).count().filter("count > 1").isEmpty():
+        raise ValueError("a family is named twice")
+    return names
+
+
 def list_images(spark: SparkSession, folder: str) -> DataFrame:
     """(local_path, bytes) of all image files below a folder; their content isn't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.*").load(folder)
     return files.filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*IMAGE_SUFFIXES)).select(F.col("path").alias("local_path"), F.col("length").alias("bytes"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the session's ``spark.checkpoint.dir``, which all executors see; a temporary one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="speclake-")
-    return f"{base.rstrip('/')}/speclake-{uuid.uuid4().hex}"
-
-
 def write_manifest(df: DataFrame, path: str, columns: list[str] | None = None) -> DataFrame:
     """Writes ``df`` as zstd Parquet of strings in fixed column order and reads it again.
 
-    An empty result is refused before an older one is replaced; Spark's committer publishes the files only if every task ended.
+    Each write goes to a version of its own below ``path``; only when it is whole and not empty is it named in
+    the small table ``path``/current, by an append. So a failed or an empty write leaves the older rows as they are.
     """
+    spark = df.sparkSession
     names = columns or df.columns
     rows = df.select(*[(F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")).alias(c) for c in names])
-    draft = f"{path.rstrip('/')}.draft"
-    rows.write.option("compression", "zstd").mode("overwrite").parquet(draft)
-    written = df.sparkSession.read.parquet(draft)
-    if written.isEmpty():
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    where = f"{path.rstrip('/')}/versions/{version}"
+    rows.write.option("compression", "zstd").parquet(where)
+    if spark.read.parquet(where).isEmpty():
         raise ValueError("nothing to write")
-    written.write.option("compression", "zstd").mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark.createDataFrame([(version,)], "version string").write.mode("append").parquet(f"{path.rstrip('/')}/current")
+    return read_manifest(spark, path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last whole write of ``write_manifest``."""
+    version = spark.read.parquet(f"{path.rstrip('/')}/current").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path.rstrip('/')}/versions/{version}")
 
 
 def write_partitioned(df: DataFrame, path: str, column: str) -> DataFrame:

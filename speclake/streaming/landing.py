@@ -29,14 +29,16 @@ def first_within(rows: DataFrame, keys: list[str], time: str, horizon: str, out:
 
 
 def running_counts(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
-    """Counts by key of all that landed; each batch replaces the table whole."""
+    """Counts by key of all that landed; each batch is a whole table of its own, and the last one is read, so that a failed batch leaves the one before."""
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/data")
+        batch.write.mode("overwrite").parquet(f"{out}/data/batch={number}")
 
     counted = rows.groupBy(*keys).agg(F.count("*").alias("n"))
     counted.writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
-    return rows.sparkSession.read.schema(counted.schema).parquet(f"{out}/data")
+    written = rows.sparkSession.read.schema(counted.schema.add("batch", "long")).parquet(f"{out}/data")
+    last = written.agg(F.max("batch")).first()[0]
+    return written.filter(F.col("batch").eqNullSafe(F.lit(last))).drop("batch")
 
 
 def decided(rows: DataFrame, decide: Callable[[DataFrame], DataFrame], out: str) -> DataFrame:

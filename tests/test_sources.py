@@ -42,7 +42,13 @@ def test_images_and_sinks(spark, tmp_path):
     assert sorted(map(tuple, out.collect())) == [("1", "true", ""), ("2", "", "")]
     with pytest.raises(ValueError):
         tables.write_manifest(frame.filter("id > 5"), str(tmp_path / "m"))
-    assert spark.read.parquet(str(tmp_path / "m")).count() == 2
+    assert tables.read_manifest(spark, str(tmp_path / "m")).count() == 2
+    # A failed write leaves the older rows.
+    with pytest.raises(Exception, match="stop"):
+        tables.write_manifest(frame.withColumn("more", F.raise_error(F.lit("stop")).cast("string")), str(tmp_path / "m"))
+    assert tables.read_manifest(spark, str(tmp_path / "m")).count() == 2
+    tables.write_manifest(frame.filter("id = 2"), str(tmp_path / "m"), ["id"])
+    assert [tuple(r) for r in tables.read_manifest(spark, str(tmp_path / "m")).collect()] == [("2",)]
 
 
 def test_pick_keeps_document_order(spark):
