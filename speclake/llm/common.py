@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from speclake.sources.shared import BROADCAST_ROWS, cut, sized
+
+__all__ = ["BROADCAST_ROWS", "UPPER", "WORD", "ascii_lower", "cut", "sized", "table"]
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The six ASCII white-space characters that end a word.
 WORD = r"[^\x20\x09-\x0D]++"
-#: Rows that may be broadcast after they were counted; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,25 +21,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only; every other character stays. lower() is fast and right for text of ASCII alone."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialises ``df`` in the cluster's shared checkpoint folder and cuts its lineage.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where none is set (tests on one
-    machine) a temporary one is made.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        where = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(where or tempfile.mkdtemp(prefix="speclake-checkpoint-"))
-    return df.checkpoint()
-
-
-def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it was counted to hold at most ``limit`` rows, else as it is.
-
-    ``df`` should be materialised already: it is counted here.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

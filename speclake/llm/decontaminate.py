@@ -92,11 +92,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; columns as given.
 
-    Rows are told apart by id and text, so rows that share an id are judged each on its own. The keys
+    Columns of any name stay. Rows are told apart by id and text, so rows that share an id are judged each on its own. The keys
     of contaminated rows are counted and broadcast if few, else joined by shuffle.
     """
     key = F.xxhash64("doc_id", F.md5("text"))
     flagged = find_contamination(docs.select(F.struct("doc_id", key.alias("key")).alias("doc_id"), "text"), benchmark, width)
     bad = cut(flagged.filter("n_hit > 0").select(F.col("doc_id.doc_id").alias("bad_id"), F.col("doc_id.key").alias("bad_key")).distinct())
     bad = sized(bad)
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")) & (key == F.col("bad_key")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["doc_id"], F.md5(docs["text"])) == bad["bad_key"]), "left_anti")

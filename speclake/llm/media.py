@@ -273,9 +273,9 @@ def padded(data: bytes) -> bytes:
     return data + b"\xff" * (max(1, -(-len(data) // UNIT)) * UNIT - len(data))
 
 
-def stored(payload: bytes) -> list[bytes]:
-    """A payload of whole units as one image or, if long, several."""
-    return [encode(payload[k : k + UNIT * TALL]) for k in range(0, len(payload), UNIT * TALL)]
+def stored(payload: bytes) -> Iterator[bytes]:
+    """A payload of whole units as one image or, if long, several, made one at a time."""
+    return (encode(payload[k : k + UNIT * TALL]) for k in range(0, len(payload), UNIT * TALL))
 
 
 def read_back(frame: Frame) -> bytes:
@@ -285,12 +285,21 @@ def read_back(frame: Frame) -> bytes:
     return np.where(blocks > 0, blocks, blocks + 255).astype(np.uint8).tobytes()
 
 
-def features(tensors: list[np.ndarray]) -> str:
-    """Rows, columns, and per colour the mean and mean square of all tensors' values, as text."""
-    n = sum(t.shape[0] * t.shape[1] for t in tensors)
-    sums = sum(t.sum(axis=(0, 1), dtype=np.int64) for t in tensors)
-    squares = sum((t.astype(np.int32) ** 2).sum(axis=(0, 1), dtype=np.int64) for t in tensors)
-    return f"{sum(t.shape[0] for t in tensors)}x{tensors[0].shape[1]}x3;" + ",".join(f"{s / n:.2f}" for s in sums) + ";" + ",".join(f"{s / n:.1f}" for s in squares)
+class Features:
+    """Rows, columns, and per colour the mean and mean square of the values of tensors seen one after another, as text."""
+
+    def __init__(self) -> None:
+        self.rows, self.columns = 0, 0
+        self.sums, self.squares = np.zeros(3, np.int64), np.zeros(3, np.int64)
+
+    def add(self, tensor: np.ndarray) -> None:
+        self.rows, self.columns = self.rows + tensor.shape[0], tensor.shape[1]
+        self.sums += tensor.sum(axis=(0, 1), dtype=np.int64)
+        self.squares += (tensor.astype(np.int32) ** 2).sum(axis=(0, 1), dtype=np.int64)
+
+    def __str__(self) -> str:
+        n = self.rows * self.columns
+        return f"{self.rows}x{self.columns}x3;" + ",".join(f"{s / n:.2f}" for s in self.sums) + ";" + ",".join(f"{s / n:.1f}" for s in self.squares)
 
 
 MEDIA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -301,7 +310,7 @@ def store_media(docs: DataFrame, tensors: bool = False) -> DataFrame:
 
     ``docs``: doc_id, text. Returns the columns of ``MEDIA``; with ``tensors`` also media (array of
     binary: the images) and rgb (array of binary: their full-resolution tensors, row by row, 32 x 3
-    bytes a row). Texts longer than ``TALL`` units take several images, one in memory at a time.
+    bytes a row). Texts longer than ``TALL`` units take several images, of which one and its tensor are in memory at a time, but for ``tensors``.
     Null and empty texts are one unit of padding; repeated rows stay; an empty table gives an empty result.
     """
 
@@ -312,18 +321,20 @@ def store_media(docs: DataFrame, tensors: bool = False) -> DataFrame:
                 rows = []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                     data = text.as_py() or b""
-                    payload, whole, described = hashlib.sha256(), hashlib.sha256(), []
+                    payload, whole, described = hashlib.sha256(), hashlib.sha256(), Features()
                     size = length = 0
-                    images, kept, tail = stored(padded(data)), [], b""
-                    for image in images:
+                    images, kept, tail = [], [], b""
+                    for image in stored(padded(data)):
                         frame, rgb = decode(image)
                         read = read_back(frame)
                         payload.update(read)
                         whole.update(image)
                         size, length, tail = size + len(image), length + len(read), read[-32:]
-                        described.append(rgb)
-                        kept += [rgb.tobytes()] if tensors else []
-                    rows.append((doc, len(data), length, payload.hexdigest(), zlib.crc32(tail), size, whole.hexdigest(), features(described), *([images, kept] if tensors else [])))
+                        described.add(rgb)
+                        if tensors:
+                            images.append(image)
+                            kept.append(rgb.tobytes())
+                    rows.append((doc, len(data), length, payload.hexdigest(), zlib.crc32(tail), size, whole.hexdigest(), str(described), *([images, kept] if tensors else [])))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), *([pa.list_(pa.binary())] * 2 if tensors else [])]
                 names = [x.split()[0] for x in MEDIA.split(", ")] + (["media", "rgb"] if tensors else [])
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)

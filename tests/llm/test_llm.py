@@ -8,6 +8,7 @@ import time
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -28,6 +29,10 @@ ROWS = [
 ]
 
 
+#: Names that operators use inside.
+CLASHES = "_id _key id key row_ bad_id bad_key rejected host nth fp root component_id n_tokens word bucket found lang_pred score taken target source_size items spans words n found_ held rank_ salt".split()
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     return spark.createDataFrame(ROWS, "doc_id long, text string, lang string, source string, size long, row long")
@@ -87,6 +92,8 @@ def test_decontamination(spark, docs, odd):
     assert decontaminate.find_contamination(odd, bench.limit(0)).filter("n_hit > 0").count() == 0
     assert decontaminate.find_contamination(odd.limit(0), bench).count() == 0
     assert decontaminate.remove_contaminated(odd, bench).columns == odd.columns
+    clash = odd.select("*", *[F.col("size").alias(c) for c in CLASHES])
+    assert decontaminate.remove_contaminated(clash, bench).columns == clash.columns
 
 
 def test_language_id(spark, docs, odd):
@@ -376,6 +383,134 @@ def test_lines(spark, odd):
     assert lines.drop_boilerplate(odd).count() == len(ROWS) and lines.drop_boilerplate(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["op2_decontaminate", "op10_line_dedup"])
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
+    got, asked = queries.queries()[name](spark, DATA), duck.execute(queries.oracle_sql()[name])
+    names = [c[0] for c in asked.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(repr(tuple(r[c] for c in names)) for r in got.collect()) == sorted(map(repr, asked.fetchall()))
+
+
+def test_clashing_columns(spark, odd):
+    clash = odd.select("*", *[F.col("size").alias(c) for c in CLASHES])
+    assert simhash.keep_one(clash).columns == clash.columns and simhash.keep_one(clash).count() == simhash.keep_one(odd).count()
+    assert lines.drop_boilerplate(clash).count() == mixing.mix_sources(clash).count() == simhash.near_duplicates(clash).count() == len(ROWS)
+    assert langmodel.score_texts(clash).count() == secrets.scan_secrets(clash).count() == tokencount.count_tokens(clash).count() == media.store_media(clash).count() == len(ROWS)
+    pieces = langid.vocabulary()
+    names, p = langid.train(clash, pieces)
+    assert langid.identify(clash, names, p, pieces).count() == len(ROWS)
+
+
+def test_mix_query_meets_targets(spark, docs):
+    """Targets by rounds of sharing; what is taken is as near as whole documents allow."""
+    got = queries.op1_mix_sources(spark, DATA).join(docs.select("doc_id", "source"), "doc_id").toPandas()
+    sizes = {i: len((t or "").encode().split()) for i, t in docs.select("doc_id", "text").collect()}
+    assert (got["size"] == got["doc_id"].map(sizes)).all()
+    totals = got.groupby("source")["size"].sum().to_dict()
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(totals))}
+    left, target, open_ = 1.5 * sum(totals.values()), {}, sorted(totals)
+    while open_:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 2 * totals[s]]
+        if not over:
+            target |= share
+            break
+        target |= {s: 2.0 * totals[s] for s in over}
+        left -= sum(2.0 * totals[s] for s in over)
+        open_ = [s for s in open_ if s not in over]
+    for source, part in got.groupby("source"):
+        assert (part["source_size"] == totals[source]).all() and part["target"].to_numpy() == pytest.approx(target[source])
+        assert (part["taken"] % part["size"].clip(lower=1) == 0).all() and (part["taken"] <= 2 * part["size"]).all()
+        passes = int(target[source] // totals[source]) if totals[source] else 0
+        sums, rest = 1, round(target[source] - passes * totals[source])
+        for n in part["size"]:
+            sums |= sums << int(n)
+        best = (sums & (1 << (rest + 1)) - 1).bit_length() - 1
+        assert 0 <= passes * totals[source] + best - part["taken"].sum() <= 2, source
+
+
+def test_language_query_by_brute_force(spark, docs):
+    got = {r.doc_id: r for r in queries.op3_language_id(spark, DATA).collect()}
+    pieces = langid.vocabulary()
+    known = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.lang is not None]
+    names, p = langid.train(docs.filter(~langmodel.held_out(parts=3, part=1)), pieces)
+    assert names == sorted({r.lang for r in known})
+    table = np.vstack([p, np.full((1, len(names)), 1e-7)])
+    at = {w: i for i, w in enumerate(pieces)}
+    for r in docs.limit(25).collect():
+        total = np.zeros(len(names))
+        for w in re.findall(r"[^\W\d_]+", r.text.lower()):
+            text, ways = "▁" + w, [np.ones(len(names))]
+            for j in range(1, len(text) + 1):
+                ways.append(sum(ways[a] * table[at.get(text[a:j], -1)] for a in range(j) if text[a:j] in at or a == j - 1))
+            total += np.log(ways[-1])
+        share = np.exp(total - total.max()) / np.exp(total - total.max()).sum()
+        g = got[r.doc_id]
+        assert (g.held_out, g.lang_pred) == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1, names[int(total.argmax())]) and g.score == pytest.approx(share.max(), abs=1e-5)
+
+
+def test_token_query_by_brute_force(spark, docs):
+    import sentencepiece
+
+    model, pieces, counts, texts = sentencepiece.SentencePieceProcessor(model_file=f"{langid.TOKENIZERS}/piece_bpe_32k.model"), tokencount.pieces(), Counter(), docs.collect()
+    for r in texts:
+        for w, n in Counter(r.text.split()).items():
+            for k in model.encode(w):
+                counts[model.id_to_piece(k)] += n
+    total = sum(counts[p] for p in pieces) + len(pieces)
+    scores = {p: math.log((counts[p] + 1) / total) for p in pieces}
+    assert tokencount.piece_scores(docs) == pytest.approx(scores)
+    got = {r.doc_id: r for r in queries.op5_token_counts(spark, DATA).collect()}
+    best: dict[str, tuple] = {}
+    for r in texts:
+        tokens, score = 0, 0.0
+        for w in r.text.split():
+            if w not in best:
+                text, ways = "▁" + w, [(0.0, 0)]
+                for j in range(1, len(text) + 1):
+                    single = [] if text[j - 1] in scores else [(ways[j - 1][0] - 20.0 * len(text[j - 1].encode()), ways[j - 1][1] - len(text[j - 1].encode()))]
+                    ways.append(max([(ways[a][0] + scores[text[a:j]], ways[a][1] - 1) for a in range(j) if text[a:j] in scores] + single))
+                best[w] = ways[-1]
+            tokens, score = tokens - best[w][1], score + best[w][0]
+        g = got[r.doc_id]
+        assert (g.n_chars, g.n_pretokens, g.n_tokens) == (len(r.text), len(r.text.split()), tokens) and g.score == pytest.approx(score, abs=0.01)
+
+
+def test_simhash_query_by_brute_force(spark, docs):
+    texts = {r.doc_id: r.text.encode().lower().split() for r in docs.collect()}
+    bits = {}
+    for i, w in texts.items():
+        h = [xxhash.xxh64_intdigest(b" ".join(w[k : k + 3]), 42) for k in range(max(1, len(w) - 2))] if w else []
+        bits[i] = sum((2 * sum(x >> b & 1 for x in h) > len(h)) << b for b in range(64))
+    points = sorted(set(bits.values()))
+    near = {x: [y for y in points if (x ^ y).bit_count() <= 2] for x in points}
+    label = {x: min(i for i, y in bits.items() if y == x) for x in points}
+    while (new := {x: min(label[y] for y in near[x]) for x in points}) != label:
+        label = new
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op7_simhash(spark, DATA).collect()}
+    assert got == {i: (f"{x:016x}", label[x]) for i, x in bits.items()}
+
+
+def test_media_query_by_brute_force(spark, docs):
+    got = {r.doc_id: r for r in queries.op9_media(spark, DATA).collect()}
+    texts = docs.collect()
+    assert set(got) == {r.doc_id for r in texts}
+    for r in texts:
+        data = r.text.encode()
+        payload = data + b"\xff" * (-len(data) % 576 or 576 * (not data))
+        g = got[r.doc_id]
+        assert (g.n_bytes, g.payload_bytes, g.payload_sha256, g.tail_crc32) == (len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+    for r in texts[:10]:
+        images = list(media.stored(media.padded(r.text.encode())))
+        tensors = np.concatenate([media.decode(x)[1] for x in images])
+        g = got[r.doc_id]
+        assert (g.media_bytes, g.media_sha256) == (sum(map(len, images)), hashlib.sha256(b"".join(images)).hexdigest())
+        assert g.feature == f"{tensors.shape[0]}x{tensors.shape[1]}x3;" + ",".join(f"{x:.2f}" for x in tensors.mean(axis=(0, 1))) + ";" + ",".join(f"{x:.1f}" for x in (tensors.astype(float) ** 2).mean(axis=(0, 1)))
+
+
 def test_pipeline(spark, odd):
     import corpus_pipeline
 
