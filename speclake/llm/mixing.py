@@ -70,7 +70,7 @@ def fill_budget(lengths: list[int], counts: list[int], budget: int, window: int)
     return taken
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = 1.5, limit: int = 2, seed: int = 42, window: int = 4096, buckets: int = 256) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = 1.5, limit: int = 2, seed: int = 42, window: int = 1 << 14, buckets: int = 256) -> DataFrame:
     """Draws documents so that each source's words meet its target.
 
     ``docs``: doc_id, text, source. The size of a document is its number of words (null or empty

@@ -429,7 +429,7 @@ def test_mix_query_meets_targets(spark, docs):
         for n in part["size"]:
             sums |= sums << int(n)
         best = (sums & (1 << (rest + 1)) - 1).bit_length() - 1
-        assert 0 <= passes * totals[source] + best - part["taken"].sum() <= 2, source
+        assert 0 <= passes * totals[source] + best - part["taken"].sum() <= (2 if rest <= 1 << 14 else part["size"].max()), source
 
 
 def test_language_query_by_brute_force(spark, docs):
