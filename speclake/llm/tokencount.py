@@ -65,7 +65,7 @@ END = object()
 class Trie:
     """Distinct pre-tokens by shared prefixes; each node keeps the best segmentation up to it.
 
-    A node's state (score, -tokens) is computed once, when the first pre-token that passes it is
+    A node's score and number of tokens are computed once, when the first pre-token that passes it is
     inserted, from the states on its path; a pre-token's last node holds its token count. Characters
     that are no piece cost ``byte_cost`` and a token for each of their UTF-8 bytes. Of equal scores
     the fewer tokens win.
@@ -79,33 +79,36 @@ class Trie:
 
     def clear(self) -> None:
         self.child: dict[tuple[int, str], int] = {}
-        self.state: list[tuple[float, int]] = [(0.0, 0)]
+        self.best: list[float] = [0.0]
+        self.size: list[int] = [0]
         self.counts: dict[str, tuple[int, float]] = {}
 
     def count(self, word: str) -> tuple[int, float]:
-        """(tokens, score) of a pre-token."""
-        if word in self.counts:
-            return self.counts[word]
-        node, path, scores = 0, [(0.0, 0)], self.scores
+        """(tokens, score) of a pre-token, which is inserted."""
+        node, path, child, scores, best_of, size_of = 0, [0], self.child, self.scores, self.best, self.size
         for d, ch in enumerate(word, 1):
-            nxt = self.child.get((node, ch))
+            nxt = child.get((node, ch))
             if nxt is None:
-                nxt = self.child[node, ch] = len(self.state)
-                best = (-math.inf, 0)
+                nxt = child[node, ch] = len(best_of)
+                best, size = -math.inf, 0
                 if scores.get(ch) is None:
                     n = len(ch.encode("utf-8", "surrogatepass"))
-                    best = (path[-1][0] + n * self.byte_cost, path[-1][1] - n)
+                    best, size = best_of[node] + n * self.byte_cost, size_of[node] + n
                 for a in range(d - 1, -1, -1):
                     s = scores.get(word[a:d], END)
+                    if s is None:
+                        continue
                     if s is END:
                         break
-                    if s is not None and (total := path[a][0] + s) >= best[0]:
-                        best = max(best, (total, path[a][1] - 1))
-                self.state.append(best)
+                    at = path[a]
+                    total = best_of[at] + s
+                    if total > best or total == best and size_of[at] < size - 1:
+                        best, size = total, size_of[at] + 1
+                best_of.append(best)
+                size_of.append(size)
             node = nxt
-            path.append(self.state[node])
-        found = self.counts[word] = (-path[-1][1], path[-1][0])
-        return found
+            path.append(node)
+        return size_of[node], best_of[node]
 
 
 #: Of the last scores used in a worker, by a key that the driver gives each.
@@ -128,15 +131,20 @@ def count_tokens(docs: DataFrame, tokenizers: str = TOKENIZERS, name: str = "pie
             _TRIES.clear()
             _TRIES[key] = Trie(shared.value)
         trie = _TRIES[key]
+        known = trie.counts
         for batch in batches:
             out = []
             for text in batch.column(1).to_pylist():
                 words, n_tokens, score = Counter((text or "").split()), 0, 0.0
                 for w, n in words.items():
-                    k, s = trie.count(MARK + w)
-                    n_tokens, score = n_tokens + n * k, score + n * s
-                    if len(trie.state) > bound:
-                        trie.clear()
+                    found = known.get(w)
+                    if found is None:
+                        if len(trie.best) > bound:
+                            trie.clear()
+                            known = trie.counts
+                        found = known[w] = trie.count(MARK + w)
+                    n_tokens += n * found[0]
+                    score += n * found[1]
                 out.append((len(text or ""), words.total(), n_tokens, round(score, 3)))
             columns = [list(x) for x in zip(*out, strict=True)] if out else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.int64()) for x in columns[:3]], pa.array(columns[3], pa.float64())], ["doc_id", "n_chars", "n_pretokens", "n_tokens", "score"])
