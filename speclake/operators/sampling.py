@@ -70,8 +70,8 @@ def select_balanced(df: DataFrame, targets: dict[str, int], total: int, cap: int
     rows with the lowest seeded scores. A taxon is the species, else genus, else family. Two passes: one
     counts, one selects. Adds bucket, archive_group and archive_member (needs chunk).
     """
-    bucket = S.sampling_bucket(F.lit("A"), S.real_species(F.col("species")), F.col("genus"), F.col("family"))
-    rows = df.withColumns({"bucket": bucket, split: F.lower(F.trim(split))}).filter("bucket != ''")
+    rank, taxon = S.taxon_bucket(F.col("species"), F.col("genus"), F.col("family"))
+    rows = df.withColumns({"bucket": F.when(rank != "", F.concat(rank, F.lit(":"), taxon)).otherwise(""), split: F.lower(F.trim(split))}).filter("bucket != ''")
     chosen = plan(rows.withColumn("_source", F.col("source") if "source" in df.columns else F.lit("")).withColumn("source", F.col(split)), targets, total, cap, seed, identity)
     restored = chosen.withColumn("source", F.col("_source")) if "source" in df.columns else chosen.drop("source")
     return restored.select(*df.columns, "bucket").withColumns({"archive_group": S.archive_group(F.col(split)), "archive_member": S.archive_member(F.col(split), F.coalesce("chunk", F.lit("")), F.col(identity))})

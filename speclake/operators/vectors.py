@@ -79,6 +79,36 @@ def fuse_encoders(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return both.select(key, unit(F.transform(F.concat("a", "b"), lambda x: x / F.sqrt(F.lit(2.0)))).alias("embedding"))
 
 
+#: The metadata that a retrieval table keeps.
+KEPT = (
+    "record_id", "source", "source_record_id", "image_url", "local_path", "image_license", "attribution", "family", "genus", "species",
+    "accepted_scientific_name", "label_quality", "view_type", "country", "split", "split_group", "specimen_group_id", "source_url",
+)
+
+
+def retrieval_table(df: DataFrame, vector: str = "embedding") -> DataFrame:
+    """Unit vectors with the kept metadata, absent columns as ''."""
+    have = set(df.columns)
+    return df.select(*[(S.clean(F.col(c)) if c in have else F.lit("")).alias(c) for c in KEPT], unit(F.col(vector)).alias("embedding"))
+
+
+#: The columns in which the rows of two encoders' cohorts must agree.
+ALIGNED = (
+    "record_id", "specimen_group_id", "split_group", "split", "source", "source_split", "family", "genus", "species", "label_quality",
+    "eligible_supervised", "view_type", "image_sha256", "observation_id", "duplicate_group_id", "accepted_scientific_name",
+)
+
+
+def alignment_problems(cohort: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """(key, problem): cohort rows that ``other`` lacks ('missing') and those that differ in a column of ``ALIGNED`` that the cohort has ('differs:column', the first)."""
+    names = [c for c in ALIGNED if c in cohort.columns and c != key]
+    right = other.select(F.col(key).alias("_key"), F.struct(*[(F.col(c) if c in other.columns else F.lit(None).cast("string")).alias(c) for c in names]).alias("_r") if names else F.struct(F.lit(1).alias("x")).alias("_r"))
+    both = cohort.join(right, F.col(key) == F.col("_key"), "left")
+    differs = [F.when(~F.col(c).cast("string").eqNullSafe(F.col(f"_r.{c}").cast("string")), f"differs:{c}") for c in names]
+    problem = F.when(F.col("_key").isNull(), "missing").otherwise(F.coalesce(*differs, F.lit(None).cast("string")))
+    return both.select(key, problem.alias("problem")).filter("problem IS NOT NULL")
+
+
 def shard_state(df: DataFrame, shard: str, vector: str = "embedding") -> DataFrame:
     """(shard, n, least_dim, most_dim, not_finite) of each shard."""
     size = F.size(vector).cast("long")
@@ -103,11 +133,31 @@ def centroids(df: DataFrame, label: str, vector: str = "embedding") -> DataFrame
 def gates(df: DataFrame, label: str, quantile: float, margin: float, vector: str = "embedding") -> DataFrame:
     """(label, centroid, threshold): the quantile of a class's similarities to its centroid less a margin, within -1 and 1."""
     mid = sized(cut(centroids(df, label, vector)))
-    sims = df.join(mid, label).select(label, dot(unit(F.col(vector)), F.col("centroid")).alias("sim"))
-    limit = sims.groupBy(label).agg(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.percentile("sim", quantile) - margin)).alias("threshold"))
+    sims = cut(df.join(mid, label).select(label, dot(unit(F.col(vector)), F.col("centroid")).alias("sim")))
+    limit = quantiles(sims, label, "sim", quantile).select(label, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("quantile") - margin)).alias("threshold"))
     return mid.join(limit, label)
 
 
+def quantiles(df: DataFrame, key: str, value: str, q: float, bins: int = 4096) -> DataFrame:
+    """(key, quantile): exact, between the two nearest values in proportion; ``value`` is within -1 and 1, nulls don't count.
+
+    Counts by bin tell in which bins the two ranks lie; only the rows of these are ordered, and those only once per
+    value, so no task sorts a whole class. ``df`` is read twice and should be materialised.
+    """
+    rows = df.select(key, F.col(value).alias("v")).filter("v IS NOT NULL").withColumn("bin", F.floor((F.col("v") + 1) * (bins / 2)).cast("int"))
+    counts = rows.groupBy(key, "bin").agg(F.count("*").alias("n"))
+    to = Window.partitionBy(key).orderBy("bin")
+    at = counts.withColumn("last", F.sum("n").over(to)).withColumn("total", F.sum("n").over(Window.partitionBy(key)))  # at most ``bins`` rows a key
+    rank = (F.col("total") - 1) * F.lit(q)
+    wanted = at.withColumns({"first": F.col("last") - F.col("n"), "rank": rank}).filter((F.col("first") <= F.ceil("rank")) & (F.col("last") > F.floor("rank"))).select(F.col(key).alias("_key"), F.col("bin").alias("_bin"), "first", "rank")
+    near = rows.join(wanted, F.col(key).eqNullSafe(F.col("_key")) & (F.col("bin") == F.col("_bin")), "inner").groupBy(key, "bin", "v", "first", "rank").agg(F.count("*").alias("n"))
+    through = F.sum("n").over(Window.partitionBy(key, "bin").orderBy("v")) + F.col("first")
+    placed = near.withColumn("through", through)
+    value_at = lambda place: F.max(F.when((F.col("through") > place) & (F.col("through") - F.col("n") <= place), F.col("v")))
+    both = placed.groupBy(key).agg(value_at(F.floor("rank")).alias("lo"), value_at(F.ceil("rank")).alias("hi"), F.max("rank").alias("rank"))
+    return both.select(key, (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("rank") - F.floor("rank"))).alias("quantile"))
+
+
 def guesses(df: DataFrame, mids: DataFrame, label: str, k: int, identity: str = "vec_id", vector: str = "embedding", bound: int = 4096) -> DataFrame:
     """(identity, guess, similarity, nth): the ``k`` classes of ``mids`` (label, centroid) most similar to each row.
 

@@ -81,13 +81,13 @@ def j7_budgets(spark, d):
     return sampling.lowest(t.select("record_id", "source").join(budgets, "source"), ["source"], "budget", 9, "record_id").select("record_id")
 
 
-@query("""SELECT vec_id, 'missing' AS problem FROM embeddings WHERE vec_id % 10 = 0 UNION ALL SELECT vec_id, 'differs' FROM embeddings WHERE vec_id % 10 <> 0 AND vec_id % 6 = 1""")
+@query("""SELECT record_id, problem FROM (SELECT vec_id AS record_id, CASE WHEN vec_id % 10 = 0 THEN 'missing' WHEN vec_id % 6 = 1 THEN 'differs:family' WHEN vec_id % 6 = 2 THEN 'differs:species' END AS problem FROM embeddings) WHERE problem IS NOT NULL""")
 def j12_cohort_alignment(spark, d):
-    t = read(spark, d, "embeddings").select("vec_id", "label")
-    other = t.filter("vec_id % 10 <> 0").select("vec_id", F.when(F.col("vec_id") % 6 == 1, F.col("label") + 1).otherwise(F.col("label")).alias("other"), F.lit(True).alias("there"))
-    both = t.join(other, "vec_id", "left")
-    problem = F.when(F.col("there").isNull(), "missing").when(~F.col("label").eqNullSafe(F.col("other")), "differs")
-    return both.select("vec_id", problem.alias("problem")).filter("problem IS NOT NULL")
+    """A null in one cohort and a text in the other differ; nulls in both don't."""
+    k = F.col("vec_id")
+    t = read(spark, d, "embeddings").select(k.alias("record_id"), F.col("label").cast("string").alias("family"), F.when(k % 5 != 0, F.lit("s")).alias("species"), F.lit("train").alias("split"))
+    other = t.filter("record_id % 10 <> 0").withColumns({"family": F.when(F.col("record_id") % 6 == 1, F.concat("family", F.lit("x"))).otherwise(F.col("family")), "species": F.when(F.col("record_id") % 6 == 2, F.when(F.col("species").isNull(), "s")).otherwise(F.col("species"))})
+    return vectors.alignment_problems(t, other, "record_id")
 
 
 @query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '.jpg' WHEN 1 THEN '.jpeg' WHEN 2 THEN '.png' END AS suffix FROM documents")

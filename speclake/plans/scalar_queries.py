@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
-from speclake.operators import records
+from speclake.operators import ingest, records
 from speclake.plans.register import read, registry
 
 QUERIES, SQL, query = registry()
@@ -109,6 +109,13 @@ def p19_sampling_bucket(spark, d):
     return read(spark, d, "part").select("p_partkey", S.sampling_bucket(quality, F.col("p_name"), genus, F.col("p_type")).alias("bucket"))
 
 
+@query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'species' WHEN p_size % 2 = 0 THEN 'genus' ELSE 'family' END AS rank, CASE WHEN p_size % 3 = 0 THEN p_name WHEN p_size % 2 = 0 THEN p_brand ELSE p_type END AS taxon FROM part")
+def p19_taxon_bucket(spark, d):
+    k = F.col("p_size")
+    rank, taxon = S.taxon_bucket(F.when(k % 3 == 0, F.col("p_name")).otherwise("Aus sp."), F.when(k % 2 == 0, F.col("p_brand")).otherwise(" "), F.col("p_type"))
+    return read(spark, d, "part").select("p_partkey", rank.alias("rank"), taxon.alias("taxon"))
+
+
 @query("SELECT o_orderkey, substr(sha256('42' || chr(31) || CAST(o_orderkey AS VARCHAR)), 1, 16) AS score FROM orders")
 def p20_score(spark, d):
     return read(spark, d, "orders").select("o_orderkey", S.score(F.col("o_orderkey").cast("string"), 42).alias("score"))
@@ -157,20 +164,20 @@ def f1_keep_order(spark, d):
     return read(spark, d, "orders").filter(F.lower("o_orderstatus") == "f").select("o_orderkey")
 
 
-@query("SELECT event_id FROM events WHERE event_type = '' OR regexp_matches(lower(event_type), 'click|view')")
+@query("SELECT event_id FROM events WHERE event_id % 9 = 0 OR event_type IN ('click', 'view')")
 def f2_media_type(spark, d):
-    return read(spark, d, "events").filter((F.col("event_type") == "") | F.lower("event_type").rlike("click|view")).select("event_id")
+    return read(spark, d, "events").select("event_id", F.concat(F.col("event_type"), F.when(F.col("event_type").isin("click", "view"), "/JPEG").otherwise("/wav")).alias("kind")).filter(ingest.is_image(F.when(F.col("event_id") % 9 == 0, "").otherwise(F.col("kind")))).select("event_id")
 
 
-@query("SELECT page_id FROM pages WHERE regexp_matches(url, '^https?://') AND NOT regexp_matches(url, '^https?://(dx\\.)?doi\\.org/')")
+@query("SELECT page_id FROM pages WHERE page_id % 4 <> 0 AND regexp_matches(url, '^https?://') AND NOT regexp_matches(url, '^https?://(dx\\.)?doi\\.org/')")
 def f3_http_url(spark, d):
-    return read(spark, d, "pages").filter(F.col("url").rlike("^https?://") & ~F.col("url").rlike(r"^https?://(dx\.)?doi\.org/")).select("page_id")
+    return read(spark, d, "pages").filter(ingest.is_link(F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("ftp"), "url")).otherwise(F.col("url"))) & ~F.col("url").rlike(r"^https?://(dx\.)?doi\.org/")).select("page_id")
 
 
 @query("SELECT p_partkey FROM part WHERE p_partkey % 4 IN (0, 1)")
 def f4_license_allowed(spark, d):
     said = F.get(F.array(*map(F.lit, ["CC BY 4.0", "cc0", "CC BY-NC 4.0", "all rights"])), (F.col("p_partkey") % 4).cast("int"))
-    return read(spark, d, "part").filter(S.normalize_license(said).isin(*S.OPEN_LICENSES)).select("p_partkey")
+    return ingest.opened(read(spark, d, "part").withColumn("image_license", S.normalize_license(said)), S.OPEN_LICENSES).select("p_partkey")
 
 
 @query("""SELECT p_partkey FROM part WHERE p_size % 7 <> 0 AND p_size % 5 <> 0 AND p_size % 3 <> 2 AND p_size % 2 = 0

@@ -22,10 +22,11 @@ def s7_k5_v7_vector_store(spark, d):
     return vectors.shard_state(merged, "shard")
 
 
-@query(f"WITH {UNITS} SELECT vec_id, label, list_transform(u, lambda x: round(x, 6)) AS embedding FROM u")
-def v1_k6_unit_vectors(spark, d):
-    t = read(spark, d, "embeddings").select("vec_id", "label", unit(F.col("embedding")).alias("u"))
-    return t.select("vec_id", "label", F.transform("u", lambda x: F.round(x, 6)).alias("embedding"))
+@query(f"WITH {UNITS} SELECT CAST(vec_id AS VARCHAR) AS record_id, 'fam' || label AS family, '' AS attribution, 18 AS kept, list_transform(u, lambda x: round(x, 6)) AS embedding FROM u")
+def v1_k6_retrieval_table(spark, d):
+    t = read(spark, d, "embeddings").select(F.col("vec_id").alias("record_id"), F.concat(F.lit(" fam"), "label").alias("family"), "embedding")
+    table = vectors.retrieval_table(t)
+    return table.select("record_id", "family", "attribution", F.lit(len(table.columns) - 1).alias("kept"), F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
 
 
 @query("""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 6 < 2 THEN 'record:' || vec_id ELSE 'sp' || (vec_id // 2) END AS s, ['wing', 'head', ''][1 + vec_id % 3] AS view, CAST(label % 3 AS VARCHAR) AS family, CASE WHEN vec_id % 8 < 4 THEN CAST(label AS VARCHAR) ELSE '' END AS species, embedding::DOUBLE[] AS e FROM embeddings),
