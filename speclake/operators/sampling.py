@@ -55,12 +55,17 @@ def plan(df: DataFrame, requested: dict[str, int], total: int, cap: int, seed: i
     if total == 0:
         return eligible
     strata = eligible.groupBy("source", bucket).agg(F.count("*").alias("available"))
+    dealt = budgets(strata, requested, total, cap, bucket)
+    return lowest(eligible.join(dealt.select("source", bucket, "budget"), ["source", bucket]), ["source", bucket], "budget", seed, identity, min(cap, total)).drop("budget")
+
+
+def budgets(strata: DataFrame, requested: dict[str, int], total: int, cap: int, bucket: str) -> DataFrame:
+    """``strata`` (source, bucket, available) with ``budget``: sources share ``total`` by request, their taxa by square roots under ``cap``."""
     there = {r[0]: r[1] for r in strata.groupBy("source").agg(F.sum("available")).collect()}  # one row a requested source
     names = [s for s in requested if there.get(s)]
     shares = dict(zip(names, granted([there[s] for s in names], lambda _, i: max(requested[names[i]], 1), total), strict=True))
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]) if shares else F.create_map()
-    budgets = allocate(strata.withColumn("share", share[F.col("source")].cast("long")), "share", bucket, "available", cap)
-    return lowest(eligible.join(budgets.select("source", bucket, "budget"), ["source", bucket]), ["source", bucket], "budget", seed, identity, min(cap, total)).drop("budget")
+    return allocate(strata.withColumn("share", share[F.col("source")].cast("long")), "share", bucket, "available", cap)
 
 
 def select_balanced(df: DataFrame, targets: dict[str, int], total: int, cap: int, seed: int, identity: str = "processid", split: str = "split") -> DataFrame:

@@ -89,15 +89,50 @@ def f7_plan_eligible(spark, d):
     return records.plan_eligible(t, scope=scope).select("record_id")
 
 
-@query()
+def rounds(name: str, strata: str, part: str, taxon: str, weight: str) -> str:
+    """SQL for ``sampling.granted``: tables ``name``_r (all rounds) and ``name`` ({part}, {taxon}, given) over ``strata`` ({part}, {taxon}, lim, total, weight columns)."""
+    over, before = f"OVER (PARTITION BY {part})", f"OVER (PARTITION BY {part} ORDER BY {taxon} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""{name}_r AS (SELECT 0 AS round, *, 0 AS given, least(total, sum(lim) {over}) AS rest FROM {strata}
+  UNION ALL SELECT round + 1, * EXCLUDE (round, given, rest, w, want, more), given + more, rest - sum(more) {over} FROM (
+    SELECT *, greatest(0, least(want, rest - coalesce(sum(want) {before}, 0))) AS more FROM (
+      SELECT *, CASE WHEN given < lim THEN least(greatest(1, floor(rest * w / sum(w) {over})), lim - given) ELSE 0 END AS want FROM (
+        SELECT *, CASE WHEN given < lim THEN CAST({weight} AS DOUBLE) ELSE 0 END AS w FROM {name}_r WHERE rest > 0)))),
+  {name} AS (SELECT {part}, {taxon}, CAST(max(given) AS BIGINT) AS given FROM {name}_r GROUP BY ALL)"""
+
+
+def planned(rows: str, wanted: str, total: str, cap: str, seed: int, identity: str) -> str:
+    """SQL tables of ``sampling.plan`` over ``rows`` (source, bucket, {identity}) and ``wanted`` (source, requested): the last one is picked."""
+    return f"""st AS (SELECT source, bucket, count(*) AS n FROM {rows} GROUP BY ALL), ss AS (SELECT 0 AS one, source, CAST(sum(n) AS BIGINT) AS lim, {total} AS total, any_value(requested) AS requested FROM st JOIN {wanted} w USING (source) GROUP BY source),
+  {rounds("sh", "ss", "one", "source", "requested")}, bs AS (SELECT st.source, bucket, least(n, {cap}) AS lim, given AS total FROM st JOIN sh USING (source)),
+  {rounds("bu", "bs", "source", "bucket", "sqrt(lim - given)")},
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY source, bucket ORDER BY substr(sha256('{seed}' || chr(31) || {identity}), 1, 16), {identity}) AS nth FROM {rows}),
+  picked AS (SELECT ranked.* FROM ranked JOIN bu ON ranked.source = bu.source AND ranked.bucket = bu.bucket WHERE nth <= given)"""
+
+
+C15 = f"""WITH RECURSIVE {BOUND}, e AS (SELECT *, 'genus:' || genus AS bucket FROM bound WHERE label_quality <> 'E'), k AS (SELECT count(*) // 2 AS total FROM e),
+  wanted AS (SELECT source, 1 + (row_number() OVER (ORDER BY source) - 1) % 3 AS requested FROM (SELECT DISTINCT source FROM e)),
+  {planned("e", "wanted", "(SELECT total FROM k)", "(SELECT greatest(1, total // 20) FROM k)", 42, "record_id")}"""
+
+
+@query(f"{C15} SELECT record_id, source, bucket FROM picked")
 def c15_plan_corpus(spark, d):
-    """Weighted sources, square-root taxa, lowest scores: tests check totals and caps."""
+    """Weighted sources, square-root taxa, lowest scores."""
     t = bound(spark, d).filter("label_quality <> 'E'").withColumn("bucket", S.sampling_bucket(F.col("label_quality"), F.lit(""), F.col("genus"), F.col("family")))
     sources = [r[0] for r in t.select("source").distinct().orderBy("source").collect()]
     total = t.count() // 2
     return sampling.plan(t, {s: 1 + i % 3 for i, s in enumerate(sources)}, total, max(1, total // 20), 42).select("record_id", "source", "bucket")
 
 
+@query(f"""{C15} SELECT source, bucket, given AS budget FROM bu""")
+def c14_budgets(spark, d):
+    """Each source's share dealt to its taxa by square roots."""
+    t = bound(spark, d).filter("label_quality <> 'E'").withColumn("bucket", F.concat(F.lit("genus:"), "genus"))
+    names = [r[0] for r in t.select("source").distinct().orderBy("source").collect()]
+    total = t.count() // 2
+    strata = t.groupBy("source", "bucket").agg(F.count("*").alias("available"))
+    return sampling.budgets(strata, {s: 1 + i % 3 for i, s in enumerate(names)}, total, max(1, total // 20), "bucket").select("source", "bucket", "budget")
+
+
 SHARDED = f"""WITH {BOUND}, g AS (SELECT duplicate_key, count(*) AS n FROM bound GROUP BY duplicate_key), s AS (SELECT CAST(greatest(1, least(count(*), CAST(ceil(sum(n) / 100.0) AS BIGINT))) AS BIGINT) AS shards FROM g),
   o AS (SELECT duplicate_key, n, row_number() OVER (ORDER BY n DESC, sha256(duplicate_key)) - 1 AS place FROM g),
   z AS (SELECT duplicate_key, n, place, CASE WHEN (place // shards) % 2 = 0 THEN place % shards ELSE shards - 1 - place % shards END AS shard_id FROM o, s)"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
 from speclake.operators import evaluation, learning, manifest, quality, references, sampling, vectors
-from speclake.plans.corpus_queries import BOUND, bound
+from speclake.plans.corpus_queries import BOUND, bound, planned
 from speclake.plans.register import read, registry
 from speclake.sources import shared, tables
 
@@ -242,10 +242,17 @@ def j11_key_problems(spark, d):
     return vectors.key_problems(t, right.unionAll(right.filter("vec_id % 7 = 0")), "vec_id")
 
 
-@query()
+C12 = f"""WITH RECURSIVE e AS (SELECT processid, split AS source, split, chunk, CASE WHEN k % 3 = 0 THEN 'species:S s' || k % 20 ELSE 'genus:g' || lang END AS bucket FROM (
+    SELECT CAST(doc_id AS VARCHAR) AS processid, doc_id AS k, lang, ['train', 'val', 'pretrain'][1 + doc_id % 3] AS split, CAST(doc_id % 4 AS VARCHAR) AS chunk FROM documents)),
+  k AS (SELECT count(*) // 3 AS total FROM documents), wanted AS (SELECT * FROM (VALUES ('train', 3), ('val', 1), ('pretrain', 2)) AS v(source, requested)),
+  {planned("e", "wanted", "(SELECT total FROM k)", "(SELECT greatest(1, total // 10) FROM k)", 42, "processid")}
+  SELECT processid, split, bucket, CASE WHEN split = 'val' THEN 'eval' ELSE split END AS archive_group, split || '/' || chunk || '/' || processid || '.jpg' AS archive_member FROM picked"""
+
+
+@query(C12)
 def c12_select_balanced(spark, d):
-    """Splits by target, taxa by square roots; tests check totals, caps and order."""
+    """Splits by target, taxa by square roots; the splits are asked in the order of their names, as the SQL deals remainders."""
     k = F.col("doc_id")
     t = read(spark, d, "documents").select(k.cast("string").alias("processid"), F.concat(F.lit("f"), "source").alias("family"), F.concat(F.lit("g"), "lang").alias("genus"), F.when(k % 3 == 0, F.concat(F.lit("S s"), k % 20)).otherwise("").alias("species"), F.get(F.array(F.lit("train"), F.lit("val"), F.lit("pretrain")), (k % 3).cast("int")).alias("split"), (k % 4).cast("string").alias("chunk"))
     total = t.count() // 3
-    return sampling.select_balanced(t, {"train": 3, "val": 1, "pretrain": 2}, total, max(1, total // 10), 42).select("processid", "split", "bucket", "archive_group", "archive_member")
+    return sampling.select_balanced(t, {"pretrain": 2, "train": 3, "val": 1}, total, max(1, total // 10), 42).select("processid", "split", "bucket", "archive_group", "archive_member")
