@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from speclake.functions import scalars as S
+
 #: Keys of media objects; keys that tell one only below a media parent; names of such parents.
 MEDIA_KEYS = frozenset(("accessuri", "contenturl", "mediatype", "format"))
 INNER_MEDIA_KEYS = frozenset(("identifier", "license", "rights"))
@@ -73,6 +75,26 @@ def below(tree: Column, at: Column) -> Column:
     return F.slice(tree, at + 1, F.get(tree, at)["size"])
 
 
+def leaves(tree: Column) -> Column:
+    """The scalars with text."""
+    return F.filter(tree, lambda n: n["value"].isNotNull() & (F.trim(n["value"]) != ""))
+
+
+def nearest(tree: Column) -> Column:
+    """The scalars with text right below the first node."""
+    level = F.get(tree, 0)["depth"] + 1
+    return F.filter(tree, lambda n: (n["depth"] == level) & n["value"].isNotNull() & (F.trim(n["value"]) != ""))
+
+
+def first_of(scalars: Column, *names: str) -> Column:
+    """The first of ``names``, in that order, among ``scalars``, stripped, null words as none; '' if there is none."""
+
+    def named(name: str) -> Column:
+        return F.nullif(S.clean(F.get(F.filter(scalars, lambda n: n["key"] == F.lit(name)), 0)["value"]), F.lit(""))
+
+    return F.coalesce(*[named(terminal(k)) for k in names], F.lit(""))
+
+
 def pick(tree: Column, *names: str) -> Column:
     """The first scalar with text whose key has one of ``names``, trimmed; '' if there is none."""
     wanted = [terminal(n) for n in names]

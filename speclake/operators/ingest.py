@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from speclake.functions import documents
 from speclake.functions import scalars as S
-from speclake.operators.manifest import COLUMNS, finalize
+from speclake.operators import manifest
+from speclake.operators.manifest import COLUMNS, settled
 
 #: The order that is kept, its taxon's id in the photo bundle, and where the bundle's photos are.
 ORDER, ORDER_TAXON = "Diptera", "47822"
@@ -113,6 +114,11 @@ SPECIMEN = {
 }
 
 
+def finalize(rows: DataFrame) -> DataFrame:
+    """``manifest.finalize`` of rows whose columns are computed first."""
+    return manifest.finalize(settled(rows))
+
+
 def _named(df: DataFrame, names: str, default: str = "") -> Column:
     return S.first_of(df, names.split(), default)
 
@@ -280,19 +286,22 @@ def full_response(document: Column) -> Column:
 def ingest_digital_specimens(docs: DataFrame, document: str = "document", licenses: tuple[str, ...] | None = S.OPEN_LICENSES, any_order: bool = False) -> DataFrame:
     """Specimens from nested JSON (``document``, a text a specimen) with a row for each of their images; fields are searched at any depth, annotations never read."""
     tree = docs.select(documents.opened(full_response(F.col(document))).alias("tree")).filter(F.size("tree") > 0)
-    first = lambda names, *own: F.coalesce(*[F.nullif(top("tree", *names.split()), F.lit("")), F.nullif(documents.pick(F.col("tree"), *names.split()), F.lit(""))], *own, F.lit(""))
-    order, basis = first("order"), documents.pick(F.col("tree"), "basisOfRecord")
-    own_id = F.nullif(top("tree", "id", "digital_specimen_id", "specimen_id", "doi"), F.lit(""))
-    identity = F.coalesce(own_id, documents.pick(F.col("tree"), "digitalSpecimenId", "physicalSpecimenId", "catalogNumber", "occurrenceID", "doi"))
+    tree = settled(tree.withColumns({"_all": documents.leaves(F.col("tree")), "_near": documents.nearest(F.col("tree"))}))
+    top = lambda *names: F.nullif(documents.first_of(F.col("_near"), *names), F.lit(""))
+    any_ = lambda *names: F.nullif(documents.pick(F.col("_all"), *names), F.lit(""))
+    first = lambda names: F.coalesce(top(*names.split()), any_(*names.split()), F.lit(""))
+    order, basis = first("order"), F.coalesce(any_("basisOfRecord"), F.lit(""))
+    identity = F.coalesce(top("id", "digital_specimen_id", "specimen_id", "doi"), any_("digitalSpecimenId", "physicalSpecimenId", "catalogNumber", "occurrenceID", "doi"), F.lit(""))
     said = {k: first(v) for k, v in SPECIMEN.items()}
-    said["source_url"] = F.coalesce(F.nullif(top("tree", "source_url", "references"), F.lit("")), said["source_url"])
+    said["source_url"] = F.coalesce(top("source_url", "references"), said["source_url"])
     base = tree.withColumns({"_order": order, "source_record_id": identity, "_basis": F.lower(F.replace(basis, F.lit("_"), F.lit("")))} | said)
+    base = settled(base.drop("_all", "_near"))
     kept = (F.col("source_record_id") != "") & F.col("_basis").isin("", "preservedspecimen")
     base = base.filter(kept if any_order else kept & (F.lower("_order") == ORDER.lower()))
     places = documents.media(F.col("tree"))
     each = base.withColumn("_at", F.explode(F.when(F.size(places) > 0, places).otherwise(F.array(F.lit(0))))).withColumn("item", documents.below(F.col("tree"), F.col("_at"))).drop("tree", "_at")
-    at = lambda *names: F.nullif(top("item", *names), F.lit(""))
-    deep = lambda *names: F.nullif(documents.pick(F.col("item"), *names), F.lit(""))
+    each = settled(each.withColumns({"_all": documents.leaves(F.col("item")), "_near": documents.nearest(F.col("item"))}).drop("item"))
+    at, deep = top, any_
     url = F.coalesce(at("accessuri", "contenturl", "image_url", "url"), deep("accessURI"), deep("contentUrl"), deep("downloadURL"), at("identifier"), deep("identifier"), F.lit(""))
     kind = F.coalesce(at("type", "mediatype", "format"), deep("type", "mediaType", "format"), F.lit(""))
     rows = each.filter(is_image(kind) & is_link(url) & ~url.rlike(r"^https?://(dx\.)?doi\.org/")).withColumns({
@@ -301,18 +310,7 @@ def ingest_digital_specimens(docs: DataFrame, document: str = "document", licens
         "source_image_id": F.coalesce(at("media_id", "id", "@id"), deep("digitalMediaId", "mediaID"), url), "image_license": F.coalesce(at("license", "licence", "rights"), deep("license", "rights", "rightsURI"), F.lit("")),
         "copyright_holder": F.coalesce(at("rightsholder", "copyright_holder"), deep("rightsHolder", "creator"), F.lit("")), "attribution": F.coalesce(at("attribution", "creator", "title"), deep("creator", "title"), F.lit("")),
     })
-    return opened(finalize(rows.drop("item", "_order", "_basis")), licenses)
-
-
-def top(tree: str, *names: str) -> Column:
-    """Of a document's nodes the first of ``names``, in that order, that is a scalar with text right below the first node."""
-    level = F.get(F.col(tree), 0)["depth"] + 1
-    nodes = F.filter(tree, lambda n: (n["depth"] == level) & n["value"].isNotNull())
-
-    def named(name: str) -> Column:
-        return F.nullif(S.clean(F.get(F.filter(nodes, lambda n: n["key"] == F.lit(name)), 0)["value"]), F.lit(""))
-
-    return F.coalesce(*[named(documents.terminal(k)) for k in names], F.lit(""))
+    return opened(finalize(rows.drop("_all", "_near", "_order", "_basis")), licenses)
 
 
 #: The fields of an occurrence in the response of a search that are read by name; the media are read with it.
