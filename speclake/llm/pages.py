@@ -33,7 +33,9 @@ NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+
 HINT = re.compile(r"^(nav\w*|menus?|breadcrumbs?|head|header|masthead|foot|footer|side|sidebar|aside|widgets?|ads?|adverts?|advert\w+|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alerts?|popup|modal|newsletter|subscribe|signup|login|forms?|search|share|sharing|social|related|recommend\w*|comments?|commentlist|reply|replies|discussion|disqus|copyright|legal|pagination|pager|toolbar|contentinfo|complementary|navigation)$")
 MAIN = re.compile(r"^(article|content|main|post|entry|story|body|text)$")
 #: Hints at what readers wrote, however much it is.
-COMMENTS = frozenset(f"hint:{x}" for x in ("comment", "comments", "commentlist", "reply", "replies", "discussion", "disqus"))
+COMMENTS = frozenset(("comment", "comments", "commentlist", "reply", "replies", "discussion", "disqus"))
+#: How many names of the nearest elements around a block are features of it.
+NAMES_KEPT = 16
 FURNITURE = ("nav", "header", "footer", "aside", "form", "menu", "dialog")
 #: Weights that training starts from and is drawn to: of (feature, main text).
 PRIOR = {"hint": -8.0, "in:article": 1.5, "in:main": 1.0, "name:main": 1.0, "links:most": -1.5, "links:none": 0.2, "words:many": 1.0, "words:some": 0.5, "words:few": -0.3, "stop": 0.3, "mark": -1.0, "tag:p": 0.5, "tag:li": -0.3} | {f"in:{t}": -7.0 for t in FURNITURE}
@@ -107,31 +109,38 @@ class Scanner:
 
 
 class Element:
-    """An open element: what its blocks inherit from it and from those around it."""
+    """An open element: what its blocks inherit from it and from those around it. Kinds of features are few, and names are those of the nearest elements, so both stay small however deep it is."""
 
-    __slots__ = ("article", "features", "number", "silent", "tag", "words")
+    __slots__ = ("article", "features", "names", "number", "silent", "tag", "words")
 
-    def __init__(self, tag: str, around: Element | None, names: frozenset[str], number: int, words: int, wide: bool):
+    def __init__(self, tag: str, around: Element | None, names: list[str], number: int, words: int, wide: bool):
         self.tag, self.number, self.words = tag, number, words
         self.silent = tag in SILENT or around is not None and around.silent
         self.article = tag in ("article", "main") or around is not None and around.article
-        own = {f"in:{tag}", *names} if tag not in ("html", "body") else set()
+        own = {f"in:{tag}"} if tag in BLOCKS and tag not in ("html", "body") else set()
         if tag == "header" and around is not None and around.article:
             own.discard("in:header")  # of the article, not of the page
-        if self.article:
-            own -= {"hint:header", "hint:head"}
+        hints = {w for w in names if HINT.match(w)} - ({"header", "head"} if self.article else set())
         if wide:
-            own = {x for x in own if not x.startswith("hint:") and x.removeprefix("in:") not in FURNITURE}
+            own, hints = {x for x in own if x.removeprefix("in:") not in FURNITURE}, set()
+        if hints:
+            own.add("hint")
+        if hints & COMMENTS:
+            own.add("comments")
+        if any(MAIN.match(w) for w in names):
+            own.add("name:main")
         before = around.features if around is not None else frozenset()
         self.features = before if own <= before else before | own
+        called = tuple(f"hint:{w}" if w in hints else f"called:{w}" for w in names)
+        self.names = (called + (around.names if around is not None else ()))[:NAMES_KEPT]
 
 
 def leaf_blocks(page: str) -> list[tuple[str, list[str]]]:
     """(text, features) of each leaf block of a page, in order.
 
     A block is the text between two borders of block tags; inline tags and line breaks don't end it.
-    Features: ancestor tags, the nearest block tag, parts of ancestors' class, id and role that hint
-    at page furniture or main text, share of linked words, number of words, how it ends. Ancestors that
+    Features: ancestor tags, the nearest block tag, words of the nearest ancestors' class, id and role, and whether any
+    of them hints at page furniture or main text, share of linked words, number of words, how it ends. Ancestors that
     look like furniture, but hold a headline or an article and over half of the page's words don't count as it.
     """
     blocks, wide = _blocks(page, frozenset())
@@ -155,7 +164,7 @@ def _blocks(page: str, wide: frozenset[int]) -> tuple[list[tuple[str, list[str]]
         if text:
             tag = holders[-1].tag if holders else "none"
             words += text.count(" ") + 1
-            blocks.append((text, _features(text, linked, stack[-1].features if stack else frozenset(), tag)))
+            blocks.append((text, _features(text, linked, {*stack[-1].features, *stack[-1].names} if stack else set(), tag)))
         pieces, linked = [], 0
 
     def pop() -> None:
@@ -163,7 +172,7 @@ def _blocks(page: str, wide: frozenset[int]) -> tuple[list[tuple[str, list[str]]
         opened[top.tag] -= 1
         if holders and holders[-1] is top:
             holders.pop()
-        if top.tag in FURNITURE or any(x.startswith("hint:") for x in top.features) and not top.features & COMMENTS:
+        if top.tag in FURNITURE or "hint" in top.features and "comments" not in top.features:
             if any(x >= top.words for x in headed[-1:]):
                 candidates.append((top.number, words - top.words))
 
@@ -217,18 +226,16 @@ def _blocks(page: str, wide: frozenset[int]) -> tuple[list[tuple[str, list[str]]
     return blocks, frozenset(k for k, n in candidates if 2 * n > words)
 
 
-def _names(attributes: str) -> frozenset[str]:
+def _names(attributes: str) -> list[str]:
+    """The words of an element's class, id and role, the first ones."""
     if "=" not in attributes:
-        return frozenset()
-    parts = {w for found in NAMES.findall(attributes) for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(found)).lower()) if w}
-    return frozenset({f"hint:{w}" for w in parts if HINT.match(w)} | {"name:main" for w in parts if MAIN.match(w)})
+        return []
+    said = " ".join("".join(found) for found in NAMES.findall(attributes))[:400]
+    return list(dict.fromkeys(w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", said).lower()) if w))
 
 
-def _features(text: str, linked: int, inherited: frozenset[str], tag: str) -> list[str]:
+def _features(text: str, linked: int, found: set[str], tag: str) -> list[str]:
     n = text.count(" ") + 1
-    found = set(inherited)
-    if any(x.startswith("hint:") for x in inherited):
-        found.add("hint")
     found.add(f"tag:{tag}")
     found.add("links:most" if 2 * linked > n else "links:some" if linked else "links:none")
     found.add("words:many" if n >= 25 else "words:some" if n >= 8 else "words:few")
@@ -241,10 +248,10 @@ def _features(text: str, linked: int, inherited: frozenset[str], tag: str) -> li
 
 
 def weak_label(features: list[str]) -> int | None:
-    """1 for text of <article> or <main>, 0 for page furniture by tag or name, None where the markup doesn't say."""
-    if "hint" in features or any(f"in:{t}" in features for t in FURNITURE):
+    """What the tags around a block say, whatever they are called: 1 inside of <article> or <main>, 0 outside and for page furniture; None inside of an article, but in an element named like furniture."""
+    if any(f"in:{t}" in features for t in FURNITURE) or not ("in:article" in features or "in:main" in features):
         return 0
-    return 1 if "in:article" in features or "in:main" in features else None
+    return None if "hint" in features else 1
 
 
 class Field:
@@ -320,9 +327,9 @@ def training_pages(pages: DataFrame, sample_rows: int, page_chars: int = 200_000
 def train_field(pages: DataFrame, sample_rows: int = 300) -> Field:
     """A field trained on a bounded sample: the first ``sample_rows`` distinct pages by hash of their html, those of over 200,000 characters left out.
 
-    Labels are what semantic markup says of a block (``weak_label``); pages with unlabelled blocks are
-    left out. Each page is taken twice, the second time without the features that gave its main text
-    away, so that the other features learn to tell it. Without such pages the prior stands.
+    Labels are what tags say of a block (``weak_label``), not names; pages without an article and those with unlabelled
+    blocks are left out. Each page is taken twice, the second time without the features that gave its main text
+    away, so that the other features, all names of classes among them, learn to tell it. Without such pages the prior stands.
     """
     labelled = []
     for page in training_pages(pages, sample_rows):

@@ -344,9 +344,13 @@ def test_pages_left_open_wrapped_or_nested(spark):
         f'<body><p title="a > b">{article}<a href="',
     ):
         assert [x for x in main(page) if x in want] == want, page
-    for piece in ("<div>x", '<a "', '<a href="', "<b>", "<button>", "<svg>x", "</b>", "<li>x", "<p><b>x", "<!--", '<div class="nav">x'):
+    # A name that no list has is learned from where it stands.
+    odd = [(k, "u", f'<body><div class="zzunit">Buy a thing now, number {k}.</div><article><h1>Title {k}</h1><p>Long text {k} with many words, which goes on and on for a while until it ends at last, as it should, and more words follow in it.</p></article></body>') for k in range(60)]
+    learned = pages.train_field(spark.createDataFrame(odd, "page_id long, url string, html string"))
+    assert learned.weights["called:zzunit"] < 0
+    for piece in ("<div>x", '<a "', '<a href="', "<b>", "<button>", "<svg>x", "</b>", "<li>x", "<p><b>x", "<!--", '<div class="nav">x', '<div class="a{n} nav{n}">x', "<x{n}>x"):
         began = time.process_time()
-        main(piece * (300_000 // len(piece)))
+        main("".join(piece.replace("{n}", "abcdefghij"[k % 10] * (k % 7 + 1) + chr(97 + k // 70 % 26)) for k in range(300_000 // len(piece))))
         assert time.process_time() - began < 3, piece
 
 
