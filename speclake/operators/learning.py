@@ -95,13 +95,13 @@ def _fitted(rank: str, identity: str, quantile: float, margin: float) -> Callabl
     return fit
 
 
-def train_heads(df: DataFrame, least: dict[str, int] | None = None, per_class: int = 500, seed: int = 42, quantile: float = 0.05, margin: float = 0.02, identity: str = "record_id", vector: str = "embedding") -> DataFrame:
+def train_heads(df: DataFrame, least: dict[str, int] | None = None, per_class: int = 500, per_head: int = 50_000, seed: int = 42, quantile: float = 0.05, margin: float = 0.02, identity: str = "record_id", vector: str = "embedding") -> DataFrame:
     """(rank, parent, taxon, coefficients, intercept, centroid, threshold): heads for family, genus within a family, species within a genus.
 
     ``df``: identity, source, family, genus, species, label_quality, embedding. A head has the classes with
     ``least`` rows of its rank (species rows of quality A or B only) and needs two of them; where there is one class
-    its probability is 1. Heads are fitted on at most ``per_class`` rows of each class, by seeded score (a bounded
-    sample, so a head's group is bounded by its number of classes), with weights by class and source.
+    its probability is 1. Heads are fitted on at most ``per_class`` rows of each class by seeded score, fewer (ten at least)
+    where a head has many classes, so that its sample is bounded by ``per_head`` rows; with weights by class and source.
     A class's threshold is the quantile of its similarities to its centroid less a margin.
     """
     least = least or dict.fromkeys(RANKS, 2)
@@ -116,7 +116,9 @@ def train_heads(df: DataFrame, least: dict[str, int] | None = None, per_class: i
         sizes = rows.groupBy(F.col("parent").alias("_p"), F.col("taxon").alias("_t")).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least[rank])
         common = rows.join(sizes, (F.col("parent") == F.col("_p")) & (F.col("taxon") == F.col("_t")), "left_semi")
         nth = F.row_number().over(Window.partitionBy("parent", "taxon").orderBy(S.score(F.col(identity).cast("string"), seed), identity))
-        sample = common.withColumn("_nth", nth).filter(F.col("_nth") <= per_class).drop("_nth")
+        kinds = sizes.groupBy("_p").agg(F.count("*").alias("_k"))
+        share = F.greatest(F.lit(10), F.floor(F.lit(per_head) / F.col("_k")))
+        sample = common.withColumn("_nth", nth).filter(F.col("_nth") <= per_class).join(kinds, F.col("parent") == F.col("_p")).filter(F.col("_nth") <= share).drop("_nth", "_p", "_k")
 
         made = sample.groupBy("parent").applyInPandas(_fitted(rank, identity, quantile, margin), "rank string, parent string, taxon string, coefficients array<double>, intercept double, centroid array<double>, threshold double")
         heads = made if heads is None else heads.unionByName(made)
@@ -155,7 +157,7 @@ class Heads:
         return [{"rank": rank, "taxon": taxa[i], "probability": round(float(p[i]), 6), "nth": n} for n, i in enumerate(best, 1)], bool(mids[best[0]] @ x < limits[best[0]])
 
 
-def predict_hierarchical(vectors: DataFrame, heads: DataFrame, k: int = 5, bound: int = 200_000, identity: str = "record_id", vector: str = "embedding") -> DataFrame:
+def predict_hierarchical(vectors: DataFrame, heads: DataFrame, k: int = 5, bound: int = 20_000, identity: str = "record_id", vector: str = "embedding") -> DataFrame:
     """(identity, candidates (rank, taxon, probability, nth), rejected_rank): family, then genus within the best one, then species, going on while the best class isn't rejected by its threshold.
 
     Heads have a row a class; they are counted and broadcast up to ``bound``, more are an error.

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def landed(spark: SparkSession, files: str) -> DataFrame:
@@ -19,8 +20,24 @@ def _appended(rows: DataFrame, out: str) -> DataFrame:
 
 
 def first_seen(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
-    """Rows whose keys weren't seen before, in this run or an earlier one over the same ``out``."""
-    return _appended(rows.dropDuplicates(keys), out)
+    """Rows whose keys weren't seen before, in this run or an earlier one over the same ``out``.
+
+    What was seen is the table itself, which each batch is compared with by an anti join; no state is held in
+    memory between batches. A batch that runs again compares with the batches before it and overwrites its own folder.
+    """
+    spark, kind = rows.sparkSession, rows.schema
+
+    def written() -> DataFrame:
+        return spark.read.schema(StructType([*kind.fields, StructField("batch", LongType())])).parquet(f"{out}/data")
+
+    def put(batch: DataFrame, number: int) -> None:
+        new = batch.dropDuplicates(keys)
+        if number:
+            new = new.join(written().filter(F.col("batch") < number).select(*keys), keys, "left_anti")
+        new.select(*kind.names).write.mode("overwrite").parquet(f"{out}/data/batch={number}")
+
+    rows.writeStream.foreachBatch(put).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    return written().drop("batch")
 
 
 def first_within(rows: DataFrame, keys: list[str], time: str, horizon: str, out: str) -> DataFrame:
