@@ -113,7 +113,8 @@ def similar_links(docs: DataFrame, rows: DataFrame, known: DataFrame, starred: C
     while True:
         members = cut(members)
         several = members.groupBy("token").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("token", "size")
-        members = cut(members.join(several, "token"))
+        # Mostly few: then members stay dealt by text, so that a shingle which very many texts hold meets in no task.
+        members = cut(members.join(sized(cut(several)), "token"))
         if members.isEmpty():
             return found
         part = F.pmod(F.xxhash64("key"), F.lit(leaders))
