@@ -103,18 +103,17 @@ def similar_links(docs: DataFrame, rows: DataFrame, known: DataFrame, starred: C
     """
 
     def merged(links: DataFrame) -> DataFrame:
-        return cut(starred(links).groupBy(F.col("a").alias("comp")).agg(F.min("b").alias("root")))
+        return starred(links).groupBy(F.col("a").alias("comp")).agg(F.min("b").alias("root"))
 
     keys = sized(cut(met(rows)))
     sets = cut(shingle_sets(docs.join(keys, "key", "left_semi"), words))
     members = prefixes(sets, similarity).join(merged(known).withColumnRenamed("comp", "key"), "key", "left")
-    members = members.select("token", "key", "n", "pos", "odd", F.coalesce("root", "key").alias("comp"))
+    members = cut(members.select("token", "key", "n", "pos", "odd", F.coalesce("root", "key").alias("comp")))
     found, small, leaders = [], SMALL, 1
     while True:
-        members = cut(members)
         several = members.groupBy("token").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("token", "size")
         # Mostly few: then members stay dealt by text, so that a shingle which very many texts hold meets in no task.
-        members = cut(members.join(sized(cut(several)), "token"))
+        members = cut(members.join(sized(several), "token"))
         if members.isEmpty():
             return found
         part = F.pmod(F.xxhash64("key"), F.lit(leaders))
