@@ -5,12 +5,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 #: A line with its end, or the rest of the text. The regex library keeps each repetition of the group.
 LINES = r"([^\n]*+\n|[^\n]++)*+"
@@ -36,14 +34,18 @@ def infill(text: str, drawn: list[int], units: regex.Pattern, rate: int, spm: in
     return n, "psm", f"{PREFIX}{prefix}{SUFFIX}{suffix}{MIDDLE}{middle}", a, b - a
 
 
-def restore(output: str, form: str) -> str:
-    """The text that ``infill`` was given. A mark begins where its first occurrence does: no part holds one, and none can arise across a border, as marks hold '<' at their start only."""
-    if form == "plain":
-        return output
-    first, second = (PREFIX, SUFFIX) if form == "psm" else (SUFFIX, PREFIX)
-    a, rest = output[len(first) :].split(second, 1)
-    b, middle = rest.split(MIDDLE, 1)
-    return a + middle + b if form == "psm" else b + middle + a
+def restored(output: Column, form: Column) -> Column:
+    """The text that ``fill_in_middle`` was given, rebuilt from its output and form.
+
+    A part ends where the next mark first occurs: no part holds a mark, and none can arise across a border, as marks hold '<' at their start only.
+    """
+    after = lambda text, part: F.substring(text, F.length(part) + len(PREFIX) + 1, F.length(text))
+    rest = F.substring(output, F.lit(len(PREFIX) + 1), F.length(output))
+    first = F.when(form == "psm", F.substring_index(rest, SUFFIX, 1)).otherwise(F.substring_index(rest, PREFIX, 1))
+    behind = after(rest, first)
+    second = F.substring_index(behind, MIDDLE, 1)
+    middle = after(behind, second)
+    return F.when(form == "plain", output).when(form == "psm", F.concat(first, middle, second)).otherwise(F.concat(second, middle, first))
 
 
 def fill_in_middle(docs: DataFrame, seed: int = 7, rate: int = 100, spm: int = 50, unit: str = LINES) -> DataFrame:
@@ -66,9 +68,3 @@ def fill_in_middle(docs: DataFrame, seed: int = 7, rate: int = 100, spm: int = 5
 
     names = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output"]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string")
-
-
-@F.pandas_udf(StringType())
-def restored(output: pd.Series, form: pd.Series) -> pd.Series:
-    """``restore`` over columns."""
-    return pd.Series([restore(*x) for x in zip(output, form, strict=True)])

@@ -71,7 +71,7 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = infill.fill_in_middle(table(spark, sf_dir, "documents"))
-    return made.withColumns({"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(infill.restored("output", "form"), 256)}).drop("output")
+    return made.withColumns({"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(infill.restored(F.col("output"), F.col("form")), 256)}).drop("output")
 
 
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from random import Random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import DATA
 from speclake.llm import divergence, infill, licenses, queries
@@ -173,21 +174,23 @@ def test_infill_query_equals_brute_force(spark, docs):
 
 def test_infill_odd_rows(odd):
     made = infill.fill_in_middle(clashing(odd))
-    rows = made.withColumn("restored", infill.restored("output", "form")).collect()
+    rows = made.withColumn("restored", infill.restored(F.col("output"), F.col("form"))).collect()
     got = Counter((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, sha(r.output), sha(r.restored)) for r in rows)
     assert got == Counter(plain_infill(r.doc_id, r.text) for r in odd.collect())
     assert infill.fill_in_middle(odd.limit(0)).count() == 0
 
 
-def test_infill_restores_texts_that_end_like_marks():
+def test_infill_restores_texts_that_end_like_marks(spark):
     import regex
 
-    units = regex.compile(infill.LINES)
-    for text in ("<\nP>\n<P\n", "<S\n>\n<", "<<\n<S\n", "P>\nM>", "\n", "a" * 200_000, "\n" * 100_000, "x\r\ny z\n"):
+    units, made = regex.compile(infill.LINES), []
+    for text in ("<\nP>\n<P\n", "<S\n>\n<", "<<\n<S\n", "P>\nM>", "\n", "é𝄞\n𝄞" * 9, "a" * 200_000, "\n" * 100_000, "x\r\ny z\n"):
         for drawn in ([0, 1, 0, 0], [1, 2, 0, 99], [3, 1, 0, 60], [7, 7, 0, 10], [0, 0, 99, 0]):
             n, form, output, a, m = infill.infill(text, drawn, units, 100, 50)
             assert n == len(re.findall(r"[^\n]*\n|[^\n]+", text)) and form != "plain"
-            assert infill.restore(output, form) == text
+            made.append((text, form, output))
+    rows = spark.createDataFrame(made, "text string, form string, output string")
+    assert rows.filter(infill.restored(F.col("output"), F.col("form")) != F.col("text")).count() == 0 and rows.count() == 45
     assert infill.infill("text", [0, 0, 50, 0], units, 50, 50)[1] == "plain"
 
 
