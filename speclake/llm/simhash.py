@@ -151,7 +151,7 @@ def starred(links: DataFrame) -> DataFrame:
     return small.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(fp, root): each point of ``links`` (a, b) and the smallest point that it reaches, other than itself.
 
     Repeats ``starred`` until the links stay the same; every round is written to the checkpoint folder,
@@ -159,10 +159,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     centre's least one is an inner join, whose hot keys adaptive execution splits.
     """
     links, seen = cut(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), None
-    for _ in range(rounds):
-        state = links.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
-        if state == seen or not state[0]:
-            break
+    while (state := links.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()) != seen and state[0]:
         seen, links = state, cut(starred(links))
     return links.select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
@@ -211,7 +208,7 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, reac
 def keep_one(docs: DataFrame, **options: float) -> DataFrame:
     """One row of each near-duplicate group of ``near_groups``: that of the smallest doc_id, nulls last, then of the smallest text by hash; columns as given, whatever their names.
 
-    Only the rows' keys are grouped. Of rows with the same doc_id and text one stays; an empty table gives an empty result.
+    Only the rows' keys are grouped. Of rows with the same doc_id and text the one whose columns have the smallest hash stays; an empty table gives an empty result.
     """
     groups = cut(near_groups(docs, **options))
     id_, key = F.col("doc_id"), F.xxhash64("text")
@@ -220,5 +217,5 @@ def keep_one(docs: DataFrame, **options: float) -> DataFrame:
     first = cut(rows.join(groups, "key").groupBy("root").agg(F.min("rank").alias("rank")).select("rank.id", "rank.key"))
     whole = docs.select(F.struct("*").alias("row"), id_.alias("id"), key.alias("key"))
     kept = whole.join(first.select(F.col("id").alias("first_id"), F.col("key").alias("first_key")), (F.col("key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")), "left_semi")
-    nth = Window.partitionBy("id", "key").orderBy(F.lit(0))
+    nth = Window.partitionBy("id", "key").orderBy(F.xxhash64(F.to_json("row")))
     return kept.withColumn("nth", F.row_number().over(nth)).filter("nth = 1").select("row.*")

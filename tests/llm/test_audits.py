@@ -1,7 +1,9 @@
 """License scans, fill-in-middle and the source divergence audit against brute force."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from random import Random
 
@@ -10,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
-from speclake.llm import divergence, infill, licenses, queries
+from speclake.llm import decontaminate, divergence, infill, langid, langmodel, licenses, lines, media, mixing, pages, queries, secrets, simhash, tokencount
 from test_llm import CLASHES, ROWS
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -240,3 +242,35 @@ def test_pair_sums_over_many_levels_equal_all_terms():
     p = [[1 + 10**9 * (int(c) + 1) // (n[g] + v) for c in row] for g, row in enumerate(counts)]
     want = [[sum((a - b) ** 2 // b for a, b in zip(p[g], p[h], strict=True)) if g != h else 0 for h in range(5)] for g in range(5)]
     assert divergence.pair_sums(counts, n, v).tolist() == want
+
+
+# --- tables of a row or two, without repeated words, without training rows
+
+SMALL = {
+    "one": [(1, "a single document of seven words", "en", "s", 0, 1)],
+    "two": [(1, "first text here", "en", "s", 0, 1), (2, "another body there", "de", "t", 0, 2)],
+    "distinct": [(i, " ".join(f"w{i}x{k}" for k in range(4)), "en", "s", 0, i) for i in range(3, 12)],
+    "held out": [(i, f"alpha beta w{i}", "en", "s", 0, i) for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2],
+}
+
+
+@pytest.mark.parametrize("kind", SMALL)
+def test_small_tables(spark, kind):
+    rows = SMALL[kind]
+    small = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, size long, row long").coalesce(1)
+    bench = spark.createDataFrame([(1, "another body there")], "item_id long, text string")
+    learned = [t for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    c = Counter(w for t in learned for w in [*t.split(), ""])
+    n, v = c.total(), len(c)
+    for r in langmodel.score_texts(small).collect():
+        words = [*next(t for i, t, *_ in rows if i == r.doc_id).split(), ""]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(c[w] > 0 for w in words), n)
+        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in words)) and r.score <= 1e-12
+    found = [mixing.mix_sources(small), decontaminate.find_contamination(small, bench), secrets.scan_secrets(small), tokencount.count_tokens(small), langmodel.score_texts(small)]
+    found += [simhash.near_duplicates(small), media.store_media(small), lines.drop_boilerplate(small), licenses.scan_licenses(small), infill.fill_in_middle(small)]
+    pieces = langid.vocabulary()
+    found.append(langid.identify(small, *langid.train(small, pieces), pieces))
+    assert [x.count() for x in found] == [len(rows)] * len(found)
+    assert sorted(map(tuple, divergence.audit_sources(small).collect())) == plain_audit(small.collect())
+    html = small.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("<p>"), "text").alias("html"))
+    assert pages.extract_text(html).count() == len(rows)
