@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,44 +26,60 @@ def terminal(key: str) -> str:
     return key.rsplit("/", 1)[-1].rsplit("#", 1)[-1].rsplit(":", 1)[-1].lower()
 
 
-def nodes(text: str | None) -> list[dict]:
-    """(key, value, depth, size, media) of all nodes of a document in its order; ``size`` counts those below, too.
-
-    ``value`` is null for objects and lists. ``media`` marks objects with media keys, or below a media
-    parent with some; none below another one. Text that isn't JSON, or nests deeper than the parser goes (thousands of levels), has no nodes.
-    """
+def _parsed(text: str | None) -> dict | list | None:
+    """The document, if it is an object or a list. Text that isn't JSON, or nests deeper than the parser goes (thousands of levels), is none."""
     try:
         document = json.loads(text) if text else None
     except (ValueError, RecursionError):
-        return []
-    if not isinstance(document, dict | list):
-        return []
-    found: list[list] = []
+        return None
+    return document if isinstance(document, dict | list) else None
+
+
+def _children(value: dict | list) -> Iterable[tuple[str, object]]:
+    return value.items() if isinstance(value, dict) else (("", v) for v in value)
+
+
+def nodes(text: str | None, into: tuple[list, list, list, list, list]) -> int:
+    """Adds key, value, depth, size and media of all nodes of a document in its order to the columns ``into``; ``size`` counts those below, too. Returns their number.
+
+    ``value`` is null for objects and lists. ``media`` marks objects with media keys, or below a media
+    parent with some; none below another one.
+    """
+    keys, values, depths, sizes, marks = into
+    document, first = _parsed(text), len(keys)
+    if document is None:
+        return 0
     # (key, value, depth, is it below a media parent, below a media object), or the place of a node that ends here.
     todo: list = [("", document, 0, False, False)]
     while todo:
         step = todo.pop()
         if isinstance(step, int):
-            found[step][3] = len(found) - step
+            sizes[step] = len(keys) - step
             continue
         key, value, depth, within, taken = step
-        hit = False
+        inner, hit = isinstance(value, dict | list), False
         if isinstance(value, dict) and not taken:
-            keys = {terminal(k) for k in value}
-            hit = bool(keys & MEDIA_KEYS) or within and bool(keys & INNER_MEDIA_KEYS)
-        inner = isinstance(value, dict | list)
-        found.append([terminal(key), None if inner else str(value), depth, 1, hit])
+            held = {terminal(k) for k in value}
+            hit = bool(held & MEDIA_KEYS) or within and bool(held & INNER_MEDIA_KEYS)
         if inner:
-            todo.append(len(found) - 1)
-            below = list(value.items()) if isinstance(value, dict) else [("", v) for v in value]
-            todo += [(k, v, depth + 1, within or terminal(k) in MEDIA_PARENTS, taken or hit) for k, v in reversed(below)]
-    return [dict(zip(FIELDS, x, strict=True)) for x in found]
-
-
-@F.pandas_udf(NODES)
-def _opened(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for part in texts:
-        yield part.map(nodes)
+            todo.append(len(keys))
+            todo += [(k, v, depth + 1, within or terminal(k) in MEDIA_PARENTS, taken or hit) for k, v in reversed(list(_children(value)))]
+        keys.append(terminal(key))
+        values.append(None if inner else str(value))
+        depths.append(depth)
+        sizes.append(1)
+        marks.append(hit)
+    return len(keys) - first
+
+
+@F.arrow_udf(NODES)
+def _opened(texts: pa.Array) -> pa.Array:
+    columns: tuple[list, list, list, list, list] = ([], [], [], [], [])
+    ends = [0]
+    for text in texts.to_pylist():
+        ends.append(ends[-1] + nodes(text, columns))
+    kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], list(FIELDS)))
 
 
 def opened(document: Column | str) -> Column:
@@ -70,6 +87,48 @@ def opened(document: Column | str) -> Column:
     return _opened(document)
 
 
+def first_scalar(text: str | None, wanted: frozenset[str]) -> str:
+    """The first scalar with text, in a document's order, whose key ends in one of ``wanted``, trimmed; '' if there is none. The search ends there."""
+    document = _parsed(text)
+    todo = [iter(_children(document))] if document is not None else []
+    while todo:
+        for key, value in todo[-1]:
+            if isinstance(value, dict | list):
+                todo.append(iter(_children(value)))
+                break
+            if terminal(key) in wanted and (said := str(value).strip(" ")):
+                return said
+        else:
+            todo.pop()
+    return ""
+
+
+def first_named(document: Column | str, *names: str) -> Column:
+    """``first_scalar`` over a column of JSON texts."""
+    wanted = frozenset(terminal(n) for n in names)
+
+    @F.arrow_udf(T.StringType())
+    def found(texts: pa.Array) -> pa.Array:
+        return pa.array([first_scalar(t, wanted) for t in texts.to_pylist()], pa.string())
+
+    return found(document)
+
+
+@F.arrow_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("entropy", T.DoubleType()), T.StructField("deviation", T.DoubleType())]))
+def character_spread(texts: pa.Array) -> pa.Array:
+    """Number of a text's characters, entropy of their distribution in bits, and standard deviation of their code points; null without any."""
+    made = []
+    for text in texts.to_pylist():
+        points, n = np.unique(np.frombuffer((text or "").encode("utf-32-le"), np.uint32), return_counts=True)
+        total, points = int(n.sum()), points.astype(float)
+        if not total:
+            made.append((0, None, None))
+            continue
+        p = n / total
+        made.append((total, float(-(p * np.log2(p)).sum()), float(np.sqrt(max(0.0, (p * points * points).sum() - (p * points).sum() ** 2)))))
+    return pa.StructArray.from_arrays([pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.float64(), pa.float64()))], ["n", "entropy", "deviation"])
+
+
 def below(tree: Column, at: Column) -> Column:
     """The node at place ``at`` (from 0) and all below it."""
     return F.slice(tree, at + 1, F.get(tree, at)["size"])

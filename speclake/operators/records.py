@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from speclake.functions import documents
 from speclake.functions import scalars as S
+from speclake.operators.sampling import lowest
 
 #: The least probability at which a rank is accepted, broad ranks first.
 ACCEPTED_FROM = {"family": 0.40, "genus": 0.50, "species": 0.65}
@@ -95,19 +96,23 @@ def tiles(width: Column, height: Column, grid: int) -> Column:
         k.alias("tile"), cell(column(k), width).alias("x1"), cell(row(k), height).alias("y1"), cell(column(k) + 1, width).alias("x2"), cell(row(k) + 1, height).alias("y2")))
 
 
-def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row (n, digest) that the order of ``df`` doesn't change: of each row's SHA-256 the eight 32-bit parts, xored, and their sums modulo 2**32, in hex."""
+def digest_of(columns: list[str]) -> Column:
+    """An aggregate that the order of rows doesn't change: of each row's SHA-256 the eight 32-bit parts, xored, and their sums modulo 2**32, in hex."""
     row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
     parts = [F.conv(F.substring(row, 1 + 8 * k, 8), 16, 10).cast("long") for k in range(8)]
     mixed = [F.coalesce(F.bit_xor(p), F.lit(0)) for p in parts] + [F.coalesce(F.sum(p), F.lit(0)) % (1 << 32) for p in parts]
-    return df.agg(F.count("*").alias("n"), F.concat(*[F.lower(F.lpad(F.hex(m.cast("long")), 8, "0")) for m in mixed]).alias("digest"))
+    return F.concat(*[F.lower(F.lpad(F.hex(m.cast("long")), 8, "0")) for m in mixed]).alias("digest")
+
+
+def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row (n, digest): the number of rows and their ``digest_of``."""
+    return df.agg(F.count("*").alias("n"), digest_of(columns))
 
 
 def topup(rows: DataFrame, base: DataFrame, family: str, identity: str, minimum: int, seed: int) -> DataFrame:
     """Up to ``minimum`` rows a family, those in ``base`` (identity) first, then others, each by seeded score; in_base tells which."""
     marked = rows.join(base.select(identity).distinct().withColumn("_in", F.lit(True)), identity, "left").withColumn("in_base", F.coalesce("_in", F.lit(False))).drop("_in")
-    order = Window.partitionBy(family).orderBy(F.desc("in_base"), S.score(F.col(identity).cast("string"), seed), identity)
-    return marked.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= minimum).drop("_nth")
+    return lowest(marked, [family], minimum, seed, identity, "in_base")
 
 
 def topup_report(chosen: DataFrame, requested: DataFrame, family: str, minimum: int) -> DataFrame:
@@ -133,11 +138,13 @@ def running_grants(parts: DataFrame, name: str, wanted: str, budget: int) -> Dat
 
 def with_picked(df: DataFrame, document: str, names: list[str], target: str) -> DataFrame:
     """``df`` with ``target``: the first scalar with text, in document order, whose key ends in one of ``names``, at any depth; '' if there is none."""
-    return df.withColumn("_nodes", documents.opened(document)).withColumn(target, documents.pick(F.col("_nodes"), *names)).drop("_nodes")
+    return df.withColumn(target, documents.first_named(document, *names))
 
 
 def first_seen_values(df: DataFrame, keys: str, values: str) -> DataFrame:
-    """``df`` with the array ``values`` in order, each once without regard to case, blank ones gone; longer lists cost in proportion."""
-    each = df.select(keys, F.posexplode(values).alias("_at", "_x")).filter(F.trim("_x") != "")
-    once = each.groupBy(keys, F.lower("_x").alias("_low")).agg(F.min(F.struct("_at", "_x")).alias("_first"))
-    return once.groupBy(keys).agg(F.transform(F.array_sort(F.collect_list("_first")), lambda s: s["_x"]).alias(values))
+    """``df`` with the array ``values`` in order, each once without regard to case, blank ones gone; rows with none are left out. Each row's values are sorted in the row, without a shuffle."""
+    marked = F.filter(F.transform(values, lambda x, i: F.struct(F.lower(x).alias("low"), i.alias("at"), x.alias("x"))), lambda s: F.trim(s["x"]) != "")
+    # The explode of one element keeps the sort out of the lambda below, where it would run once a value.
+    rows = df.select(keys, F.explode(F.array(F.array_sort(marked))).alias("_s"))
+    first = F.filter("_s", lambda s, i: (i == 0) | (F.get("_s", i - 1)["low"] != s["low"]))
+    return rows.select(keys, F.transform(F.array_sort(F.transform(first, lambda s: F.struct(s["at"].alias("at"), s["x"].alias("x")))), lambda s: s["x"]).alias(values)).filter(F.size(values) > 0)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
+from speclake.sources.shared import cut, sized
 
 #: Score of a curated entry, what a match by genus adds, numbers of genera asked for and of results.
 CURATED, BY_GENUS, GENERA, RESULTS = 100.0, 10.0, 4, 12
@@ -22,19 +23,21 @@ def _folded(values: Column | str) -> Column:
     return F.array_distinct(F.filter(F.transform(F.coalesce(F.col(values) if isinstance(values, str) else values, F.array().cast("array<string>")), lambda x: F.lower(F.trim(x))), lambda x: x != ""))
 
 
-def matches(asked: DataFrame, catalog: DataFrame, identity: str, entry: str) -> DataFrame:
+def matches(asked: DataFrame, catalog: DataFrame, identity: str, entry: str, anywhere: DataFrame | None = None) -> DataFrame:
     """(identity, entry, by_genus): entries for questions ``asked`` (identity, family, genera), of a catalogue (entry, families, genera).
 
-    An entry matches by family or by any genus, found by equi-joins. One without families is for all
-    questions; these are few and curated, and meet the questions as an array in one broadcast row of them.
+    An entry matches by family or by any genus, found by equi-joins. One without families is for all questions: all of
+    these, or the few (entry) that the caller has chosen as ``anywhere``, are a row of their own for each question.
     """
     a = asked.select(identity, F.lower(F.trim(F.coalesce("family", F.lit("")))).alias("family"), _folded("genera").alias("genera"))
     c = catalog.select(entry, _folded("families").alias("families"), _folded("genera").alias("genera"))
     genus = a.select(identity, F.explode("genera").alias("x")).join(c.select(entry, F.explode("genera").alias("x")), "x").select(identity, entry, F.lit(True).alias("by_genus"))
     family = a.select(identity, F.col("family").alias("x")).join(c.select(entry, F.explode("families").alias("x")), "x").select(identity, entry, F.lit(False).alias("by_genus"))
-    free = c.filter(F.size("families") == 0).agg(F.collect_list(entry).alias("all"))
-    anywhere = a.select(identity).join(F.broadcast(free)).select(identity, F.explode("all").alias(entry), F.lit(False).alias("by_genus"))
-    return genus.unionByName(family).unionByName(anywhere).groupBy(identity, entry).agg(F.max("by_genus").alias("by_genus"))
+    # The result has a row for each question and each of these; many are met bucket by bucket.
+    buckets = 64 if anywhere is None else 1
+    free = (c.filter(F.size("families") == 0) if anywhere is None else anywhere).select(entry, F.pmod(F.xxhash64(entry), F.lit(buckets)).cast("int").alias("_bucket"))
+    everyone = a.select(identity, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_bucket")).join(sized(free), "_bucket").select(identity, entry, F.lit(False).alias("by_genus"))
+    return genus.unionByName(family).unionByName(everyone).groupBy(identity, entry).agg(F.max("by_genus").alias("by_genus"))
 
 
 def ranked_hits(hits: DataFrame, identity: str, limit: int = RESULTS) -> DataFrame:
@@ -46,10 +49,13 @@ def ranked_hits(hits: DataFrame, identity: str, limit: int = RESULTS) -> DataFra
 
 
 def recommend(predictions: DataFrame, catalog: DataFrame, found: DataFrame | None = None, identity: str = "record_id", genera: int = GENERA, limit: int = RESULTS) -> DataFrame:
-    """(identity, doi, url, title, score, nth): curated entries for each prediction (identity, family, genera in order), and search results ``found`` (identity, doi, url, title, score) that have landed."""
+    """(identity, doi, url, title, score, nth): curated entries for each prediction (identity, family, genera in order), those for all predictions the first ``limit`` of them, and search results ``found`` (identity, doi, url, title, score) that have landed."""
     once = F.transform(F.filter(F.transform("genera", lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: F.trim(s["x"]) != ""), lambda s: s["x"])
     asked = predictions.select(identity, "family", F.slice(S.top_unique(once), 1, genera).alias("genera"))
     entries = catalog.withColumn("_entry", F.struct("doi", "url", "title"))
-    curated = matches(asked, entries, identity, "_entry").select(identity, "_entry.*", F.when(F.col("by_genus"), CURATED + BY_GENUS).otherwise(CURATED).alias("score"))
+    # Of entries for all questions, which score alike, no more than ``limit`` can be among the results.
+    free = entries.filter(F.size(_folded("families")) == 0).select("doi", "url", F.col("title"), F.lit(0).alias("all"), F.lit(CURATED).alias("score"))
+    first = cut(ranked_hits(free, "all", limit).select(F.struct("doi", "url", "title").alias("_entry")))
+    curated = matches(asked, entries, identity, "_entry", first).select(identity, "_entry.*", F.when(F.col("by_genus"), CURATED + BY_GENUS).otherwise(CURATED).alias("score"))
     hits = curated if found is None else curated.unionByName(found.select(identity, "doi", "url", "title", F.col("score").cast("double")))
     return ranked_hits(hits, identity, limit)

@@ -79,6 +79,31 @@ def fuse_encoders(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return both.select(key, unit(F.transform(F.concat("a", "b"), lambda x: x / F.sqrt(F.lit(2.0)))).alias("embedding"))
 
 
+def with_metadata(vectors: DataFrame, metadata: DataFrame, key: str) -> DataFrame:
+    """A store's vectors (key, embedding) with their metadata rows; an error unless each has exactly one of the other."""
+    problems = key_problems(vectors, metadata, key).orderBy("side", "problem").collect()
+    if problems:
+        raise ValueError("vectors and metadata don't match: " + ", ".join(f"{r['n']} {r['problem']} on the {r['side']}" for r in problems))
+    return metadata.join(vectors, key)
+
+
+def fuse_cohorts(a: DataFrame, b: DataFrame, key: str, vector: str = "embedding") -> tuple[DataFrame, str]:
+    """Two encoders' tables (key, metadata, embedding) of one cohort fused over their common keys: (a's metadata with the fused embedding, digest of the cohort).
+
+    Rows of a key must agree in all of ``ALIGNED`` that ``a`` has, else it is an error. The digest is that of
+    the keys with those columns, in any order of rows, so that reports over the same cohort can be told.
+    """
+    from speclake.operators.records import fingerprint
+
+    common = cut(a.join(b.select(key), key, "left_semi"))
+    differing = alignment_problems(common.drop(vector), b.drop(vector), key).orderBy(key).limit(3).collect()
+    if differing:
+        raise ValueError("the encoders' cohorts differ: " + ", ".join(f"{r[key]} {r['problem']}" for r in differing))
+    fused = fuse_encoders(common.select(key, F.col(vector).alias("va")), b.join(common.select(key), key, "left_semi").select(key, F.col(vector).alias("vb")), key)
+    digest = fingerprint(common, [key, *[c for c in ALIGNED if c in common.columns and c != key]]).first()["digest"]
+    return common.drop(vector).join(fused, key), digest
+
+
 #: The metadata that a retrieval table keeps.
 KEPT = (
     "record_id", "source", "source_record_id", "image_url", "local_path", "image_license", "attribution", "family", "genus", "species",
@@ -190,26 +215,53 @@ def _guesses(df: DataFrame, mids: list[Row], k: int, identity: str, vector: str)
     return df.select(F.col(identity).cast("long"), vector).mapInArrow(run, f"{identity} long, guess string, similarity double")
 
 
-def nearest(queries: DataFrame, index: DataFrame, k: int, identity: str = "vec_id", vector: str = "embedding", bound: int = 10_000, block: int = 4096) -> DataFrame:
+def nearest(queries: DataFrame, index: DataFrame, k: int, identity: str = "vec_id", vector: str = "embedding", bound: int = 10_000, block: int = 4096, cell: int = 65_536) -> DataFrame:
     """The ``k`` rows of ``index`` with the largest inner product of unit vectors for each query: query_id, id, similarity, nth.
 
-    Queries are asked in parts of ``bound`` at most, by id: a part is broadcast, each task multiplies
-    blocks and keeps its own best ``k``, and only these are shuffled. Only one part is in the driver at a
-    time; more than one part are each written to the checkpoint folder. Ties go to the smaller id.
+    Each query id is asked once, of rows that share it that with the smallest vector; null ids and null vectors neither ask nor answer.
+    Ties go to the smaller id. Up to ``bound`` queries are broadcast: each task multiplies blocks and keeps its own best ``k``. More
+    meet the index in cells of ``cell`` queries by ``cell`` rows, all in one job. Either way only a task's best ``k`` a query are shuffled.
     """
-    asked = queries.select(F.col(identity).cast("long").alias(identity), vector)
-    rows = asked.limit(bound + 1).collect()
-    if len(rows) <= bound:
-        return _nearest(rows, index, k, identity, vector, block)
-    asked, found, last = cut(asked), [], None
-    while True:
-        # Queries of one id stay together, so that each is asked once; the bound holds for distinct ids.
-        rest = asked if last is None else asked.filter(F.col(identity) > last)
-        rows = rest.dropDuplicates([identity]).orderBy(identity).limit(bound).collect()
-        if not rows:
-            return reduce(DataFrame.unionAll, found)
-        last = rows[-1][0]
-        found.append(cut(_nearest(rows, index, k, identity, vector, block)))
+    there = lambda df: df.select(F.col(identity).cast("long").alias(identity), vector).filter(F.col(identity).isNotNull() & F.col(vector).isNotNull())
+    asked = cut(there(queries).groupBy(identity).agg(F.min(vector).alias(vector)))
+    n = asked.count()
+    found = _nearest(asked.collect(), there(index), k, identity, vector, block) if n <= bound else _in_cells(asked, n, there(index), k, identity, vector, cell)
+    nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))
+    return found.withColumn("nth", nth).filter(F.col("nth") <= k)
+
+
+HITS = "query_id long, id long, similarity double"
+
+
+def _units(vectors: pa.ChunkedArray) -> np.ndarray:
+    v = np.array(vectors.to_pylist(), float)
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
+def _in_cells(asked: DataFrame, n: int, index: DataFrame, k: int, identity: str, vector: str, cell: int) -> DataFrame:
+    """The best ``k`` of each query in each cell of query blocks by index blocks, dealt by hash."""
+    index = cut(index)
+    across, down = max(1, -(-n // cell)), max(1, -(-index.count() // cell))
+    dealt = lambda df, own, m, other, of: df.select(identity, vector, F.pmod(F.xxhash64(identity, vector), F.lit(m)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(of - 1))).alias(other))
+
+    def best(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        found = [[], [], []]
+        if queries.num_rows and rows.num_rows:
+            rows = rows.sort_by(identity)
+            names, v, ids = rows[identity].to_numpy(), _units(rows[vector]).T, queries[identity].to_numpy()
+            for at in range(0, len(ids), 128):
+                sims = np.round(_units(queries[vector].slice(at, 128)) @ v, 9)
+                least = -np.partition(-sims, min(k, len(names)) - 1, axis=1)[:, min(k, len(names)) - 1]
+                for i, row in enumerate(sims):
+                    near = np.nonzero(row >= least[i])[0]
+                    near = near[np.argsort(-row[near], kind="stable")][:k]
+                    for column, values in zip(found, (np.full(len(near), ids[at + i]), names[near], row[near]), strict=True):
+                        column.append(values)
+        joined = [np.concatenate(x) if x else np.array([]) for x in found]
+        return pa.table([pa.array(x, t) for x, t in zip(joined, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "id", "similarity"])
+
+    left, right = dealt(asked, "q", across, "x", down), dealt(index, "x", down, "q", across)
+    return left.groupBy("q", "x").cogroup(right.groupBy("q", "x")).applyInArrow(best, HITS)
 
 
 def _nearest(rows: list[Row], index: DataFrame, k: int, identity: str, vector: str, block: int) -> DataFrame:
@@ -229,6 +281,4 @@ def _nearest(rows: list[Row], index: DataFrame, k: int, identity: str, vector: s
                 best = np.lexsort((np.broadcast_to(names, sims.shape), -sims), axis=1)[:, :k]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, best.shape[1])), pa.array(names[best].ravel()), pa.array(np.take_along_axis(sims, best, 1).ravel())], ["query_id", "id", "similarity"])
 
-    found = index.select(F.col(identity).cast("long"), vector).mapInArrow(run, "query_id long, id long, similarity double")
-    nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))
-    return found.withColumn("nth", nth).filter(F.col("nth") <= k)
+    return index.mapInArrow(run, HITS)

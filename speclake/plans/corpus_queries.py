@@ -133,9 +133,13 @@ def c14_budgets(spark, d):
     return sampling.budgets(strata, {s: 1 + i % 3 for i, s in enumerate(names)}, total, max(1, total // 20), "bucket").select("source", "bucket", "budget")
 
 
-SHARDED = f"""WITH {BOUND}, g AS (SELECT duplicate_key, count(*) AS n FROM bound GROUP BY duplicate_key), s AS (SELECT CAST(greatest(1, least(count(*), CAST(ceil(sum(n) / 100.0) AS BIGINT))) AS BIGINT) AS shards FROM g),
+#: Greedy packing a group at a time; of a size, the shards in order take as many of its groups, by hash, as they got.
+SHARDED = f"""WITH RECURSIVE {BOUND}, g AS (SELECT duplicate_key, count(*) AS n FROM bound GROUP BY duplicate_key), s AS (SELECT CAST(greatest(1, least(count(*), CAST(ceil(sum(n) / 100.0) AS BIGINT))) AS BIGINT) AS shards FROM g),
   o AS (SELECT duplicate_key, n, row_number() OVER (ORDER BY n DESC, sha256(duplicate_key)) - 1 AS place FROM g),
-  z AS (SELECT duplicate_key, n, place, CASE WHEN (place // shards) % 2 = 0 THEN place % shards ELSE shards - 1 - place % shards END AS shard_id FROM o, s)"""
+  steps AS (SELECT CAST(-1 AS BIGINT) AS place, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS shard, [CAST(0 AS BIGINT) FOR x IN range(shards)] AS loads FROM s UNION ALL
+    SELECT o.place, o.n, list_position(loads, list_min(loads)), [CASE WHEN i = list_position(loads, list_min(loads)) THEN x + o.n ELSE x END FOR x, i IN loads] FROM steps JOIN o ON o.place = steps.place + 1),
+  z AS (SELECT o.duplicate_key, o.n, o.place, k.shard - 1 AS shard_id FROM o JOIN (SELECT n, shard, row_number() OVER (PARTITION BY n ORDER BY shard) AS k FROM steps WHERE place >= 0) k
+    ON k.n = o.n AND k.k = o.place - (SELECT min(p.place) FROM o p WHERE p.n = o.n) + 1)"""
 
 
 @query(f"{SHARDED} SELECT record_id, CAST(shard_id AS INTEGER) AS shard_id FROM bound JOIN z ON bound.duplicate_key = z.duplicate_key")

@@ -22,7 +22,7 @@ def one_of(k: Column, *values: object) -> Column:
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   WHERE o_orderstatus <> 'F' AND n_regionkey <> 0 AND l_returnflag <> 'R'""")
 def c1_s3_photo_bundle(spark, d):
-    """Observations from orders, photos from lines, a taxonomy of nations and customers, observers from customers; the tables are landed as tab-separated text and read again."""
+    """Observations from orders, photos from lines, a taxonomy of nations and customers, observers from customers; the tables are landed as tab-separated text named .csv.gz, as the bundle has it, and read again."""
     orders, lines, customer, nation = (read(spark, d, t) for t in ("orders", "lineitem", "customer", "nation"))
     name = lambda rank, key: F.concat(F.lit(rank), F.col(key).cast("string"))
     taxa = spark.createDataFrame([(ingest.ORDER_TAXON, "", "order", "Diptera")], "taxon_id string, ancestry string, rank string, name string")
@@ -37,8 +37,8 @@ def c1_s3_photo_bundle(spark, d):
     out = shared.shared_folder(spark)
     landed = {}
     for kind, t in {"observations": observations, "photos": photos, "taxa": taxa, "observers": observers}.items():
-        t.select(*[F.col(c).cast("string").alias(c) for c in t.columns]).write.options(header=True, sep="\t", quote="").csv(f"{out}/{kind}.tsv")
-        landed[kind] = tables.read_table(spark, f"{out}/{kind}.tsv")
+        t.select(*[F.col(c).cast("string").alias(c) for c in t.columns]).write.options(header=True, sep="\t", quote="", compression="gzip").csv(f"{out}/{kind}.csv.gz")
+        landed[kind] = tables.read_table(spark, f"{out}/{kind}.csv.gz")
     rows = ingest.ingest_photo_bundle(landed["observations"], landed["photos"], landed["taxa"], landed["observers"])
     return rows.select("source_record_id", "image_url", "image_license", "family", "species", "label_quality", "observer")
 

@@ -49,8 +49,16 @@ def k2_accepted_quarantine(spark, d):
     return tables.write_partitioned(rows, shared.shared_folder(spark), "decision").groupBy("decision").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
-@query("SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS ids, count(DISTINCT o_custkey) AS groups, 0 AS split_groups FROM orders")
+@query("""WITH RECURSIVE g AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey), h AS (SELECT n, count(*) AS c, row_number() OVER (ORDER BY n DESC) AS step FROM g GROUP BY n),
+  shards AS (SELECT CAST(ceil(sum(n) / 1000.0) AS BIGINT) AS k FROM g),
+  o AS (SELECT n, row_number() OVER (ORDER BY n DESC) AS place FROM g),
+  steps AS (SELECT CAST(0 AS BIGINT) AS place, [CAST(0 AS BIGINT) FOR x IN range(k)] AS loads FROM shards UNION ALL
+    SELECT o.place, [CASE WHEN i = list_position(loads, list_min(loads)) THEN x + o.n ELSE x END FOR x, i IN loads] FROM steps JOIN o ON o.place = steps.place + 1)
+  SELECT CAST(i - 1 AS INTEGER) AS shard_id, loads[i] AS rows, 0 AS split_groups FROM (SELECT loads, unnest(range(1, len(loads) + 1)) AS i FROM steps ORDER BY place DESC LIMIT (SELECT k FROM shards))""")
 def k3_shard_sink(spark, d):
+    """The rows of each shard as written: as many as the emptiest shard took group by group."""
     rows = sampling.assign_shards(read(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey", 1000)
-    written = tables.write_partitioned(rows, shared.shared_folder(spark), "shard_id").groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("ids"), F.count_distinct("shard_id").alias("shards"))
-    return written.agg(F.sum("n").alias("rows"), F.sum("ids").alias("ids"), F.count("*").alias("groups"), F.count_if(F.col("shards") > 1).cast("int").alias("split_groups"))
+    written = tables.write_partitioned(rows, shared.shared_folder(spark), "shard_id")
+    index = sampling.shard_index(written, "o_custkey", "shard_id", "o_orderkey")
+    whole = written.groupBy("o_custkey").agg(F.count_distinct("shard_id").alias("n")).filter("n > 1").agg(F.count("*").cast("int").alias("split_groups"))
+    return index.join(F.broadcast(whole)).select("shard_id", "rows", "split_groups")  # one row

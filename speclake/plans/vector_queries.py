@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from speclake.functions.vectors import dot, unit
 from speclake.operators import evaluation, vectors
 from speclake.plans.register import read, registry
+from speclake.sources.shared import cut, sized
 
 QUERIES, SQL, query = registry()
 
@@ -65,7 +66,7 @@ def c26_a8_a9_gates(spark, d):
   SELECT u.vec_id, round(list_dot_product(u.u, c.c), 6) AS similarity, round(list_dot_product(u.u, c.c), 6) < round(g.t, 6) AS rejected FROM u JOIN c USING (label) JOIN g USING (label)""")
 def v6_rejection(spark, d):
     t = read(spark, d, "embeddings")
-    sims = t.join(F.broadcast(vectors.gates(t, "label", 0.05, 0.02)), "label").select("vec_id", F.round(dot(unit(F.col("embedding")), F.col("centroid")), 6).alias("similarity"), F.round("threshold", 6).alias("t"))
+    sims = t.join(sized(cut(vectors.gates(t, "label", 0.05, 0.02))), "label").select("vec_id", F.round(dot(unit(F.col("embedding")), F.col("centroid")), 6).alias("similarity"), F.round("threshold", 6).alias("t"))
     return sims.select("vec_id", "similarity", (F.col("similarity") < F.col("t")).alias("rejected"))
 
 

@@ -14,14 +14,16 @@ ENVELOPES = ("results", "items", "data", "digitalSpecimens", "digitalSpecimen")
 
 
 def read_table(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """A table of strings by extension: csv, tsv, txt (both with tabs, .gz too), jsonl, ndjson, json or parquet.
+    """A table of strings by extension: csv, tsv or txt (.gz too), jsonl, ndjson, json or parquet.
 
-    Absent values are empty strings. Files in .gz can't be split: one task reads each, so they are dealt out afterwards.
+    Whether text has tabs, without quotes, or commas, is told from its header, whatever its name says. Absent values are empty strings. Files in .gz can't be split: one task reads each, so they are dealt out afterwards.
     """
     name = path.lower().removesuffix(".gz")
     kind = name.rpartition(".")[2]
     if kind in ("csv", "tsv", "txt"):
-        options = {"header": True, "sep": "," if kind == "csv" else "\t", "quote": '"' if kind == "csv" else "", "escape": '"' if kind == "csv" else "\\"}
+        head = (spark.read.text(path).first() or [""])[0]
+        tabs = "\t" in head or kind != "csv" and "," not in head
+        options = {"header": True, "sep": "\t" if tabs else ",", "quote": "" if tabs else '"', "escape": "\\" if tabs else '"'}
         rows = spark.read.options(**options).csv(path)
     elif kind in ("jsonl", "ndjson", "json"):
         rows = spark.read.options(multiLine=multiline, primitivesAsString=True).json(path)

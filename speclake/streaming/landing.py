@@ -20,7 +20,7 @@ def _appended(rows: DataFrame, out: str) -> DataFrame:
 
 
 def first_seen(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
-    """Rows whose keys weren't seen before, in this run or an earlier one over the same ``out``.
+    """Rows whose keys weren't seen before, in this run or an earlier one over the same ``out``; a null is a key like any other.
 
     What was seen is the table itself, which each batch is compared with by an anti join; no state is held in
     memory between batches. A batch that runs again compares with the batches before it and overwrites its own folder.
@@ -33,7 +33,8 @@ def first_seen(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
     def put(batch: DataFrame, number: int) -> None:
         new = batch.dropDuplicates(keys)
         if number:
-            new = new.join(written().filter(F.col("batch") < number).select(*keys), keys, "left_anti")
+            old = written().filter(F.col("batch") < number).select(*[F.col(k).alias(f"_old_{k}") for k in keys])
+            new = new.join(old, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in keys], "left_anti")
         new.select(*kind.names).write.mode("overwrite").parquet(f"{out}/data/batch={number}")
 
     rows.writeStream.foreachBatch(put).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
