@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
-from speclake.operators import records
+from speclake.operators import learning, records
+from speclake.sources.shared import cut
 
 #: The dimensions of an audit and the manifest's columns behind them.
 DIMENSIONS = {"source": "source", "license": "image_license", "quality": "label_quality", "basis": "basis_of_record"}
@@ -90,6 +92,41 @@ def accuracy(truth: DataFrame, ranked: DataFrame, identity: str, label: str, dim
     return rows.groupBy("dimension", "value").agg(F.count("*").alias("n"), F.count_if(F.col("nth") == 1).alias("top1"), F.count_if(F.col("nth") <= 5).alias("top5"))
 
 
+class Evaluation(NamedTuple):
+    """What ``evaluate`` found: metrics and confusions by head, means by rank, and the cohort's digest."""
+
+    metrics: DataFrame
+    confusions: DataFrame
+    means: DataFrame
+    digest: str
+
+
+def evaluate(df: DataFrame, heads: DataFrame, k: int = 5, pairs: int = 50, identity: str = "record_id", vector: str = "embedding") -> Evaluation:
+    """Heads on the validation and test rows of ``df`` (identity, source, split, ranks, label_quality, embedding, maybe source_split), each asked at the row's true parent.
+
+    ``metrics``: (rank, parent, dimension, value, n, top1, top5, rate1, rate5) over all rows of a head, by source, split and
+    source split, blank ones apart. ``confusions``: (rank, parent, truth, predicted, n, nth), the ``pairs`` most frequent errors of
+    a head, of equal ones by name. ``means``: (rank, dimension, value, n, rate1, rate5), weighted by rows over a rank's heads. Rows of
+    classes that no head knows don't count. ``digest`` is that of the rows' ids, splits and names, whatever their order.
+    """
+    rows = df.filter(F.col("split").isin("val", "test"))
+    asked = cut(learning.at_true_heads(rows, heads, k, identity, vector))
+    place = F.get(F.filter("candidates", lambda c: c["taxon"] == F.col("taxon")), 0)["nth"]
+    first = F.get("candidates", 0)["taxon"]
+    kinds = [c for c in ("source", "split", "source_split") if c in asked.columns]
+    each = [F.struct(F.lit("all").alias("dimension"), F.lit("").alias("value")), *[F.when(F.coalesce(c, F.lit("")) != "", F.struct(F.lit(c).alias("dimension"), F.col(c).alias("value"))) for c in kinds]]
+    spread = asked.select("rank", "parent", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("x"), place.alias("nth")).select("rank", "parent", "x.*", "nth")
+    hits = [F.count("*").alias("n"), F.count_if(F.col("nth") == 1).alias("top1"), F.count_if(F.col("nth") <= 5).alias("top5")]
+    rates = {f"rate{i}": F.round(F.col(f"top{i}") / F.col("n"), 6) for i in (1, 5)}
+    metrics = cut(spread.groupBy("rank", "parent", "dimension", "value").agg(*hits).withColumns(rates))
+    means = metrics.groupBy("rank", "dimension", "value").agg(*[F.sum(c).alias(c) for c in ("n", "top1", "top5")]).withColumns(rates).drop("top1", "top5")
+    wrong = asked.select("rank", "parent", F.col("taxon").alias("truth"), first.alias("predicted")).filter("truth <> predicted").groupBy("rank", "parent", "truth", "predicted").agg(F.count("*").alias("n"))
+    nth = F.row_number().over(Window.partitionBy("rank", "parent").orderBy(F.desc("n"), "truth", "predicted"))
+    confusions = wrong.withColumn("nth", nth).filter(F.col("nth") <= pairs)
+    digest = records.fingerprint(rows, [identity, "split", *learning.RANKS]).first()["digest"]
+    return Evaluation(metrics, confusions, means, digest)
+
+
 def compare(reports: dict[str, tuple[str, DataFrame]]) -> DataFrame:
     """(model, dimension, value, n, top1, top5, rate1, rate5) of several models' ``accuracy``, each with its cohort's digest, which must be one."""
     digests = {digest for digest, _ in reports.values()}

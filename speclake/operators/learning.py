@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -10,11 +13,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
 from speclake.functions.vectors import unit
+from speclake.operators import records
 from speclake.operators.sampling import lowest
 from speclake.operators.vectors import gates
 from speclake.sources.shared import cut, sized
@@ -27,6 +31,54 @@ WEIGHTS = (0.1, 10.0)
 HEAD = "rank string, parent string, taxon string, coefficients array<double>, intercept double"
 
 
+def embed_shards(df: DataFrame, shard: str, encoder: Callable[[list[bytes]], np.ndarray], content: str, settings: dict[str, str], out: str, identity: str = "record_id", batch: int = 32, least: float = 0.8, force: bool = False) -> DataFrame:
+    """``embed`` shard by shard, going on where an earlier run over ``out`` ended: (shard, identity, embedding, error) of the shards of ``df``.
+
+    The table ``out``/runs says of each shard that was embedded with which digest of its rows and with which settings, into which
+    version, and whether ``least`` of its rows got vectors. Shards that it holds as complete with the same digest are skipped, others are embedded,
+    all in one job, into a version of their own, and only then named in the table, so a run that fails leaves the shards before it. Other settings
+    than those that the table has are an error, unless ``force`` embeds every shard anew. Shards below ``least`` are tried again next time. Null shards are ''.
+    """
+    spark = df.sparkSession
+    said = json.dumps(dict(sorted(settings.items())))
+    rows = df.withColumn(shard, F.coalesce(F.col(shard).cast("string"), F.lit("")))
+    digested = cut(rows.groupBy(shard).agg(F.count("*").alias("rows"), records.digest_of([identity, content])))
+    runs = shard_runs(spark, out)
+    if not force and not runs.filter(F.col("settings") != said).isEmpty():
+        raise ValueError(f"{out} was embedded with other settings")
+    done = runs.filter(F.col("complete") & (F.col("settings") == said)).select(F.col("shard").alias("_shard"), F.col("digest").alias("_digest"))
+    todo = sized(cut(digested.join(done.limit(0) if force else done, (F.col(shard) == F.col("_shard")) & (F.col("digest") == F.col("_digest")), "left_anti")))
+    if not todo.isEmpty():
+        version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        part = rows.join(todo.select(shard), shard, "left_semi").select(F.col(shard).alias("shard"), F.col(identity).cast("string").alias(identity), content)
+        made = embed(part.withColumn("_id", F.to_json(F.struct(F.col("shard").alias("s"), F.col(identity).alias("i")))), encoder, content, "_id", batch)
+        back = F.from_json("_id", "s string, i string")
+        made.select(back["s"].alias("shard"), back["i"].alias(identity), "embedding", "error").write.parquet(f"{out}/data/{version}")
+        counts = spark.read.parquet(f"{out}/data/{version}").groupBy("shard").agg(F.count("embedding").alias("embedded"))
+        told = todo.withColumnRenamed(shard, "shard").join(counts, "shard", "left").na.fill(0, ["embedded"])
+        told = told.select("shard", "digest", F.lit(said).alias("settings"), F.lit(version).alias("version"), "rows", "embedded", (F.col("embedded") >= least * F.col("rows")).alias("complete"))
+        told.write.mode("append").parquet(f"{out}/runs")
+        runs = shard_runs(spark, out)
+    last = runs.join(digested.select(F.col(shard).alias("shard")), "shard", "left_semi").select("shard", "version").orderBy("version", "shard").collect()  # a row a shard
+    versions = sorted({r["version"] for r in last})
+    if not versions:
+        return spark.createDataFrame([], f"shard string, {identity} string, embedding array<double>, error string")
+    whole = reduce(DataFrame.unionByName, [spark.read.parquet(f"{out}/data/{v}").withColumn("version", F.lit(v)) for v in versions])
+    return whole.join(sized(spark.createDataFrame(last, "shard string, version string")), ["shard", "version"], "left_semi").drop("version")
+
+
+RUNS = "shard string, digest string, settings string, version string, rows long, embedded long, complete boolean"
+
+
+def shard_runs(spark: SparkSession, out: str) -> DataFrame:
+    """The last run of each shard of ``embed_shards`` over ``out``; none where nothing ran yet."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/runs")
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], RUNS)
+    runs = spark.read.schema(RUNS).parquet(f"{out}/runs")
+    return runs.groupBy("shard").agg(F.max_by(F.struct("digest", "settings", "version", "rows", "embedded", "complete"), "version").alias("r")).select("shard", "r.*")
+
+
 def embed(df: DataFrame, encoder: Callable[[list[bytes]], np.ndarray], content: str, identity: str = "record_id", batch: int = 32) -> DataFrame:
     """(identity, embedding, error): ``encoder`` (a list of contents to a matrix) on batches of rows; a row that fails has a null vector and its error's name.
 
@@ -212,6 +264,16 @@ def train_heads(df: DataFrame, least: dict[str, int] | None = None, per_class: i
     return fit_heads(_at_ranks(df, identity, vector), least or dict.fromkeys(RANKS, 2), per_class, seed, quantile, margin, cells)
 
 
+def centroid_heads(df: DataFrame, least: dict[str, int] | None = None, quantile: float = 0.05, margin: float = 0.02, identity: str = "record_id", vector: str = "embedding") -> DataFrame:
+    """Heads of the shape of ``train_heads`` that need no fit: a class's coefficients are its centroid, so its logit is the similarity to it."""
+    rows = _at_ranks(df, identity, vector)
+    keys = ["rank", "parent", "taxon"]
+    classes = sized(_classes(rows, least or dict.fromkeys(RANKS, 2)))
+    key = lambda: F.concat_ws("\x1e", *keys).alias("key")
+    limits = gates(cut(rows.join(classes, keys, "left_semi").select(key(), "v")), "key", quantile, margin, "v")
+    return classes.withColumn("key", key()).join(limits, "key").select(*keys, F.col("centroid").alias("coefficients"), F.lit(0.0).alias("intercept"), "centroid", "threshold")
+
+
 def train_flat(df: DataFrame, label: str, train: int = 80, least: int = 2, per_class: int = 500, seed: int = 42, quantile: float = 0.05, margin: float = 0.02, identity: str = "record_id", vector: str = "embedding", cells: int = 4_000_000) -> tuple[DataFrame, DataFrame]:
     """One head over all classes of ``label``, fitted as by ``train_heads`` on the training groups: (heads, rows held out). Without a split, groups are dealt by hash."""
     split = F.col("split") if "split" in df.columns else S.split_of(F.col("split_group").cast("string"), train, 0)
@@ -330,6 +392,15 @@ def ask_heads(rows: DataFrame, heads: DataFrame, k: int, block: int = 2048, spre
     return both.select("row", "parent", said.alias("candidates"), F.get("best", 0)["far"].alias("far"))
 
 
+def at_true_heads(df: DataFrame, heads: DataFrame, k: int = 5, identity: str = "record_id", vector: str = "embedding") -> DataFrame:
+    """(row, rank, parent, taxon, id, source, split, source_split as far as given, candidates): each row of ``df`` at each rank where its class is known to ``heads``, asked at its true parent."""
+    known = sized(cut(heads.select("rank", "parent", "taxon").distinct()))
+    rows = cut(_at_ranks(df, identity, vector).join(known, ["rank", "parent", "taxon"], "left_semi").withColumn("row", F.monotonically_increasing_id()))
+    key = F.concat_ws("\x1e", "rank", "parent")
+    found = ask_heads(rows.select("row", key.alias("parent"), "v"), heads.withColumn("parent", key), k)
+    return rows.drop("v").join(found.select("row", "candidates"), "row")
+
+
 def _routed(vectors: DataFrame, heads: DataFrame, k: int, identity: str, vector: str) -> DataFrame:
     """``predict_hierarchical`` with heads of any number of classes: rank by rank, rows go to the heads of their parents."""
     rows = cut(vectors.select(F.monotonically_increasing_id().alias("row"), F.col(identity).cast("string").alias(identity), unit(F.col(vector)).alias("v")))
@@ -346,9 +417,7 @@ def _routed(vectors: DataFrame, heads: DataFrame, k: int, identity: str, vector:
 
 def accepted(predictions: DataFrame) -> DataFrame:
     """``predictions`` with accepted_rank and accepted_taxon: the deepest rank whose best class is probable enough and not rejected."""
-    from speclake.operators.records import accepted_rank
-
     best = lambda rank: F.get(F.filter("candidates", lambda c: (c["rank"] == rank) & (c["nth"] == 1)), 0)
-    said = accepted_rank({r: best(r)["probability"] for r in RANKS}, F.col("rejected_rank"))
+    said = records.accepted_rank({r: best(r)["probability"] for r in RANKS}, F.col("rejected_rank"))
     rows = predictions.withColumn("accepted_rank", said)
     return rows.withColumn("accepted_taxon", F.coalesce(*[F.when(F.col("accepted_rank") == r, best(r)["taxon"]) for r in RANKS]))

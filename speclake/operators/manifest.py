@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
-from speclake.sources.shared import sized
+from speclake.operators.components import components
+from speclake.sources.shared import cut, sized
 
 #: The manifest's columns.
 COLUMNS = (
@@ -117,17 +118,45 @@ def finalize(df: DataFrame) -> DataFrame:
     return raw.withColumn("exclusion_reason", reason.when(F.col("identification_level") == "unidentified", "missing_taxonomy").otherwise("")).select(*COLUMNS)
 
 
-def build_master(*parts: DataFrame, official_source: str = "", supervised_only: bool = False, train: int = 80, val: int = 10) -> DataFrame:
-    """The union of manifests with splits by group hash; the official hold-outs of one source come first."""
+#: Splits, the first of those that a group's rows have officially counts for it.
+STRONGEST = ("test", "val", "train")
+
+
+def build_master(*parts: DataFrame, official_source: str = "", supervised_only: bool = False, train: int = 80, val: int = 10, group_mode: str = "first") -> DataFrame:
+    """The union of manifests with splits by group hash; the official hold-outs of one source come first.
+
+    A row's group is the first of its duplicate, split and specimen group; with ``group_mode`` 'component' it is all that specimens
+    and duplicate groups link, so that none of them is in two splits: the smallest duplicate group's name, else the
+    specimen's, and an official split, the strongest one, holds for the whole of it.
+    """
+    if group_mode not in ("first", "component"):
+        raise ValueError(f"no group mode {group_mode}")
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part, allowMissingColumns=True)
     master = finalize(whole)
     fixed = F.when(F.col("source") == official_source, S.official_split(F.col("source_split")))
-    master = master.withColumn("split", F.coalesce(fixed, S.split_of(F.col("split_group"), train, val)))
+    if group_mode == "component":
+        master = _in_components(cut(master.withColumn("_fixed", fixed)))
+        fixed = F.col("_fixed")
+    master = master.withColumn("split", F.coalesce(fixed, S.split_of(F.col("split_group"), train, val))).drop("_fixed")
     return master.filter("eligible_supervised") if supervised_only else master
 
 
+def _in_components(master: DataFrame) -> DataFrame:
+    """``master`` with split_group by components of specimens and duplicate groups, and the official split ``_fixed`` of each."""
+    of = lambda kind, column: F.when(F.col(column) != "", F.concat(F.lit(kind), column))
+    twin, specimen = of("d:", "duplicate_group_id"), of("s:", "specimen_group_id")
+    rows = master.withColumn("_node", F.coalesce(twin, specimen))
+    links = rows.filter("_node IS NOT NULL").select(F.col("_node").alias("a"), F.coalesce(specimen, F.col("_node")).alias("b")).distinct()
+    roots = cut(components(links)).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    rooted = rows.join(roots, "_node", "left").withColumn("split_group", F.coalesce(F.substring("_root", 3, 1 << 30), "split_group")).drop("_node")
+    place = F.coalesce(*[F.when(F.col("_fixed") == s, F.lit(i)) for i, s in enumerate(STRONGEST)])
+    strongest = rooted.filter("_root IS NOT NULL").groupBy("_root").agg(F.min(place).alias("_place")).filter("_place IS NOT NULL")
+    held = F.coalesce(F.get(F.array(*map(F.lit, STRONGEST)), F.col("_place")), F.col("_fixed"))
+    return rooted.join(strongest, "_root", "left").withColumn("_fixed", held).drop("_root", "_place")
+
+
 def deduplicate(df: DataFrame, key: str = "duplicate_key", keep_all: bool = False, best: str = "priority") -> DataFrame:
     """The best row of each key with group size; with ``keep_all`` every row. A group's id is set where it has several rows.
 

@@ -112,8 +112,8 @@ def group_order(df: DataFrame, group: str, parts: int = 256) -> DataFrame:
     A group's number is its place among groups of its size and hash range, plus how many come before that
     range; so neither one task nor one window holds all groups of a size, and only counts a range are ordered.
     """
-    digest = F.sha2(F.col(group).cast("string"), 256)
-    part = F.floor(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") * parts / 65536).cast("int")
+    digest = F.coalesce(F.sha2(F.col(group).cast("string"), 256), F.lit(""))  # a null is a group, too
+    part = F.coalesce(F.floor(F.conv(F.substring(F.nullif(digest, F.lit("")), 1, 4), 16, 10).cast("int") * parts / 65536).cast("int"), F.lit(0))
     groups = df.groupBy(group).agg(F.count("*").alias("size")).withColumn("part", part).withColumn("digest", digest)
     ranges = groups.groupBy("size", "part").agg(F.count("*").alias("n"))
     # One row a size, whose counts by range are summed up in an array; the sizes themselves are few.

@@ -64,6 +64,22 @@ def c10_build_master(spark, d):
     return manifest.build_master(t.filter("doc_id % 2 = 0"), t.filter("doc_id % 2 = 1").drop("labelled")).select("record_id", "split")
 
 
+@query(f"""WITH RECURSIVE {BOUND}, m AS (SELECT record_id, source, 'd:dup:' || duplicate_key AS d, 's:sp' || (doc_id // 3) AS s, CASE WHEN source = 'src3' AND doc_id % 2 = 0 THEN 0 WHEN source = 'src3' THEN 2 END AS fixed, count(*) OVER (PARTITION BY duplicate_key) AS n FROM bound),
+  r AS (SELECT *, CASE WHEN n > 1 THEN d ELSE s END AS node FROM m), e AS (SELECT DISTINCT node AS a, s AS b FROM r UNION SELECT DISTINCT s, node FROM r),
+  reach AS (SELECT DISTINCT a, a AS b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a), root AS (SELECT a AS node, min(b) AS root FROM reach GROUP BY a),
+  held AS (SELECT root, min(fixed) AS fixed FROM r JOIN root USING (node) GROUP BY root), z AS (SELECT record_id, substr(root.root, 3) AS split_group, held.fixed FROM r JOIN root USING (node) JOIN held ON held.root = root.root),
+  b AS (SELECT *, ('0x' || substr(sha256(split_group), 1, 8))::UBIGINT % 100 AS b FROM z)
+  SELECT record_id, split_group, CASE WHEN fixed = 0 OR fixed IS NULL AND b >= 90 THEN 'test' WHEN fixed IS NULL AND b >= 80 THEN 'val' ELSE 'train' END AS split FROM b""")
+def c10_component_master(spark, d):
+    """Specimens of three documents, linked by copies of texts; one source has official hold-outs, which hold for all that is linked to them."""
+    t = bound(spark, d)
+    twins = t.groupBy(F.col("duplicate_key").alias("_key")).agg(F.count("*").alias("_n"))
+    t = t.join(twins, F.col("duplicate_key") == F.col("_key")).select(
+        "record_id", "source", F.col("record_id").alias("source_record_id"), "family", "genus", "image_license", F.concat(F.lit("sp"), F.floor(F.col("doc_id") / 3)).alias("specimen_group_id"),
+        F.when(F.col("_n") > 1, F.concat(F.lit("dup:"), "duplicate_key")).otherwise("").alias("duplicate_group_id"), F.when(F.col("doc_id") % 2 == 0, "test").otherwise("train").alias("source_split"))
+    return manifest.build_master(t, official_source="src3", group_mode="component").select("record_id", "split_group", "split")
+
+
 @query(f"""WITH {BOUND} SELECT 'all' AS dimension, '' AS value, count(*) AS n FROM bound UNION ALL SELECT 'source', source, count(*) FROM bound GROUP BY source
   UNION ALL SELECT 'label_quality', label_quality, count(*) FROM bound GROUP BY label_quality UNION ALL SELECT 'family', family, count(*) FROM bound GROUP BY family""")
 def a1_audit(spark, d):

@@ -156,6 +156,67 @@ def c27_predict_hierarchical(spark, d):
     return predicted.select("record_id", "rejected_rank", "accepted_rank", "accepted_taxon", F.size("candidates").alias("candidates"))
 
 
+#: Rows at the ranks where they are named, classes' centroids over training rows, and each row's similarities at its true parent.
+RANKED = """u AS (SELECT vec_id, label, list_transform(e, lambda x: x / greatest(sqrt(list_dot_product(e, e)), 1e-12)) AS u FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings)),
+  t AS (SELECT *, 'fam' || label % 2 AS fam, 'gen' || label % 4 AS gen, CASE WHEN vec_id % 10 < 7 THEN 'train' WHEN vec_id % 10 < 9 THEN 'val' ELSE 'test' END AS split, 'src' || vec_id % 3 AS source FROM u),
+  r AS (SELECT vec_id, 'family' AS rank, '' AS parent, fam AS taxon, split, source, u FROM t UNION ALL SELECT vec_id, 'genus', fam, gen, split, source, u FROM t
+    UNION ALL SELECT vec_id, 'species', fam || chr(31) || gen, 'sp' || label, split, source, u FROM t WHERE vec_id % 5 <> 0),
+  m AS (SELECT rank, parent, taxon, i, avg(u[i]) AS x FROM (SELECT rank, parent, taxon, u, unnest(range(1, 65)) AS i FROM r WHERE split = 'train') GROUP BY ALL),
+  c AS (SELECT rank, parent, taxon, list(x ORDER BY i) AS v, sqrt(sum(x * x)) AS n FROM m GROUP BY ALL), cs AS (SELECT rank, parent, taxon, list_transform(v, lambda x: x / greatest(n, 1e-12)) AS c FROM c)"""
+
+
+def split_by_id(t):
+    k = F.col("record_id").cast("long") % 10
+    return t.withColumn("split", F.when(k < 7, "train").when(k < 9, "val").otherwise("test"))
+
+
+@query(f"""WITH {RANKED}, s AS (SELECT r.vec_id, r.rank, r.parent, r.taxon, r.split, r.source, cs.taxon AS guess, list_dot_product(r.u, cs.c) AS sim FROM r JOIN cs ON r.rank = cs.rank AND r.parent = cs.parent WHERE r.split <> 'train'),
+  h AS (SELECT rank, parent, split, source, k FROM (SELECT *, row_number() OVER (PARTITION BY vec_id, rank ORDER BY sim DESC, guess) AS k FROM s) WHERE guess = taxon),
+  x AS (SELECT rank, parent, unnest([{{'d': 'all', 'v': ''}}, {{'d': 'split', 'v': split}}, {{'d': 'source', 'v': source}}]) AS x, k FROM h)
+  SELECT rank, parent, x.d AS dimension, x.v AS value, count(*) AS n, count(*) FILTER (k = 1) AS top1, count(*) FILTER (k <= 5) AS top5, round(count(*) FILTER (k = 1) / count(*), 6) AS rate1, round(count(*) FILTER (k <= 5) / count(*), 6) AS rate5 FROM x GROUP BY ALL""")
+def c29_evaluate(spark, d):
+    """Centroids of the training rows as heads, each asked at the true parent of the other rows: metrics of each head."""
+    t = split_by_id(labelled(spark, d))
+    return evaluation.evaluate(t, learning.centroid_heads(t.filter("split = 'train'"))).metrics
+
+
+@query(f"""WITH {RANKED}, s AS (SELECT r.vec_id, r.rank, r.parent, r.taxon, cs.taxon AS guess, list_dot_product(r.u, cs.c) AS sim FROM r JOIN cs ON r.rank = cs.rank AND r.parent = cs.parent WHERE r.split <> 'train'),
+  b AS (SELECT rank, parent, taxon AS truth, guess AS predicted, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY vec_id, rank ORDER BY sim DESC, guess) AS k FROM s) WHERE k = 1 AND guess <> taxon GROUP BY ALL)
+  SELECT *, CAST(row_number() OVER (PARTITION BY rank, parent ORDER BY n DESC, truth, predicted) AS INTEGER) AS nth FROM b""")
+def c29_confusions(spark, d):
+    """The errors of the same heads, most frequent first."""
+    t = split_by_id(labelled(spark, d))
+    return evaluation.evaluate(t, learning.centroid_heads(t.filter("split = 'train'"))).confusions
+
+
+@query(f"""WITH {RANKED}, q AS (SELECT cs.*, greatest(-1, least(1, quantile_cont(list_dot_product(r.u, cs.c), 0.05) - 0.02)) AS limits FROM r JOIN cs ON r.rank = cs.rank AND r.parent = cs.parent AND r.taxon = cs.taxon WHERE r.split = 'train' GROUP BY ALL),
+  f AS (SELECT t.vec_id, q.rank, q.parent, q.taxon, list_dot_product(t.u, q.c) AS sim, limits FROM t JOIN q ON q.rank = 'family'),
+  fr AS (SELECT *, exp(sim) / sum(exp(sim)) OVER (PARTITION BY vec_id) AS p, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, taxon) AS nth FROM f),
+  g AS (SELECT t.vec_id, q.rank, q.parent, q.taxon, list_dot_product(t.u, q.c) AS sim, q.limits FROM fr JOIN t ON t.vec_id = fr.vec_id JOIN q ON q.rank = 'genus' AND q.parent = fr.taxon WHERE fr.nth = 1 AND fr.sim >= fr.limits),
+  gr AS (SELECT *, exp(sim) / sum(exp(sim)) OVER (PARTITION BY vec_id) AS p, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, taxon) AS nth FROM g),
+  s AS (SELECT t.vec_id, q.rank, q.parent, q.taxon, list_dot_product(t.u, q.c) AS sim, q.limits FROM gr JOIN t ON t.vec_id = gr.vec_id JOIN q ON q.rank = 'species' AND q.parent = gr.parent || chr(31) || gr.taxon WHERE gr.nth = 1 AND gr.sim >= gr.limits),
+  sr AS (SELECT *, exp(sim) / sum(exp(sim)) OVER (PARTITION BY vec_id) AS p, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, taxon) AS nth FROM s),
+  w AS (SELECT * FROM fr UNION ALL SELECT * FROM gr UNION ALL SELECT * FROM sr)
+  SELECT CAST(vec_id AS VARCHAR) AS record_id, rank, taxon, round(p, 6) AS probability, CAST(nth AS INTEGER) AS nth, coalesce(max(CASE WHEN nth = 1 AND sim < limits THEN rank END) OVER (PARTITION BY vec_id), '') AS rejected_rank FROM w""")
+def c27_descend(spark, d):
+    """All rows descend through centroids as heads, routed to the heads of their parents; probabilities of each class met."""
+    t = split_by_id(labelled(spark, d))
+    found = learning.predict_hierarchical(t, learning.centroid_heads(t.filter("split = 'train'")), bound=0)
+    return found.select("record_id", F.explode("candidates").alias("c"), F.coalesce("rejected_rank", F.lit("")).alias("rejected_rank")).select("record_id", "c.rank", "c.taxon", "c.probability", "c.nth", "rejected_rank")
+
+
+@query("SELECT CAST(doc_id % 4 AS VARCHAR) AS shard, count(*) AS n, count(*) FILTER (strlen(text) >= 40) AS embedded, CAST(CASE WHEN doc_id % 4 = 1 THEN 2 ELSE 1 END AS BIGINT) AS runs FROM documents GROUP BY ALL")
+def c21_resume(spark, d):
+    """Four shards embedded; then one of them lost its rows of odd tens and is embedded anew when they are back, the others are skipped."""
+    out = shared.shared_folder(spark)
+    t = read(spark, d, "documents").select(F.col("doc_id").alias("record_id"), "text", (F.col("doc_id") % 4).alias("shard"))
+    ask = lambda rows: learning.embed_shards(rows, "shard", lengths, "text", {"encoder": "lengths"}, out, least=0.5)
+    ask(t.filter("shard <> 1 OR record_id % 20 < 10"))
+    made = ask(t)
+    runs = spark.read.schema(learning.RUNS).parquet(f"{out}/runs").groupBy("shard").agg(F.count("*").alias("runs"))
+    return made.groupBy("shard").agg(F.count("*").alias("n"), F.count("embedding").alias("embedded")).join(runs, "shard")
+
+
 @query("""SELECT model, 'all' AS dimension, '' AS value, count(*) AS n, count(*) FILTER (k = 1) AS top1, count(*) AS top5, round(count(*) FILTER (k = 1) / count(*), 6) AS rate1, CAST(1 AS DOUBLE) AS rate5 FROM (
   SELECT 'a' AS model, CASE WHEN vec_id % 3 = 0 THEN 1 ELSE 2 END AS k FROM embeddings UNION ALL SELECT 'b', CASE WHEN vec_id % 4 = 0 THEN 1 ELSE 2 END FROM embeddings) GROUP BY model""")
 def c29_compare(spark, d):

@@ -19,8 +19,8 @@ MEANS = "m AS (SELECT label, i, avg(u[i]) AS x FROM (SELECT label, u, unnest(ran
 def s7_k5_v7_vector_store(spark, d):
     """Shards put together, checked, and what the check saw of each."""
     t = read(spark, d, "embeddings")
-    merged = vectors.merge_shards([t.filter(f"vec_id % 4 = {k}").withColumn("shard", F.lit(k).cast("long")) for k in range(4)])
-    return vectors.shard_state(merged, "shard")
+    merged = vectors.merge_shards([t.filter(f"vec_id % 4 = {k}").withColumn("shard", F.lit(k).cast("long")).select("vec_id", "shard", "embedding") for k in range(4)])
+    return vectors.shard_state(vectors.with_metadata(merged, t.select("vec_id", "label"), "vec_id"), "shard")
 
 
 @query(f"WITH {UNITS} SELECT CAST(vec_id AS VARCHAR) AS record_id, 'fam' || label AS family, '' AS attribution, 18 AS kept, list_transform(u, lambda x: round(x, 6)) AS embedding FROM u")
@@ -50,9 +50,12 @@ def c22_a7_fuse_views(spark, d):
 @query("""WITH h AS (SELECT vec_id, embedding[1:32]::DOUBLE[] AS a, embedding[33:64]::DOUBLE[] AS b FROM embeddings)
   SELECT vec_id, list_transform(list_concat(list_transform(a, lambda x: x / sqrt(list_dot_product(a, a))), list_transform(b, lambda x: x / sqrt(list_dot_product(b, b)))), lambda x: round(x / sqrt(2), 6)) AS embedding FROM h WHERE vec_id % 5 <> 0""")
 def c23_j11_v4_fuse_encoders(spark, d):
+    """Two encoders over one cohort, whose metadata must agree; the other encoder lacks a fifth of the rows."""
     t = read(spark, d, "embeddings")
-    a, b = t.select("vec_id", F.slice("embedding", 1, 32).alias("va")), t.filter("vec_id % 5 <> 0").select("vec_id", F.slice("embedding", 33, 32).alias("vb"))
-    return vectors.fuse_encoders(a, b, "vec_id").withColumn("embedding", F.transform("embedding", lambda x: F.round(x, 6)))
+    about = t.select("vec_id", F.concat(F.lit("fam"), "label").alias("family"), (F.col("vec_id") % 3).alias("source"), "embedding")
+    a, b = about.withColumn("embedding", F.slice("embedding", 1, 32)), about.filter("vec_id % 5 <> 0").withColumn("embedding", F.slice("embedding", 33, 32))
+    fused, _ = vectors.fuse_cohorts(a, b, "vec_id")
+    return fused.select("vec_id", "embedding").withColumn("embedding", F.transform("embedding", lambda x: F.round(x, 6)))
 
 
 @query(f"""WITH {UNITS}, {MEANS}, s AS (SELECT label, list_dot_product(u, c) AS sim FROM u JOIN c USING (label))
