@@ -31,14 +31,20 @@ QUOTE = re.compile(r"=\s*(?=[\"'])")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 #: What class names, ids and roles of page furniture are made of.
 HINT = re.compile(r"^(nav\w*|menus?|breadcrumbs?|head|header|masthead|foot|footer|side|sidebar|aside|widgets?|ads?|adverts?|advert\w+|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alerts?|popup|modal|newsletter|subscribe|signup|login|forms?|search|share|sharing|social|related|recommend\w*|comments?|commentlist|reply|replies|discussion|disqus|copyright|legal|pagination|pager|toolbar|contentinfo|complementary|navigation)$")
+#: What short blocks beside the main text hold.
+MARK = re.compile(r"[©·|»]|\bcopyright\b|\ball rights reserved\b", re.I)
 MAIN = re.compile(r"^(article|content|main|post|entry|story|body|text)$")
 #: Hints at what readers wrote, however much it is.
 COMMENTS = frozenset(("comment", "comments", "commentlist", "reply", "replies", "discussion", "disqus"))
-#: How many names of the nearest elements around a block are features of it.
-NAMES_KEPT = 16
+#: How many names of the nearest elements around a block training looks at; afterwards all names count that it has learned.
+NAMES_TRAINED = 16
 FURNITURE = ("nav", "header", "footer", "aside", "form", "menu", "dialog")
 #: Weights that training starts from and is drawn to: of (feature, main text).
-PRIOR = {"hint": -8.0, "in:article": 1.5, "in:main": 1.0, "name:main": 1.0, "links:most": -1.5, "links:none": 0.2, "words:many": 1.0, "words:some": 0.5, "words:few": -0.3, "stop": 0.3, "mark": -1.0, "tag:p": 0.5, "tag:li": -0.3} | {f"in:{t}": -7.0 for t in FURNITURE}
+PRIOR = {"hint": -8.0, "in:article": 1.5, "in:main": 1.0, "name:main": 1.0, "links:most": -1.5, "links:none": 0.2, "words:many": 1.0, "words:some": 0.5, "words:few": -0.3, "stop": 0.3, "mark": -4.0, "tag:p": 0.5, "tag:li": -0.3} | {f"in:{t}": -7.0 for t in FURNITURE}
+
+
+#: Features that name page furniture or main text.
+TELLING = re.compile(rf"hint|called:|name:|comments$|in:(?:article|main|{'|'.join(FURNITURE)})$|tag:(?:{'|'.join(FURNITURE)})$")
 
 
 class Scanner:
@@ -111,13 +117,13 @@ class Scanner:
 class Element:
     """An open element: what its blocks inherit from it and from those around it. Kinds of features are few, and names are those of the nearest elements, so both stay small however deep it is."""
 
-    __slots__ = ("article", "features", "names", "number", "silent", "tag", "words")
+    __slots__ = ("article", "features", "names", "number", "plain", "silent", "tag", "words")
 
-    def __init__(self, tag: str, around: Element | None, names: list[str], number: int, words: int, wide: bool):
-        self.tag, self.number, self.words = tag, number, words
+    def __init__(self, tag: str, around: Element | None, names: list[str], number: int, words: int, plain: int, wide: bool, known: frozenset[str] | None):
+        self.tag, self.number, self.words, self.plain = tag, number, words, plain
         self.silent = tag in SILENT or around is not None and around.silent
         self.article = tag in ("article", "main") or around is not None and around.article
-        own = {f"in:{tag}"} if tag in BLOCKS and tag not in ("html", "body") else set()
+        own = {f"in:{_kind(tag)}"} if tag in BLOCKS and tag not in ("html", "body", "div") else set()  # a div tells nothing
         if tag == "header" and around is not None and around.article:
             own.discard("in:header")  # of the article, not of the page
         hints = {w for w in names if HINT.match(w)} - ({"header", "head"} if self.article else set())
@@ -131,39 +137,53 @@ class Element:
             own.add("name:main")
         before = around.features if around is not None else frozenset()
         self.features = before if own <= before else before | own
-        called = tuple(f"hint:{w}" if w in hints else f"called:{w}" for w in names)
-        self.names = (called + (around.names if around is not None else ()))[:NAMES_KEPT]
+        called = [f"hint:{w}" if w in hints else f"called:{w}" for w in names]
+        above = around.names if around is not None else ()
+        if known is None:
+            self.names = (*called, *above)[:NAMES_TRAINED]
+        else:  # as many as were learned at most, so this stays bounded, too
+            more = [c for c in called if c in known and c not in above]
+            self.names = (*more, *above) if more else above
 
 
-def leaf_blocks(page: str) -> list[tuple[str, list[str]]]:
-    """(text, features) of each leaf block of a page, in order.
+def leaf_blocks(page: str, known: frozenset[str] | None = None) -> list[tuple[str, list[str]]]:
+    """(text, features) of each leaf block of a page, in order; of names those that are ``known``, or without these the nearest ones.
 
     A block is the text between two borders of block tags; inline tags and line breaks don't end it.
     Features: ancestor tags, the nearest block tag, words of the nearest ancestors' class, id and role, and whether any
-    of them hints at page furniture or main text, share of linked words, number of words, how it ends. Ancestors that
-    look like furniture, but hold a headline or an article and over half of the page's words don't count as it.
+    of them hints at page furniture or main text, share of linked words, number of words, how it ends, whether it comes
+    before, among or after the long blocks, and what its neighbours are like. Ancestors that look like furniture don't count as it if they hold a
+    headline or an article and over half of the page's words, or are a form or a named wrapper with over half of its unlinked words.
     """
-    blocks, wide = _blocks(page, frozenset())
-    return _blocks(page, wide)[0] if wide else blocks
-
-
-def _blocks(page: str, wide: frozenset[int]) -> tuple[list[tuple[str, list[str]]], frozenset[int]]:
+    blocks, wide = _blocks(page, frozenset(), known)
+    found = _blocks(page, wide, known)[0] if wide else blocks
+    long = [i for i, (_, f) in enumerate(found) if "words:many" in f]
+    for i, (_, features) in enumerate(found):
+        features.append("at:none" if not long else "at:before" if i < long[0] else "at:after" if i > long[-1] else "at:among")
+        for side, j in (("before", i - 1), ("behind", i + 1)):
+            beside = found[j][1] if 0 <= j < len(found) else []
+            features += [f"{side}:{x}" for x in ("links:most", "words:many", "words:few") if x in beside]
+    return found
+
+
+def _blocks(page: str, wide: frozenset[int], known: frozenset[str] | None) -> tuple[list[tuple[str, list[str]]], frozenset[int]]:
     """The blocks, and the numbers of the elements that are to count as wide."""
     stack: list[Element] = []
     holders: list[Element] = []  # the open block elements
     opened: Counter = Counter()
     blocks: list[tuple[str, list[str]]] = []
     pieces: list[str] = []
-    candidates: list[tuple[int, int]] = []
+    candidates: list[tuple[int, int, int]] = []
     headed: list[int] = []  # words before each headline, article or main
-    linked = words = number = 0
+    linked = words = plain = number = 0  # plain: words that aren't linked
 
     def close() -> None:
-        nonlocal pieces, linked, words
+        nonlocal pieces, linked, words, plain
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
             tag = holders[-1].tag if holders else "none"
             words += text.count(" ") + 1
+            plain += max(0, text.count(" ") + 1 - linked)
             blocks.append((text, _features(text, linked, {*stack[-1].features, *stack[-1].names} if stack else set(), tag)))
         pieces, linked = [], 0
 
@@ -173,8 +193,9 @@ def _blocks(page: str, wide: frozenset[int]) -> tuple[list[tuple[str, list[str]]
         if holders and holders[-1] is top:
             holders.pop()
         if top.tag in FURNITURE or "hint" in top.features and "comments" not in top.features:
-            if any(x >= top.words for x in headed[-1:]):
-                candidates.append((top.number, words - top.words))
+            headline = any(x >= top.words for x in headed[-1:])
+            wrapper = top.tag == "form" or top.tag not in FURNITURE
+            candidates.append((top.number, words - top.words if headline else 0, plain - top.plain if wrapper else 0))
 
     def pop_to(tag: str) -> None:
         while opened[tag]:
@@ -216,32 +237,40 @@ def _blocks(page: str, wide: frozenset[int]) -> tuple[list[tuple[str, list[str]]
         # What is never text and has no end tag any more would swallow the rest.
         if name in VOID or attributes.endswith("/") or name in SILENT and name != "head" and not scanner.ends(name):
             continue
-        stack.append(Element(name, stack[-1] if stack else None, _names(attributes), number, words, number in wide))
+        stack.append(Element(name, stack[-1] if stack else None, _names(attributes), number, words, plain, number in wide, known))
         opened[name] += 1
         if name in BLOCKS:
             holders.append(stack[-1])
     close()
     while stack:
         pop()
-    return blocks, frozenset(k for k, n in candidates if 2 * n > words)
+    return blocks, frozenset(k for k, n, m in candidates if 2 * n > words or 2 * m > plain)
 
 
 def _names(attributes: str) -> list[str]:
-    """The words of an element's class, id and role, the first ones."""
+    """The words of an element's class, id and role."""
     if "=" not in attributes:
         return []
-    said = " ".join("".join(found) for found in NAMES.findall(attributes))[:400]
+    said = " ".join("".join(found) for found in NAMES.findall(attributes))
     return list(dict.fromkeys(w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", said).lower()) if w))
 
 
+def _kind(tag: str) -> str:
+    """Headlines of all levels are of one kind."""
+    return "headline" if re.fullmatch("h[1-6]", tag) else tag
+
+
 def _features(text: str, linked: int, found: set[str], tag: str) -> list[str]:
     n = text.count(" ") + 1
-    found.add(f"tag:{tag}")
+    if tag not in ("div", "none"):
+        found.add(f"tag:{_kind(tag)}")
+    elif n < 25:
+        found.add("loose")
     found.add("links:most" if 2 * linked > n else "links:some" if linked else "links:none")
     found.add("words:many" if n >= 25 else "words:some" if n >= 8 else "words:few")
     if text[-1] in ".!?…\"”":
         found.add("stop")
-    if any(x in text for x in ("©", "·", "|", "»")):
+    if n < 25 and MARK.search(text):
         found.add("mark")
     found.add("bias")
     return sorted(found)
@@ -328,8 +357,9 @@ def train_field(pages: DataFrame, sample_rows: int = 300) -> Field:
     """A field trained on a bounded sample: the first ``sample_rows`` distinct pages by hash of their html, those of over 200,000 characters left out.
 
     Labels are what tags say of a block (``weak_label``), not names; pages without an article and those with unlabelled
-    blocks are left out. Each page is taken twice, the second time without the features that gave its main text
-    away, so that the other features, all names of classes among them, learn to tell it. Without such pages the prior stands.
+    blocks are left out. Each page is taken three times: as it is; without the features that gave its main text
+    away, so that the other features, all names of classes among them, learn to tell it; and without any tag or name that tells
+    furniture either, so that place, length, links and neighbours learn to tell both. Without such pages the prior stands.
     """
     labelled = []
     for page in training_pages(pages, sample_rows):
@@ -337,7 +367,8 @@ def train_field(pages: DataFrame, sample_rows: int = 300) -> Field:
         labels = [weak_label(f) for f in sequence]
         if sequence and None not in labels and 1 in labels:
             bare = [[x for x in f if x not in ("in:article", "in:main", "name:main")] for f in sequence]
-            labelled += [(sequence, labels), (bare, labels)]
+            nameless = [[x for x in f if not TELLING.match(x)] for f in sequence]
+            labelled += [(sequence, labels), (bare, labels), (nameless, labels)]
     return Field().fit(labelled)
 
 
@@ -352,10 +383,11 @@ def extract_text(pages: DataFrame, field: Field | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained = model.value
+        known = frozenset(w for w in trained.weights if w.startswith(("called:", "hint:")))
         for batch in batches:
             texts, blocks, kept = [], [], []
             for page in batch.column(2).to_pylist():
-                found = leaf_blocks(page or "")
+                found = leaf_blocks(page or "", known)
                 main = [t for (t, _), label in zip(found, trained.decode([f for _, f in found]), strict=True) if label]
                 texts.append("\n\n".join(main))
                 blocks.append(len(found))

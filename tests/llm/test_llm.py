@@ -344,10 +344,31 @@ def test_pages_left_open_wrapped_or_nested(spark):
         f'<body><p title="a > b">{article}<a href="',
     ):
         assert [x for x in main(page) if x in want] == want, page
+    # Furniture that neither a tag nor a listed name tells, wrappers without a headline, and names far behind in a class.
+    long = "Long text with many words, which goes on and on for a while until it ends at last, as it should, and more words follow in it."
+    text = f"<h2>The Title</h2><p>{long}</p><p>Further {long}</p><p>Short end.</p>"
+    want = ["The Title", long, f"Further {long}", "Short end."]
+    many = " ".join("abcd"[k % 4] + "xyz"[k % 3] * (k // 4 + 1) for k in range(90))
+    for page in (
+        f"<body><div class=fusszeile>Impressum und Kontakt</div>{text}<div class=fusszeile>Impressum und Kontakt</div>",
+        f"<body><div class=werbung>Kaufen Sie jetzt ein neues Auto.</div><div>{text}</div>",
+        f"<body><div>{text}</div><div>All rights reserved.</div>",
+        f"<body><div>{text}</div><p>Copyright 2020</p>",
+        f"<body><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul><div>{text}</div>",
+        f'<body><div class="{many} sidebar"><p>Side {long}</p></div><div>{text}</div>',
+        f"<body>{text}<section id=comments><p>Great {long}</p><p>Another {long}</p><p>Third {long}</p></section>",
+        f"<body><aside><p>Aside {long}</p></aside>{text}",
+    ):
+        assert main(page) == want, page
+    assert main(f"<body><nav><a href=x>Home</a></nav><form id=f><div><p>{long}</p><p>Further {long}</p></div></form>") == [long, f"Further {long}"]
+    assert main(f"<body><div class=search><p>{long}</p></div>") == [long] and main(f"<body><div>{long}</div>") == [long]
     # A name that no list has is learned from where it stands.
     odd = [(k, "u", f'<body><div class="zzunit">Buy a thing now, number {k}.</div><article><h1>Title {k}</h1><p>Long text {k} with many words, which goes on and on for a while until it ends at last, as it should, and more words follow in it.</p></article></body>') for k in range(60)]
     learned = pages.train_field(spark.createDataFrame(odd, "page_id long, url string, html string"))
     assert learned.weights["called:zzunit"] < 0
+    # Learned names count however many other names stand between; others aren't kept at all.
+    deep = '<div class="zzunit">' + "".join(f'<div class="n{chr(97 + k % 26)}{"xyz"[k % 3]}">' for k in range(60)) + "<p>x"
+    assert "called:zzunit" not in pages.leaf_blocks(deep)[0][1] and "called:zzunit" in pages.leaf_blocks(deep, frozenset(("called:zzunit",)))[0][1]
     for piece in ("<div>x", '<a "', '<a href="', "<b>", "<button>", "<svg>x", "</b>", "<li>x", "<p><b>x", "<!--", '<div class="nav">x', '<div class="a{n} nav{n}">x', "<x{n}>x"):
         began = time.process_time()
         main("".join(piece.replace("{n}", "abcdefghij"[k % 10] * (k % 7 + 1) + chr(97 + k // 70 % 26)) for k in range(300_000 // len(piece))))
