@@ -40,7 +40,7 @@ COMMENTS = frozenset(("comment", "comments", "commentlist", "reply", "replies",
 NAMES_TRAINED = 16
 FURNITURE = ("nav", "header", "footer", "aside", "form", "menu", "dialog")
 #: Weights that training starts from and is drawn to: of (feature, main text).
-PRIOR = {"hint": -8.0, "in:article": 1.5, "in:main": 1.0, "name:main": 1.0, "links:most": -1.5, "links:none": 0.2, "words:many": 1.0, "words:some": 0.5, "words:few": -0.3, "stop": 0.3, "mark": -4.0, "tag:p": 0.5, "tag:li": -0.3} | {f"in:{t}": -7.0 for t in FURNITURE}
+PRIOR = {"hint": -8.0, "in:article": 1.5, "in:main": 1.0, "name:main": 1.0, "links:most": -1.5, "links:none": 0.2, "words:many": 1.0, "words:some": 0.5, "words:few": -0.3, "stop": 0.3, "mark": -6.0, "tag:p": 0.5, "tag:li": -0.3} | {f"in:{t}": -7.0 for t in FURNITURE}
 
 
 #: Features that name page furniture or main text.
