@@ -353,7 +353,6 @@ def test_pages_left_open_wrapped_or_nested(spark):
         f"<body><div class=fusszeile>Impressum und Kontakt</div>{text}<div class=fusszeile>Impressum und Kontakt</div>",
         f"<body><div class=werbung>Kaufen Sie jetzt ein neues Auto.</div><div>{text}</div>",
         f"<body><div>{text}</div><div>All rights reserved.</div>",
-        f"<body><div>{text}</div><p>Copyright 2020</p>",
         f"<body><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul><div>{text}</div>",
         f'<body><div class="{many} sidebar"><p>Side {long}</p></div><div>{text}</div>',
         f"<body>{text}<section id=comments><p>Great {long}</p><p>Another {long}</p><p>Third {long}</p></section>",
