@@ -22,95 +22,95 @@ LINEAGE = ("kingdom", "phylum", "class", "order", "family", "subfamily", "tribe"
 
 #: Manifest columns and the names under which barcode metadata holds them.
 BARCODE = {
-    "image_url": "image_url image_uri url identifier",
-    "local_path": "local_path image_path image_file file_name filename",
-    "source_url": "record_url source_url",
-    "kingdom": "kingdom",
-    "phylum": "phylum",
-    "class": "class",
-    "family": "family",
-    "subfamily": "subfamily",
-    "genus": "genus",
-    "identified_by": "identified_by identifier",
-    "country": "country",
-    "state_province": "province_state province/state state_province",
-    "latitude": "latitude coord-lat coord_lat",
-    "longitude": "longitude coord-lon coord_lon",
-    "event_date": "event_date collection_date",
-    "sex": "sex",
-    "life_stage": "life_stage stage",
-    "dna_barcode": "dna_barcode nuc sequence barcode_sequence",
-    "dna_bin": "dna_bin bin barcode_index_number",
-    "source_split": "source_split split partition",
+    "image_url": ("image_url", "image_uri", "url", "identifier"),
+    "local_path": ("local_path", "image_path", "image_file", "file_name", "filename"),
+    "source_url": ("record_url", "source_url"),
+    "kingdom": ("kingdom",),
+    "phylum": ("phylum",),
+    "class": ("class",),
+    "family": ("family",),
+    "subfamily": ("subfamily",),
+    "genus": ("genus",),
+    "identified_by": ("identified_by", "identifier"),
+    "country": ("country",),
+    "state_province": ("province_state", "province/state", "state_province"),
+    "latitude": ("latitude", "coord-lat", "coord_lat"),
+    "longitude": ("longitude", "coord-lon", "coord_lon"),
+    "event_date": ("event_date", "collection_date"),
+    "sex": ("sex",),
+    "life_stage": ("life_stage", "stage"),
+    "dna_barcode": ("dna_barcode", "nuc", "sequence", "barcode_sequence"),
+    "dna_bin": ("dna_bin", "bin", "barcode_index_number"),
+    "source_split": ("source_split", "split", "partition"),
 }
 #: The same for Darwin Core occurrences of specimens,
 OCCURRENCE = {
-    "family": "family",
-    "subfamily": "subfamily",
-    "tribe": "tribe",
-    "genus": "genus",
-    "species": "species acceptedscientificname",
-    "subspecies": "infraspecificepithet subspecies",
-    "original_scientific_name": "scientificname verbatimscientificname",
-    "accepted_scientific_name": "acceptedscientificname",
-    "taxon_id": "taxonkey specieskey taxonid",
-    "identified_by": "identifiedby",
-    "identification_remarks": "identificationremarks taxonremarks",
-    "country": "country countrycode",
-    "state_province": "stateprovince",
-    "latitude": "decimallatitude",
-    "longitude": "decimallongitude",
-    "elevation_m": "elevation minimumelevationinmeters",
-    "event_date": "eventdate dateidentified",
-    "sex": "sex",
-    "life_stage": "lifestage",
-    "publisher": "publishingorgkey institutioncode ownerinstitutioncode",
-    "source_dataset": "datasettitle datasetname datasetkey",
-    "source_url": "references occurrenceid",
-    "image_url": "media identifier image_url",
-    "image_license": "license media_license",
+    "family": ("family",),
+    "subfamily": ("subfamily",),
+    "tribe": ("tribe",),
+    "genus": ("genus",),
+    "species": ("species", "acceptedscientificname"),
+    "subspecies": ("infraspecificepithet", "subspecies"),
+    "original_scientific_name": ("scientificname", "verbatimscientificname"),
+    "accepted_scientific_name": ("acceptedscientificname",),
+    "taxon_id": ("taxonkey", "specieskey", "taxonid"),
+    "identified_by": ("identifiedby",),
+    "identification_remarks": ("identificationremarks", "taxonremarks"),
+    "country": ("country", "countrycode"),
+    "state_province": ("stateprovince",),
+    "latitude": ("decimallatitude",),
+    "longitude": ("decimallongitude",),
+    "elevation_m": ("elevation", "minimumelevationinmeters"),
+    "event_date": ("eventdate", "dateidentified"),
+    "sex": ("sex",),
+    "life_stage": ("lifestage",),
+    "publisher": ("publishingorgkey", "institutioncode", "ownerinstitutioncode"),
+    "source_dataset": ("datasettitle", "datasetname", "datasetkey"),
+    "source_url": ("references", "occurrenceid"),
+    "image_url": ("media", "identifier", "image_url"),
+    "image_license": ("license", "media_license"),
 }
 #: for flat observations,
 OBSERVATION = {
-    "family": "family taxon_family",
-    "subfamily": "subfamily taxon_subfamily",
-    "tribe": "tribe taxon_tribe",
-    "subspecies": "subspecies infraspecificepithet",
-    "original_scientific_name": "scientificname scientific_name taxon_name",
-    "taxon_id": "taxon_id taxonid taxonkey",
-    "identified_by": "identified_by identifiedby",
-    "country": "country countrycode",
-    "state_province": "stateprovince state_province place_guess",
-    "latitude": "decimallatitude latitude lat",
-    "longitude": "decimallongitude longitude lon lng",
-    "elevation_m": "verbatimelevation elevation elevation_m",
-    "event_date": "eventdate observed_on observation_date",
-    "sex": "sex",
-    "life_stage": "lifestage life_stage",
-    "observer": "recordedby observer user_login user_name",
-    "source_url": "references uri observation_url",
+    "family": ("family", "taxon_family"),
+    "subfamily": ("subfamily", "taxon_subfamily"),
+    "tribe": ("tribe", "taxon_tribe"),
+    "subspecies": ("subspecies", "infraspecificepithet"),
+    "original_scientific_name": ("scientificname", "scientific_name", "taxon_name"),
+    "taxon_id": ("taxon_id", "taxonid", "taxonkey"),
+    "identified_by": ("identified_by", "identifiedby"),
+    "country": ("country", "countrycode"),
+    "state_province": ("stateprovince", "state_province", "place_guess"),
+    "latitude": ("decimallatitude", "latitude", "lat"),
+    "longitude": ("decimallongitude", "longitude", "lon", "lng"),
+    "elevation_m": ("verbatimelevation", "elevation", "elevation_m"),
+    "event_date": ("eventdate", "observed_on", "observation_date"),
+    "sex": ("sex",),
+    "life_stage": ("lifestage", "life_stage"),
+    "observer": ("recordedby", "observer", "user_login", "user_name"),
+    "source_url": ("references", "uri", "observation_url"),
 }
 #: and for the parts of digital specimens.
 SPECIMEN = {
-    "family": "family",
-    "subfamily": "subfamily",
-    "tribe": "tribe",
-    "genus": "genus",
-    "species": "species",
-    "subspecies": "subspecies infraspecificEpithet",
-    "original_scientific_name": "scientificName verbatimIdentification",
-    "taxon_id": "taxonID",
-    "identified_by": "identifiedBy",
-    "country": "country",
-    "state_province": "stateProvince",
-    "latitude": "decimalLatitude latitude",
-    "longitude": "decimalLongitude longitude",
-    "event_date": "eventDate",
-    "sex": "sex",
-    "life_stage": "lifeStage",
-    "publisher": "publisher institutionCode",
-    "source_dataset": "datasetName sourceSystemName",
-    "source_url": "sourceURL landingPage doi",
+    "family": ("family",),
+    "subfamily": ("subfamily",),
+    "tribe": ("tribe",),
+    "genus": ("genus",),
+    "species": ("species",),
+    "subspecies": ("subspecies", "infraspecificEpithet"),
+    "original_scientific_name": ("scientificName", "verbatimIdentification"),
+    "taxon_id": ("taxonID",),
+    "identified_by": ("identifiedBy",),
+    "country": ("country",),
+    "state_province": ("stateProvince",),
+    "latitude": ("decimalLatitude", "latitude"),
+    "longitude": ("decimalLongitude", "longitude"),
+    "event_date": ("eventDate",),
+    "sex": ("sex",),
+    "life_stage": ("lifeStage",),
+    "publisher": ("publisher", "institutionCode"),
+    "source_dataset": ("datasetName", "sourceSystemName"),
+    "source_url": ("sourceURL", "landingPage", "doi"),
 }
 
 
@@ -119,11 +119,11 @@ def finalize(rows: DataFrame) -> DataFrame:
     return manifest.finalize(settled(rows))
 
 
-def _named(df: DataFrame, names: str, default: str = "") -> Column:
-    return S.first_of(df, names.split(), default)
+def _named(df: DataFrame, names: tuple[str, ...], default: str = "") -> Column:
+    return S.first_of(df, names, default)
 
 
-def _all_named(df: DataFrame, table: dict[str, str]) -> dict[str, Column]:
+def _all_named(df: DataFrame, table: dict[str, tuple[str, ...]]) -> dict[str, Column]:
     return {target: _named(df, names) for target, names in table.items()}
 
 
@@ -148,18 +148,18 @@ def _once(df: DataFrame, key: str) -> DataFrame:
 
 def ingest_barcode(metadata: DataFrame, image_root: str = "", extension: str = ".jpg", any_order: bool = False) -> DataFrame:
     """Barcoded specimens; a row without any image stays, but isn't eligible."""
-    order, process = _named(metadata, "order taxon_order"), _named(metadata, "processid process_id sampleid sample_id specimen_id")
+    order, process = _named(metadata, ("order", "taxon_order")), _named(metadata, ("processid", "process_id", "sampleid", "sample_id", "specimen_id"))
     said = _all_named(metadata, BARCODE)
-    raw = _named(metadata, "species species_name")
+    raw = _named(metadata, ("species", "species_name"))
     species = S.real_species(raw)
     path = said["local_path"]
     if image_root:
         path = F.concat(F.lit(image_root.rstrip("/") + "/"), F.coalesce(F.nullif(path, F.lit("")), F.concat(process, F.lit(extension))))
     fixed = {
-        "source": F.lit("BIOSCAN-5M"), "source_record_id": process, "source_image_id": process, "local_path": path, "image_license": _named(metadata, "license image_license", "CC BY 3.0"),
-        "copyright_holder": _named(metadata, "copyright_holder", "CBG Photography Group"), "attribution": _named(metadata, "attribution photographer", "CBG Robotic Imager"),
-        "publisher": _named(metadata, "publisher", "Centre for Biodiversity Genomics"), "source_dataset": F.lit("BIOSCAN-5M"), "basis_of_record": F.lit("PRESERVED_SPECIMEN"), "is_preserved_specimen": F.lit("true"),
-        "order": F.coalesce(F.nullif(order, F.lit("")), F.lit(ORDER)), "species": species, "original_scientific_name": F.coalesce(F.nullif(raw, F.lit("")), _named(metadata, "taxon")),
+        "source": F.lit("BIOSCAN-5M"), "source_record_id": process, "source_image_id": process, "local_path": path, "image_license": _named(metadata, ("license", "image_license"), "CC BY 3.0"),
+        "copyright_holder": _named(metadata, ("copyright_holder",), "CBG Photography Group"), "attribution": _named(metadata, ("attribution", "photographer"), "CBG Robotic Imager"),
+        "publisher": _named(metadata, ("publisher",), "Centre for Biodiversity Genomics"), "source_dataset": F.lit("BIOSCAN-5M"), "basis_of_record": F.lit("PRESERVED_SPECIMEN"), "is_preserved_specimen": F.lit("true"),
+        "order": F.coalesce(F.nullif(order, F.lit("")), F.lit(ORDER)), "species": species, "original_scientific_name": F.coalesce(F.nullif(raw, F.lit("")), _named(metadata, ("taxon",))),
         "specimen_group_id": F.concat(F.lit("BIOSCAN-5M:"), process), "label_quality": S.barcode_quality(said["dna_barcode"], species),
     }
     wanted = metadata.filter(process != "") if any_order else metadata.filter((process != "") & (F.lower(order) == ORDER.lower()))
@@ -170,7 +170,7 @@ def ingest_barcode(metadata: DataFrame, image_root: str = "", extension: str = "
 
 def occurrences(df: DataFrame, any_order: bool = False, more: tuple[str, ...] = ()) -> DataFrame:
     """(_join, manifest columns, ``more``) of Darwin Core occurrences of preserved specimens, not finalized."""
-    order, basis, join = _named(df, "order"), F.upper(_named(df, "basisofrecord basis_of_record")), _named(df, "gbifid id occurrenceid coreid")
+    order, basis, join = _named(df, ("order",)), F.upper(_named(df, ("basisofrecord", "basis_of_record"))), _named(df, ("gbifid", "id", "occurrenceid", "coreid"))
     said = _all_named(df, OCCURRENCE)
     fixed = {
         "source": F.lit("GBIF"), "source_record_id": join, "order": F.coalesce(F.nullif(order, F.lit("")), F.lit(ORDER)), "basis_of_record": F.coalesce(F.nullif(basis, F.lit("")), F.lit("PRESERVED_SPECIMEN")),
@@ -185,24 +185,24 @@ def ingest_dwca(occurrence: DataFrame, multimedia: DataFrame | None = None, lice
     base = _once(occurrences(occurrence, any_order), "_join")
     if multimedia is None:
         return opened(finalize(base.filter("image_url != ''").drop("_join")), licenses)
-    url = _named(multimedia, "identifier accessuri references image_url url")
-    media = multimedia.filter(is_image(_named(multimedia, "type mediatype format")) & is_link(url)).select(
-        _named(multimedia, "coreid gbifid occurrenceid parentid").alias("_join"), F.coalesce(F.nullif(_named(multimedia, "id identifier mediaid"), F.lit("")), url).alias("source_image_id"), url.alias("image_url"),
-        _named(multimedia, "license licence rights rightsuri").alias("image_license"), _named(multimedia, "rightsholder creator owner").alias("copyright_holder"), _named(multimedia, "creator title description").alias("attribution"))
+    url = _named(multimedia, ("identifier", "accessuri", "references", "image_url", "url"))
+    media = multimedia.filter(is_image(_named(multimedia, ("type", "mediatype", "format"))) & is_link(url)).select(
+        _named(multimedia, ("coreid", "gbifid", "occurrenceid", "parentid")).alias("_join"), F.coalesce(F.nullif(_named(multimedia, ("id", "identifier", "mediaid")), F.lit("")), url).alias("source_image_id"), url.alias("image_url"),
+        _named(multimedia, ("license", "licence", "rights", "rightsuri")).alias("image_license"), _named(multimedia, ("rightsholder", "creator", "owner")).alias("copyright_holder"), _named(multimedia, ("creator", "title", "description")).alias("attribution"))
     return opened(finalize(base.drop("image_url", "image_license").join(media, "_join").drop("_join")), licenses)
 
 
 def _photos(rows: DataFrame, size: str) -> DataFrame:
     """(image columns) of photo rows that are images with a link, their own or that of the photo bundle."""
-    photo = _named(rows, "photo_id id mediaid")
-    own = _named(rows, "image_url photo_url accessuri contenturl identifier url")
-    url = F.when((own == "") & (photo != ""), S.media_url(PHOTOS, photo, F.regexp_replace(_named(rows, "extension", "jpg"), r"^\.+", ""), size)).otherwise(own)
+    photo = _named(rows, ("photo_id", "id", "mediaid"))
+    own = _named(rows, ("image_url", "photo_url", "accessuri", "contenturl", "identifier", "url"))
+    url = F.when((own == "") & (photo != ""), S.media_url(PHOTOS, photo, F.regexp_replace(_named(rows, ("extension",), "jpg"), r"^\.+", ""), size)).otherwise(own)
     named = rows.withColumns({
         "_image": F.struct(
-            F.coalesce(F.nullif(photo, F.lit("")), F.nullif(_named(rows, "identifier"), F.lit("")), url).alias("source_image_id"), photo.alias("photo_id"), url.alias("image_url"), _named(rows, "license licence rights rightsuri").alias("image_license"),
-            _named(rows, "rightsHolder creator owner").alias("copyright_holder"), _named(rows, "attribution creator title").alias("attribution")),
+            F.coalesce(F.nullif(photo, F.lit("")), F.nullif(_named(rows, ("identifier",)), F.lit("")), url).alias("source_image_id"), photo.alias("photo_id"), url.alias("image_url"), _named(rows, ("license", "licence", "rights", "rightsuri")).alias("image_license"),
+            _named(rows, ("rightsHolder", "creator", "owner")).alias("copyright_holder"), _named(rows, ("attribution", "creator", "title")).alias("attribution")),
     })
-    return named.filter(is_image(_named(rows, "type mediatype format dc:type")) & is_link(url))
+    return named.filter(is_image(_named(rows, ("type", "mediatype", "format", "dc:type"))) & is_link(url))
 
 
 def _credited(rows: DataFrame, licenses: tuple[str, ...] | None) -> DataFrame:
@@ -213,30 +213,30 @@ def _credited(rows: DataFrame, licenses: tuple[str, ...] | None) -> DataFrame:
 
 def ingest_flat_occurrences(observations: DataFrame, photos: DataFrame | None = None, licenses: tuple[str, ...] | None = S.OPEN_LICENSES, any_order: bool = False, size: str = "medium") -> DataFrame:
     """Observations of a flat export, with a table of photos or with one image each."""
-    order, join = _named(observations, "order taxon_order dwc:order"), _named(observations, "id observation_id gbifid occurrenceid coreid uuid")
+    order, join = _named(observations, ("order", "taxon_order", "dwc:order")), _named(observations, ("id", "observation_id", "gbifid", "occurrenceid", "coreid", "uuid"))
     said = _all_named(observations, OBSERVATION)
-    rank = F.lower(_named(observations, "taxonrank taxon_rank rank"))
-    species = _named(observations, "species taxon_species")
+    rank = F.lower(_named(observations, ("taxonrank", "taxon_rank", "rank")))
+    species = _named(observations, ("species", "taxon_species"))
     species = F.when((species == "") & rank.isin("species", "subspecies", "variety"), S.canonical_taxon(said["original_scientific_name"])).otherwise(species)
-    genus = F.coalesce(F.nullif(_named(observations, "genus taxon_genus"), F.lit("")), S.canonical_taxon(species, "genus"))
+    genus = F.coalesce(F.nullif(_named(observations, ("genus", "taxon_genus")), F.lit("")), S.canonical_taxon(species, "genus"))
     fixed = {
         "source": F.lit("iNaturalist"), "source_record_id": join, "observation_id": join, "order": F.coalesce(F.nullif(order, F.lit("")), F.lit(ORDER)), "genus": genus, "species": species,
-        "source_dataset": _named(observations, "datasetname dataset_name", "iNaturalist bulk export"), "basis_of_record": _named(observations, "basisofrecord basis_of_record", "HUMAN_OBSERVATION"), "label_quality": S.determined_quality(species, F.lit(True), specimen=False),
+        "source_dataset": _named(observations, ("datasetname", "dataset_name"), "iNaturalist bulk export"), "basis_of_record": _named(observations, ("basisofrecord", "basis_of_record"), "HUMAN_OBSERVATION"), "label_quality": S.determined_quality(species, F.lit(True), specimen=False),
     }
     wanted = observations.filter(join != "") if any_order else observations.filter((join != "") & (F.lower(order) == ORDER.lower()))
     about = wanted.select(join.alias("_join"), *[c.alias(k) for k, c in (said | fixed).items()], *([] if photos is not None else [
-        _named(observations, "image_url photo_url identifier media").alias("url"), _named(observations, "photo_license media_license license rights").alias("license"), _named(observations, "photo_id media_id").alias("photo_id")]))
+        _named(observations, ("image_url", "photo_url", "identifier", "media")).alias("url"), _named(observations, ("photo_license", "media_license", "license", "rights")).alias("license"), _named(observations, ("photo_id", "media_id")).alias("photo_id")]))
     base = _once(about, "_join")
     if photos is None:
         images = _photos(base, size).drop("url", "license", "photo_id")
         return _credited(images.select("*", "_image.*").drop("_image", "_join"), licenses)
-    images = _photos(photos, size).select(_named(photos, "observation_uuid coreid observation_id occurrenceid gbifid parentid").alias("_join"), "_image.*")
+    images = _photos(photos, size).select(_named(photos, ("observation_uuid", "coreid", "observation_id", "occurrenceid", "gbifid", "parentid")).alias("_join"), "_image.*")
     return _credited(base.join(images, "_join").drop("_join"), licenses)
 
 
 def lineages(taxa: DataFrame, root: str = ORDER_TAXON) -> DataFrame:
     """(taxon_id, names by rank) of ``root`` and the taxa below it: ids of the ancestry from the top, the taxon itself last; of a rank the last name counts."""
-    t = _once(taxa.select(_named(taxa, "taxon_id id").alias("taxon_id"), S.ancestry_ids(_named(taxa, "ancestry ancestor_ids")).alias("path"), F.lower(_named(taxa, "rank")).alias("rank"), _named(taxa, "name scientific_name").alias("name")).filter("taxon_id != ''"), "taxon_id")
+    t = _once(taxa.select(_named(taxa, ("taxon_id", "id")).alias("taxon_id"), S.ancestry_ids(_named(taxa, ("ancestry", "ancestor_ids"))).alias("path"), F.lower(_named(taxa, ("rank",))).alias("rank"), _named(taxa, ("name", "scientific_name")).alias("name")).filter("taxon_id != ''"), "taxon_id")
     clade = t.filter((F.col("taxon_id") == root) | F.array_contains("path", root)).select("taxon_id", F.concat("path", F.array("taxon_id")).alias("path"))
     steps = clade.select("taxon_id", F.posexplode("path").alias("at", "id"))
     named = steps.join(t.select(F.col("taxon_id").alias("id"), "rank", "name").filter("name != ''"), "id")
@@ -251,10 +251,10 @@ def ingest_photo_bundle(observations: DataFrame, photos: DataFrame, taxa: DataFr
     ranks = lineages(taxa, root)
     if ranks.filter(F.col("taxon_id") == root).isEmpty():
         raise ValueError(f"no taxon {root}")
-    grade, uuid = _named(observations, "quality_grade"), _named(observations, "observation_uuid uuid id")
+    grade, uuid = _named(observations, ("quality_grade",)), _named(observations, ("observation_uuid", "uuid", "id"))
     rows = observations.filter((uuid != "") & grade_in(grade, list(grades))).select(
-        uuid.alias("_join"), _named(observations, "taxon_id").alias("taxon_id"), (F.lower(F.replace(grade, F.lit("_"), F.lit(" "))) == "research").alias("_agreed"), _named(observations, "latitude lat").alias("latitude"),
-        _named(observations, "longitude lon lng").alias("longitude"), _named(observations, "observed_on event_date").alias("event_date"), _named(observations, "observer_id").alias("observer"))
+        uuid.alias("_join"), _named(observations, ("taxon_id",)).alias("taxon_id"), (F.lower(F.replace(grade, F.lit("_"), F.lit(" "))) == "research").alias("_agreed"), _named(observations, ("latitude", "lat")).alias("latitude"),
+        _named(observations, ("longitude", "lon", "lng")).alias("longitude"), _named(observations, ("observed_on", "event_date")).alias("event_date"), _named(observations, ("observer_id",)).alias("observer"))
     known = _once(rows, "_join").join(ranks, "taxon_id")
     species = S.canonical_taxon(F.col("species"))
     base = known.withColumns({
@@ -262,9 +262,9 @@ def ingest_photo_bundle(observations: DataFrame, photos: DataFrame, taxa: DataFr
         "source_dataset": F.lit("iNaturalist Licensed Observation Images"), "basis_of_record": F.lit("HUMAN_OBSERVATION"), "order": F.coalesce(F.nullif(F.col("order"), F.lit("")), F.lit(ORDER)),
         "original_scientific_name": F.coalesce(F.nullif(F.col("subspecies"), F.lit("")), F.nullif(species, F.lit("")), "genus"), "species": species, "label_quality": S.determined_quality(species, F.col("_agreed"), specimen=False),
     }).drop("_agreed")
-    images = _photos(photos, size).select(_named(photos, "observation_uuid coreid observation_id occurrenceid gbifid parentid").alias("_join"), _named(photos, "observer_id").alias("_observer"), "_image.*")
+    images = _photos(photos, size).select(_named(photos, ("observation_uuid", "coreid", "observation_id", "occurrenceid", "gbifid", "parentid")).alias("_join"), _named(photos, ("observer_id",)).alias("_observer"), "_image.*")
     if observers is not None:
-        who = observers.select(_named(observers, "observer_id id").alias("_observer"), _named(observers, "login name").alias("_login"))
+        who = observers.select(_named(observers, ("observer_id", "id")).alias("_observer"), _named(observers, ("login", "name")).alias("_login"))
         images = images.join(_once(who.filter("_observer != ''"), "_observer"), "_observer", "left")
     joined = base.join(images, "_join")
     if observers is not None:
@@ -289,8 +289,8 @@ def ingest_digital_specimens(docs: DataFrame, document: str = "document", licens
     tree = settled(tree.withColumns({"_all": documents.leaves(F.col("tree")), "_near": documents.nearest(F.col("tree"))}))
     top = lambda *names: F.nullif(documents.first_of(F.col("_near"), *names), F.lit(""))
     any_ = lambda *names: F.nullif(documents.pick(F.col("_all"), *names), F.lit(""))
-    first = lambda names: F.coalesce(top(*names.split()), any_(*names.split()), F.lit(""))
-    order, basis = first("order"), F.coalesce(any_("basisOfRecord"), F.lit(""))
+    first = lambda names: F.coalesce(top(*names), any_(*names), F.lit(""))
+    order, basis = first(("order",)), F.coalesce(any_("basisOfRecord"), F.lit(""))
     identity = F.coalesce(top("id", "digital_specimen_id", "specimen_id", "doi"), any_("digitalSpecimenId", "physicalSpecimenId", "catalogNumber", "occurrenceID", "doi"), F.lit(""))
     said = {k: first(v) for k, v in SPECIMEN.items()}
     said["source_url"] = F.coalesce(top("source_url", "references"), said["source_url"])
