@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,14 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 
-def landed(spark: SparkSession, files: str) -> DataFrame:
-    """A stream over Parquet files; ``files`` is a folder or a pattern."""
-    return spark.readStream.schema(spark.read.parquet(files).schema).parquet(files)
+def landed(spark: SparkSession, files: str, a_batch: int | None = None) -> DataFrame:
+    """A stream over Parquet files, the older ones first; ``files`` is a folder or a pattern, of which a batch takes ``a_batch`` files, or all that are there."""
+    stream = spark.readStream.schema(spark.read.parquet(files).schema)
+    return (stream if a_batch is None else stream.option("maxFilesPerTrigger", a_batch)).parquet(files)
 
 
-def _appended(rows: DataFrame, out: str) -> DataFrame:
-    rows.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
-    return rows.sparkSession.read.schema(rows.schema).parquet(f"{out}/data")
+#: What ``progress`` tells of each batch.
+PROGRESS = "run string, batch long, rows long, held long, late long"
+
+
+def progress(spark: SparkSession, out: str) -> DataFrame:
+    """(run, batch, rows, held, late) of the batches of ``first_within`` over ``out``: rows that came in, keys in state afterwards, rows dropped as too late."""
+    return spark.read.schema(PROGRESS).parquet(f"{out}/progress")
 
 
 def first_seen(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
@@ -42,8 +48,18 @@ def first_seen(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
 
 
 def first_within(rows: DataFrame, keys: list[str], time: str, horizon: str, out: str) -> DataFrame:
-    """Like ``first_seen``, but state older than ``horizon`` behind the newest event is forgotten, so it stays bounded."""
-    return _appended(rows.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, horizon).dropDuplicatesWithinWatermark(keys), out)
+    """Like ``first_seen``, but keys seen longer than ``horizon`` before the newest event are forgotten, so state stays bounded.
+
+    A key that comes again after that counts as new; rows that are older than that are dropped as late. ``progress`` tells of both, batch by batch.
+    """
+    spark = rows.sparkSession
+    once = rows.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, horizon).dropDuplicatesWithinWatermark(keys)
+    ran = once.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
+    ran.awaitTermination()
+    said = [(str(ran.runId), p["batchId"], p["numInputRows"], sum(s["numRowsTotal"] for s in p["stateOperators"]), sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"])) for p in map(json.loads, (p.json for p in ran.recentProgress))]
+    if said:
+        spark.createDataFrame(said, PROGRESS).coalesce(1).write.mode("append").parquet(f"{out}/progress")
+    return spark.read.schema(once.schema).parquet(f"{out}/data")
 
 
 def running_counts(rows: DataFrame, keys: list[str], out: str) -> DataFrame:

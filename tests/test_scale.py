@@ -303,3 +303,16 @@ def test_first_seen_knows_null_keys(spark, tmp_path):
         spark.createDataFrame(part, "id int, x string").coalesce(1).write.mode("append").parquet(folder)
         got = landing.first_seen(landing.landed(spark, folder), ["id"], out)
     assert sorted((r.id or 0, r.x) for r in got.collect()) == [(0, "a"), (1, "b"), (2, "d")]
+
+
+def test_state_is_forgotten_and_late_rows_are_dropped(spark, tmp_path):
+    """Four batches: a key comes again within the horizon, then after it; a row comes too late."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [[("a", 1), ("b", 1)], [("a", 2), ("c", 9)], [("d", 20)], [("a", 21), ("e", 2), ("d", 21)]]
+    for part in batches:
+        spark.createDataFrame(part, "k string, day int").select("k", F.timestamp_seconds(F.col("day") * 86400).alias("ts")).coalesce(1).write.mode("append").parquet(folder)
+        got = landing.first_within(landing.landed(spark, folder, 1), ["k"], "ts", "3 days", out)
+    assert sorted(r.k for r in got.collect()) == ["a", "a", "b", "c", "d"]  # a anew on day 21; e is too late
+    told = landing.progress(spark, out)
+    assert told.agg(F.sum("rows"), F.sum("late")).first()[:] == (8, 1)
+    assert told.agg(F.max("held")).first()[0] <= 4 and told.orderBy(F.desc("batch")).first()["held"] <= 2
