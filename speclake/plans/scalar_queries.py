@@ -88,10 +88,18 @@ def p16_ancestry_ids(spark, d):
     return read(spark, d, "pages").select("page_id", S.ancestry_ids(F.col("url")).alias("ids"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'wing' WHEN 1 THEN 'terminalia' WHEN 2 THEN 'dorsal' ELSE 'habitus' END AS view FROM lineitem""")
+#: File names of four parts, each varying by itself; the SQL looks for each view's words between hyphens and underscores.
+NAME_PARTS = (("a/b.c/", "x_wing/", ""), ("voucher", "Head", "dors", "swing", "tibia", "12"), ("_", "-", ".", "__"), ("wing", "ALA", "genitalia", "lat", "setae-leg", "wings", "face_dorsal", "0"), (".jpg", ".tar.png", "", "_frontal.JPG"))
+NAMED = " || ".join(f"[{', '.join(repr(x) for x in part)}][1 + {key} % {len(part)}]" for part, key in zip(NAME_PARTS, ("l_linenumber", "l_partkey", "l_suppkey", "l_orderkey", "(l_orderkey // 8)"), strict=True))
+
+
+@query(f"""WITH n AS (SELECT l_orderkey, l_linenumber, lower(regexp_replace(regexp_extract({NAMED}, '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1')) AS stem FROM lineitem)
+  SELECT l_orderkey, l_linenumber, CASE {' '.join(f"WHEN regexp_matches(stem, '(^|[_-])({chr(124).join(words)})([_-]|$)') THEN '{view}'" for view, words in S.VIEWS)} ELSE 'habitus' END AS view FROM n""")
 def p17_view_type(spark, d):
-    tail = F.get(F.array(*map(F.lit, ["_wing.jpg", "-genitalia.png", "_dors.jpg", ".jpg"])), (F.col("l_linenumber") % 4).cast("int"))
-    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", S.view_type(F.concat(F.lit("dir/voucher-"), F.col("l_orderkey"), tail)).alias("view"))
+    part = lambda k, key: F.get(F.array(*map(F.lit, NAME_PARTS[k])), (key % len(NAME_PARTS[k])).cast("int"))
+    key = F.col("l_orderkey")
+    name = F.concat(*[part(k, c) for k, c in enumerate((F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), key, F.floor(key / 8)))])
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", S.view_type(name).alias("view"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN 'train' WHEN 'R' THEN 'pretrain' ELSE 'eval' END AS grp,
@@ -128,10 +136,16 @@ def p21_split(spark, d):
     return read(spark, d, "orders").select("o_orderkey", S.split_bucket(key).alias("bucket"), S.split_of(key).alias("split"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'test' WHEN 'O' THEN 'val' ELSE CASE WHEN b < 80 THEN 'train' WHEN b < 90 THEN 'val' ELSE 'test' END END AS split
-  FROM (SELECT o_orderkey, o_orderstatus, ('0x' || substr(sha256(CAST(o_custkey AS VARCHAR)), 1, 8))::UBIGINT % 100 AS b FROM orders)""")
+#: Spellings of official splits, those that fix none among them, and what stands around them.
+SPLITS = ("train", "Pretrain", "val", "VALIDATION", "key_unseen", "Val_Unseen", "test", "test_UNSEEN", "other_heldout", "all", "test set", "", "unseen")
+AROUND = ("", " ", "  ")
+
+
+@query(f"""WITH g AS (SELECT o_orderkey, lower(trim([{', '.join(map(repr, AROUND))}][1 + o_orderkey % 3] || [{', '.join(map(repr, SPLITS))}][1 + o_custkey % 13] || [{', '.join(map(repr, AROUND))}][1 + o_custkey % 3])) AS s, ('0x' || substr(sha256(CAST(o_custkey AS VARCHAR)), 1, 8))::UBIGINT % 100 AS b FROM orders)
+  SELECT o_orderkey, CASE WHEN s IN ('train', 'pretrain') THEN 'train' WHEN s IN ('val', 'validation', 'key_unseen', 'val_unseen') THEN 'val' WHEN s IN ('test', 'test_unseen', 'other_heldout') THEN 'test' WHEN b < 80 THEN 'train' WHEN b < 90 THEN 'val' ELSE 'test' END AS split FROM g""")
 def p22_official_split(spark, d):
-    given = F.when(F.col("o_orderstatus") == "F", "Test_Unseen ").when(F.col("o_orderstatus") == "O", "key_unseen").otherwise("")
+    pick = lambda values, key: F.get(F.array(*map(F.lit, values)), (F.col(key) % len(values)).cast("int"))
+    given = F.concat(pick(AROUND, "o_orderkey"), pick(SPLITS, "o_custkey"), pick(AROUND, "o_custkey"))
     return read(spark, d, "orders").select("o_orderkey", F.coalesce(S.official_split(given), S.split_of(F.col("o_custkey").cast("string"))).alias("split"))
 
 
