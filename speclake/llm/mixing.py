@@ -70,7 +70,7 @@ def fill_budget(lengths: list[int], counts: list[int], budget: int, window: int)
     return taken
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = 1.5, limit: int = 2, seed: int = 42, window: int = 1 << 14, buckets: int = 256) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = 1.5, limit: int = 2, seed: int = 42, window: int = 1 << 14, buckets: int = 256, bucket_rows: int = 1 << 16) -> DataFrame:
     """Draws documents so that each source's words meet its target.
 
     ``docs``: doc_id, text, source. The size of a document is its number of words (null or empty
@@ -78,16 +78,18 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: flo
     for the remaining budget, by documents chosen per exact length (``fill_budget``); within a length
     the documents with the smallest seeded hash are chosen. Documents are counted by (source, length,
     hash bucket), so what one source's fit sees is its histogram: at most sqrt(2 x words) lengths.
-    Within a length the choice runs in each of ``buckets`` hash buckets on its own, so no group of
-    documents meets in one task.
+    Within a length the choice runs in each hash bucket on its own. There are ``buckets`` of them, or one for
+    each ``bucket_rows`` documents where that is more, so a bucket of one source and length stays bounded
+    however many documents are alike.
 
     Returns doc_id, size, source_size, target, taken (words taken, repeats counted). Repeated rows
     are drawn one by one; ties between them change no value. A null source is a source of its own.
     Null ids are allowed. An empty table gives an empty result.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(buckets)).cast("int")
-    rows = cut(docs.select("doc_id", "source", size.alias("size"), bucket.alias("bucket")))
+    measured = cut(docs.select("doc_id", "source", size.alias("size")))
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(max(buckets, -(-measured.count() // bucket_rows)))).cast("int")
+    rows = measured.withColumn("bucket", bucket)
     counts = cut(rows.groupBy("source", "size", "bucket").agg(F.count("*").alias("n")))
     totals = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = cut(source_targets(totals, weights, budget, limit))

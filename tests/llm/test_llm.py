@@ -65,6 +65,17 @@ def test_mix(spark, docs, odd):
     assert mixing.mix_sources(odd).count() == len(ROWS) and mixing.mix_sources(odd.limit(0)).count() == 0
 
 
+def test_mix_of_one_hot_length(spark):
+    """Most documents are one word of one source; more buckets, by the number of documents, change none of the sums."""
+    hot = spark.range(6000).selectExpr("id AS doc_id", "CASE WHEN id % 10 = 0 THEN 'a b c' ELSE 'x' END AS text", "CASE WHEN id % 6 = 0 THEN 'other' ELSE 'hot' END AS source")
+    sums = []
+    for buckets, bucket_rows in ((1, 1 << 16), (1, 100), (256, 1 << 16)):
+        got = mixing.mix_sources(hot, buckets=buckets, bucket_rows=bucket_rows).toPandas()
+        assert len(got) == 6000 and (got["taken"] <= 2 * got["size"]).all()
+        sums.append(got.groupby(["source_size", "target", "size"])["taken"].sum().to_dict())
+    assert sums[0] == sums[1] == sums[2] and len(sums[0]) == 4
+
+
 def test_decontamination(spark, docs, odd):
     bench = spark.read.parquet(f"{DATA}/benchmark.parquet").unionByName(spark.createDataFrame([(900, "mentre"), (901, None), (902, "..."), (None, "le un")], "item_id long, text string"))
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
