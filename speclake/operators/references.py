@@ -53,9 +53,17 @@ def recommend(predictions: DataFrame, catalog: DataFrame, found: DataFrame | Non
     once = F.transform(F.filter(F.transform("genera", lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: F.trim(s["x"]) != ""), lambda s: s["x"])
     asked = predictions.select(identity, "family", F.slice(S.top_unique(once), 1, genera).alias("genera"))
     entries = catalog.withColumn("_entry", F.struct("doi", "url", "title"))
-    # Of entries for all questions, which score alike, no more than ``limit`` can be among the results.
+    # Of entries for all questions, which score alike, the first ``limit`` can be among the results, and one more for each
+    # search result of that score, which may stand for one of them under a later title.
     free = entries.filter(F.size(_folded("families")) == 0).select("doi", "url", F.col("title"), F.lit(0).alias("all"), F.lit(CURATED).alias("score"))
-    first = cut(ranked_hits(free, "all", limit).select(F.struct("doi", "url", "title").alias("_entry")))
+    hits = None if found is None else found.select(identity, "doi", "url", "title", F.col("score").cast("double").alias("score"))
+    again = None if hits is None else cut(hits.filter(F.col("score") == CURATED).groupBy(identity).agg(F.count("*").alias("n")))
+    most = 0 if again is None else again.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    listed = cut(ranked_hits(free, "all", limit + most).select(F.struct("doi", "url", "title").alias("_entry"), "nth"))
+    first = listed.filter(F.col("nth") <= limit).select("_entry")
     curated = matches(asked, entries, identity, "_entry", first).select(identity, "_entry.*", F.when(F.col("by_genus"), CURATED + BY_GENUS).otherwise(CURATED).alias("score"))
-    hits = curated if found is None else curated.unionByName(found.select(identity, "doi", "url", "title", F.col("score").cast("double")))
-    return ranked_hits(hits, identity, limit)
+    if hits is None:
+        return ranked_hits(curated, identity, limit)
+    further = asked.join(again, identity).select(identity, F.explode(F.sequence(F.lit(limit + 1), (F.lit(limit) + F.col("n")).cast("int"))).alias("nth")).join(listed, "nth")
+    more = further.select(identity, "_entry.*", F.lit(CURATED).alias("score"))
+    return ranked_hits(curated.unionByName(more).unionByName(hits), identity, limit)

@@ -6,9 +6,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from speclake.functions import scalars as S
-from speclake.operators import evaluation, learning, manifest, quality, references, sampling, vectors
+from speclake.operators import evaluation, learning, manifest, quality, records, references, sampling, vectors
 from speclake.plans.corpus_queries import BOUND, bound, planned
 from speclake.plans.register import read, registry
+from speclake.plans.vector_queries import MEANS, UNITS
 from speclake.sources import shared, tables
 
 QUERIES, SQL, query = registry()
@@ -217,21 +218,29 @@ def c21_resume(spark, d):
     return made.groupBy("shard").agg(F.count("*").alias("n"), F.count("embedding").alias("embedded")).join(runs, "shard")
 
 
-@query("""SELECT model, 'all' AS dimension, '' AS value, count(*) AS n, count(*) FILTER (k = 1) AS top1, count(*) AS top5, round(count(*) FILTER (k = 1) / count(*), 6) AS rate1, CAST(1 AS DOUBLE) AS rate5 FROM (
-  SELECT 'a' AS model, CASE WHEN vec_id % 3 = 0 THEN 1 ELSE 2 END AS k FROM embeddings UNION ALL SELECT 'b', CASE WHEN vec_id % 4 = 0 THEN 1 ELSE 2 END FROM embeddings) GROUP BY model""")
-def c29_compare(spark, d):
-    """Two models over one cohort: one is right in each third row, the other in each fourth, else with the second guess."""
-    t = read(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("label"))
-    from speclake.operators.records import fingerprint
+def _reported(model: str, dims: int) -> str:
+    """SQL: accuracy by the nearest centroid over the first ``dims`` dimensions."""
+    units, means = UNITS.replace("embedding::DOUBLE[]", f"embedding[1:{dims}]::DOUBLE[]"), MEANS.replace("range(1, 65)", f"range(1, {dims + 1})")
+    return f"""SELECT '{model}' AS model, CASE g WHEN 3 THEN 'all' WHEN 1 THEN 'label' ELSE 'source' END AS dimension, coalesce(label, source, '') AS value, n, top1, top5, round(top1 / n, 6) AS rate1, round(top5 / n, 6) AS rate5 FROM (
+      WITH {units}, {means}, s AS (SELECT vec_id, u.label, c.label AS guess, round(list_dot_product(u, c), 9) AS sim FROM u, c),
+      r AS (SELECT vec_id, label, guess, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, CAST(guess AS VARCHAR)) AS k FROM s),
+      h AS (SELECT CAST(label AS VARCHAR) AS label, 'src' || (vec_id % 3) AS source, k FROM r WHERE label = guess)
+      SELECT grouping(label, source) AS g, label, source, count(*) AS n, count(*) FILTER (k = 1) AS top1, count(*) FILTER (k <= 5) AS top5 FROM h GROUP BY GROUPING SETS ((), (label), (source)))"""
+
 
-    digest = fingerprint(t, ["vec_id", "label"]).first()["digest"]
+@query(" UNION ALL ".join(_reported(model, dims) for model, dims in (("whole", 64), ("part", 8))))
+def c29_compare(spark, d):
+    """Two models over one cohort: nearest centroids over all 64 dimensions and over the first eight."""
+    t = read(spark, d, "embeddings")
+    truth = t.select("vec_id", F.col("label").cast("string").alias("label"), F.concat(F.lit("src"), F.col("vec_id") % 3).alias("source"))
+    digest = records.fingerprint(truth, ["vec_id", "label", "source"]).first()["digest"]
 
-    def ranked(n: int):
-        right = F.col("vec_id") % n == 0
-        guesses = F.array(F.when(right, F.col("label")).otherwise("none"), F.when(right, "none").otherwise(F.col("label")))
-        return t.select("vec_id", F.posexplode(guesses).alias("nth", "guess")).withColumn("nth", F.col("nth") + 1)
+    def reported(dims: int):
+        part = t.withColumn("embedding", F.slice("embedding", 1, dims))
+        ranked = vectors.guesses(part, vectors.centroids(part, "label"), "label", 5)
+        return digest, evaluation.accuracy(truth, ranked, "vec_id", "label", ["label", "source"])
 
-    return evaluation.compare({m: (digest, evaluation.accuracy(t, ranked(n), "vec_id", "label", [])) for m, n in (("a", 3), ("b", 4))})
+    return evaluation.compare({"whole": reported(64), "part": reported(8)})
 
 
 @query("""WITH c AS (SELECT CASE WHEN p_partkey % 3 = 0 THEN '10.1/' || p_size ELSE '' END AS doi, 'https://k.org/' || p_partkey AS url, p_name AS title, CASE WHEN p_size % 10 = 0 THEN [] ELSE [lower(p_brand)] END AS families, [lower(split_part(p_name, ' ', 1))] AS genera FROM part),
@@ -288,12 +297,16 @@ def q10_gate_state(spark, d):
     return evaluation.gate_problems(report, t, shards, 100, "o_custkey")
 
 
-@query("SELECT 'seed' AS setting, '42' AS least, '43' AS most UNION ALL SELECT 'source', min(source), max(source) FROM documents")
+Q12 = {"rows": "count(*)", "users": "count(DISTINCT user_id)", "first_user": "min(user_id)", "first_event": "min(event_id)", "last_k": "max(json_extract_string(props, '$.k'))", "year": "max(year(ts))"}
+
+
+@query(f"""WITH r AS (SELECT event_type, {', '.join(f"CAST({v} AS VARCHAR) AS {k}" for k, v in Q12.items())} FROM events GROUP BY event_type), s AS (UNPIVOT r ON {', '.join(Q12)} INTO NAME setting VALUE value)
+  SELECT setting, min(value) AS least, max(value) AS most FROM s GROUP BY setting HAVING min(value) <> max(value)""")
 def q12_resumed_settings(spark, d):
-    """Two runs over the documents' state: seed and source changed, the batch didn't."""
-    t = read(spark, d, "documents")
-    runs = t.agg(F.min("source").alias("source")).withColumns({"run": F.lit(1), "seed": F.lit(42)}).unionByName(t.agg(F.max("source").alias("source")).withColumns({"run": F.lit(2), "seed": F.lit(43)})).withColumn("batch", F.lit(2))
-    return evaluation.setting_conflicts(runs, "run", ["seed", "source", "batch"])
+    """A run an event type, its settings counted from its events: those differ that the types don't share."""
+    runs = read(spark, d, "events").groupBy("event_type").agg(
+        F.count("*").alias("rows"), F.countDistinct("user_id").alias("users"), F.min("user_id").alias("first_user"), F.min("event_id").alias("first_event"), F.max(F.get_json_object("props", "$.k")).alias("last_k"), F.max(F.year("ts")).alias("year"))
+    return evaluation.setting_conflicts(runs, "event_type", list(Q12))
 
 
 @query("SELECT 'left' AS side, 'alone' AS problem, count(*) AS n FROM embeddings WHERE vec_id % 5 = 0 UNION ALL SELECT 'right', 'repeated', count(*) FROM embeddings WHERE vec_id % 5 <> 0 AND vec_id % 7 = 0")

@@ -15,6 +15,9 @@ from speclake.sources import tables
 
 QUERIES, SQL, query = registry()
 
+#: Licences that the languages stand for in the query of cache states; other languages have none.
+LICENSED = {"en": "CC0", "de": "CC-BY", "es": "CC-BY-NC", "fr": "CC-BY-SA"}
+
 
 @query("""SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: length(x) >= 20)[1] AS line FROM documents""")
 def s5_w7_first_media(spark, d):
@@ -48,15 +51,20 @@ def f8_supervised_only(spark, d):
     return manifest.build_master(t, supervised_only=True).select("record_id")
 
 
-@query("""SELECT page_id, reason = '' AS eligible_supervised, reason AS exclusion_reason, CASE WHEN page_id % 3 = 0 THEN 'cache/' || CAST(page_id AS VARCHAR) ELSE '' END AS local_path FROM (
-  SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'license:CC-BY-NC' WHEN page_id % 3 = 0 THEN '' WHEN page_id % 11 = 0 THEN 'missing_image_location'
-    WHEN page_id % 5 = 1 THEN 'download_error:Timeout' WHEN page_id % 5 = 0 THEN 'not_fetched' ELSE '' END AS reason FROM pages)""")
+@query(f"""WITH p AS (SELECT doc_id, CASE coalesce(lang, '') {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in LICENSED.items())} ELSE 'UNKNOWN' END AS lic, url FROM documents LEFT JOIN pages ON doc_id = page_id),
+  r AS (SELECT p.doc_id, lic, url, l.doc_id IS NOT NULL AS there, CASE WHEN label % 4 = 0 THEN 'HTTP ' || label ELSE '' END AS error, v.vec_id IS NOT NULL AS fetched
+    FROM p LEFT JOIN labels l ON p.doc_id = l.doc_id AND quality = 1 LEFT JOIN embeddings v ON vec_id = p.doc_id AND vec_id % 3 < 2),
+  s AS (SELECT doc_id, there, CASE WHEN lic NOT IN ('CC0', 'CC-BY', 'CC-BY-SA', 'PROJECT-OWNED') THEN 'license:' || lic WHEN there THEN '' WHEN coalesce(url, '') = '' THEN 'missing_image_location'
+    WHEN NOT fetched THEN 'not_fetched' WHEN error <> '' THEN 'download_error:' || error ELSE '' END AS reason FROM r)
+  SELECT doc_id, reason = '' AS eligible_supervised, reason AS exclusion_reason, CASE WHEN there THEN 'cache/' || doc_id ELSE '' END AS local_path FROM s""")
 def c32_f10_cache_status(spark, d):
-    t, k = read(spark, d, "pages"), F.col("page_id")
-    plan = t.select("page_id", F.when(k % 7 == 0, "CC-BY-NC").otherwise("CC0").alias("image_license"), F.when(k % 11 == 0, "").otherwise(F.col("url")).alias("image_url"))
-    listing = t.filter(k % 3 == 0).select("page_id", F.concat(F.lit("cache/"), "page_id").alias("local_path"))
-    results = t.filter(k % 5 != 0).select("page_id", F.when(k % 5 == 1, "Timeout").otherwise("").alias("error"))
-    return records.cache_status(plan, listing, results, "page_id").select("page_id", "eligible_supervised", "exclusion_reason", "local_path")
+    """The plan is of documents, addresses of pages; files that are there come from labels, what was fetched from embeddings."""
+    said = F.create_map(*[F.lit(x) for pair in LICENSED.items() for x in pair])
+    pages = read(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.col("url").alias("image_url"))
+    plan = read(spark, d, "documents").select("doc_id", F.coalesce(F.try_element_at(said, F.coalesce("lang", F.lit(""))), F.lit("UNKNOWN")).alias("image_license")).join(pages, "doc_id", "left")
+    listing = read(spark, d, "labels").filter("quality = 1").select("doc_id", F.concat(F.lit("cache/"), "doc_id").alias("local_path"))
+    results = read(spark, d, "embeddings").filter("vec_id % 3 < 2").select(F.col("vec_id").alias("doc_id"), F.when(F.col("label") % 4 == 0, F.concat(F.lit("HTTP "), "label")).otherwise("").alias("error"))
+    return records.cache_status(plan, listing, results, "doc_id").select("doc_id", "eligible_supervised", "exclusion_reason", "local_path")
 
 
 @query(r"""WITH p AS (SELECT page_id, 'top/' || (page_id % 5) || '/a/b/' || regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^https?://', ''), '/+$', '') AS path FROM pages),

@@ -27,12 +27,39 @@ def p3_stable_id(spark, d):
     return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", S.stable_id(F.col("l_orderkey"), F.col("l_linenumber"), prefix="line").alias("id"))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'CC-BY' WHEN 1 THEN 'CC-BY' WHEN 2 THEN 'CC-BY-NC' WHEN 3 THEN 'CC0' WHEN 4 THEN 'PDM' WHEN 5 THEN 'UNKNOWN'
-  WHEN 6 THEN 'CC0' ELSE upper(p_brand) END AS license FROM part""")
+def _piece(parts, keys):
+    """A text put together of one piece of each of ``parts``, chosen by ``keys`` (SQL of a number each)."""
+    return F.concat(*[F.get(F.array(*map(F.lit, part)), F.expr(f"CAST(({key}) % {len(part)} AS INT)")) for part, key in zip(parts, keys, strict=True)])
+
+
+def _piece_sql(parts, keys) -> str:
+    return " || ".join(f"[{', '.join(repr(x) for x in part)}][1 + ({key}) % {len(part)}]" for part, key in zip(parts, keys, strict=True))
+
+
+#: Pieces of licence texts: what comes first, the terms, and what follows, in 1,260 combinations.
+LICENCE_PARTS = (("", "CC ", "cc-", " Creative Commons ", "https://creativecommons.org/licenses/", "HTTP://CreativeCommons.org/publicdomain/", "CC"), ("by", "BY-NC", "by nc sa", "BY-ND", "zero", "mark", "0", "Public Domain", "project-owned", "None", "", "by-sa-xy"), ("", " 4.0", "/4.0/", " 3.0 International", "-1.0", " 2.5", " v4", " 4.0 Unported", "/", " 4 0", " 5.0", " 1", "  ", ".", " International"))
+LICENCE_KEYS = ("l_orderkey", "l_partkey", "l_suppkey + l_linenumber")
+
+
+def coded(c: str) -> str:
+    """SQL: the code of a spelling without hyphens and blanks, else null."""
+    return f"CASE {c} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in {k.replace('-', ''): v for k, v in S.LICENSE_CODES.items()}.items())} END"
+
+
+@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, trim({_piece_sql(LICENCE_PARTS, LICENCE_KEYS)}) AS x FROM lineitem), c AS (SELECT l_orderkey, l_linenumber, CASE WHEN lower(x) IN ('nan', 'none', 'null', 'na') THEN '' ELSE x END AS x FROM t),
+  w AS (SELECT *, regexp_extract(lower(x), 'creativecommons[.]org/(licenses/[a-z-]+|publicdomain/zero|publicdomain/mark)', 1) AS path,
+    list_filter(string_split_regex(replace(array_to_string(list_filter(string_split_regex(lower(x), '[^a-z0-9]+'), lambda y: y <> ''), ' '), 'creative commons', ''), ' +'), lambda y: y <> '') AS words FROM c),
+  v AS (SELECT *, array_to_string(words, '') AS whole, CASE
+      WHEN len(words) > 3 AND words[-1] IN ('international', 'unported') AND words[-2] = '0' AND words[-3] IN ('1', '2', '3', '4') THEN words[:-4]
+      WHEN len(words) > 2 AND words[-1] IN ('international', 'unported') AND words[-2] IN ('1', '2', '3', '4') THEN words[:-3]
+      WHEN len(words) > 2 AND words[-1] = '0' AND words[-2] IN ('1', '2', '3', '4') THEN words[:-3]
+      WHEN len(words) > 1 AND words[-1] IN ('1', '2', '3', '4') THEN words[:-2] ELSE words END AS named FROM w)
+  SELECT l_orderkey, l_linenumber, CASE WHEN x = '' THEN 'UNKNOWN' WHEN path = 'publicdomain/zero' THEN 'CC0' WHEN path = 'publicdomain/mark' THEN 'PDM'
+    WHEN path <> '' THEN coalesce({coded("replace('cc' || path[10:], '-', '')")}, upper('cc-' || path[10:]))
+    ELSE coalesce({coded("whole")}, {coded("array_to_string(named, '')")}, upper(x)) END AS license FROM v""")
 def p4_normalize_license(spark, d):
-    said = F.array(*map(F.lit, ["https://creativecommons.org/licenses/by/4.0/", "CC BY 3.0", "cc-by-nc", "http://creativecommons.org/publicdomain/zero/1.0/", "https://creativecommons.org/publicdomain/mark/1.0", " None ", "Public Domain"]))
-    text = F.coalesce(F.get(said, (F.col("p_partkey") % 8).cast("int")), F.col("p_brand"))
-    return read(spark, d, "part").select("p_partkey", S.normalize_license(text).alias("license"))
+    """Texts and addresses put together of pieces that vary independently; the SQL cuts versions off lists of words."""
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", S.normalize_license(_piece(LICENCE_PARTS, LICENCE_KEYS)).alias("license"))
 
 
 @query("""SELECT p_partkey, split_part(p_name, ' ', 1) AS genus, array_to_string(list_slice(string_split(p_name, ' '), 1, 2), ' ') AS species FROM part""")
@@ -160,10 +187,18 @@ def p24_count_tag(spark, d):
     return read(spark, d, "orders").select("o_orderkey", S.count_tag(F.col("o_orderkey") * 125).alias("tag"))
 
 
-@query("SELECT p_partkey, '10.1/' || CAST(p_partkey AS VARCHAR) AS id FROM part")
+#: What stands around an identifier, and kinds of identifiers.
+PLAIN_PARTS = (("https://doi.org/", "http://dx.doi.org//", "DOI:", " doi:/", "", "/", "https://Example.org/doi:"), ("10.1/", "10.1234/a.b/", "urn-", "key/"))
+PLAIN_KEYS = ("o_orderkey", "o_custkey")
+PLAIN_ENDS, PLAIN_END_KEYS = (("", "/", "?q=1/2", "#top", " ", "//"),), ("o_orderkey + o_custkey",)
+
+
+@query(f"""WITH t AS (SELECT o_orderkey, {_piece_sql(PLAIN_PARTS, PLAIN_KEYS)} || o_orderpriority || {_piece_sql(PLAIN_ENDS, PLAIN_END_KEYS)} AS x FROM orders),
+  p AS (SELECT o_orderkey, CASE WHEN starts_with(x, 'http') THEN trim(array_to_string(string_split(split_part(split_part(x, '?', 1), '#', 1), '/')[4:], '/'), '/') ELSE trim(x) END AS x FROM t)
+  SELECT o_orderkey, trim(CASE WHEN lower(x[:4]) = 'doi:' THEN x[5:] ELSE x END, '/') AS id FROM p""")
 def p25_plain_identifier(spark, d):
-    head = F.when(F.col("p_partkey") % 2 == 0, "https://doi.org/10.1/").otherwise("DOI:10.1/")
-    return read(spark, d, "part").select("p_partkey", S.plain_identifier(F.concat(head, F.col("p_partkey"))).alias("id"))
+    """Resolvers, prefixes, slashes, queries and fragments vary around identifiers."""
+    return read(spark, d, "orders").select("o_orderkey", S.plain_identifier(F.concat(_piece(PLAIN_PARTS, PLAIN_KEYS), "o_orderpriority", _piece(PLAIN_ENDS, PLAIN_END_KEYS))).alias("id"))
 
 
 @query("""SELECT n_name, '"' || n_name || '" identification key Order ' || r_name AS first, 2 AS n FROM nation JOIN region ON n_regionkey = r_regionkey""")

@@ -295,6 +295,12 @@ def test_entries_for_all_questions(spark):
         got[r.record_id].append(r.title)
     assert got["1"] == ["by genus", *[f"e{i:02}" for i in range(11)]] and got["2"] == ["by genus", *[f"e{i:02}" for i in range(11)]]
     assert references.matches(asked, catalog, "record_id", "title").count() == 2 * 31 + 1
+    found = spark.createDataFrame([("2", "", f"u{i}", f"z{i}", 100.0) for i in (0, 1, 5)] + [("1", "", "u3", "z3", 101.0)], "record_id string, doi string, url string, title string, score double")
+    got = defaultdict(list)
+    for r in references.recommend(asked, catalog, found).orderBy("record_id", "nth").collect():
+        got[r.record_id].append(r.title)
+    assert got["2"] == ["by genus", *[f"e{i:02}" for i in range(30) if i not in (0, 1, 5)][:11]]
+    assert got["1"] == ["by genus", "z3", *[f"e{i:02}" for i in range(11) if i != 3]]
 
 
 def test_first_seen_knows_null_keys(spark, tmp_path):
