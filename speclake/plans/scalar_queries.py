@@ -38,7 +38,7 @@ def _piece_sql(parts, keys) -> str:
 
 #: Pieces of licence texts: what comes first, the terms, and what follows, in 1,260 combinations.
 LICENCE_PARTS = (("", "CC ", "cc-", " Creative Commons ", "https://creativecommons.org/licenses/", "HTTP://CreativeCommons.org/publicdomain/", "CC"), ("by", "BY-NC", "by nc sa", "BY-ND", "zero", "mark", "0", "Public Domain", "project-owned", "None", "", "by-sa-xy"), ("", " 4.0", "/4.0/", " 3.0 International", "-1.0", " 2.5", " v4", " 4.0 Unported", "/", " 4 0", " 5.0", " 1", "  ", ".", " International"))
-LICENCE_KEYS = ("l_orderkey", "l_partkey", "l_suppkey + l_linenumber")
+LICENCE_KEYS = ("p_partkey", "p_size", "p_size + length(p_name) + length(p_type)")
 
 
 def coded(c: str) -> str:
@@ -46,7 +46,7 @@ def coded(c: str) -> str:
     return f"CASE {c} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in {k.replace('-', ''): v for k, v in S.LICENSE_CODES.items()}.items())} END"
 
 
-@query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, trim({_piece_sql(LICENCE_PARTS, LICENCE_KEYS)}) AS x FROM lineitem), c AS (SELECT l_orderkey, l_linenumber, CASE WHEN lower(x) IN ('nan', 'none', 'null', 'na') THEN '' ELSE x END AS x FROM t),
+@query(f"""WITH t AS (SELECT p_partkey, trim({_piece_sql(LICENCE_PARTS, LICENCE_KEYS)}) AS x FROM part), c AS (SELECT p_partkey, CASE WHEN lower(x) IN ('nan', 'none', 'null', 'na') THEN '' ELSE x END AS x FROM t),
   w AS (SELECT *, regexp_extract(lower(x), 'creativecommons[.]org/(licenses/[a-z-]+|publicdomain/zero|publicdomain/mark)', 1) AS path,
     list_filter(string_split_regex(replace(array_to_string(list_filter(string_split_regex(lower(x), '[^a-z0-9]+'), lambda y: y <> ''), ' '), 'creative commons', ''), ' +'), lambda y: y <> '') AS words FROM c),
   v AS (SELECT *, array_to_string(words, '') AS whole, CASE
@@ -54,12 +54,12 @@ def coded(c: str) -> str:
       WHEN len(words) > 2 AND words[-1] IN ('international', 'unported') AND words[-2] IN ('1', '2', '3', '4') THEN words[:-3]
       WHEN len(words) > 2 AND words[-1] = '0' AND words[-2] IN ('1', '2', '3', '4') THEN words[:-3]
       WHEN len(words) > 1 AND words[-1] IN ('1', '2', '3', '4') THEN words[:-2] ELSE words END AS named FROM w)
-  SELECT l_orderkey, l_linenumber, CASE WHEN x = '' THEN 'UNKNOWN' WHEN path = 'publicdomain/zero' THEN 'CC0' WHEN path = 'publicdomain/mark' THEN 'PDM'
+  SELECT p_partkey, CASE WHEN x = '' THEN 'UNKNOWN' WHEN path = 'publicdomain/zero' THEN 'CC0' WHEN path = 'publicdomain/mark' THEN 'PDM'
     WHEN path <> '' THEN coalesce({coded("replace('cc' || path[10:], '-', '')")}, upper('cc-' || path[10:]))
     ELSE coalesce({coded("whole")}, {coded("array_to_string(named, '')")}, upper(x)) END AS license FROM v""")
 def p4_normalize_license(spark, d):
     """Texts and addresses put together of pieces that vary independently; the SQL cuts versions off lists of words."""
-    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", S.normalize_license(_piece(LICENCE_PARTS, LICENCE_KEYS)).alias("license"))
+    return read(spark, d, "part").select("p_partkey", S.normalize_license(_piece(LICENCE_PARTS, LICENCE_KEYS)).alias("license"))
 
 
 @query("""SELECT p_partkey, split_part(p_name, ' ', 1) AS genus, array_to_string(list_slice(string_split(p_name, ' '), 1, 2), ' ') AS species FROM part""")
