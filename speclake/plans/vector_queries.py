@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from speclake.functions.vectors import dot, unit
+from speclake.functions.vectors import dot, rounded, unit
 from speclake.operators import evaluation, vectors
 from speclake.plans.register import read, registry
 from speclake.sources.shared import cut, sized
@@ -44,7 +44,7 @@ def c22_a7_fuse_views(spark, d):
         F.when(k % 6 < 2, " ").otherwise(F.concat(F.lit("sp"), F.floor(k / 2))).alias("specimen"), k.alias("record_id"), F.get(F.array(F.lit("wing"), F.lit("head"), F.lit("")), (k % 3).cast("int")).alias("view_type"),
         (F.col("label") % 3).alias("family"), F.when(k % 8 < 4, F.col("label").cast("string")).otherwise("").alias("species"), "embedding")
     fused = vectors.assert_one_split(vectors.fuse_views(t, "specimen"))
-    return fused.select("specimen", "view_count", "available_views", "embedding_view_ids", "split_group", "family", "species", "exclusion_reason", "eligible_supervised", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
+    return fused.select("specimen", "view_count", "available_views", "embedding_view_ids", "split_group", "family", "species", "exclusion_reason", "eligible_supervised", F.transform("embedding", lambda x: rounded(x, 6)).alias("embedding"))
 
 
 @query("""WITH h AS (SELECT vec_id, embedding[1:32]::DOUBLE[] AS a, embedding[33:64]::DOUBLE[] AS b FROM embeddings)
