@@ -55,7 +55,7 @@ def c23_j11_v4_fuse_encoders(spark, d):
     about = t.select("vec_id", F.concat(F.lit("fam"), "label").alias("family"), (F.col("vec_id") % 3).alias("source"), "embedding")
     a, b = about.withColumn("embedding", F.slice("embedding", 1, 32)), about.filter("vec_id % 5 <> 0").withColumn("embedding", F.slice("embedding", 33, 32))
     fused, _ = vectors.fuse_cohorts(a, b, "vec_id")
-    return fused.select("vec_id", "embedding").withColumn("embedding", F.transform("embedding", lambda x: F.round(x, 6)))
+    return fused.select("vec_id", "embedding").withColumn("embedding", F.transform("embedding", lambda x: rounded(x, 6)))
 
 
 @query(f"""WITH {UNITS}, {MEANS}, s AS (SELECT label, list_dot_product(u, c) AS sim FROM u JOIN c USING (label))
