@@ -27,7 +27,7 @@ def s7_k5_v7_vector_store(spark, d):
 def v1_k6_retrieval_table(spark, d):
     t = read(spark, d, "embeddings").select(F.col("vec_id").alias("record_id"), F.concat(F.lit(" fam"), "label").alias("family"), "embedding")
     table = vectors.retrieval_table(t)
-    return table.select("record_id", "family", "attribution", F.lit(len(table.columns) - 1).alias("kept"), F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
+    return table.select("record_id", "family", "attribution", F.lit(len(table.columns) - 1).alias("kept"), F.transform("embedding", lambda x: rounded(x, 6)).alias("embedding"))
 
 
 @query("""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 6 < 2 THEN 'record:' || vec_id ELSE 'sp' || (vec_id // 2) END AS s, ['wing', 'head', ''][1 + vec_id % 3] AS view, CAST(label % 3 AS VARCHAR) AS family, CASE WHEN vec_id % 8 < 4 THEN CAST(label AS VARCHAR) ELSE '' END AS species, embedding::DOUBLE[] AS e FROM embeddings),
@@ -61,7 +61,7 @@ def c23_j11_v4_fuse_encoders(spark, d):
 @query(f"""WITH {UNITS}, {MEANS}, s AS (SELECT label, list_dot_product(u, c) AS sim FROM u JOIN c USING (label))
   SELECT label, round(greatest(-1, least(1, quantile_cont(sim, 0.05) - 0.02)), 6) AS threshold FROM s GROUP BY label""")
 def c26_a8_a9_gates(spark, d):
-    return vectors.gates(read(spark, d, "embeddings"), "label", 0.05, 0.02).select("label", F.round("threshold", 6).alias("threshold"))
+    return vectors.gates(read(spark, d, "embeddings"), "label", 0.05, 0.02).select("label", rounded(F.col("threshold"), 6).alias("threshold"))
 
 
 @query(f"""WITH {UNITS}, {MEANS}, s AS (SELECT label, list_dot_product(u, c) AS sim FROM u JOIN c USING (label)),
@@ -69,7 +69,7 @@ def c26_a8_a9_gates(spark, d):
   SELECT u.vec_id, round(list_dot_product(u.u, c.c), 6) AS similarity, round(list_dot_product(u.u, c.c), 6) < round(g.t, 6) AS rejected FROM u JOIN c USING (label) JOIN g USING (label)""")
 def v6_rejection(spark, d):
     t = read(spark, d, "embeddings")
-    sims = t.join(sized(cut(vectors.gates(t, "label", 0.05, 0.02))), "label").select("vec_id", F.round(dot(unit(F.col("embedding")), F.col("centroid")), 6).alias("similarity"), F.round("threshold", 6).alias("t"))
+    sims = t.join(sized(cut(vectors.gates(t, "label", 0.05, 0.02))), "label").select("vec_id", rounded(dot(unit(F.col("embedding")), F.col("centroid")), 6).alias("similarity"), rounded(F.col("threshold"), 6).alias("t"))
     return sims.select("vec_id", "similarity", (F.col("similarity") < F.col("t")).alias("rejected"))
 
 
