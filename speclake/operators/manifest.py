@@ -76,17 +76,25 @@ def _or(*columns: str):
     return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in columns], F.lit(""))
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df``, whose columns the optimizer doesn't put into the expressions that come after it: what is used several times is computed once, and generated code stays small enough to compile."""
-    return df.select(F.explode(F.array(F.struct("*"))).alias("_row")).select("_row.*")
+def settled(df: DataFrame, only: set[str] | None = None) -> DataFrame:
+    """``df`` (of its columns ``only`` those), whose columns the optimizer doesn't put into the expressions that come after it: what is used several times is computed once, and generated code stays small enough to compile."""
+    kept = [F.col(f"`{c}`") for c in df.columns if only is None or c in only]
+    return df.select(F.explode(F.array(F.struct(*kept))).alias("_row")).select("_row.*")
+
+
+def _filled(df: DataFrame) -> DataFrame:
+    """Manifest columns that ``df`` lacks as constants: the optimizer computes what is made of them, so they cost nothing a row."""
+    return df.select("*", *[F.lit("").alias(c) for c in COLUMNS if c not in df.columns])
 
 
 def finalize(df: DataFrame) -> DataFrame:
     """Every manifest column filled: canonical names, ranks from each other, licence, ids, groups, eligibility. Applying it again changes nothing."""
     have = {c.lower(): c for c in df.columns}
-    raw = settled(df.select(*[(S.clean(df[have[c]]) if c in have else F.lit("")).alias(c) for c in COLUMNS]))
-    ranks = {r: S.canonical_taxon(F.col(r), r) for r in ("order", "family", "genus", "species", "subspecies")}
-    raw = settled(raw.withColumns({"source": F.when(F.col("source") == "", "unknown").otherwise(F.col("source"))} | ranks))
+    live = have.keys() & set(COLUMNS)
+    raw = _filled(settled(df.select(*[S.clean(df[have[c]]).alias(c) for c in COLUMNS if c in live])) if live else df.select())
+    ranks = {r: S.canonical_taxon(F.col(r), r) for r in ("order", "family", "genus", "species", "subspecies") if r in live}
+    live |= {"source"}
+    raw = _filled(settled(raw.withColumns({"source": F.when(F.col("source") == "", "unknown").otherwise(F.col("source"))} | ranks), live))
     raw = raw.withColumn("species", F.when(F.col("species") == "", S.canonical_taxon(F.col("subspecies"))).otherwise(F.col("species")))
     raw = raw.withColumn("genus", F.when(F.col("genus") == "", S.canonical_taxon(F.col("species"), "genus")).otherwise(F.col("genus")))
     basis = F.upper("basis_of_record")
@@ -98,14 +106,15 @@ def finalize(df: DataFrame) -> DataFrame:
         "source_record_id": _or("source_record_id", "observation_id"),
         "source_image_id": _or("source_image_id", "photo_id", "image_url", "local_path"),
     })
-    raw = settled(raw)
+    live |= {"image_license", "basis_of_record", "is_preserved_specimen", "identification_level", "source_record_id", "source_image_id"} | ({"species", "genus"} if live & {"subspecies", "species"} else set())
+    raw = _filled(settled(raw, live))
     group = F.coalesce(
         F.nullif(_or("specimen_group_id", "parent_specimen_id", "split_group"), F.lit("")),
         F.when(F.col("source_record_id") != "", F.concat_ws(":", "source", "source_record_id")),
         S.stable_id(F.col("source"), F.col("source_image_id"), prefix="group"),
     )
     raw = raw.withColumns({"photo_license": F.col("image_license"), "observation_id": _or("observation_id", "source_record_id"), "photo_id": _or("photo_id", "source_image_id"), "specimen_group_id": group})
-    raw = settled(raw)
+    raw = _filled(settled(raw, live | {"photo_license", "observation_id", "photo_id", "specimen_group_id"}))
     is_open, stored = F.col("image_license").isin(*S.OPEN_LICENSES), F.col("eligible_supervised")
     labelled = F.col("identification_level").isin("family", "genus", "species", "subspecies")
     raw = raw.withColumns({
