@@ -123,8 +123,10 @@ def _named(df: DataFrame, names: tuple[str, ...], default: str = "") -> Column:
     return S.first_of(df, names, default)
 
 
-def _all_named(df: DataFrame, table: dict[str, tuple[str, ...]]) -> dict[str, Column]:
-    return {target: _named(df, names) for target, names in table.items()}
+def _all_named(df: DataFrame, table: dict[str, tuple[str, ...]], always: tuple[str, ...] = ()) -> dict[str, Column]:
+    """The columns of ``table`` that ``df`` has under any name, and ``always``; the others are left to ``finalize``, so that no step carries them."""
+    have = {c.lower() for c in df.columns}
+    return {target: _named(df, names) for target, names in table.items() if target in always or any(n.lower() in have for n in names)}
 
 
 def is_image(kind: Column) -> Column:
@@ -149,7 +151,7 @@ def _once(df: DataFrame, key: str) -> DataFrame:
 def ingest_barcode(metadata: DataFrame, image_root: str = "", extension: str = ".jpg", any_order: bool = False) -> DataFrame:
     """Barcoded specimens; a row without any image stays, but isn't eligible."""
     order, process = _named(metadata, ("order", "taxon_order")), _named(metadata, ("processid", "process_id", "sampleid", "sample_id", "specimen_id"))
-    said = _all_named(metadata, BARCODE)
+    said = _all_named(metadata, BARCODE, ("local_path", "dna_barcode"))
     raw = _named(metadata, ("species", "species_name"))
     species = S.real_species(raw)
     path = said["local_path"]
@@ -171,7 +173,7 @@ def ingest_barcode(metadata: DataFrame, image_root: str = "", extension: str = "
 def occurrences(df: DataFrame, any_order: bool = False, more: tuple[str, ...] = ()) -> DataFrame:
     """(_join, manifest columns, ``more``) of Darwin Core occurrences of preserved specimens, not finalized."""
     order, basis, join = _named(df, ("order",)), F.upper(_named(df, ("basisofrecord", "basis_of_record"))), _named(df, ("gbifid", "id", "occurrenceid", "coreid"))
-    said = _all_named(df, OCCURRENCE)
+    said = _all_named(df, OCCURRENCE, ("image_url", "species"))
     fixed = {
         "source": F.lit("GBIF"), "source_record_id": join, "order": F.coalesce(F.nullif(order, F.lit("")), F.lit(ORDER)), "basis_of_record": F.coalesce(F.nullif(basis, F.lit("")), F.lit("PRESERVED_SPECIMEN")),
         "is_preserved_specimen": F.lit("true"), "specimen_group_id": F.concat(F.lit("GBIF:"), join), "label_quality": S.determined_quality(said["species"]),
@@ -214,7 +216,7 @@ def _credited(rows: DataFrame, licenses: tuple[str, ...] | None) -> DataFrame:
 def ingest_flat_occurrences(observations: DataFrame, photos: DataFrame | None = None, licenses: tuple[str, ...] | None = S.OPEN_LICENSES, any_order: bool = False, size: str = "medium") -> DataFrame:
     """Observations of a flat export, with a table of photos or with one image each."""
     order, join = _named(observations, ("order", "taxon_order", "dwc:order")), _named(observations, ("id", "observation_id", "gbifid", "occurrenceid", "coreid", "uuid"))
-    said = _all_named(observations, OBSERVATION)
+    said = _all_named(observations, OBSERVATION, ("original_scientific_name", "observer"))
     rank = F.lower(_named(observations, ("taxonrank", "taxon_rank", "rank")))
     species = _named(observations, ("species", "taxon_species"))
     species = F.when((species == "") & rank.isin("species", "subspecies", "variety"), S.canonical_taxon(said["original_scientific_name"])).otherwise(species)
