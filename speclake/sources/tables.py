@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from speclake.sources.shared import cut, sized
+
 #: File suffixes of images, and the names under which responses hold their rows.
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "tif", "tiff", "webp")
 ENVELOPES = ("results", "items", "data", "digitalSpecimens", "digitalSpecimen")
@@ -80,7 +82,19 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/versions/{version}")
 
 
+#: Fixed value: rows of a partitioned write that go to one file.
+FILE_ROWS = 100_000
+
+
 def write_partitioned(df: DataFrame, path: str, column: str) -> DataFrame:
-    """One folder per value of ``column`` (a shard, or accepted and quarantined rows); older folders go. Rows are dealt by value first, so that files stay few."""
-    df.repartition(F.col(column), F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(8))).write.mode("overwrite").partitionBy(column).parquet(path)
+    """One folder per value of ``column`` (a shard, or accepted and quarantined rows); older folders go.
+
+    Rows are dealt by value and a hash over the others, into as many files as the value's rows fill: a small shard is one file,
+    a hot value is spread over tasks. ``df`` is materialised and its values are counted first.
+    """
+    rows = cut(df)
+    files = sized(cut(rows.groupBy(F.col(column).alias("_value")).agg(F.ceil(F.count("*") / FILE_ROWS).alias("_files")).filter("_files > 1")))
+    piece = F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.coalesce(F.col("_files"), F.lit(1)))
+    dealt = rows.join(files, F.col(column).eqNullSafe(F.col("_value")), "left").withColumn("_piece", piece).drop("_value", "_files")
+    dealt.repartition(F.col(column), F.col("_piece")).drop("_piece").write.mode("overwrite").partitionBy(column).parquet(path)
     return df.sparkSession.read.parquet(path)
