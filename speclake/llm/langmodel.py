@@ -51,45 +51,54 @@ def token_counts(docs: DataFrame, flush: int = 300_000) -> DataFrame:
 class Automaton:
     """States and arcs of a bigram backoff model over word ids.
 
-    A state is a word that follows up with kept bigrams, or the start; its arcs hold log10
-    probabilities of the kept bigrams, by absolute discounting; its failure arc leads to the empty
-    state, whose arcs are the add-one unigrams, and weighs what keeps the sum at 1. All arrays are
-    bounded: fewer words than 1/word_share and fewer arcs than 1/arc_share can be that frequent.
+    A state is a word, or the start; its arcs hold log10 probabilities of the pairs that the model
+    has, by absolute discounting; its failure arc leads to the empty state, whose arcs are the add-one
+    unigrams, and weighs what keeps the sum at 1. Only frequent words and the most frequent arcs are
+    held here, so all arrays are bounded; ``sums`` (first, n, k, mass) of all arcs weigh the failure arcs.
     """
 
-    def __init__(self, words: list[bytes], counts: list[int], n: int, v: int, starts: int, arcs: list[tuple[int, int]], discount: float):
-        self.words, self.start = words, len(words)
+    def __init__(self, words: list[bytes], counts: list[int], n: int, v: int, starts: int, arcs: pa.Table, sums: pa.Table, discount: float):
+        self.words, self.start, self.discount = words, len(words), discount
+        self.size = self.start + 1
         self.uni = np.log10((np.array(counts, float) + 1) / (n + v + 1))
         seen = np.array([*counts, starts], float)
-        keys, c = (np.array([x[i] for x in arcs], np.int64) for i in (0, 1))
+        self.seen = np.log10(np.maximum(seen, 1))
+        first, total, k, mass = (sums.column(x).to_numpy() for x in ("first", "n", "k", "mass"))
+        self.fail = np.zeros(self.size)
+        self.fail[first] = np.log10((seen[first] - total + discount * k) / seen[first]) - np.log10((n + v + 1 - mass) / (n + v + 1))
+        keys, c = (arcs.column(x).to_numpy() for x in ("pair", "n"))
         order = np.argsort(keys)
-        self.keys, c = keys[order], c[order].astype(float)
-        size = self.start + 1
-        state, word = self.keys // size, self.keys % size
-        p = (c - discount) / seen[state]
-        self.arc = np.log10(p)
-        kept = np.bincount(state, p, size)
-        below = np.bincount(state, 10 ** self.uni[word] if len(word) else np.zeros(0), size)
-        self.fail = np.log10((1 - kept) / (1 - below))
+        self.keys = keys[order]
+        self.arc = self.probability(self.keys, c[order])
+
+    def probability(self, keys: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """log10 of the probability of arcs that occur ``c`` times."""
+        return np.log10(c - self.discount) - self.seen[keys // self.size]
+
+    def gain(self, keys: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """What arcs weigh more than the failure arc and the unigram that they stand for."""
+        return self.probability(keys, c) - self.fail[keys // self.size] - self.uni[keys % self.size]
 
     def ids(self, index: dict[bytes, int], words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
 
-    def score(self, ids: np.ndarray) -> tuple[float, float]:
-        """Sums of log10 of the unigrams and of the automaton's weights over a text's ids; a word without an id (-1) adds its failure arc only.
+    def score(self, ids: np.ndarray) -> tuple[float, float, np.ndarray]:
+        """Sums of log10 of the unigrams and of the automaton's weights over a text's ids, and the pairs of ids that have no arc here; a word without an id (-1) adds its failure arc only.
 
         The state after a word is that word; one sweep over (state, word) pairs follows the arc where there is one, else the failure arc.
         """
         states = np.concatenate([[self.start], ids[:-1]])
         uni = np.zeros(len(ids))
         uni[ids >= 0] = self.uni[ids[ids >= 0]]
-        both = (states >= 0) & (ids >= 0)
-        keys = np.where(both, states * (self.start + 1) + ids, -1)
+        missing = (states >= 0) & (ids >= 0)
+        keys = np.where(missing, states * self.size + ids, -1)
         weight = np.where(states >= 0, self.fail[states], 0.0) + uni
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            weight = np.where(self.keys[at] == keys, self.arc[at], weight)
-        return float(uni.sum()), float(weight.sum())
+            here = self.keys[at] == keys
+            weight = np.where(here, self.arc[at], weight)
+            missing &= ~here
+        return float(uni.sum()), float(weight.sum()), keys[missing]
 
 
 _INDEX: dict[int, tuple[list[bytes], dict[bytes, int]]] = {}
@@ -124,13 +133,73 @@ def pair_counts(docs: DataFrame, shared: Broadcast) -> DataFrame:
     return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def score_texts(docs: DataFrame, training=None, word_share: float = 2.0**-20, arc_share: float = 2.0**-20, least: int = 2, discount: float = 0.5) -> DataFrame:
+def beside(listed: list[bytes], ids: np.ndarray, near: dict[bytes, list[int]], both: Counter) -> Counter:
+    """Counts the words without an id and adds the pairs that they stand in, each under one word, so that a pair's occurrences meet.
+
+    ``near`` gets, under the word, -1 - id of a word (or start) before it and the id of a word behind it;
+    ``both`` counts pairs of two such words, with the blank that no word holds between them.
+    """
+    seen: Counter = Counter()
+    last, known = len(listed) - 1, ids.tolist()
+    for i in np.nonzero(ids < 0)[0].tolist():
+        word = listed[i]
+        seen[word] += 1
+        at = near.setdefault(word, [])
+        before = known[i - 1] if i else START
+        if before != -1:
+            at.append(-1 - before if i else START)
+        if i < last:
+            if known[i + 1] >= 0:
+                at.append(known[i + 1])
+            else:
+                both[word + b" " + listed[i + 1]] += 1
+    return seen
+
+
+#: Stands in ``near`` for the start before a text's first word.
+START = -(2**31)
+
+
+def rare_pairs(docs: DataFrame, shared: Broadcast, least: int) -> DataFrame:
+    """(word binary, next binary, near int, n): pairs that occur at least ``least`` times and hold a word without an id, as ``beside`` puts them; next: the second word if neither has one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        index = _index(words)
+        kind = pa.schema([("word", pa.binary()), ("next", pa.binary()), ("near", pa.list_(pa.int32()))])
+        for batch in batches:
+            texts = batch.column(0)
+            for k in range(0, len(texts), 1000):
+                near, both = {}, Counter()
+                for text in texts[k : k + 1000]:
+                    listed = tokens(text.as_py())
+                    beside(listed, np.fromiter(map(index.get, listed, repeat(-1)), np.int64, len(listed)), near, both)
+                rows = [(w, None, x) for w, x in near.items() if x]
+                rows += [(*pair.split(b" "), [0] * m) for pair, m in both.items()]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), kind, strict=True)], schema=kind)
+
+    found = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word binary, next binary, near array<int>")
+    one = found.repartition("word").select("word", "next", F.explode("near").alias("near"))
+    return one.groupBy("word", "next", "near").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+
+
+def _pair_keys(pairs: np.ndarray) -> pa.Array:
+    """A tab, which no word holds, and eight bytes of each pair."""
+    data = np.empty((len(pairs), 9), np.uint8)
+    data[:, 0] = 9
+    data[:, 1:] = pairs.astype(">i8").view(np.uint8).reshape(-1, 8)
+    offsets = np.arange(0, 9 * len(pairs) + 1, 9, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(pairs), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def score_texts(docs: DataFrame, training=None, word_share: float = 2.0**-20, held: int = 2**20, least: int = 2, discount: float = 0.5) -> DataFrame:
     """Scores every text with a backoff model learned from the rows where ``training`` (a boolean column) holds; by default those not ``held_out``.
 
-    ``docs``: doc_id, text. Counts cover all training rows. Words with at least ``least`` and
-    ``word_share`` of all tokens get an id (at most 1/word_share can), and pairs of them with at least
-    ``least`` and ``arc_share`` become arcs (at most 1/arc_share): the automaton, thus bounded at any
-    size of corpus, is broadcast. All other words take their exact counts by a join.
+    ``docs``: doc_id, text. Counts cover all training rows. Every pair that occurs at least ``least``
+    times in them is an arc, whatever the size of the corpus. Words with at least ``least`` and
+    ``word_share`` of all tokens (at most 1/word_share can be) and the ``held`` most frequent arcs
+    between them are broadcast; all other words and arcs take their exact counts by a join, so neither bound changes a score.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null texts are empty
     and have one token, the end; null ids are hashed as ''; repeated rows are scored each; without
@@ -142,49 +211,97 @@ def score_texts(docs: DataFrame, training=None, word_share: float = 2.0**-20, ar
     learned = docs.filter(training)
     counts = cut(token_counts(learned))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    starts = (counts.filter(F.col("word") == F.lit(END)).first() or {"c": 0})["c"]
     frequent = counts.filter((F.col("c") >= least) & (F.col("c") >= n * word_share)).orderBy(F.desc("c"), "word").collect()
-    words = [bytes(r["word"]) for r in frequent]
+    words, c = [bytes(r["word"]) for r in frequent], [r["c"] for r in frequent]
+    size = len(words) + 1
     shared = context.broadcast(words)
-    pairs = pair_counts(learned, shared).filter((F.col("n") >= least) & (F.col("n") >= n * arc_share)) if words else None
-    arcs = [(r["pair"], r["n"]) for r in pairs.collect()] if words else []
-    ends = next((r["c"] for r in frequent if bytes(r["word"]) == END), 0)
-    model = context.broadcast(Automaton(words, [r["c"] for r in frequent], n, v, ends, arcs, discount))
+    ids = spark.createDataFrame(pa.table({"id": pa.array(range(size), pa.int64()), "c2": pa.array([*c, starts], pa.int64())}))
+    repeated = counts.filter(F.col("c") >= least)
+
+    # Arcs: between frequent words, and those of other words with the counts of both.
+    arcs = cut(pair_counts(learned, shared).filter(F.col("n") >= least))
+    rare = cut(rare_pairs(learned, shared, least).join(repeated, "word"))
+    alone = rare.filter(F.col("next").isNotNull()).drop("near").join(repeated.select(F.col("word").alias("next"), F.col("c").alias("c2")), "next")
+    behind = rare.filter(F.col("next").isNull() & (F.col("near") >= 0)).join(F.broadcast(ids), F.col("near") == F.col("id")).drop("id")
+    ahead = rare.filter(F.col("near") < 0).withColumn("first", F.when(F.col("near") == START, size - 1).otherwise(-1 - F.col("near")).cast("long"))
+
+    # Failure arcs: what a state's arcs hold, in whole numbers.
+    held_by = [F.sum("n").alias("n"), F.count("*").alias("k"), F.sum(F.col("c2") + 1).alias("mass")]
+    between = arcs.join(F.broadcast(ids), F.col("pair") % size == F.col("id")).select(F.expr(f"pair div {size}").alias("first"), "n", "c2")
+    sums = between.union(ahead.select("first", "n", F.col("c").alias("c2"))).groupBy("first").agg(*held_by).toArrow()
+    most = arcs.groupBy("n").agg(F.count("*").alias("k")).toArrow().sort_by([("n", "descending")])  # a row a count
+    fits = int((np.cumsum(most.column("k").to_numpy()) <= held).sum())
+    bound = most.column("n")[fits - 1].as_py() if fits else n + 1
+    automaton = Automaton(words, c, n, v, starts, arcs.filter(F.col("n") >= bound).toArrow(), sums, discount)
+    model = context.broadcast(automaton)
+
+    # The other arcs' gains over failure arc and unigram, by the key under which a text asks for them.
+    def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs, m = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            yield pa.RecordBatch.from_arrays([_pair_keys(pairs), pa.array(model.value.gain(pairs, m))], ["key", "gain"])
+
+    uni = lambda count: F.log10((count + 1) / F.lit(float(n + v + 1)))
+    follow = alone.withColumn("near", F.lit(None).cast("int")).unionByName(behind)
+    fails = follow.groupBy("word").agg(*held_by, F.max("c").alias("c")).select("word", (F.log10((F.col("c") - F.col("n") + discount * F.col("k")) / F.col("c")) - F.log10((n + v + 1 - F.col("mass")) / F.lit(float(n + v + 1)))).alias("fail"))
+    follow = follow.join(fails, "word").withColumn("gain", F.log10(F.col("n") - discount) - F.log10("c") - F.col("fail") - uni(F.col("c2")))
+    heads = spark.createDataFrame(pa.table({"first": pa.array(range(size), pa.int64()), "own": pa.array(automaton.seen + automaton.fail)}))
+    ahead = ahead.join(F.broadcast(heads), "first").withColumn("gain", F.log10(F.col("n") - discount) - F.col("own") - uni(F.col("c")))
+    entries = cut(follow.select("word", "next", "near", "fail", "gain").unionByName(ahead.select("word", "next", "near", F.lit(None).cast("double").alias("fail"), "gain")))
+    own = entries.groupBy(F.col("word").alias("key")).agg(F.max("fail").alias("fail"), F.map_from_entries(F.collect_list(F.when(F.col("next").isNull(), F.struct("near", "gain")))).alias("arcs"))
+    other = arcs.filter(F.col("n") < bound).mapInArrow(gains, "key binary, gain double")
+    other = other.union(entries.filter(F.col("next").isNotNull()).select(F.concat("word", F.lit(b" "), "next"), "gain"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.value
         index = _index(automaton.words)
-        kind = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("base", pa.float64()), ("weight", pa.float64()), ("word", pa.binary()), ("n", pa.int64())])
+        kind = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("base", pa.float64()), ("weight", pa.float64()), ("key", pa.binary()), ("n", pa.int64()), ("near", pa.list_(pa.int32()))])
+
+        def asked(row: pa.Array, key: pa.Array, m: pa.Array, near: pa.Array | None = None) -> pa.RecordBatch:
+            nulls = [pa.nulls(len(row), f.type) for f in kind]
+            return pa.RecordBatch.from_arrays([row, *nulls[1:6], key, m, nulls[8] if near is None else near], schema=kind)
+
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
-                rows, ids, held, texts = (batch.column(i)[k : k + 1000] for i in range(4))
-                whole, rare = [], []
-                for row, doc, out, text in zip(rows.to_pylist(), ids.to_pylist(), held.to_pylist(), texts, strict=True):
+                rows, docs, held, texts = (batch.column(i)[k : k + 1000] for i in range(4))
+                whole, others, links, pairs = [], [], [], []
+                for at, (row, doc, out, text) in enumerate(zip(rows.to_pylist(), docs.to_pylist(), held.to_pylist(), texts, strict=True)):
                     listed = tokens(text.as_py())
                     found = automaton.ids(index, listed)
-                    base, weight = automaton.score(found)
-                    unknown = Counter([listed[i] for i in np.nonzero(found < 0)[0].tolist()])
-                    whole.append((row, doc, out, len(listed), base, weight, None, len(listed) - unknown.total()))
-                    rare += [(row, w, m) for w, m in unknown.items()]
+                    base, weight, missing = automaton.score(found)
+                    near, both = {}, Counter()
+                    unknown = beside(listed, found, near, both)
+                    whole.append((row, doc, out, len(listed), base, weight, None, len(listed) - unknown.total(), None))
+                    others += [(row, w, m, near[w]) for w, m in unknown.items()]
+                    links += [(row, w, m) for w, m in both.items()]
+                    pairs.append(missing * 1000 + at)
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*whole, strict=True), kind, strict=True)], schema=kind)
-                if rare:
-                    row, word, m = zip(*rare, strict=True)
-                    nulls = [pa.nulls(len(row), f.type) for f in kind]
-                    yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), *nulls[1:6], pa.array(word, pa.binary()), pa.array(m, pa.int64())], schema=kind)
+                if others:
+                    row, word, m, near = zip(*others, strict=True)
+                    yield asked(pa.array(row, pa.int64()), pa.array(word, pa.binary()), pa.array(m, pa.int64()), pa.array(near, pa.list_(pa.int32())))
+                if links:
+                    row, word, m = zip(*links, strict=True)
+                    yield asked(pa.array(row, pa.int64()), pa.array(word, pa.binary()), pa.array(m, pa.int64()))
+                pair, m = np.unique(np.concatenate(pairs), return_counts=True)
+                if len(pair):
+                    yield asked(rows.take(pa.array(pair % 1000)), _pair_keys(pair // 1000), pa.array(m.astype(np.int64)))
 
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), (~training).alias("held_out"), F.col("text").cast("binary").alias("text"))
-    parts = source.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, base double, weight double, word binary, n long")
-    # Rows of whole texts have no word; each gets one of its own that no text can hold, so that they don't meet in one task.
-    parts = parts.withColumn("word", F.coalesce("word", F.concat(F.lit(" "), F.col("row").cast("string")).cast("binary")))
-    joined = parts.join(counts, "word", "left")
-    whole = F.col("n_tokens").isNotNull()
-    own = F.when(~whole, F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n + v + 1))))
-    known = F.when(whole | F.col("c").isNotNull(), F.col("n")).otherwise(0)
+    parts = source.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, base double, weight double, key binary, n long, near array<int>")
+    # Rows of whole texts have no key; each gets one of its own that no text can hold, so that they don't meet in one task.
+    parts = parts.withColumn("key", F.coalesce("key", F.concat(F.lit(" "), F.col("row").cast("string")).cast("binary")))
+    joined = parts.join(counts.withColumnRenamed("word", "key"), "key", "left").join(own, "key", "left").join(other, "key", "left")
+    whole, word = F.col("n_tokens").isNotNull(), F.col("near").isNotNull()
+    plain = F.when(word, F.col("n") * uni(F.coalesce("c", F.lit(0))))
+    gain = F.when(F.col("arcs").isNotNull(), F.aggregate("near", F.lit(0.0), lambda s, x: s + F.coalesce(F.try_element_at("arcs", x), F.lit(0.0)))).otherwise(0.0)
+    scored = F.when(whole, F.col("weight")).when(word, plain + F.col("n") * F.coalesce("fail", F.lit(0.0)) + gain).otherwise(F.col("n") * F.coalesce("gain", F.lit(0.0)))
     return joined.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.max("held_out").alias("held_out"),
         F.max("n_tokens").alias("n_tokens"),
-        F.sum(known).alias("n_known"),
+        F.sum(F.when(whole | (word & F.col("c").isNotNull()), F.col("n")).otherwise(0)).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
-        F.sum(F.coalesce(own, "base")).alias("base_score"),
-        F.sum(F.coalesce(own, "weight")).alias("score"),
+        F.sum(F.coalesce(plain, "base")).alias("base_score"),
+        F.sum(scored).alias("score"),
     ).drop("row")
