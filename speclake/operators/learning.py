@@ -85,25 +85,25 @@ def embed(df: DataFrame, encoder: Callable[[list[bytes]], np.ndarray], content:
     A failed batch is tried again row by row, so one bad row costs its own result only. Null content fails as 'Missing'.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for k in range(0, len(frame), batch):
-                part = frame.iloc[k : k + batch]
-                vectors, errors = [None] * len(part), ["Missing" if c is None else "" for c in part[content]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for k in range(0, rows.num_rows, batch):
+                names, contents = rows.column(0)[k : k + batch], rows.column(1)[k : k + batch].to_pylist()  # only these rows are held as Python's values
+                vectors, errors = [None] * len(contents), ["Missing" if c is None else "" for c in contents]
                 at = [i for i, e in enumerate(errors) if not e]
                 for group in [at, *[[i] for i in at]] if at else []:
                     if all(vectors[i] is not None for i in group):
                         continue
                     try:
-                        made = np.asarray(encoder([bytes(part[content].iloc[i]) for i in group]), float)
+                        made = np.asarray(encoder([contents[i] for i in group]), float)
                         for i, v in zip(group, made, strict=True):
                             vectors[i], errors[i] = (v.tolist(), "") if np.isfinite(v).all() else (None, "NotFinite")
                     except Exception as e:  # noqa: BLE001  the encoder's own errors become rows
                         for i in group:
                             errors[i] = type(e).__name__
-                yield pd.DataFrame({identity: part[identity].astype(str), "embedding": vectors, "error": errors})
+                yield pa.RecordBatch.from_arrays([names, pa.array(vectors, pa.list_(pa.float64())), pa.array(errors, pa.string())], [identity, "embedding", "error"])
 
-    return df.select(F.col(identity).cast("string").alias(identity), F.col(content).cast("binary").alias(content)).mapInPandas(run, f"{identity} string, embedding array<double>, error string")
+    return df.select(F.col(identity).cast("string").alias(identity), F.col(content).cast("binary").alias(content)).mapInArrow(run, f"{identity} string, embedding array<double>, error string")
 
 
 def shard_success(expected: DataFrame, observed: DataFrame, shard: str, identity: str = "record_id", least: float = 0.98) -> DataFrame:
