@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speclake.sources.shared import BROADCAST_ROWS, cut, sized
+from speclake.sources.shared import BROADCAST_ROWS, cut, shuffles_freed, sized
 
-__all__ = ["BROADCAST_ROWS", "UPPER", "WORD", "ascii_lower", "cut", "sized", "table"]
+__all__ = ["BROADCAST_ROWS", "UPPER", "WORD", "ascii_lower", "cut", "shuffles_freed", "sized", "table"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The six ASCII white-space characters that end a word.

@@ -114,7 +114,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, known: DataFrame, starred: C
         members = cut(members)
         several = members.groupBy("token").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("token", "size")
         members = cut(members.join(several, "token"))
-        if members.isEmpty():
+        if not members.take(1):
             return found
         part = F.pmod(F.xxhash64("key"), F.lit(leaders))
         centres = members.filter(F.col("size") > small).groupBy("token", part.alias("part")).agg(F.min(F.struct("pos", "key", "n", "odd", "comp")).alias("x")).select("token", "x.*")
@@ -126,7 +126,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, known: DataFrame, starred: C
         pairs = cut(ordered.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.c").alias("p"), F.col("y.c").alias("q")))
         rest = members.join(asked.select("token", "key"), ["token", "key"], "left_anti").select("token", "key", "n", "pos", "odd", "comp")
         members, small, leaders = rest, LARGEST, 16 * leaders
-        if pairs.isEmpty():
+        if not pairs.take(1):
             continue
         links = cut(verified(pairs, sets, similarity).select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct())
         found.append(links)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from speclake.llm import nearcopies, sketches
-from speclake.llm.common import cut
+from speclake.llm.common import cut, shuffles_freed
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -158,8 +158,12 @@ def components(links: DataFrame) -> DataFrame:
     and nothing but a count and a checksum comes to the driver. The join of a star's links with its
     centre's least one is an inner join, whose hot keys adaptive execution splits.
     """
-    links, seen = cut(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), None
-    while (state := links.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()) != seen and state[0]:
+    links, seen = cut(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()), None
+    while True:
+        with shuffles_freed(links.sparkSession):
+            state = links.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
+        if state == seen or not state[0]:
+            break
         seen, links = state, cut(starred(links))
     return links.select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
