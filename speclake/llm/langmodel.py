@@ -9,10 +9,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speclake.sources.shared import shared_base
+from speclake.sources.shared import shared_base, shuffles_freed
 
 #: The end token; no word holds white space.
 END = b"\n"
@@ -30,16 +30,23 @@ def held_out(doc_id: str = "doc_id", parts: int = 7, part: int = 2):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % parts == part
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` as a table of compressed columns in the shared checkpoint folder; a checkpoint holds rows as they are."""
+def stored(df: DataFrame, folder: str = "") -> DataFrame:
+    """``df`` as a table of compressed columns in the shared checkpoint folder, or ``folder`` there; a checkpoint holds rows as they are. The shuffle files that it took are freed."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_base(df.sparkSession))
-    path = f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{context.getCheckpointDir()}/{folder}/{uuid.uuid4().hex}" if folder else f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, folder: str) -> None:
+    """Deletes the tables that were ``stored`` in ``folder``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{spark.sparkContext.getCheckpointDir()}/{folder}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Tokens:
     """Tokens of some texts, one after another, as codes of their distinct words.
 
@@ -227,7 +234,8 @@ def score_texts(docs: DataFrame, training=None, word_share: float = 2.0**-20, he
     context = spark.sparkContext
     training = ~held_out() if training is None else training
     learned = docs.filter(training)
-    counts = stored(token_counts(learned))
+    folder = uuid.uuid4().hex
+    counts = stored(token_counts(learned), folder)
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     starts = (counts.filter(F.col("word") == F.lit(END)).first() or {"c": 0})["c"]
     often = (F.col("c") >= least) & (F.col("c") >= n * word_share)
@@ -239,8 +247,8 @@ def score_texts(docs: DataFrame, training=None, word_share: float = 2.0**-20, he
     repeated = counts.filter(F.col("c") >= least)
 
     # Arcs: between frequent words, and those of other words with the counts of both.
-    arcs = stored(pair_counts(learned, shared).filter(F.col("n") >= least))
-    rare = stored(rare_pairs(learned, shared, least).join(repeated, "word"))
+    arcs = stored(pair_counts(learned, shared).filter(F.col("n") >= least), folder)
+    rare = stored(rare_pairs(learned, shared, least).join(repeated, "word"), folder)
     alone = rare.filter(F.col("next").isNotNull()).drop("near").join(repeated.select(F.col("word").alias("next"), F.col("c").alias("c2")), "next")
     behind = rare.filter(F.col("next").isNull() & (F.col("near") >= 0)).join(F.broadcast(ids), F.col("near") == F.col("id")).drop("id")
     ahead = rare.filter(F.col("near") < 0).withColumn("first", F.when(F.col("near") == START, size - 1).otherwise(-1 - F.col("near")).cast("long"))
@@ -277,7 +285,8 @@ def score_texts(docs: DataFrame, training=None, word_share: float = 2.0**-20, he
     beginning = F.struct(F.col("word").alias("name"), "c", "fail", F.map_from_entries(F.transform(F.filter("arcs", lambda x: ~linked(x)), lambda x: F.struct(x["near"], x["gain"]))).alias("arcs"), F.lit(None).cast("double").alias("gain"))
     links = F.transform(F.filter("arcs", linked), lambda x: F.struct(F.concat("word", F.lit(b" "), x["next"]).alias("name"), F.lit(None).cast("long").alias("c"), F.lit(None).cast("double").alias("fail"), F.lit(None).cast("map<int,double>").alias("arcs"), x["gain"].alias("gain")))
     asked = own.select(F.inline(F.concat(F.array(beginning), links))).withColumn("of", _key("name"))
-    asked = asked.unionByName(arcs.filter(F.col("n") < bound).mapInArrow(gains, "of long, gain double"), allowMissingColumns=True)
+    asked = stored(asked.unionByName(arcs.filter(F.col("n") < bound).mapInArrow(gains, "of long, gain double"), allowMissingColumns=True))
+    dropped(spark, folder)  # all that they give is in the model or asked for; the disk is for the texts' shuffle
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, frequent = model.value, shared.value
