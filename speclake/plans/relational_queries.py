@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from speclake.functions import documents
+from speclake.functions.vectors import rounded
 from speclake.operators import manifest, records, references, sampling
 from speclake.plans.register import read, registry
 
@@ -139,9 +140,9 @@ def a10_weights(spark, d):
 @query("""WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM c GROUP BY doc_id, ch),
   t AS (SELECT doc_id, ord(ch) AS v, n, n / sum(n) OVER (PARTITION BY doc_id) AS p FROM n) SELECT doc_id, round(-sum(p * log2(p)), 6) AS entropy, round(sqrt(greatest(0, sum(p * v * v) - sum(p * v) ** 2)), 4) AS deviation FROM t GROUP BY doc_id""")
 def a15_entropy(spark, d):
-    """Entropy and deviation of each text's characters, counted in the row."""
-    spread = read(spark, d, "documents").select("doc_id", documents.character_spread("text").alias("s")).filter("s.n > 0")
-    return spread.select("doc_id", F.round("s.entropy", 6).alias("entropy"), F.round("s.deviation", 4).alias("deviation"))
+    """Entropy and deviation of each text's characters, counted in the row; ``doc_id`` is the key. One piece alone, as an empty text is, has -0.0 bits."""
+    spread = read(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", documents.character_spread("text").alias("s"))
+    return spread.select("doc_id", rounded(F.coalesce("s.entropy", F.lit(-0.0)), 6).alias("entropy"), F.round(F.coalesce("s.deviation", F.lit(0.0)), 4).alias("deviation"))
 
 
 @query("SELECT count(*) AS groups, CAST(sum(n - 1) AS BIGINT) AS removed FROM (SELECT count(*) AS n FROM documents GROUP BY text) WHERE n > 1")
